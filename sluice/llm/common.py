@@ -67,3 +67,22 @@ def bucketed_sums(df: DataFrame, groups: list[str], bucket: list[str], order: li
     same = [rows[k].eqNullSafe(before[f"_b_{k}"]) for k in keys]
     joined = rows.join(before, same, "left")
     return joined.select(*[rows[c] for c in df.columns], (F.col("_inner") + F.col("_before")).alias(name))
+
+
+def with_locator(docs: DataFrame) -> DataFrame:
+    """docs with `_file` and `_row`, the place of each row in the files that it is read from.
+
+    A frame that isn't read from files straight away is staged first, so that the place stays the same for every later read.
+    """
+    from pyspark.errors import AnalysisException
+
+    try:
+        place = docs.metadataColumn("_metadata")
+        return docs.select("*", place["file_path"].alias("_file"), place["row_index"].alias("_row"))
+    except AnalysisException:
+        return with_locator(staged(docs, "rows"))
+
+
+def bounded_broadcast(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:
+    """df with the hint to broadcast it if its counted rows are at most `most`; else Spark joins it by a shuffle."""
+    return F.broadcast(df) if rows <= most else df
