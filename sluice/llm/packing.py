@@ -71,25 +71,24 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packing(file: str, end_id: int, length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    end, names = np.asarray([end_id], dtype="<u4").tobytes(), [x.split()[0] for x in PIECES.split(", ")]
+    names = [x.split()[0] for x in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, first, filled = tokens.encoder(file, False), TaskContext.get().partitionId() << 40, 0  # filled: ids so far in this part
         for batch in batches:
-            rows: list[tuple] = []
-            held = 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = encode(text.as_py() or "") + end
-                n, start = len(ids) // 4, 0
-                while start < n:
-                    size = min(n - start, length - filled % length)
-                    rows.append((doc_id, start, size, ids[4 * start : 4 * (start + size)], n, first + filled // length, filled % length))
-                    start, filled, held = start + size, filled + size, held + size
-                if held > 1 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if name == "ids" else pa.int64()) for name, c in zip(names, zip(*rows, strict=True), strict=True)], names)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if name == "ids" else pa.int64()) for name, c in zip(names, zip(*rows, strict=True), strict=True)], names)
+            ids, bounds = encode(batch.column("text"), end_id)
+            if not len(ids):
+                continue
+            # a piece starts where a document or a sequence does
+            edges = np.arange(-filled % length, len(ids), length)
+            starts = np.union1d(bounds[:-1], edges)
+            sizes = np.diff(np.append(starts, len(ids)))
+            of = np.searchsorted(bounds, starts, side="right") - 1
+            at = filled + starts
+            binary = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((np.append(starts, len(ids)) * 4).astype(np.int32)), pa.py_buffer(ids)])
+            columns = [batch.column("doc_id").take(pa.array(of)), pa.array(starts - bounds[of]), pa.array(sizes), binary, pa.array(np.diff(bounds)[of]), pa.array(first + at // length), pa.array(at % length)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+            filled += len(ids)
 
     return run
 

@@ -14,38 +14,17 @@ from pyspark.sql import functions as F
 from sluice.llm import common, tokens
 
 SCHEMA = "part int, start_in_part long, n_tokens long, doc_id long, ids array<int>"
-#: Ids in an Arrow batch on their way to the writer.
-BATCH_IDS = 1 << 20
 
 
 def _encoding(file: str, words: bool, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    end = np.asarray([end_id], dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, start = tokens.encoder(file, words), TaskContext.get().partitionId(), 0
-        doc_ids: list = []
-        parts: list[bytes] = []
-
-        def full() -> pa.RecordBatch:
-            sizes = np.asarray([len(x) // 4 for x in parts], dtype=np.int64)
-            ends = np.cumsum(sizes)
-            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
-            columns = [pa.array(np.full(len(parts), part, dtype=np.int32)), pa.array(start + ends - sizes), pa.array(sizes), pa.array(doc_ids, pa.int64()), ids]
-            return pa.RecordBatch.from_arrays(columns, ["part", "start_in_part", "n_tokens", "doc_id", "ids"])
-
-        held = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                doc_ids.append(doc_id)
-                parts.append(encode(text.as_py() or "") + end)
-                held += len(parts[-1]) // 4
-                if held >= BATCH_IDS:
-                    yield full()
-                    start, held = start + held, 0
-                    doc_ids.clear()
-                    parts.clear()
-        if parts:
-            yield full()
+            ids, bounds = encode(batch.column("text"), end_id)
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))
+            columns = [pa.array(np.full(batch.num_rows, part, dtype=np.int32)), pa.array(start + bounds[:-1]), pa.array(np.diff(bounds)), batch.column("doc_id"), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "start_in_part", "n_tokens", "doc_id", "ids"])
+            start += int(bounds[-1])
 
     return run
 

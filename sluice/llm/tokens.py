@@ -4,22 +4,28 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
 
-#: White space that the tokenizers' patterns and str.split() don't treat alike; texts that have any are encoded in one piece.
-_ODD_SPACE = re.compile("[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: White space that the tokenizers' patterns, Python and Arrow don't treat alike.
+ODD_SPACE = "[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]"
+#: Also spaces that don't stand alone between two non-blanks.
+WIDE_SPACE = ODD_SPACE + r"|[ \t-\r] | [ \t-\r]|^ | $"
 _CHUNK = re.compile(r"\s*\S+|\s+", re.ASCII)
-#: Pieces of up to LONGEST characters are remembered, MOST of them at once.
-LONGEST, MOST = 64, 300_000
+#: Pieces of up to LONGEST characters are remembered: the last MOST or more, and those before them.
+LONGEST, MOST = 64, 400_000
 
 
 class Encoder:
-    """Encodes texts, and remembers the ids of pieces that end before white space.
+    """Encodes batches of texts, and remembers the ids of pieces that end before white space.
 
     The vocabularies here split a text with a pattern whose matches never run from a non-blank into a blank, so the ids of a
-    text are those of its pieces, one after another. That spares most merges: the same pieces come again and again.
-    With `words`, white space has no ids (word_bpe_49k); else it belongs to the piece it precedes (byte_bpe_50k).
-    Ids are bytes, unsigned 32-bit, little endian. Strings of special tokens in a text are ordinary text.
+    text are those of its pieces, one after another. A batch's distinct pieces are looked up, new ones are encoded by the
+    library, and the texts' ids are gathered from them; that spares most merges. With `words`, white space has no ids
+    (word_bpe_49k); else it belongs to the piece it precedes (byte_bpe_50k). Texts in which the rules for white space could
+    differ are cut elsewhere or, if need be, not at all. Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, file: str, words: bool):
@@ -28,30 +34,73 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
-        self.split = str.split if words else _CHUNK.findall
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> Iterable[bytes]:
-        import numpy as np
+        self.words = words
+        self.new: dict[str, np.ndarray] = {}
+        self.old: dict[str, np.ndarray] = {}
 
+    def _encode(self, pieces: list[str]) -> list[bytes]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return (np.asarray(e.ids, dtype="<u4").tobytes() for e in encode(pieces, add_special_tokens=False))
-
-    def __call__(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return next(iter(self._encode([text])))
-        pieces = self.split(text)
-        known = self.known
-        if new := [p for p in set(pieces) if p not in known]:
-            if len(known) + len(new) > MOST:
-                known.clear()
-                new = list(set(pieces))
-            once = {}
-            for p, ids in zip(new, self._encode(new), strict=True):
-                (known if len(p) <= LONGEST else once)[p] = ids
-            if once:
-                return b"".join([known[p] if p in known else once[p] for p in pieces])
-        return b"".join(map(known.__getitem__, pieces))
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in encode(pieces, add_special_tokens=False)]
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces; those that weren't used since the memo last filled up are forgotten."""
+        if len(self.new) > MOST:
+            self.old, self.new = self.new, {}
+        new, old, unseen = self.new, self.old, []
+        for p in pieces:
+            if p not in new:
+                if p in old:
+                    new[p] = old[p]
+                else:
+                    unseen.append(p)
+        once = {}
+        for k in range(0, len(unseen), 10_000):
+            some = unseen[k : k + 10_000]
+            for p, ids in zip(some, self._encode(some), strict=True):
+                (new if len(p) <= LONGEST else once)[p] = ids
+        return [new[p] if p in new else once[p] for p in pieces] if once else [new[p] for p in pieces]
+
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        """The pieces of each text, as lists."""
+        if self.words:
+            return pc.ascii_split_whitespace(texts)
+        cut = pc.split_pattern(texts, " ")
+        offsets, flat = cut.offsets.to_numpy(), cut.flatten()
+        first = np.zeros(len(flat), dtype=bool)
+        first[offsets[:-1][np.diff(offsets) > 0]] = True
+        spaced = pc.if_else(pa.array(first), flat, pc.binary_join_element_wise(pa.scalar(""), flat, " "))
+        return pa.ListArray.from_arrays(cut.offsets, spaced)
+
+    def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, end_id after each, and where each text's ids start and the last end. Null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        odd = pc.match_substring_regex(texts, ODD_SPACE if self.words else WIDE_SPACE).to_numpy(zero_copy_only=False)
+        lists = self._cut(pc.if_else(pa.array(odd), "", texts))
+        offsets, flat = lists.offsets.to_numpy().astype(np.int64), lists.flatten()
+        if odd.any():
+            pieces, cut, last = [], [], 0
+            for i in np.flatnonzero(odd):
+                text = texts[int(i)].as_py()
+                own = [text] if re.search(ODD_SPACE, text) else _CHUNK.findall(text)
+                cut += [flat.slice(last, offsets[i] - last), pa.array(own, pa.string())]
+                last = offsets[i + 1]
+                pieces.append((i, len(own) - (offsets[i + 1] - offsets[i])))
+            flat = pa.concat_arrays([*cut, flat.slice(last)])
+            more = np.zeros(len(texts), dtype=np.int64)
+            for i, n in pieces:
+                more[i] = n
+            offsets = offsets + np.concatenate([[0], np.cumsum(more)])
+        coded = flat.dictionary_encode()
+        known = self._ids(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        pool, starts = np.frombuffer(b"".join(known), dtype="<u4"), np.cumsum(lengths) - lengths
+        at = coded.indices.to_numpy()
+        taken = lengths[at]
+        ends = np.cumsum(taken)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = pool[np.repeat(starts[at] - (ends - taken), taken) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[offsets]
+        return np.insert(ids, bounds[1:], np.uint32(end_id)), bounds + np.arange(len(bounds))
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
