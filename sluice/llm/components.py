@@ -1,0 +1,29 @@
+"""Connected components of a graph of links, by the least label that reaches a node."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sluice.llm import common
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, label of every node that an edge (a, b) of long ids touches; label is the least node of its component.
+
+    Each round takes the least label among a node's neighbours (partial minima first, so a hub costs a row for each task),
+    then the label of that label, which halves what is left of a long path. A round's labels are staged; the rounds end when
+    no label changes.
+    """
+    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).filter("a <> b").distinct()
+    both = common.staged(both, "components-edges")
+    labels = common.staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "components-labels")
+    while True:
+        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
+        least = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("label").alias("was"), F.least("label", F.coalesce("near", "label")).alias("now"))
+        jump = least.select(F.col("node").alias("at"), F.col("now").alias("then"))
+        after = least.join(jump, least["now"] == jump["at"], "left").select("node", "was", F.least("now", F.coalesce("then", "now")).alias("label"))
+        after = common.staged(after, "components-labels")
+        if after.filter("was <> label").isEmpty():
+            return after.select("node", "label")
+        labels = after.select("node", "label")
