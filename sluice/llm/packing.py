@@ -22,13 +22,17 @@ def projection() -> np.ndarray:
     return np.random.default_rng(20_240_501).choice([-1.0, 1.0], size=(HASHED, DIMS))
 
 
-def coordinates(text: bytes, signs: np.ndarray) -> np.ndarray:
-    """Where a text lies in the unit cube: its byte 4-grams hashed to counts, centred, scaled to length 1, projected, squashed."""
-    if len(text) < 4:
+def pair_table() -> np.ndarray:
+    """A bucket for each pair of bytes, by a multiplicative hash."""
+    return ((np.arange(1 << 16, dtype=np.uint32) * np.uint32(2_654_435_761)) >> np.uint32(24)).astype(np.intp)
+
+
+def coordinates(text: bytes, signs: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Where a text lies in the unit cube: its byte pairs hashed to counts, centred, scaled to length 1, projected, squashed."""
+    if len(text) < 2:
         return np.full(DIMS, 0.5)
-    b = np.frombuffer(text, dtype=np.uint8).astype(np.uint32)
-    grams = b[:-3] | b[1:-2] << 8 | b[2:-1] << 16 | b[3:] << 24
-    counts = np.bincount((grams * np.uint32(2_654_435_761)) >> np.uint32(24), minlength=HASHED).astype(float)
+    even, odd = (np.frombuffer(text, dtype="<u2", offset=k, count=(len(text) - k) // 2) for k in (0, 1))
+    counts = (np.bincount(table[even], minlength=HASHED) + np.bincount(table[odd], minlength=HASHED)).astype(float)
     counts -= counts.mean()
     at = counts @ signs / max(np.sqrt(counts @ counts), 1e-9)
     return 1 / (1 + np.exp(-1.7 * at))
@@ -63,10 +67,10 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    signs = projection()
+    signs, table = projection(), pair_table()
     for batch in batches:
         if batch.num_rows:
-            points = np.stack([coordinates((t.as_py() or "").encode(), signs) for t in batch.column("text")])
+            points = np.stack([coordinates((t.as_py() or "").encode(), signs, table) for t in batch.column("text")])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hilbert_keys(points))], ["doc_id", "tie", "text", "curve"])
 
 

@@ -14,6 +14,10 @@ ODD_SPACE = "[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *ran
 #: Also spaces that don't stand alone between two non-blanks.
 WIDE_SPACE = ODD_SPACE + r"|[ \t-\r] | [ \t-\r]|^ | $"
 _CHUNK = re.compile(r"\s*\S+|\s+", re.ASCII)
+#: Marks that may follow a word.
+_TAIL = ".,;:!?"
+#: Texts that are encoded at once.
+ROWS = 2500
 #: Pieces of up to LONGEST characters are remembered: the last MOST or more, and those before them.
 LONGEST, MOST = 64, 400_000
 
@@ -46,19 +50,38 @@ class Encoder:
         """The ids of distinct pieces; those that weren't used since the memo last filled up are forgotten."""
         if len(self.new) > MOST:
             self.old, self.new = self.new, {}
-        new, old, unseen = self.new, self.old, []
+        new, old = self.new, self.old
+        unseen: dict[str, None] = {}
+        whole: list[tuple[str, str, str]] = []
         for p in pieces:
-            if p not in new:
-                if p in old:
-                    new[p] = old[p]
-                else:
-                    unseen.append(p)
-        once = {}
-        for k in range(0, len(unseen), 10_000):
-            some = unseen[k : k + 10_000]
+            if p in new:
+                continue
+            if p in old:
+                new[p] = old[p]
+                continue
+            stem = p.rstrip(_TAIL)
+            if stem and stem[-1].isalpha() and (len(stem) < len(p) or self.words) and (folded := stem.lower() if self.words and stem.isascii() else stem) != p:
+                # a mark after a letter starts a match of its own, so the ids are those of the parts
+                tail = p[len(stem) :]
+                whole.append((p, folded, tail))
+                for part in (folded, tail):
+                    if part not in new:
+                        if part in old:
+                            new[part] = old[part]
+                        else:
+                            unseen[part] = None
+            else:
+                unseen[p] = None
+        once: dict[str, bytes] = {}
+        order = list(unseen)
+        for k in range(0, len(order), 10_000):
+            some = order[k : k + 10_000]
             for p, ids in zip(some, self._encode(some), strict=True):
                 (new if len(p) <= LONGEST else once)[p] = ids
-        return [new[p] if p in new else once[p] for p in pieces] if once else [new[p] for p in pieces]
+        get = lambda p: new[p] if p in new else once[p]
+        for p, stem, tail in whole:
+            (new if len(p) <= LONGEST else once)[p] = get(stem) + get(tail)
+        return [get(p) for p in pieces] if once else [new[p] for p in pieces]
 
     def _cut(self, texts: pa.Array) -> pa.Array:
         """The pieces of each text, as lists."""
@@ -73,6 +96,14 @@ class Encoder:
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts, end_id after each, and where each text's ids start and the last end. Null counts as empty."""
+        done = [self._some(texts.slice(k, ROWS), end_id) for k in range(0, len(texts), ROWS)]
+        if len(done) == 1:
+            return done[0]
+        ids = np.concatenate([np.zeros(0, dtype=np.uint32), *(d[0] for d in done)])
+        starts = np.cumsum([0, *(len(d[0]) for d in done)])
+        return ids, np.concatenate([np.zeros(1, dtype=np.int64), *(d[1][1:] + s for d, s in zip(done, starts, strict=False))])
+
+    def _some(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.string()), "")
         odd = pc.match_substring_regex(texts, ODD_SPACE if self.words else WIDE_SPACE).to_numpy(zero_copy_only=False)
         lists = self._cut(pc.if_else(pa.array(odd), "", texts))
