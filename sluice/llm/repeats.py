@@ -115,17 +115,31 @@ def _indexing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [(r[0], r[1], s, e) for r, own in zip(rows, spans, strict=True) if r[3] == 1 for s, e in own]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else [[]] * 4)], ["c1", "c2", "start", "end"])
 
-    rows: list[tuple] = []
+    block: list[tuple] = []
+    seen: set[tuple[int, int]] = set()
     held = 0
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "key", "n", "offset", "context")), strict=True):
-            if held >= BLOCK_BYTES and row[2] != rows[-1][2]:
-                yield solve(rows)
-                rows, held = [], 0
-            rows.append(row)
-            held += len(row[5])
-    if rows:
-        yield solve(rows)
+
+    def groups() -> Iterator[list[tuple]]:
+        group: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "key", "n", "offset", "context")), strict=True):
+                if group and row[2] != group[-1][2]:
+                    yield group
+                    group = []
+                group.append(row)
+        if group:
+            yield group
+
+    for group in groups():
+        own = {row[:2] for row in group}
+        if held >= BLOCK_BYTES or not seen.isdisjoint(own):  # a context of two groups would repeat itself
+            yield solve(block)
+            block, seen, held = [], set(), 0
+        block += group
+        seen |= own
+        held += sum(len(row[5]) for row in group)
+    if block:
+        yield solve(block)
 
 
 def _cutting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
