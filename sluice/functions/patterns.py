@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,14 @@ def ist_day(ts: Column) -> Column:
     return (ts + F.expr(f"INTERVAL {IST_MINUTES} MINUTES")).cast("date")
 
 
+def durable(df: DataFrame) -> DataFrame:
+    """df checkpointed in the folder that the cluster names in spark.checkpoint.dir, a temporary one where there is none."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return df.checkpoint()
+
+
 def calendar(df: DataFrame, day: str = "ist_day") -> DataFrame:
     """A row for each day from the least to the largest."""
     return df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).select(F.explode(F.sequence("lo", "hi")).alias(day))

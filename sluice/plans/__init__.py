@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("funnel", "performance")
+MODULES = ("funnel", "performance", "companies")
 
 
 def registered() -> tuple[dict, dict[str, str]]:
