@@ -69,18 +69,26 @@ def bucketed_sums(df: DataFrame, groups: list[str], bucket: list[str], order: li
     return joined.select(*[rows[c] for c in df.columns], (F.col("_inner") + F.col("_before")).alias(name))
 
 
-def with_locator(docs: DataFrame) -> DataFrame:
-    """docs with `_file` and `_row`, the place of each row in the files that it is read from.
-
-    A frame that isn't read from files straight away is staged first, so that the place stays the same for every later read.
-    """
+def filed(docs: DataFrame) -> DataFrame:
+    """docs if it is read from files straight away; else a staged copy, whose rows have places that stay the same for every later read."""
     from pyspark.errors import AnalysisException
 
     try:
-        place = docs.metadataColumn("_metadata")
-        return docs.select("*", place["file_path"].alias("_file"), place["row_index"].alias("_row"))
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+        return docs
     except AnalysisException:
-        return with_locator(staged(docs, "rows"))
+        return staged(docs, "rows")
+
+
+def with_locator(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns of docs, or all of them in a struct `_doc` if none is named, with `_file` and `_row`, the place of each row in its files.
+
+    Columns of docs that are called like those an operator adds so don't meet them.
+    """
+    docs = filed(docs)
+    place = docs.metadataColumn("_metadata")
+    own = [docs[f"`{c}`"] for c in columns or docs.columns]
+    return docs.select(*(own if columns else [F.struct(*own).alias("_doc")]), place["file_path"].alias("_file"), place["row_index"].alias("_row"))
 
 
 def bounded_broadcast(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:

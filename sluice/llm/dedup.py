@@ -63,7 +63,7 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, sa
     task. A digest with two texts in it, if there ever is one, is decided by the texts. Other columns are not read.
     """
     spark = docs.sparkSession
-    placed = common.with_locator(docs)
+    placed = common.with_locator(docs, "doc_id", "text")
     rows = placed.select(placed["doc_id"].cast("long").alias("doc_id"), "_file", "_row", normalised(placed["text"]).alias("norm"))
     hashed = rows.withColumn("digest", digest(F.col("norm")))
     arrivals = common.staged(hashed.drop("norm"), "dedup-arrivals")
@@ -103,10 +103,11 @@ def _decided(rows: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_dedup keeps, all columns."""
+    docs = common.filed(docs)
     placed = common.with_locator(docs)
     dropped = common.staged(exact_dedup(docs).filter("NOT kept").select(F.col("_file").alias("_f"), F.col("_row").alias("_r")), "dedup-dropped")
     dropped = common.bounded_broadcast(dropped, dropped.count())
-    return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select(*[placed[c] for c in docs.columns])
+    return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select("_doc.*")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,7 @@ def mix(docs: DataFrame, *, share: float = 1.5, weights: tuple[int, ...] = (5, 2
     Size is the number of words; null and empty texts have none and are copied like others, which takes no words. Rows that
     repeat count as often as they come. Reruns agree. Columns besides doc_id, text and source are not read.
     """
-    placed = common.with_locator(docs)
+    placed = common.with_locator(docs, "doc_id", "text", "source")
     rows = placed.select(placed["doc_id"].cast("long").alias("doc_id"), placed["source"].alias("source"), "_file", "_row", common.word_count(common.text_of(placed)).alias("size"))
     rows = common.staged(rows, "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -70,10 +70,11 @@ def mix(docs: DataFrame, *, share: float = 1.5, weights: tuple[int, ...] = (5, 2
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """Each row of docs as often as `mix` takes it, all columns."""
+    docs = common.filed(docs)
     placed = common.with_locator(docs)
     copies = mix(docs, **settings).filter("copies > 0").select(F.col("_file").alias("_f"), F.col("_row").alias("_r"), "copies")
     joined = placed.join(copies, (placed["_file"] == copies["_f"]) & (placed["_row"] == copies["_r"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[placed[c] for c in docs.columns])
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,7 +160,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_R
     its own task, which returns link counts and a spanning forest and not the pairs. Pairs to compare lose those whose
     sketches differ by more than chance allows; the rest are decided by their whole sets.
     """
-    placed = common.with_locator(docs)
+    placed = common.with_locator(docs, "doc_id", "text")
     rows = placed.select(placed["doc_id"].cast("long").alias("doc_id"), "_file", "_row", placed["text"].alias("text"))
     coded = common.staged(rows.mapInArrow(_sketching, "doc_id long, _file string, _row long, digest binary, sketch array<int>"), "join-sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_file", "_row"))
@@ -248,6 +248,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_R
 
 def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
     """One row of each class of ngram_join, all columns: the one with the class's least doc_id, the first in the files of these."""
+    docs = common.filed(docs)
     placed = common.with_locator(docs)
     classes = common.staged(ngram_join(docs, **settings), "join-classes")
     keepers = classes.filter(F.col("doc_id") == F.col("class_id")).groupBy("class_id").agg(F.min(F.struct("_file", "_row")).alias("keep"))
@@ -256,7 +257,7 @@ def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
     dropped = joined.filter(F.col("keep").isNotNull() & ~((F.col("_file") == F.col("keep._file")) & (F.col("_row") == F.col("keep._row"))))
     dropped = common.staged(dropped.select(F.col("_file").alias("_f"), F.col("_row").alias("_r")), "join-dropped")
     dropped = common.bounded_broadcast(dropped, dropped.count())
-    return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select(*[placed[c] for c in docs.columns])
+    return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select("_doc.*")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ SYMBOLS = "#*$%&|<>"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: A host is rejected if its shrunk rate of failures is above this.
-MAX_HOST_RATE = 0.8
+#: A host is rejected if its shrunk rate of failures is above this, and it has so many documents.
+MAX_HOST_RATE, MIN_HOST_DOCUMENTS = 0.8, 30
 
 
 def with_features(docs: DataFrame, text: Column) -> DataFrame:
@@ -71,15 +71,16 @@ def host_rates(rows: DataFrame) -> DataFrame:
 def host_quality(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """A row for each row of docs: _file, _row, doc_id, host, FEATURES, base_failed, kept.
 
-    A document is dropped if it fails a rule itself, or if its host's shrunk rate of failing documents is above max_rate.
+    A document is dropped if it fails a rule itself, or if its host's shrunk rate of failing documents is above max_rate;
+    a host of fewer than MIN_HOST_DOCUMENTS says too little to be rejected.
     Null and empty texts have no words, so they fail. The text is read once; what the rules found goes to the shared folder,
     is summed by host (partial sums first, so a hot host costs a row for each task), and only the rejected hosts are joined
     back. Columns besides doc_id, text and the host are not read.
     """
-    placed = common.with_locator(docs)
+    placed = common.with_locator(docs, "doc_id", "text", host)
     rows = placed.select("_file", "_row", placed["doc_id"].cast("long").alias("doc_id"), placed[host].alias("host"), common.text_of(placed).alias("_body"))
     rows = common.staged(with_features(rows, F.col("_body")).drop("_body"), "quality-features")
-    rejected = common.staged(host_rates(rows).filter(F.col("rate") > F.lit(max_rate)).select(F.col("host").alias("bad")), "quality-hosts")
+    rejected = common.staged(host_rates(rows).filter((F.col("rate") > F.lit(max_rate)) & (F.col("n") >= MIN_HOST_DOCUMENTS)).select(F.col("host").alias("bad")), "quality-hosts")
     rejected = common.bounded_broadcast(rejected, rejected.count()).withColumn("rejected", F.lit(True))
     joined = rows.join(rejected, rows["host"].eqNullSafe(rejected["bad"]), "left")
     return joined.select("_file", "_row", "doc_id", "host", *FEATURES, "base_failed", (~F.col("base_failed") & F.col("rejected").isNull()).alias("kept"))
@@ -87,10 +88,11 @@ def host_quality(docs: DataFrame, host: str = "source", max_rate: float = MAX_HO
 
 def keep_good(docs: DataFrame, **settings) -> DataFrame:
     """The rows of docs that host_quality keeps, all columns."""
+    docs = common.filed(docs)
     placed = common.with_locator(docs)
     dropped = common.staged(host_quality(docs, **settings).filter("NOT kept").select(F.col("_file").alias("_f"), F.col("_row").alias("_r")), "quality-dropped")
     dropped = common.bounded_broadcast(dropped, dropped.count())
-    return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select(*[placed[c] for c in docs.columns])
+    return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select("_doc.*")
 
 
 def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +116,7 @@ f AS (
 h AS (SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (base_failed)::DOUBLE AS k FROM b GROUP BY source),
 s AS (SELECT sum(k) / sum(n) AS mean, sum(k * k / n) / sum(n) AS sq, count(*) / sum(n) AS hosts FROM h),
 t AS (SELECT mean, CASE WHEN sq - mean * mean - mean * (1 - mean) * hosts > 0 THEN least(1e6, greatest(1.0, mean * (1 - mean) / (sq - mean * mean - mean * (1 - mean) * hosts) - 1)) ELSE 1e6 END AS strength FROM s),
-v AS (SELECT source, (k + mean * strength) / (n + strength) > 0.8 AS bad FROM h, t)
+v AS (SELECT source, (k + mean * strength) / (n + strength) > 0.8 AND n >= 30 AS bad FROM h, t)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept
 FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
 """

@@ -214,7 +214,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
        parted further first (_split_groups).
     4. The spans of all contexts are brought back to their texts, merged and cut.
     """
-    placed = common.with_locator(docs)
+    placed = common.with_locator(docs, "doc_id", "text")
     body = F.coalesce(placed["text"], F.lit("")).cast("binary")
     rows = placed.select(placed["doc_id"].cast("long").alias("doc_id"), F.xxhash64("_file").alias("file"), F.col("_row").alias("row"), body.alias("text"))
     plain = common.staged(rows.select("doc_id", "file", "row", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "repeats-texts")
