@@ -36,7 +36,7 @@ def entropy_windows(text: str, window: int, least: float, needs: tuple[str, ...]
 
     One pass: a step adds a character's count and takes one off, and with them its share of the sum of n log n.
     """
-    term = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
+    term = [0.0] + [n * math.log2(n) for n in range(1, window + 2)]
     kinds = ["digit" if c.isdigit() else "lower" if c.islower() else "upper" if c.isupper() else "other" for c in text]
     counts: dict[str, int] = {}
     held = {"digit": 0, "lower": 0, "upper": 0, "other": 0}
