@@ -19,20 +19,31 @@ LENGTH, ANCHOR = 200, 48
 #: What a repeat that holds an anchor has besides it.
 REST = LENGTH - ANCHOR
 #: Contexts that are indexed together; larger groups are parted by what stands beside the anchor.
-GROUP = 1024
+GROUP = 16_384
+#: Starts of strings that are looked at together in a long text; a power of two.
+STRETCH = 1 << 23
 #: Bytes of contexts in one index.
 BLOCK_BYTES = 1 << 20
 
 
-def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of a text's anchors: of the ANCHOR-byte strings in every LENGTH-byte string, the one with the least hash.
+def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a text's anchors the places, the hashes, and the first and last start of the LENGTH-byte strings that have them as theirs.
 
-    Two equal strings of LENGTH bytes so have an anchor at the same place. Hashes of 1, 2, 4 ... bytes are combined to those
-    of ANCHOR bytes, and least values of 1, 2, 4 ... places to those of a whole string, over the whole text at once.
+    The anchor of a string of LENGTH bytes is the ANCHOR-byte string in it with the least hash, the leftmost of equal ones;
+    so equal strings have it at the same place. Hashes of 1, 2, 4 ... bytes are combined to those of ANCHOR bytes, and least
+    values of 1, 2, 4 ... places to those of a whole string, over a stretch of text at once.
     """
+    found = []
+    for k in range(0, max(0, len(text) - LENGTH + 1), STRETCH):
+        at, h, first, last = _anchors(text[k : k + STRETCH + LENGTH - 1])
+        found.append((at + k, h, first + k, last + k))
+    if not found:
+        return (*(np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64)),)
+    return (*(np.concatenate(c) for c in zip(*found, strict=True)),)
+
+
+def _anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     n = len(text)
-    if n < LENGTH:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     h, factor, width = text.astype(np.uint64) + np.uint64(1), 0x9E3779B97F4A7C15, 1
     parts = {}
     while width <= ANCHOR:
@@ -49,10 +60,11 @@ def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
-    least = _sliding(h, REST + 1, np.minimum)  # of the string that starts here
-    most = _sliding(np.concatenate([np.zeros(REST, dtype=np.uint64), least, np.zeros(REST, dtype=np.uint64)]), REST + 1, np.maximum)
-    at = np.flatnonzero(most == h)
-    return at, h[at]
+    place = np.uint64(2 * STRETCH - 1)
+    least = _sliding(h & ~place | np.arange(len(h), dtype=np.uint64), REST + 1, np.minimum) & place
+    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    at = least[first].astype(np.int64)
+    return at, h[at], first, np.concatenate([first[1:] - 1, [len(least) - 1]])
 
 
 def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -70,28 +82,29 @@ def _anchoring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [anchors(np.frombuffer(t.as_buffer(), dtype=np.uint8)) for t in batch.column("text")]
         n = [len(f[0]) for f in found]
         if sum(n):
-            columns = [np.concatenate([f[1] for f in found]).view(np.int64), np.repeat(files, n), np.repeat(rows, n), np.concatenate([f[0] for f in found]).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "file", "row", "at"])
-
-
-def _context(text: memoryview, at: int) -> tuple[int, memoryview]:
-    left = max(0, at - REST)
-    return left, text[left : at + LENGTH]
+            at, h, first, last = (np.concatenate([f[k] for f in found]) for k in range(4))
+            columns = [h.view(np.int64), np.repeat(files, n), np.repeat(rows, n), at, (at - first).astype(np.int16), (at - last).astype(np.int16)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "file", "row", "at", "first", "last"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each anchor of (file, row, text, hits): the 128-bit hash of its context, and the context's place."""
+    """A row for each anchor of (file, row, text, hits): the 128-bit hash of its context and the context's place."""
     names = ["c1", "c2", "anchor", "file", "row", "left", "length", "at"]
     for batch in batches:
-        columns: list[list[int]] = [[] for _ in names]
-        for file, row, text, hits in zip(batch.column("file").to_pylist(), batch.column("row").to_pylist(), batch.column("text"), batch.column("hits").to_pylist(), strict=True):
+        texts, hits = batch.column("text"), batch.column("hits")
+        flat = hits.flatten()
+        at, first, last = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "first", "last"))
+        n = np.diff(hits.offsets.to_numpy())
+        lefts, rights = at - first, at - last + LENGTH
+        digests, k = [], 0
+        for text, own in zip(texts, n, strict=True):
             view = memoryview(text.as_buffer())
-            for hit in hits:
-                left, context = _context(view, hit["at"])
-                digest = np.frombuffer(xxhash.xxh3_128_digest(context, seed=hit["at"] - left), dtype=np.int64)
-                for c, v in zip(columns, (digest[0], digest[1], hit["anchor"], file, row, left, len(context), hit["at"]), strict=True):
-                    c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+            ends = zip(lefts[k : k + own].tolist(), rights[k : k + own].tolist(), first[k : k + own].tolist(), strict=True)
+            digests += [xxhash.xxh3_128_digest(view[a:b], seed=f) for a, b, f in ends]
+            k += own
+        c = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+        columns = [c[:, 0], c[:, 1], flat.field("anchor"), np.repeat(batch.column("file").to_numpy(), n), np.repeat(batch.column("row").to_numpy(), n), lefts, rights - lefts, at]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
 
 def _context_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +113,7 @@ def _context_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist(), strict=True):
             view = memoryview(text.as_buffer())
             for w in wanted:
-                left, context = _context(view, w["at"])
-                rows.append((w["c1"], w["c2"], w["anchor"], w["n"], w["at"] - left, bytes(context)))
+                rows.append((w["c1"], w["c2"], w["anchor"], w["n"], w["at"] - w["left"], bytes(view[w["left"] : w["left"] + w["length"]])))
         columns = list(zip(*rows, strict=True)) or [[]] * 6
         types = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["c1", "c2", "key", "n", "offset", "context"])
@@ -208,8 +220,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     1. Copies of a text are set aside by their SHA-256; each group is looked at as one text and loses everything itself.
     2. Anchors are chosen by content in every text, so that equal strings share one. Their hashes are counted over all texts,
        partial counts first; only anchors that come twice go on.
-    3. Each of these has a context, all bytes that a repeat around it could cover. Contexts that are equal are repeats from
-       end to end. Of the groups in which contexts of one anchor differ, the contexts' bytes go to tasks by anchor, and are
+    3. Each of these has a context. Contexts that are equal are repeats from
+       end to end: a context is what the strings that have the anchor as theirs cover. Of the groups in which contexts of one anchor differ, the contexts' bytes go to tasks by anchor, and are
        indexed there (run_index): positions whose matching statistics reach LENGTH begin a repeat. Over-full groups are
        parted further first (_split_groups).
     4. The spans of all contexts are brought back to their texts, merged and cut.
@@ -227,21 +239,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     others = common.bounded_broadcast(others, others.count())
     texts = rows.filter(F.octet_length("text") >= LENGTH).join(others, (rows["file"] == others["_f"]) & (rows["row"] == others["_r"]), "left_anti").select("file", "row", "text")
 
-    found = common.staged(texts.mapInArrow(_anchoring, "anchor long, file long, row long, at int"), "repeats-anchors")
+    found = common.staged(texts.mapInArrow(_anchoring, "anchor long, file long, row long, at long, first short, last short"), "repeats-anchors")
     again = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("anchor").alias("_a"))
     hits = common.staged(found.join(again, found["anchor"] == again["_a"], "left_semi"), "repeats-hits")
-    by_text = common.staged(hits.groupBy(F.col("file").alias("_f"), F.col("row").alias("_r")).agg(F.collect_list(F.struct("at", "anchor")).alias("hits")), "repeats-hits-by-text")
+    by_text = common.staged(hits.groupBy(F.col("file").alias("_f"), F.col("row").alias("_r")).agg(F.collect_list(F.struct("at", "anchor", "first", "last")).alias("hits")), "repeats-hits-by-text")
     wanted = common.bounded_broadcast(by_text.select(F.col("_f").alias("_wf"), F.col("_r").alias("_wr")), by_text.count())
     held = texts.join(wanted, (texts["file"] == wanted["_wf"]) & (texts["row"] == wanted["_wr"]), "left_semi")
     held = common.staged(held.join(by_text, (held["file"] == by_text["_f"]) & (held["row"] == by_text["_r"])).select("file", "row", "text", "hits"), "repeats-held")
 
     places = "c1 long, c2 long, anchor long, file long, row long, left long, length long, at long"
     placed_contexts = common.staged(held.mapInArrow(_contexts, places), "repeats-contexts")
-    distinct = placed_contexts.groupBy("c1", "c2", "anchor").agg(F.count("*").alias("n"), F.min(F.struct("file", "row", "at")).alias("first"))
+    distinct = placed_contexts.groupBy("c1", "c2", "anchor").agg(F.count("*").alias("n"), F.min(F.struct("file", "row", "left", "length", "at")).alias("first"))
     distinct = common.staged(distinct, "repeats-distinct")
     differing = distinct.groupBy("anchor").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("alone")).filter("m > 1 AND alone > 0").select(F.col("anchor").alias("_a"))
     needed = distinct.join(differing, distinct["anchor"] == differing["_a"], "left_semi")
-    needed = needed.groupBy(F.col("first.file").alias("_f"), F.col("first.row").alias("_r")).agg(F.collect_list(F.struct("c1", "c2", "anchor", "n", F.col("first.at").alias("at"))).alias("wanted"))
+    needed = needed.groupBy(F.col("first.file").alias("_f"), F.col("first.row").alias("_r")).agg(F.collect_list(F.struct("c1", "c2", "anchor", "n", F.col("first.at").alias("at"), F.col("first.left").alias("left"), F.col("first.length").alias("length"))).alias("wanted"))
     contexts = held.select("file", "row", "text").join(needed, (held["file"] == needed["_f"]) & (held["row"] == needed["_r"])).select("text", "wanted")
     contexts = common.staged(contexts.mapInArrow(_context_texts, "c1 long, c2 long, key long, n long, offset int, context binary"), "repeats-context-texts")
     to_index, spelt = _split_groups(contexts)

@@ -157,28 +157,37 @@ def test_repeats(spark, monkeypatch, group):
         assert (got[i].n_bytes, sum(e - s for s, e in got[i].removed), len(got[i].removed), got[i].kept_sha256) == (len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()), i
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.text("ab", max_size=12), st.text("ab", max_size=12)), min_size=1, max_size=8))
 def test_run_index_gives_matching_statistics(parts):
     strings, anchors = [(a + b).encode() for a, b in parts], [len(a) for a, _ in parts]
     index = run_index.RunIndex(strings, anchors)
-    marked = [s[:a] + b"#" + s[a:] for s, a in zip(strings, anchors, strict=True)]
     best = index.statistics()
-    for k, s in enumerate(marked):
-        for p in range(len(s)):
-            want = max((n for j, t in enumerate(marked) for q in range(len(t)) if (j, q) != (k, p) for n in [next((n for n in range(min(len(s) - p, len(t) - q)) if s[p + n] != t[q + n]), min(len(s) - p, len(t) - q))]), default=0)
-            assert best[index.starts[k] + p] == want
 
+    def match(s, a, p, t, b, q):
+        n = 0
+        while p + n < len(s) and q + n < len(t) and s[p + n] == t[q + n] and (p + n < a) == (q + n < b) and (a - p == b - q or (p + n < a and q + n < b)):
+            n += 1
+        return n
 
-def test_anchors_agree_in_equal_strings():
-    text = np.frombuffer(prose(300).encode(), dtype=np.uint8)
-    at, hashes = repeats.anchors(text)
-    for s in range(0, len(text) - repeats.LENGTH, 7):
-        inside = [(int(a) - s, int(h)) for a, h in zip(at, hashes, strict=True) if s <= a <= s + repeats.REST]
-        assert inside
-        least = min(h for _, h in inside)
-        alone = repeats.anchors(text[s : s + repeats.LENGTH])
-        assert [(int(a), int(h)) for a, h in zip(*alone, strict=True)] == [(a, h) for a, h in inside if h == least]
+    for k, (s, a) in enumerate(zip(strings, anchors, strict=True)):
+        for p in range(a + 1):
+            others = ((t, b, q) for j, (t, b) in enumerate(zip(strings, anchors, strict=True)) for q in range(b + 1) if (j, q) != (k, p))
+            assert best[index.starts[k] + p] == max((match(s, a, p, *o) for o in others), default=0)
+
+
+def test_anchors_agree_in_equal_strings(monkeypatch):
+    text = np.frombuffer((prose(300) + "z" * 700 + "ab" * 400).encode(), dtype=np.uint8)
+    at, hashes, first, last = repeats.anchors(text)
+    assert first[0] == 0 and last[-1] == len(text) - repeats.LENGTH and (first[1:] == last[:-1] + 1).all()
+    for a, h, f, t in zip(at, hashes, first, last, strict=True):
+        for s in {int(f), int(t)}:
+            alone = repeats.anchors(text[s : s + repeats.LENGTH])
+            assert (alone[0][0] + s, alone[1][0]) == (a, h)
+    monkeypatch.setattr(repeats, "STRETCH", 512)
+    cut = repeats.anchors(text)
+    whole = {s: (a, h) for a, h, f, t in zip(at, hashes, first, last, strict=True) for s in range(f, t + 1)}
+    assert sum(t - f + 1 for _, _, f, t in zip(*cut, strict=True)) == len(whole)
 
 
 def test_secrets():
@@ -188,7 +197,7 @@ def test_secrets():
     assert [text[s:e] for k, s, e in found if k in ("access", "hex")] == ["AKIA" + "A1B2" * 5, "0123456789abcdef" * 2]
     key = "q8Zr3TmX0vLk9WcY2bNh7JfP"
     assert [(k, text[s:e]) for text in (f"see {key} there",) for k, s, e in secrets.find_secrets(text)] == [("entropy_mixed", key)]
-    for clean in (BASE, "a" * 400, "550e8400-e29b-41d4-a716-446655440000", "4785380592391139 4785380592391139", "http://example.com/a/b/C1d2", "sha256-" + key, "internationalization" * 3):
+    for clean in (BASE, "z" * 400, "550e8400-e29b-41d4-a716-446655440000", "4785380592391139 4785380592391139", "http://example.com/a/b/C1d2", "sha256-" + key, "internationalization" * 3):
         assert secrets.find_secrets(clean) == []
 
 
