@@ -69,6 +69,14 @@ def bucketed_sums(df: DataFrame, groups: list[str], bucket: list[str], order: li
     return joined.select(*[rows[c] for c in df.columns], (F.col("_inner") + F.col("_before")).alias(name))
 
 
+def small_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+    """df, after lowering the session's rows in an Arrow batch if need be: a document is thousands of times a usual row, and a batch is held in full on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key, "10000")) <= rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 def filed(docs: DataFrame) -> DataFrame:
     """docs if it is read from files straight away; else a staged copy, whose rows have places that stay the same for every later read."""
     from pyspark.errors import AnalysisException
@@ -85,7 +93,7 @@ def with_locator(docs: DataFrame, *columns: str) -> DataFrame:
 
     Columns of docs that are called like those an operator adds so don't meet them.
     """
-    docs = filed(docs)
+    docs = filed(small_batches(docs))
     place = docs.metadataColumn("_metadata")
     own = [docs[f"`{c}`"] for c in columns or docs.columns]
     return docs.select(*(own if columns else [F.struct(*own).alias("_doc")]), place["file_path"].alias("_file"), place["row_index"].alias("_row"))

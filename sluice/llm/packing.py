@@ -106,6 +106,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 1024) -> Da
     Equal keys are parted by a hash of doc_id and text, so a group of copies of any size spreads over parts. A null text has
     only the end id; rows that repeat are packed as often as they come; columns besides doc_id and text are not read.
     """
+    docs = common.small_batches(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["doc_id"], docs["text"]).alias("tie"), docs["text"].alias("text"))
     keyed = rows.mapInArrow(_keyed, "doc_id long, tie long, text string, curve long")
     ranged = keyed.repartitionByRange("curve", "tie").sortWithinPartitions("curve", "tie", "doc_id").select("doc_id", "text")

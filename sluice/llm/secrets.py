@@ -108,6 +108,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     null and empty ones have no spans. Each row is scanned alone, in a narrow stage without a shuffle. Columns besides doc_id
     and text are not read.
     """
+    docs = common.small_batches(docs)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(_scan, SCHEMA)
 
 
