@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("funnel", "performance", "companies", "pages", "books")
+MODULES = ("funnel", "performance", "companies", "pages", "books", "projections")
 
 
 def registered() -> tuple[dict, dict[str, str]]:
