@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -112,6 +112,10 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(_scan, SCHEMA)
 
 
+def is_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda s: s["kind"] == kind
+
+
 def joined_spans(kinds: tuple[str, ...]) -> Column:
     """kind:start:end of the spans of these kinds, joined by commas."""
     chosen = F.filter("secrets", lambda s: s["kind"].isin(*kinds))
@@ -120,5 +124,5 @@ def joined_spans(kinds: tuple[str, ...]) -> Column:
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan_secrets(common.documents(spark, sf_dir))
-    counts = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
+    counts = [F.size(F.filter("secrets", is_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
     return rows.select("doc_id", *counts, F.sha2(joined_spans(KINDS[:3]), 256).alias("base_sha256"), joined_spans(KINDS).alias("spans"))

@@ -216,6 +216,19 @@ def test_entropy_windows(text):
     assert got == want
 
 
+def test_secret_query_digests_what_is_found(spark):
+    rows = secrets.op9_secrets(spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert len(rows) == len(texts)
+    for r in rows:
+        found = secrets.find_secrets(texts[r.doc_id])
+        base = [f for f in found if f[0] in ("assign", "access", "hex")]
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(f[0] == k for f in base) for k in ("assign", "access", "hex")]
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and r.spans == ",".join(f"{k}:{s}:{e}" for k, s, e in found)
+    assert any(r.n_hex for r in rows)
+
+
 def test_scan_covers_every_row(docs):
     assert secrets.scan_secrets(docs).count() == len(ROWS)
 
