@@ -217,8 +217,8 @@ def test_entropy_windows(text):
 
 
 def test_secret_query_digests_what_is_found(spark):
-    rows = secrets.op9_secrets(spark, "/root/testdata/sf0.001").collect()
-    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = secrets.op9_secrets(spark, "/root/testdata/sf0.01").collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     assert len(rows) == len(texts)
     for r in rows:
         found = secrets.find_secrets(texts[r.doc_id])
