@@ -143,3 +143,29 @@ def test_upsert_raw(spark):
     after, revisions = st.upsert_raw(spark.createDataFrame([("a", "s2", 2), ("a", "s3", 3), ("b", "s1", 9), ("c", "s1", 1)], schema), now, ["id"], "v")
     assert sorted(map(tuple, after.collect())) == [("a", "s3", 3), ("b", "s1", 1), ("c", "s1", 1)]
     assert [tuple(r) for r in revisions.collect()] == [("a", "s1", 1)]
+
+
+def test_batches_and_similar_names(spark):
+    import difflib
+
+    from sluice.operators import pages, projection
+
+    rows = pages.batches(spark.createDataFrame([(f"n{i:03}",) for i in range(100)], "name string"), "name", 2, 20).collect()
+    sizes = {}
+    for r in rows:
+        sizes.setdefault((r.part, r.batch), []).append(r.name)
+    assert len(rows) == 100 and all(len(v) <= 20 for v in sizes.values())
+    for part in (0, 1):
+        own = [n for k in sorted(sizes) if k[0] == part for n in sorted(sizes[k])]
+        assert own == sorted(own) and all(len(sizes[k]) == 20 for k in sorted(sizes)[:-1] if k[0] == part and (part, k[1] + 1) in sizes)
+    a, b = [(1, "acme labs", "x"), (2, "zeta", "x"), (3, "acme", "y")], [(7, "acme lab", "x"), (8, "acme labs india", "x"), (9, "acme", "x")]
+    frames = [spark.createDataFrame(r, "id int, name string, block string") for r in (a, b)]
+    got = {(r.left_id, r.right_id): r.similarity for r in projection.accept_names(*frames, "block").collect()}
+    want = {}
+    for i, x, p in a:
+        for j, y, q in b:
+            ratio = difflib.SequenceMatcher(None, x, y).ratio()
+            ratio = max(ratio, 0.85) if x in y or y in x else ratio
+            if p == q and ratio >= 0.55:
+                want[i, j] = ratio
+    assert got == want and len(got) == 3
