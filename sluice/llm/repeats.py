@@ -187,6 +187,7 @@ def _split_groups(contexts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     level = contexts.withColumns({"a": F.lit(0), "b": F.lit(0)})
     while True:
         sizes = level.groupBy("key").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("alone")).filter("m > 1 AND alone > 0").withColumnRenamed("key", "_k")
+        sizes = common.staged(sizes, "repeats-sizes")
         level = common.staged(level.join(sizes, level["key"] == sizes["_k"]).select(*level.columns, "m"), "repeats-groups")
         ready.append(level.filter(F.col("m") <= GROUP))
         level = level.filter(F.col("m") > GROUP).drop("m")
@@ -240,7 +241,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = rows.filter(F.octet_length("text") >= LENGTH).join(others, (rows["file"] == others["_f"]) & (rows["row"] == others["_r"]), "left_anti").select("file", "row", "text")
 
     found = common.staged(texts.mapInArrow(_anchoring, "anchor long, file long, row long, at long, first short, last short"), "repeats-anchors")
-    again = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("anchor").alias("_a"))
+    # counts are staged before they are joined: both sides of the join are then plain shuffles, whose hot anchors Spark can split
+    again = common.staged(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("anchor").alias("_a")), "repeats-again")
     hits = common.staged(found.join(again, found["anchor"] == again["_a"], "left_semi"), "repeats-hits")
     by_text = common.staged(hits.groupBy(F.col("file").alias("_f"), F.col("row").alias("_r")).agg(F.collect_list(F.struct("at", "anchor", "first", "last")).alias("hits")), "repeats-hits-by-text")
     wanted = common.bounded_broadcast(by_text.select(F.col("_f").alias("_wf"), F.col("_r").alias("_wr")), by_text.count())
@@ -252,6 +254,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     distinct = placed_contexts.groupBy("c1", "c2", "anchor").agg(F.count("*").alias("n"), F.min(F.struct("file", "row", "left", "length", "at")).alias("first"))
     distinct = common.staged(distinct, "repeats-distinct")
     differing = distinct.groupBy("anchor").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("alone")).filter("m > 1 AND alone > 0").select(F.col("anchor").alias("_a"))
+    differing = common.staged(differing, "repeats-differing")
     needed = distinct.join(differing, distinct["anchor"] == differing["_a"], "left_semi")
     needed = needed.groupBy(F.col("first.file").alias("_f"), F.col("first.row").alias("_r")).agg(F.collect_list(F.struct("c1", "c2", "anchor", "n", F.col("first.at").alias("at"), F.col("first.left").alias("left"), F.col("first.length").alias("length"))).alias("wanted"))
     contexts = held.select("file", "row", "text").join(needed, (held["file"] == needed["_f"]) & (held["row"] == needed["_r"])).select("text", "wanted")
