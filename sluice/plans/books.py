@@ -57,11 +57,11 @@ def _(spark, d):
     return lg.report_by(calls(spark, d), "endpoint", "credits")
 
 
-@query("unlogged_credits", f"WITH {C}, rd AS (SELECT account, read_at, CAST(sum(m) OVER (PARTITION BY account ORDER BY read_at) AS BIGINT) AS meter FROM (SELECT o_custkey % 4 AS account, o_orderdate AS read_at, CAST(count(*) * 30 AS BIGINT) AS m FROM orders WHERE o_orderkey % 50 = 0 GROUP BY ALL)), mv AS (SELECT account, read_at, meter - lag(meter) OVER w AS used, lag(read_at) OVER w AS since FROM rd WINDOW w AS (PARTITION BY account ORDER BY read_at)), lo AS (SELECT c.account, r.read_at, CAST(sum(credits) AS BIGINT) AS logged FROM c ASOF JOIN rd r ON c.account = r.account AND c.called_at <= r.read_at GROUP BY ALL) SELECT mv.account, mv.read_at, used, coalesce(logged, 0) AS logged, used - coalesce(logged, 0) AS unlogged FROM mv LEFT JOIN lo ON mv.account = lo.account AND mv.read_at = lo.read_at WHERE used IS NOT NULL")
+@query("unlogged_credits", f"WITH {C}, rd AS (SELECT account, read_at, CAST(sum(m) OVER (PARTITION BY account ORDER BY read_at) AS BIGINT) AS meter FROM (SELECT o_custkey % 4 AS account, o_orderdate AS read_at, CAST(count(*) * 30 AS BIGINT) AS m FROM orders GROUP BY ALL)), mv AS (SELECT account, read_at, meter - lag(meter) OVER w AS used, lag(read_at) OVER w AS since FROM rd WINDOW w AS (PARTITION BY account ORDER BY read_at)), lo AS (SELECT c.account, r.read_at, CAST(sum(credits) AS BIGINT) AS logged FROM c ASOF JOIN rd r ON c.account = r.account AND c.called_at <= r.read_at GROUP BY ALL) SELECT mv.account, mv.read_at, used, coalesce(logged, 0) AS logged, used - coalesce(logged, 0) AS unlogged FROM mv LEFT JOIN lo ON mv.account = lo.account AND mv.read_at = lo.read_at WHERE used IS NOT NULL")
 def _(spark, d):
     from pyspark.sql import Window
 
-    o = table(spark, d, "orders").filter("o_orderkey % 50 = 0").groupBy((F.col("o_custkey") % 4).alias("account"), F.col("o_orderdate").alias("read_at")).agg((F.count("*") * 30).alias("m"))
+    o = table(spark, d, "orders").groupBy((F.col("o_custkey") % 4).alias("account"), F.col("o_orderdate").alias("read_at")).agg((F.count("*") * 30).alias("m"))
     readings = o.withColumn("meter", F.sum("m").over(Window.partitionBy("account").orderBy("read_at"))).drop("m")
     return lg.unlogged(readings, calls(spark, d))
 

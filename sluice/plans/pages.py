@@ -10,7 +10,7 @@ from sluice.plans.model import table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-FAMILIES = {"the": r"\bthe\b", "ing": r"[a-z]+ing\b", "and": r"\band\b", "digits": r"\b[0-9]{3,}\b"}
+FAMILIES = {"the": "the", "ing": "[a-z]+ing", "and": "and", "digits": "[0-9]{3,}"}
 KINDS = [("about", "^/th"), ("contact", "^/an"), ("team", "^/er")]
 
 
@@ -57,9 +57,9 @@ def _(spark, d):
     return pg.emails(table(spark, d, "documents"), "doc_id")
 
 
-@query("signal_counts", "SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all(text, '(?i){p}')) AS BIGINT) AS \"{n}\"" for n, p in FAMILIES.items()) + " FROM documents WHERE lang = 'en'")
+@query("signal_counts", "SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all(text, '(?i){p}')) AS BIGINT) AS \"{n}\"" for n, p in FAMILIES.items()) + " FROM documents")
 def _(spark, d):
-    return pg.signals(table(spark, d, "documents").filter("lang = 'en'"), "doc_id", FAMILIES)
+    return pg.signals(table(spark, d, "documents"), "doc_id", FAMILIES)
 
 
 @query("company_excerpt", f"{PT}, r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY length DESC, page_id) AS n FROM pt) SELECT site, md5(substr(string_agg(CASE WHEN n = 1 THEN substr(text, 1, 1500) ELSE substr(text, 1, 800) END, chr(10) ORDER BY n), 1, 4200)) AS excerpt_md5 FROM r WHERE n <= 6 GROUP BY site")
