@@ -14,12 +14,17 @@ BLANKS = "\\x20\\x09-\\x0D"
 BUCKET_ROWS = 50_000
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one is set only where there is none."""
+    """The folder that the cluster names in spark.checkpoint.dir; one temporary folder for the application only where there is none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _own_folders:
+            _own_folders[app] = tempfile.mkdtemp(prefix="spark-shared-")
+        folder = _own_folders[app]
     return folder.rstrip("/")
 
 

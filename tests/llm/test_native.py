@@ -170,3 +170,14 @@ def test_empty_tables(spark):
     for rows in (dedup.exact_dedup(empty), quality.host_quality(empty), mixing.mix(empty), sharding.with_slots(sharding.kd_shards(empty))):
         assert rows.count() == 0
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_shared_folder_is_the_clusters_or_one_for_the_application():
+    from types import SimpleNamespace
+
+    from sluice.llm import common
+
+    session = lambda folder: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: folder), sparkContext=SimpleNamespace(applicationId="app"))
+    assert common.shared_folder(session("file:///shared/")) == "file:///shared"
+    own = common.shared_folder(session(None))
+    assert own and own == common.shared_folder(session(None))
