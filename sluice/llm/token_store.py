@@ -40,7 +40,7 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
     docs = common.small_batches(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tie"))
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(stripe_bytes), "orc.create.index": "true", "orc.row.index.stride": str(stride), "compression": "zstd"}
+    options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(stripe_bytes), "orc.create.index": "true", "orc.row.index.stride": str(stride), "compression": "lz4"}
     rows.mapInArrow(_encoding(tokenizer, words, end_id), SCHEMA).write.options(**options).orc(path)
 
 
