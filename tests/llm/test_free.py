@@ -245,6 +245,41 @@ def test_scores_tell_held_out_documents_apart(spark):
     assert abs(np.mean([got[i].score for i in range(1, 200, 2)]) - np.mean([s for s, y in held if y])) < 0.3
 
 
+def test_scores_come_from_exact_counts(spark, monkeypatch):
+    from collections import Counter
+
+    monkeypatch.setattr(lm_score, "BLOCK_TOKENS", 5000, raising=False)
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 700, raising=False)
+    rng = random.Random(11)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(rng.randint(0, 90)))) for i in range(500)] + [(3, "twice"), (None, "no id")]
+    chosen = set(range(0, 500, 7)) | {3}
+    targets = spark.createDataFrame([(i,) for i in chosen], "doc_id long")
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = lm_score.score_documents(frame, targets, public_tokenizers.path("byte_bpe_50k.json"), 50257, 50256).collect()
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    coded = [(i, [*t.encode(text, add_special_tokens=False).ids, 50256]) for i, text in rows]
+    pairs = lambda ids: list(zip([ids[-1], *ids[:-1]], ids, strict=True))
+    models = []
+    for some in (chosen, None):
+        own = [x for i, x in coded if some is None or i in some]
+        models.append((Counter(v for x in own for v in x), Counter(p for x in own for p in pairs(x))))
+    assert len(models[1][1]) > 20_000
+    scale = models[0][0].total() / models[1][0].total()
+    want = []
+    for i, ids in coded:
+        losses = []
+        for (one, two), factor, counted in ((models[0], 1.0, i in chosen), (models[1], scale, True)):
+            own_1, own_2 = (Counter(ids), Counter(pairs(ids))) if counted else (Counter(), Counter())
+            single = lambda v: factor * (one[v] - own_1[v])  # noqa: B023, E731
+            total = factor * (one.total() - own_1.total()) + lm_score.UNIGRAM_PRIOR
+            p = [(factor * (two[a, b] - own_2[a, b]) + lm_score.BIGRAM_PRIOR * (single(b) + lm_score.UNIGRAM_PRIOR / 50257) / total) / (single(a) + lm_score.BIGRAM_PRIOR) for a, b in pairs(ids)]
+            losses.append(-float(np.log2(p).mean()) if len(ids) > 1 else None)
+        want.append((i, len(ids) - 1, *losses))
+    key = lambda r: (r[0] is not None, r[0], r[1])
+    for a, b in zip(sorted(want, key=key), sorted((tuple(r)[:4] for r in got), key=key), strict=True):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-9)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.packed_pieces(empty).count() == secrets.scan_secrets(empty).count() == ngram_join.ngram_join(empty).count() == repeats.remove_repeats(empty).count() == 0
