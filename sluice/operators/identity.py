@@ -7,27 +7,30 @@ from pyspark.sql import functions as F
 
 from sluice.functions.patterns import durable
 
-#: A key that so many entities claim says little about one of them.
+#: A key that so many entities of one source claim says little about one of them.
 SHARED_BY = 3
 
 
 def identifiers(entities: DataFrame, types: list[tuple[str, str]]) -> DataFrame:
     """entity, source, type, value, priority, claims, strength from entities with a column for each (type, column), the strongest type first.
 
-    A value that SHARED_BY or more entities claim is weak.
+    claims counts the entities of all sources. A value is weak in a source where SHARED_BY or more entities claim it, and stays
+    strong in the others.
     """
     keys = F.array(*[F.struct(F.lit(t).alias("type"), F.col(c).alias("value"), F.lit(i).alias("priority")) for i, (t, c) in enumerate(types)])
     rows = entities.select("entity", "source", F.explode(keys).alias("k")).select("entity", "source", "k.*").filter("value IS NOT NULL")
+    same = lambda c: (rows["type"] == c["_t"]) & (rows["value"] == c["_v"])
     claims = rows.groupBy(F.col("type").alias("_t"), F.col("value").alias("_v")).agg(F.countDistinct("entity").alias("claims"))
-    rows = rows.join(claims, (rows["type"] == claims["_t"]) & (rows["value"] == claims["_v"]))
-    return rows.select("entity", "source", "type", "value", "priority", "claims", F.when(F.col("claims") >= SHARED_BY, "weak").otherwise("strong").alias("strength"))
+    within = rows.groupBy(F.col("source").alias("_s"), F.col("type").alias("_t"), F.col("value").alias("_v")).agg(F.countDistinct("entity").alias("_n"))
+    rows = rows.join(claims, same(claims)).drop("_t", "_v").join(within, same(within) & rows["source"].eqNullSafe(within["_s"]))
+    return rows.select("entity", "source", "type", "value", "priority", "claims", F.when(F.col("_n") >= SHARED_BY, "weak").otherwise("strong").alias("strength"))
 
 
 def golden(entities: DataFrame, ids: DataFrame, rounds: int = 40) -> DataFrame:
     """entity, golden: the least entity that strong identifiers connect it with.
 
-    Labels go from a value to all who claim it and back, as minima, until none changes. A value has fewer than SHARED_BY
-    claimants, so nothing is multiplied; each round is checkpointed.
+    Labels go from a value to all who claim it and back, as minima by value, until none changes. No pairs of claimants are
+    made, so nothing is multiplied however many sources claim a value; each round is checkpointed.
     """
     strong = ids.filter("strength = 'strong'").select("entity", F.concat_ws(":", "type", "value").alias("key"))
     labels = entities.select("entity", F.col("entity").alias("golden"))
@@ -44,9 +47,11 @@ def golden(entities: DataFrame, ids: DataFrame, rounds: int = 40) -> DataFrame:
 
 
 def conflicts(ids: DataFrame) -> DataFrame:
-    """left, right, type, value, score: pairs of entities of different sources that claim one strong value."""
-    two = ids.filter("strength = 'strong' AND claims = 2").groupBy("type", "value").agg(F.min_by("source", "entity").alias("s1"), F.min("entity").alias("left"), F.max("entity").alias("right"), F.max_by("source", "entity").alias("s2"))
-    return two.filter("s1 <> s2").select("left", "right", "type", "value", F.lit(0.9).alias("score"))
+    """left, right, type, value, score: pairs of entities of different sources that claim one strong value, fewer than SHARED_BY of each source."""
+    strong = ids.filter("strength = 'strong'")
+    a, b = [strong.select("type", "value", F.col("entity").alias(e), F.col("source").alias(s)) for e, s in (("left", "s1"), ("right", "s2"))]
+    pairs = a.join(b, ["type", "value"]).filter("left < right AND s1 <> s2")
+    return pairs.select("left", "right", "type", "value", F.lit(0.9).alias("score")).distinct()
 
 
 def name_candidates(entities: DataFrame, most: int = 6) -> DataFrame:
