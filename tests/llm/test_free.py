@@ -201,6 +201,19 @@ def test_secrets():
         assert secrets.find_secrets(clean) == []
 
 
+def test_secrets_of_every_character_class():
+    lower, upper, letters, mixed = "k3v9x0qz7m2p8w4hd6tj1rby5n", "JBSWY3DPEHPK3PXPQ2ZT7MVLR5KW", "qZrTmXvLkWcYbNhJfPsDgQwE", "q8Zr3TmX0vLk9WcY2bNh7JfP"
+    for kind, key in (("entropy_lower", lower), ("entropy_upper", upper), ("entropy_letters", letters), ("entropy_mixed", mixed)):
+        text = f"see {key} there"
+        assert [(k, text[s:e]) for k, s, e in secrets.find_secrets(text)] == [(kind, key)]
+    fixed = "0123456789abcdef"[::-1] * 2
+    for text in (f"{fixed}-{mixed}", f"{mixed}-{fixed}", f"{mixed}-{fixed}-{mixed}"):
+        found = [(k, text[s:e].strip("-")) for k, s, e in secrets.find_secrets(text)]
+        assert set(found) == {("hex", fixed), ("entropy_mixed", mixed)} and len(found) == text.count("-") + 1
+    for clean in ("anUnusuallyLongNameOfSomething", "AN_UNUSUALLY_LONG_NAME_OF_SOMETHING_2", "internationalization2024", "Donaudampfschifffahrtsgesellschaft", "12345678901234567890"):
+        assert secrets.find_secrets(clean) == []
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text("abcXYZ0189", min_size=20, max_size=60))
 def test_entropy_windows(text):
