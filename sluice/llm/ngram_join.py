@@ -160,6 +160,11 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_R
     its own task, which returns link counts and a spanning forest and not the pairs. Pairs to compare lose those whose
     sketches differ by more than chance allows; the rest are decided by their whole sets.
     """
+    return _labelled(docs, threshold, recall).drop("label")
+
+
+def _labelled(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RECALL) -> DataFrame:
+    """ngram_join's rows with `label`, one number for each class whatever its doc_ids, null for texts without words."""
     placed = common.with_locator(docs, "doc_id", "text")
     rows = placed.select(placed["doc_id"].cast("long").alias("doc_id"), "_file", "_row", placed["text"].alias("text"))
     coded = common.staged(rows.mapInArrow(_sketching, "doc_id long, _file string, _row long, digest binary, sketch array<int>"), "join-sketches")
@@ -241,20 +246,23 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_R
     known = sets.join(labels, sets["node"] == labels["_l"], "left").join(degrees, F.col("node") == degrees["_d"], "left")
     known = known.select("digest", F.col("first.doc_id").alias("least"), F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
     classes = known.groupBy(F.col("label").alias("_c")).agg(F.min("least").alias("class_id"))
-    known = known.join(classes, known["label"] == classes["_c"]).select(F.col("digest").alias("_digest"), "class_id", "n_links")
+    known = known.join(classes, known["label"] == classes["_c"]).select(F.col("digest").alias("_digest"), "label", "class_id", "n_links")
     joined = coded.drop("sketch").join(known, coded["digest"] == known["_digest"], "left")
-    return joined.select("_file", "_row", "doc_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return joined.select("_file", "_row", "doc_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "label")
 
 
 def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
-    """One row of each class of ngram_join, all columns: the one with the class's least doc_id, the first in the files of these."""
+    """One row of each class of ngram_join, all columns: the one with the class's least doc_id, the first in the files of these.
+
+    Classes are told apart by their links, not by their doc_ids, which may come twice or be null.
+    """
     docs = common.filed(docs)
     placed = common.with_locator(docs)
-    classes = common.staged(ngram_join(docs, **settings), "join-classes")
-    keepers = classes.filter(F.col("doc_id") == F.col("class_id")).groupBy("class_id").agg(F.min(F.struct("_file", "_row")).alias("keep"))
-    keepers = keepers.select(F.col("class_id").alias("_c"), "keep")
-    joined = classes.join(keepers, classes["class_id"] == keepers["_c"], "left")
-    dropped = joined.filter(F.col("keep").isNotNull() & ~((F.col("_file") == F.col("keep._file")) & (F.col("_row") == F.col("keep._row"))))
+    classes = common.staged(_labelled(docs, **settings).filter("label IS NOT NULL"), "join-classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_file", "_row"))
+    keepers = classes.groupBy(F.col("label").alias("_c")).agg(first.alias("keep"))
+    joined = classes.join(keepers, classes["label"] == keepers["_c"])
+    dropped = joined.filter(~((F.col("_file") == F.col("keep._file")) & (F.col("_row") == F.col("keep._row"))))
     dropped = common.staged(dropped.select(F.col("_file").alias("_f"), F.col("_row").alias("_r")), "join-dropped")
     dropped = common.bounded_broadcast(dropped, dropped.count())
     return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select("_doc.*")

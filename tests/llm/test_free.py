@@ -129,6 +129,15 @@ def test_drop_near_copies(docs):
     assert 7 in ids and ids.count(7) == 1 and not {8, 9, 10, 14, 20} & set(ids) and {0, 1, 2, 3, 11, 12, 13} <= set(ids)
 
 
+def test_drop_near_copies_tells_classes_apart_by_links(spark):
+    rng = random.Random(3)
+    a, b, c, d = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(100)) for _ in range(4))
+    rows = [(5, a), (9, a + " more"), (5, b), (10, b + " more"), (None, c), (None, c + " more"), (None, d), (12, None), (12, "")]
+    kept = ngram_join.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept if r.text and r.doc_id is not None) == [5, 5] and {a, b, d} <= {r.text for r in kept}
+    assert len(kept) == 6 and len({c, c + " more"} & {r.text for r in kept}) == 1
+
+
 def brute_repeats(texts, length):
     counts = {}
     for t in texts:
