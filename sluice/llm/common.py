@@ -1,42 +1,20 @@
-"""What the operators share: staged tables in the shared folder, ranks and prefix sums that no single task has to hold."""
+"""What the operators share: words, places of rows in their files, and the library's staged tables and ranks."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Characters that part words: space, and tab to carriage return.
-BLANKS = "\\x20\\x09-\\x0D"
-#: Rows that a window of `bucketed_sums` sorts together, about.
-BUCKET_ROWS = 50_000
-
-
-_own_folders: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one temporary folder for the application only where there is none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        app = spark.sparkContext.applicationId
-        if app not in _own_folders:
-            _own_folders[app] = tempfile.mkdtemp(prefix="spark-shared-")
-        folder = _own_folders[app]
-    return folder.rstrip("/")
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+from sluice.functions.ranks import BUCKET_ROWS, bucket_count, bucketed_sums
+from sluice.functions.staging import BROADCAST_BYTES, bounded_broadcast, delete, row_bytes, scratch, shared_folder, shared_path, staged
 
+__all__ = ["BROADCAST_BYTES", "BUCKET_ROWS", "bounded_broadcast", "bucket_count", "bucketed_sums", "delete", "row_bytes", "scratch", "shared_folder", "shared_path", "staged"]
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read again: the lineage ends there, and a lost executor loses none of it."""
-    spark, path = df.sparkSession, shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Characters that part words: space, and tab to carriage return.
+BLANKS = "\\x20\\x09-\\x0D"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,35 +29,23 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(f"[^{BLANKS}]+")).cast("long")
 
 
-def bucket_count(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
-    """So many buckets that an even share of the rows in one of them stays near bucket_rows, however large the input."""
-    return max(1, -(-rows // bucket_rows))
-
-
-def bucketed_sums(df: DataFrame, groups: list[str], bucket: list[str], order: list[str], value: Column, name: str) -> DataFrame:
-    """df with the sum of `value` over the rows before each row in its group, as column `name`.
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Inside, Arrow batches have at most so many rows: a document is thousands of times a usual row, and a batch is held in full on both sides.
 
-    The order in a group is that of the `bucket` columns, then of the `order` columns. Only rows of one bucket of one group
-    are sorted together; the buckets' totals, a row for each, are added up apart and joined back. A group of any size
-    spreads over its buckets. Nulls in group, bucket and order columns sort first and are equal to each other.
+    The size is read when a frame with Python in it is planned, so such a frame has to be run, or staged, inside.
     """
-    keys = [*groups, *bucket]
-    within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    over = Window.partitionBy(*groups).orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
-    before = totals.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.coalesce(F.sum("_total").over(over), F.lit(0)).alias("_before"))
-    rows = df.withColumn("_inner", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    same = [rows[k].eqNullSafe(before[f"_b_{k}"]) for k in keys]
-    joined = rows.join(before, same, "left")
-    return joined.select(*[rows[c] for c in df.columns], (F.col("_inner") + F.col("_before")).alias(name))
-
-
-def small_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
-    """df, after lowering the session's rows in an Arrow batch if need be: a document is thousands of times a usual row, and a batch is held in full on both sides."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(key, "10000")) <= rows:
-        df.sparkSession.conf.set(key, str(rows))
-    return df
+    before = spark.conf.get(key, None)
+    if not 0 < int(before or "10000") <= rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def filed(docs: DataFrame) -> DataFrame:
@@ -98,12 +64,7 @@ def with_locator(docs: DataFrame, *columns: str) -> DataFrame:
 
     Columns of docs that are called like those an operator adds so don't meet them.
     """
-    docs = filed(small_batches(docs))
+    docs = filed(docs)
     place = docs.metadataColumn("_metadata")
     own = [docs[f"`{c}`"] for c in columns or docs.columns]
     return docs.select(*(own if columns else [F.struct(*own).alias("_doc")]), place["file_path"].alias("_file"), place["row_index"].alias("_row"))
-
-
-def bounded_broadcast(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:
-    """df with the hint to broadcast it if its counted rows are at most `most`; else Spark joins it by a shuffle."""
-    return F.broadcast(df) if rows <= most else df
