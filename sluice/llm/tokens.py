@@ -29,15 +29,20 @@ class Encoder:
     text are those of its pieces, one after another. A batch's distinct pieces are looked up, new ones are encoded by the
     library, and the texts' ids are gathered from them; that spares most merges. With `words`, white space has no ids
     (word_bpe_49k); else it belongs to the piece it precedes (byte_bpe_50k). Texts in which the rules for white space could
-    differ are cut elsewhere or, if need be, not at all. Strings of special tokens in a text are ordinary text.
+    differ are cut elsewhere or, if need be, not at all. Strings of special tokens in a text become those tokens, as by the
+    library's default; with `escape` they are ordinary text, so that a text can't inject them.
     """
 
-    def __init__(self, file: str, words: bool):
+    def __init__(self, file: str, words: bool, escape: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = escape
+        # strings that the library looks for before it splits a text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (escape and t.special)]
+        self.added = "|".join(map(re.escape, sorted(added)))
+        self._added = re.compile(self.added, re.IGNORECASE).search
         self.words = words
         self.new: dict[str, np.ndarray] = {}
         self.old: dict[str, np.ndarray] = {}
@@ -60,7 +65,7 @@ class Encoder:
                 new[p] = old[p]
                 continue
             stem = p.rstrip(_TAIL)
-            if stem and stem[-1].isalpha() and (len(stem) < len(p) or self.words) and (folded := stem.lower() if self.words and stem.isascii() else stem) != p:
+            if stem and stem[-1].isalpha() and (len(stem) < len(p) or self.words) and not (self.added and self._added(p)) and (folded := stem.lower() if self.words and stem.isascii() else stem) != p:
                 # a mark after a letter starts a match of its own, so the ids are those of the parts
                 tail = p[len(stem) :]
                 whole.append((p, folded, tail))
@@ -83,6 +88,12 @@ class Encoder:
             (new if len(p) <= LONGEST else once)[p] = get(stem) + get(tail)
         return [get(p) for p in pieces] if once else [new[p] for p in pieces]
 
+    def holds_added(self, texts: pa.Array) -> np.ndarray:
+        """Which texts hold the string of an added token; these are encoded whole."""
+        if not self.added:
+            return np.zeros(len(texts), dtype=bool)
+        return pc.match_substring_regex(texts, self.added, ignore_case=True).to_numpy(zero_copy_only=False)
+
     def _cut(self, texts: pa.Array) -> pa.Array:
         """The pieces of each text, as lists."""
         if self.words:
@@ -106,13 +117,15 @@ class Encoder:
     def _some(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.string()), "")
         odd = pc.match_substring_regex(texts, ODD_SPACE if self.words else WIDE_SPACE).to_numpy(zero_copy_only=False)
+        held = self.holds_added(texts)
+        odd = odd | held
         lists = self._cut(pc.if_else(pa.array(odd), "", texts))
         offsets, flat = lists.offsets.to_numpy().astype(np.int64), lists.flatten()
         if odd.any():
             pieces, cut, last = [], [], 0
             for i in np.flatnonzero(odd):
                 text = texts[int(i)].as_py()
-                own = [text] if re.search(ODD_SPACE, text) else _CHUNK.findall(text)
+                own = [text] if held[i] or re.search(ODD_SPACE, text) else _CHUNK.findall(text)
                 cut += [flat.slice(last, offsets[i] - last), pa.array(own, pa.string())]
                 last = offsets[i + 1]
                 pieces.append((i, len(own) - (offsets[i + 1] - offsets[i])))
@@ -134,11 +147,12 @@ class Encoder:
         return np.insert(ids, bounds[1:], np.uint32(end_id)), bounds + np.arange(len(bounds))
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, bool], Encoder] = {}
 
 
-def encoder(file: str, words: bool) -> Encoder:
+def encoder(file: str, words: bool, escape: bool = False) -> Encoder:
     """One for each Python worker."""
-    if (file, words) not in _encoders:
-        _encoders[file, words] = Encoder(file, words)
-    return _encoders[file, words]
+    key = (file, words, escape)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]

@@ -8,15 +8,19 @@ from tokenizers import Tokenizer
 from sluice.llm.tokens import Encoder
 
 FILES = {"byte_bpe_50k.json": False, "word_bpe_49k.json": True}
-ENCODERS = {f: Encoder(public_tokenizers.path(f), words) for f, words in FILES.items()}
-PLAIN = {f: Tokenizer.from_file(public_tokenizers.path(f)) for f in FILES}
-for t in PLAIN.values():
-    t.encode_special_tokens = True
+ENCODERS = {(f, escape): Encoder(public_tokenizers.path(f), words, escape) for f, words in FILES.items() for escape in (False, True)}
+PLAIN = {(f, escape): Tokenizer.from_file(public_tokenizers.path(f)) for f in FILES for escape in (False, True)}
+for (_, escape), t in PLAIN.items():
+    if escape:
+        t.encode_special_tokens = True  # else the library as it comes
 
+SPECIAL = st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "A<|endoftext|>.", "  <|endoftext|> \n", "endoftext|>"])
+PIECES = st.text(st.sampled_from(list("ab AB.,'19\n\t\r\x0b\x0c\x1c\x85\xa0 　́éßΣ漢🙂st|<>")), max_size=40) | st.text(max_size=40)
 
-@pytest.mark.parametrize("file", FILES)
+
+@pytest.mark.parametrize("file", PLAIN, ids=str)
 @settings(max_examples=400, deadline=None)
-@given(text=st.text(st.sampled_from(list("ab AB.,'19\n\t\r\x0b\x0c\x1c\x85\xa0 　́éßΣ漢🙂st|<>")), max_size=40) | st.text(max_size=40))
+@given(text=PIECES | st.tuples(PIECES, SPECIAL, PIECES).map("".join))
 def test_pieces_give_the_ids_of_the_whole_text(file, text):
     texts = [text, "a b", None, "", text + " c\n\nd", " " + text]
     ids, bounds = ENCODERS[file](pa.array(texts), 7)
@@ -24,7 +28,7 @@ def test_pieces_give_the_ids_of_the_whole_text(file, text):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == [*PLAIN[file].encode(t or "", add_special_tokens=False).ids, 7]
 
 
-@pytest.mark.parametrize("file", FILES)
+@pytest.mark.parametrize("file", PLAIN, ids=str)
 def test_long_piece_and_special_strings(file):
     text = "x" * 5000 + " <|endoftext|> we're  \n\n done " + "ab " * 300
     ids, _ = ENCODERS[file](pa.array([text]), 7)
