@@ -11,16 +11,17 @@ SYMBOLS = "#*$%&|<>"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: A host is rejected if its shrunk rate of failures is above this, and it has so many documents.
-MAX_HOST_RATE, MIN_HOST_DOCUMENTS = 0.8, 30
+#: A host is rejected if its shrunk rate of failures, less so many standard deviations of the posterior beta, is above this.
+MAX_HOST_RATE, DEVIATIONS = 0.8, 3.0
 
 
 def with_features(docs: DataFrame, text: Column) -> DataFrame:
     """docs with the columns of FEATURES and base_failed, each computed inside the row with array functions.
 
-    n_repeat_words: the hashes of all 3-word windows are compared as a set first; only where one comes twice are they sorted
-    with their places, so that equal ones stand side by side, and each repeated window adds the words that the repeated
-    window before it doesn't have. Two windows count as equal if 64-bit hashes of their words are.
+    n_repeat_words: the hashes of all 3-word windows are compared as a set first; only where one comes twice are the windows
+    sorted, by hash and then by their words, with their places, so that equal ones stand side by side, and each repeated
+    window adds the words that the repeated window before it doesn't have. Hashes only spare work: windows are equal if their
+    words are. A null text gives null features but for a coalesced `text`; a text of any length is one row's arrays.
     """
     rows = docs.withColumn("_text", text)
     rows = rows.withColumn("_words", F.array_remove(F.split("_text", f"[{common.BLANKS}]+"), ""))
@@ -29,10 +30,12 @@ def with_features(docs: DataFrame, text: Column) -> DataFrame:
     at = lambda i, k: F.get(F.col("_hashes"), i + k)
     windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(at(i, 0), at(i, 1), at(i, 2)))
     rows = rows.withColumn("_windows", F.when(last >= 0, windows).otherwise(F.array().cast("array<bigint>")))
-    paired = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    word = lambda i, k: F.get(F.col("_words"), i + k)
+    spelt = lambda i: F.concat_ws(" ", word(i, 0), word(i, 1), word(i, 2))
+    paired = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("x"), spelt(i).alias("w"), i.alias("i"))))
     rows = rows.withColumn("_sorted", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), paired))
-    beside = lambda j: F.get(F.col("_sorted"), j)["x"]
-    again = F.filter("_sorted", lambda e, j: F.coalesce(beside(j - 1) == e["x"], F.lit(False)) | F.coalesce(beside(j + 1) == e["x"], F.lit(False)))
+    beside = lambda j: F.get(F.col("_sorted"), j)["w"]
+    again = F.filter("_sorted", lambda e, j: F.coalesce(beside(j - 1) == e["w"], F.lit(False)) | F.coalesce(beside(j + 1) == e["w"], F.lit(False)))
     rows = rows.withColumn("_places", F.sort_array(F.transform(again, lambda e: e["i"])))
     added = F.transform("_places", lambda p, j: F.least(F.lit(3), F.coalesce(F.get(F.col("_places"), j + 1) - p, F.lit(3))))
     repeated = F.aggregate(added, F.lit(0), lambda a, b: a + b)
@@ -52,46 +55,58 @@ def with_features(docs: DataFrame, text: Column) -> DataFrame:
 
 
 def host_rates(rows: DataFrame) -> DataFrame:
-    """host, n, failed and the shrunk rate of each host, from rows of (host, base_failed); a null host is one of its own.
+    """host, n, failed, rate and deviation of each host, from rows of (host, base_failed); a null host is one of its own.
 
-    The prior beta has the mean and the variance, by moments, of the hosts' rates, each host weighing as its documents; the
-    variance that chance alone gives a host of its size is taken off. Hosts that differ no more than by chance get a prior
-    so strong that all rates are near the mean; a host of few documents moves little from the mean.
+    rate and deviation are the mean and the standard deviation of the host's posterior beta. The prior beta has the mean and
+    the variance, by moments, of the hosts' rates, each host weighing as its documents; the variance that chance alone gives
+    a host of its size is taken off. A prior is worth no more documents than there are. A host of few documents moves little
+    from the mean and stays uncertain; one law holds for hosts of every size.
     """
     hosts = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
     rate = F.col("failed") / F.col("n")
     sums = hosts.agg(F.sum("n").alias("all_n"), F.sum("failed").alias("all_failed"), F.sum(F.col("failed") * rate).alias("squares"), F.count("*").alias("hosts"))
     mean = F.col("all_failed") / F.col("all_n")
     spread = F.col("squares") / F.col("all_n") - mean * mean - mean * (1 - mean) * F.col("hosts") / F.col("all_n")
-    strength = F.when(spread > 0, F.greatest(F.lit(1.0), mean * (1 - mean) / spread - 1)).otherwise(F.lit(1e6))
-    prior = sums.select(mean.alias("mean"), F.least(F.lit(1e6), strength).alias("strength"))
-    return hosts.join(F.broadcast(prior)).select("host", "n", "failed", ((F.col("failed") + F.col("mean") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("rate"))
+    most = F.col("all_n").cast("double")
+    strength = F.when(spread > 0, F.greatest(F.lit(1.0), mean * (1 - mean) / spread - 1)).otherwise(most)
+    prior = sums.select(mean.alias("mean"), F.least(most, strength).alias("strength"))
+    shrunk = hosts.join(F.broadcast(prior)).withColumn("rate", (F.col("failed") + F.col("mean") * F.col("strength")) / (F.col("n") + F.col("strength")))
+    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("strength") + 1))
+    return shrunk.select("host", "n", "failed", "rate", deviation.alias("deviation"))
 
 
-def host_quality(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def host_quality(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE, deviations: float = DEVIATIONS) -> DataFrame:
     """A row for each row of docs: _file, _row, doc_id, host, FEATURES, base_failed, kept.
 
-    A document is dropped if it fails a rule itself, or if its host's shrunk rate of failing documents is above max_rate;
-    a host of fewer than MIN_HOST_DOCUMENTS says too little to be rejected.
-    Null and empty texts have no words, so they fail. The text is read once; what the rules found goes to the shared folder,
+    A document is dropped if it fails a rule itself, or if its host's shrunk rate of failing documents is surely above
+    max_rate: still above it when `deviations` standard deviations of the host's posterior are taken off.
+    Null and empty texts have no words, so they fail. Rows that repeat count as often as they come; an empty table gives no
+    rows. The text is read once; what the rules found goes to the shared folder,
     is summed by host (partial sums first, so a hot host costs a row for each task), and only the rejected hosts are joined
     back. Columns besides doc_id, text and the host are not read.
     """
     placed = common.with_locator(docs, "doc_id", "text", host)
     rows = placed.select("_file", "_row", placed["doc_id"].cast("long").alias("doc_id"), placed[host].alias("host"), common.text_of(placed).alias("_body"))
     rows = common.staged(with_features(rows, F.col("_body")).drop("_body"), "quality-features")
-    rejected = common.staged(host_rates(rows).filter((F.col("rate") > F.lit(max_rate)) & (F.col("n") >= MIN_HOST_DOCUMENTS)).select(F.col("host").alias("bad")), "quality-hosts")
-    rejected = common.bounded_broadcast(rejected, rejected.count()).withColumn("rejected", F.lit(True))
+    surely = F.col("rate") - F.lit(float(deviations)) * F.col("deviation") > F.lit(max_rate)
+    rejected = common.staged(host_rates(rows).filter(surely).select(F.col("host").alias("bad")), "quality-hosts")
+    rejected = common.bounded_broadcast(rejected).withColumn("rejected", F.lit(True))
     joined = rows.join(rejected, rows["host"].eqNullSafe(rejected["bad"]), "left")
     return joined.select("_file", "_row", "doc_id", "host", *FEATURES, "base_failed", (~F.col("base_failed") & F.col("rejected").isNull()).alias("kept"))
 
 
 def keep_good(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs that host_quality keeps, all columns."""
+    """The rows of docs that host_quality keeps, all columns.
+
+    Null, empty and short texts go, as do all rows of a rejected host; texts of any length are judged whole. Rows that repeat
+    are judged alike and stay or go together. An empty table stays empty.
+    """
     docs = common.filed(docs)
     placed = common.with_locator(docs)
-    dropped = common.staged(host_quality(docs, **settings).filter("NOT kept").select(F.col("_file").alias("_f"), F.col("_row").alias("_r")), "quality-dropped")
-    dropped = common.bounded_broadcast(dropped, dropped.count())
+    with common.scratch(docs.sparkSession):
+        dropped = host_quality(docs, **settings).filter("NOT kept").select(F.col("_file").alias("_f"), F.col("_row").alias("_r"))
+        dropped = common.staged(dropped, "quality-dropped", keep=True)
+    dropped = common.bounded_broadcast(dropped)
     return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select("_doc.*")
 
 
@@ -114,9 +129,10 @@ f AS (
   FROM d JOIN w ON d.r = w.r LEFT JOIN c ON d.r = c.r
 ), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
 h AS (SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (base_failed)::DOUBLE AS k FROM b GROUP BY source),
-s AS (SELECT sum(k) / sum(n) AS mean, sum(k * k / n) / sum(n) AS sq, count(*) / sum(n) AS hosts FROM h),
-t AS (SELECT mean, CASE WHEN sq - mean * mean - mean * (1 - mean) * hosts > 0 THEN least(1e6, greatest(1.0, mean * (1 - mean) / (sq - mean * mean - mean * (1 - mean) * hosts) - 1)) ELSE 1e6 END AS strength FROM s),
-v AS (SELECT source, (k + mean * strength) / (n + strength) > 0.8 AND n >= 30 AS bad FROM h, t)
+s AS (SELECT sum(k) / sum(n) AS mean, sum(k * k / n) / sum(n) AS sq, count(*) / sum(n) AS hosts, sum(n) AS all_n FROM h),
+t AS (SELECT mean, CASE WHEN sq - mean * mean - mean * (1 - mean) * hosts > 0 THEN least(all_n, greatest(1.0, mean * (1 - mean) / (sq - mean * mean - mean * (1 - mean) * hosts) - 1)) ELSE all_n END AS strength FROM s),
+r AS (SELECT source, n, strength, (k + mean * strength) / (n + strength) AS rate FROM h, t),
+v AS (SELECT source, rate - 3.0::DOUBLE * sqrt(rate * (1 - rate) / (n + strength + 1)) > 0.8 AS bad FROM r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept
 FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
 """
