@@ -45,7 +45,7 @@ def mix(docs: DataFrame, *, share: float = 1.5, weights: tuple[int, ...] = (5, 2
     the order of their size's leading bits, then of a hash of doc_id: a source's words then stay near its target, since
     neighbours have like sizes. Ranks come from buckets of a source, so a source of any size spreads over many tasks.
     Size is the number of words; null and empty texts have none and are copied like others, which takes no words. Rows that
-    repeat count as often as they come. Reruns agree. Columns besides doc_id, text and source are not read.
+    repeat count as often as they come; an empty table gives no rows. Reruns agree. Columns besides doc_id, text and source are not read.
     """
     placed = common.with_locator(docs, "doc_id", "text", "source")
     rows = placed.select(placed["doc_id"].cast("long").alias("doc_id"), placed["source"].alias("source"), "_file", "_row", common.word_count(common.text_of(placed)).alias("size"))
@@ -69,10 +69,16 @@ def mix(docs: DataFrame, *, share: float = 1.5, weights: tuple[int, ...] = (5, 2
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """Each row of docs as often as `mix` takes it, all columns."""
+    """Each row of docs as often as `mix` takes it, all columns.
+
+    Null and empty texts have no words and are copied at their source's rate; rows that repeat are each taken by themselves;
+    a null source is a source, the last one. An empty table stays empty.
+    """
     docs = common.filed(docs)
     placed = common.with_locator(docs)
-    copies = mix(docs, **settings).filter("copies > 0").select(F.col("_file").alias("_f"), F.col("_row").alias("_r"), "copies")
+    with common.scratch(docs.sparkSession):
+        copies = mix(docs, **settings).filter("copies > 0").select(F.col("_file").alias("_f"), F.col("_row").alias("_r"), "copies")
+        copies = common.staged(copies, "mix-copies", keep=True)
     joined = placed.join(copies, (placed["_file"] == copies["_f"]) & (placed["_row"] == copies["_r"]))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")
 
