@@ -28,10 +28,13 @@ CLASSES = {
     # of random letters 91 % in 32 and 58 % in 20 reach this, of long names in mixed case in PySpark's sources some 6 %
     "entropy_letters": (re.compile(r"[A-Za-z]{20,}"), 20, 3.95, ("lower", "upper")),
 }
-#: Candidates that are no secrets: identifiers of a fixed form, placeholders, checksums that say so, paths.
-ALLOWED = re.compile(
-    r"(?i:^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|example|placeholder|dummy|changeme|xxxx|0123456789|abcdefgh|^(sha1|sha256|sha384|sha512|md5)[-_=]|^/[^/]+/)"
+#: The allow-list. Parts of a candidate that are no secrets are cut out of it, and what is left of it is scored: fillers, sequences,
+#: identifiers of a fixed form, checksums that say so.
+FILLERS = re.compile(
+    r"(?i:x{4,}|0123456789|abcdefgh|(?<![0-9a-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-z])|(?<![0-9a-z])(?:sha1|sha256|sha384|sha512|md5)[-_=][0-9a-z+/]+=*)"
 )
+#: A span that holds one of these words, or is a path of short lower-case names, is dropped, and no other span with it.
+ALLOWED = re.compile(r"(?i:example|placeholder|dummy|changeme)|^/?(?:[a-z0-9_=-]{0,19}/)+[a-z0-9_=-]{0,19}$")
 #: Texts in which nothing can be found fail this (RE2) and are not looked at further.
 ANY = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-z+/_=-]{20}"
 
@@ -75,16 +78,17 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     taken = _merged([(s, e) for _, s, e in found])
     starts = [s for s, _ in taken]
     for candidate in CANDIDATE.finditer(text):
-        if ALLOWED.search(candidate[0]):
-            continue
         own = taken[max(0, bisect_right(starts, candidate.start()) - 1) : bisect_right(starts, candidate.end())]
+        fillers = [m.span() for m in FILLERS.finditer(text, candidate.start(), candidate.end())]
+        own = _merged(own + fillers) if fillers else own
         for kind, (runs, window, least, needs) in CLASSES.items():
             spans = []
             for start, end in _between(own, candidate.start(), candidate.end()):
                 for run in runs.finditer(text, start, end):
                     spans += [(run.start() + s, run.start() + e) for s, e in entropy_windows(run[0], window, least, needs)]
-            found += [(kind, *span) for span in spans]
-            own = _merged(own + spans)
+            if spans:
+                found += [(kind, *span) for span in spans if not ALLOWED.search(text[slice(*span)])]
+                own = _merged(own + spans)
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 
@@ -125,12 +129,11 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Fixed patterns come first and stay. Then candidate strings, runs of 20 and more letters, digits and + / _ = -, are scored
     in each character class by the entropy of every window of 20 characters; the windows above the class's threshold, merged,
-    are spans, unless the candidate is on the allow-list. A fixed pattern's match, and a span of an earlier class, is cut out of
-    the candidate and what is left of it is scored. Whole texts are scanned;
-    null and empty ones have no spans. Each row is scanned alone, in a narrow stage without a shuffle. Columns besides doc_id
+    are spans. A fixed pattern's match, what FILLERS match, and a span of an earlier class, is cut out of the candidate and what
+    is left of it is scored; a span that ALLOWED matches is dropped, by itself. Whole texts are scanned, of any length in time
+    in proportion to it; null and empty ones have no spans; rows that repeat are scanned alike; an empty table gives no rows. Each row is scanned alone, in a narrow stage without a shuffle. Columns besides doc_id
     and text are not read.
     """
-    docs = common.small_batches(docs)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(_scan, SCHEMA)
 
 
@@ -145,6 +148,7 @@ def joined_spans(kinds: tuple[str, ...]) -> Column:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scan_secrets(common.documents(spark, sf_dir))
+    with common.small_batches(spark):
+        rows = common.staged(scan_secrets(common.documents(spark, sf_dir)), "secrets")
     counts = [F.size(F.filter("secrets", is_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
     return rows.select("doc_id", *counts, F.sha2(joined_spans(KINDS[:3]), 256).alias("base_sha256"), joined_spans(KINDS).alias("spans"))
