@@ -37,11 +37,11 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
     a doc_id are ordered by their text's hash. Columns besides doc_id and text are not read. `ids` is run-length encoded by
     ORC; every `stride` rows have an index entry with the least and largest doc_id and a Bloom filter of them.
     """
-    docs = common.small_batches(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tie"))
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(stripe_bytes), "orc.create.index": "true", "orc.row.index.stride": str(stride), "compression": "zstd"}
-    rows.mapInArrow(_encoding(tokenizer, words, end_id), SCHEMA).write.options(**options).orc(path)
+    with common.small_batches(docs.sparkSession):
+        rows.mapInArrow(_encoding(tokenizer, words, end_id), SCHEMA).write.options(**options).orc(path)
 
 
 def read_token_store(spark: SparkSession, path: str) -> DataFrame:
