@@ -37,26 +37,29 @@ def coordinates(docs: DataFrame) -> DataFrame:
     """doc_id, size, text_crc32, tie and a coordinate for each of DIMENSIONS.
 
     Source and language count by their hash, which keeps equal ones together; length by its leading bits; doc_id by its place
-    between the least and the largest. Null counts as 0. Below the metadata's bits a coordinate has bits of a hash of doc_id
-    and text, so that a cut can part rows that share their metadata.
+    between the least and the largest, whatever 64-bit integers these are. Null counts as 0. Below the metadata's bits a
+    coordinate has bits of a hash of doc_id, text and the row's place in its file, so that a cut can part rows that share
+    their metadata, also rows that are the same.
     """
     top = (1 << CODE_BITS) - 1
-    text = docs["text"].cast("binary")
-    rows = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), docs["source"].alias("_source"), docs["lang"].alias("_lang"),
-        (F.coalesce(F.octet_length(docs["text"]), F.lit(0)) + 16).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit("").cast("binary"))).alias("text_crc32"),
+    placed = common.with_locator(docs, "doc_id", "text", "source", "lang")
+    text = placed["text"].cast("binary")
+    rows = placed.select(
+        placed["doc_id"].cast("long").alias("doc_id"), placed["source"].alias("_source"), placed["lang"].alias("_lang"),
+        (F.coalesce(F.octet_length(placed["text"]), F.lit(0)) + 16).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit("").cast("binary"))).alias("text_crc32"),
+        F.xxhash64("_row", F.substring_index("_file", "/", -1)).alias("_place"),
     )
     rows = common.staged(rows, "shard-rows")
     ends = rows.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    lo, span = ends["lo"] or 0, max(1, (ends["hi"] or 0) - (ends["lo"] or 0))
+    lo, span = float(ends["lo"] or 0), max(1.0, float((ends["hi"] or 0) - (ends["lo"] or 0)))
     bits = F.length(F.bin("size")) - 1
     codes = {
         "source": F.when(F.col("_source").isNotNull(), F.pmod(F.xxhash64("_source"), F.lit(top)) + 1),
         "lang": F.when(F.col("_lang").isNotNull(), F.pmod(F.xxhash64("_lang"), F.lit(top)) + 1),
         "length": bits * 1024 + F.expr("(size * 1024) >> (length(bin(size)) - 1)") % 1024,
-        "doc_id": F.floor((F.col("doc_id") - lo) / F.lit(float(span)) * top),
+        "doc_id": F.floor((F.col("doc_id").cast("double") - F.lit(lo)) / F.lit(span) * top),
     }
-    rows = rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size"), 64 - TIE_BITS))
+    rows = rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size", "_place"), 64 - TIE_BITS))
     return rows.select("doc_id", "size", "text_crc32", "tie", *[(F.coalesce(c.cast("long"), F.lit(0)) * (1 << TIE_BITS) + F.col("tie")).alias(f"_{name}") for name, c in codes.items()])
 
 
@@ -96,7 +99,8 @@ def kd_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
     reach their target, all bytes / shards, at once. All nodes of a level are cut by the same few jobs, each of which sums
     bytes over the narrow staged rows; the driver holds one row a node, `shards` at most. Rows that share all metadata are
     parted by a hash, so a hot source or a large group of copies spreads evenly. Size is the UTF-8 bytes of the text (null:
-    none) and 16. Rows of one doc_id and text stay together. Columns besides doc_id, text, source and lang are not read.
+    none) and 16. A null text is an empty one; rows that repeat are dealt one by one; an empty table gives no rows; a text
+    longer than a shard's share makes its shard larger by that much. Columns besides doc_id, text, source and lang are not read.
     """
     rows = coordinates(docs)
     columns = [f"_{d}" for d in DIMENSIONS]
