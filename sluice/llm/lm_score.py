@@ -115,6 +115,20 @@ def train(coded: DataFrame) -> DataFrame:
     return counts.select("block", "key", F.sum("target").over(same).alias("target"), F.sum("background").over(same).alias("background"))
 
 
+def unigram(single: np.ndarray, total: np.ndarray, vocabulary: int) -> np.ndarray:
+    """Probability of tokens counted `single` times among `total`; over the vocabulary they sum to 1."""
+    return (single + UNIGRAM_PRIOR / vocabulary) / (total + UNIGRAM_PRIOR)
+
+
+def bigram(two: np.ndarray, context: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Probability of tokens counted `two` times after a token counted `context` times, `one` by themselves; over the vocabulary they sum to 1.
+
+    Each occurrence of a token has one after it, since a document's end is followed by its start; so the counts after a
+    context add up to the context's own.
+    """
+    return (two + BIGRAM_PRIOR * one) / (context + BIGRAM_PRIOR)
+
+
 def _scoring(vocabulary: int, totals: tuple[int, int]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     scale = totals[0] / totals[1] if totals[0] and totals[1] else 1.0
 
@@ -127,11 +141,11 @@ def _scoring(vocabulary: int, totals: tuple[int, int]) -> Callable[[pa.Table, pa
         out = []
         for n, factor, counted, all_tokens in ((counts[0], 1.0, is_target[document], totals[0]), (counts[1], scale, True, totals[1])):
             less = factor * counted
-            total = np.maximum(0.0, all_tokens * factor - less * np.diff(bounds)[document]) + UNIGRAM_PRIOR
+            total = np.maximum(0.0, all_tokens * factor - less * np.diff(bounds)[document])
             single = np.maximum(0, n[one_at] * factor - less * own_1)
-            one = (single + UNIGRAM_PRIOR / vocabulary) / total
+            one = unigram(single, total, vocabulary)
             two, context = np.maximum(0, n[two_at] * factor - less * own_2), single[before]
-            out.append(np.add.reduceat(-np.log2((two + BIGRAM_PRIOR * one) / (context + BIGRAM_PRIOR)), bounds[:-1]))
+            out.append(np.add.reduceat(-np.log2(bigram(two, context, one)), bounds[:-1]))
         return out
 
     def run(docs: pa.Table, model: pa.Table) -> pa.Table:
@@ -165,17 +179,17 @@ def score_documents(docs: DataFrame, targets: DataFrame, tokenizer: str, vocabul
 
     Blocks of documents meet the counts of just the keys they hold, so neither model is in one place; the driver gets two sums.
     """
-    docs = common.small_batches(docs)
     spark = docs.sparkSession
-    chosen = common.staged(targets.select(targets["doc_id"].cast("long").alias("_t")).dropna().distinct(), "lm-targets")
-    chosen = common.bounded_broadcast(chosen, chosen.count()).withColumn("_is", F.lit(True))
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    rows = rows.join(chosen, rows["doc_id"] == chosen["_t"], "left").select("doc_id", F.coalesce("_is", F.lit(False)).alias("target"), "text")
-    coded = common.staged(rows.mapInArrow(_encoding(tokenizer, end_id, BLOCK_TOKENS), IDS), "lm-ids")
-    sums = coded.agg(F.sum(F.when(F.col("target"), F.col("n_ids"))), F.sum("n_ids")).first()
-    score = _scoring(vocabulary, (sums[0] or 0, sums[1] or 0))
-    scored = coded.groupBy("block").cogroup(train(coded).groupBy("block")).applyInArrow(score, SCORES)
-    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    with common.scratch(spark), common.small_batches(spark):
+        chosen = common.staged(targets.select(targets["doc_id"].cast("long").alias("_t")).dropna().distinct(), "lm-targets")
+        chosen = common.bounded_broadcast(chosen).withColumn("_is", F.lit(True))
+        rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+        rows = rows.join(chosen, rows["doc_id"] == chosen["_t"], "left").select("doc_id", F.coalesce("_is", F.lit(False)).alias("target"), "text")
+        coded = common.staged(rows.mapInArrow(_encoding(tokenizer, end_id, BLOCK_TOKENS), IDS), "lm-ids")
+        sums = coded.agg(F.sum(F.when(F.col("target"), F.col("n_ids"))), F.sum("n_ids")).first()
+        score = _scoring(vocabulary, (sums[0] or 0, sums[1] or 0))
+        scored = coded.groupBy("block").cogroup(train(coded).groupBy("block")).applyInArrow(score, SCORES)
+        return common.staged(scored.withColumn("score", F.col("target_loss") - F.col("background_loss")), "lm-scores", keep=True)
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
