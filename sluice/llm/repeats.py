@@ -181,10 +181,11 @@ def _split_groups(contexts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     A group of more than GROUP contexts, such as those of a line that very many texts have, is parted: a repeat that holds the
     anchor has half of its other bytes or more on one side of it, so two equal ones meet in the group of those whose nearest
     bytes on that side are equal. Each side's half is taken in turn, until groups are small or the whole repeat is spelt out;
-    then its group's members are repeats of each other. No context is left out, and none comes to a task with all others.
+    what is over-full even then is grouped by the bytes of the repeat itself, LENGTH of them, partial counts first, and strings
+    that come twice are repeats. No context is left out, and none comes to a task with all others.
     """
     ready, spans, rest = [], None, REST
-    level = contexts.withColumns({"a": F.lit(0), "b": F.lit(0)})
+    level = contexts.withColumns({"a": F.lit(0), "b": F.lit(0), "root": F.col("key")})
     while True:
         sizes = level.groupBy("key").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("alone")).filter("m > 1 AND alone > 0").withColumnRenamed("key", "_k")
         sizes = common.staged(sizes, "repeats-sizes")
@@ -201,9 +202,12 @@ def _split_groups(contexts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             sides.append(level.filter(there).withColumn("key", F.xxhash64("key", F.lit(side), piece)).withColumn(grown, F.col(grown) + half))
         level, rest = sides[0].unionByName(sides[1]), rest - half
         if rest == 0:
-            sizes = level.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").withColumnRenamed("key", "_k")
             start = (F.col("offset") - F.col("a")).cast("long")
-            spans = level.join(sizes, level["key"] == sizes["_k"]).filter("n = 1").select("c1", "c2", start.alias("start"), (start + LENGTH).alias("end"))
+            whole = F.substring("context", (start + 1).cast("int"), F.lit(LENGTH))
+            level = level.select("c1", "c2", "n", "root", start.alias("start"), whole.alias("whole")).distinct()  # one place may be spelt out in two ways
+            sizes = level.groupBy("root", "whole").agg(F.count("*").alias("m")).filter("m > 1").select(F.col("root").alias("_r"), F.col("whole").alias("_w"))
+            again = level.join(sizes, (level["root"] == sizes["_r"]) & (level["whole"] == sizes["_w"])).filter("n = 1")
+            spans = again.select("c1", "c2", "start", (F.col("start") + LENGTH).alias("end"))
             break
     rows = ready[0]
     for r in ready[1:]:
@@ -216,17 +220,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Removed is each byte that a string of LENGTH bytes covers which also starts anywhere else, in the same text or another;
     strings do not cross texts, and are judged on the input. A null text is empty; one shorter than LENGTH loses nothing.
-    Columns besides doc_id and text are not read. Rows that repeat are copies of each other and lose all their bytes.
+    Columns besides doc_id and text are not read. Rows that repeat are copies of each other and lose all their bytes; an
+    empty table gives no rows.
 
     1. Copies of a text are set aside by their SHA-256; each group is looked at as one text and loses everything itself.
     2. Anchors are chosen by content in every text, so that equal strings share one. Their hashes are counted over all texts,
        partial counts first; only anchors that come twice go on.
-    3. Each of these has a context. Contexts that are equal are repeats from
-       end to end: a context is what the strings that have the anchor as theirs cover. Of the groups in which contexts of one anchor differ, the contexts' bytes go to tasks by anchor, and are
-       indexed there (run_index): positions whose matching statistics reach LENGTH begin a repeat. Over-full groups are
-       parted further first (_split_groups).
+    3. Each of these has a context, what the strings that have the anchor as theirs cover. Contexts that are equal, by 128 bits
+       of hash, are repeats from end to end. Of the groups in which contexts of one anchor differ, the contexts' bytes go to
+       tasks by anchor, and are indexed there (run_index): positions whose matching statistics reach LENGTH begin a repeat.
+       Over-full groups are parted further first (_split_groups).
     4. The spans of all contexts are brought back to their texts, merged and cut.
     """
+    spark = docs.sparkSession
+    docs = common.filed(docs)
+    with common.scratch(spark), common.small_batches(spark):
+        return common.staged(_removed(docs), "repeats", keep=True)
+
+
+def _removed(docs: DataFrame) -> DataFrame:
     placed = common.with_locator(docs, "doc_id", "text")
     body = F.coalesce(placed["text"], F.lit("")).cast("binary")
     rows = placed.select(placed["doc_id"].cast("long").alias("doc_id"), F.xxhash64("_file").alias("file"), F.col("_row").alias("row"), body.alias("text"))
@@ -234,10 +246,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     copies = plain.filter(F.col("n_bytes") >= LENGTH).groupBy("sha").agg(F.count("*").alias("n"), F.min(F.struct("file", "row")).alias("first")).filter("n > 1")
     copies = common.staged(copies, "repeats-copies").withColumnRenamed("sha", "_s")
-    copied = common.bounded_broadcast(copies, copies.count())
+    copied = common.bounded_broadcast(copies)
     is_first = (F.col("file") == F.col("first.file")) & (F.col("row") == F.col("first.row"))
     others = common.staged(plain.join(copied, plain["sha"] == copied["_s"]).filter(~is_first).select(F.col("file").alias("_f"), F.col("row").alias("_r")), "repeats-others")
-    others = common.bounded_broadcast(others, others.count())
+    others = common.bounded_broadcast(others)
     texts = rows.filter(F.octet_length("text") >= LENGTH).join(others, (rows["file"] == others["_f"]) & (rows["row"] == others["_r"]), "left_anti").select("file", "row", "text")
 
     found = common.staged(texts.mapInArrow(_anchoring, "anchor long, file long, row long, at long, first short, last short"), "repeats-anchors")
@@ -245,7 +257,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     again = common.staged(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("anchor").alias("_a")), "repeats-again")
     hits = common.staged(found.join(again, found["anchor"] == again["_a"], "left_semi"), "repeats-hits")
     by_text = common.staged(hits.groupBy(F.col("file").alias("_f"), F.col("row").alias("_r")).agg(F.collect_list(F.struct("at", "anchor", "first", "last")).alias("hits")), "repeats-hits-by-text")
-    wanted = common.bounded_broadcast(by_text.select(F.col("_f").alias("_wf"), F.col("_r").alias("_wr")), by_text.count())
+    wanted = common.bounded_broadcast(by_text.select(F.col("_f").alias("_wf"), F.col("_r").alias("_wr")))
     held = texts.join(wanted, (texts["file"] == wanted["_wf"]) & (texts["row"] == wanted["_wr"]), "left_semi")
     held = common.staged(held.join(by_text, (held["file"] == by_text["_f"]) & (held["row"] == by_text["_r"])).select("file", "row", "text", "hits"), "repeats-held")
 
