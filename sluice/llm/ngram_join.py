@@ -8,19 +8,20 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.graph import HOT, components, hot_keys, spread_join
 from sluice.llm import common
-from sluice.llm.components import components
 from sluice.llm.shingles import mixed, shingle_sets
 
 #: Sampled tokens a set: coordinate j is the shingle that hash j puts first. Two sets agree in one as often as their Jaccard index.
 SKETCH = 64
-#: A bucket of up to LIMIT sets is compared in full; a larger one is split again, MAX_DEPTH times at most.
-LIMIT, MAX_DEPTH = 64, 3
-#: Sets that are compared at once, against each other or another block.
-BLOCK = 256
+#: A bucket of up to LIMIT sets is compared in full; a larger one is split again, MAX_DEPTH times at most. Sets of buckets that are
+#: larger even then get more runs, which split DEEP times.
+LIMIT, MAX_DEPTH, DEEP = 64, 3, 8
+#: Sets of a dense cluster that are compared at once, against each other or another block, and their bytes.
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
 TARGET_RECALL = 0.99
 #: Pairs that agree in fewer coordinates than 5 standard deviations below the threshold aren't looked at further.
 SIGMAS = 5
@@ -57,7 +58,7 @@ def _sketching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [own.tobytes() for own in shingle_sets(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "tokens"])
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary()), pa.array(map(len, sets), pa.int64())], ["node", "tokens", "size"])
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -137,11 +138,50 @@ def _block_links(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
-def _split(rows: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
-    """(path, node) of each bucket's sets one level down: the path's hash picks the coordinate whose tokens part them."""
-    near = rows.join(sets.select(F.col("node").alias("_n"), "sketch"), rows["node"] == F.col("_n"))
-    token = F.get(F.col("sketch"), F.pmod(F.xxhash64("path", F.lit(depth)), F.lit(SKETCH)).cast("int"))
-    return near.select(F.xxhash64("path", token, F.lit(depth)).alias("path"), "node")
+def _step(path: Column, depth: int, sketch: str | Column = "sketch") -> Column:
+    """The path one level down: its hash picks the coordinate whose token parts the bucket's sets."""
+    return F.xxhash64(path, F.get(sketch, F.pmod(F.xxhash64(path, F.lit(depth)), F.lit(SKETCH)).cast("int")), F.lit(depth))
+
+
+def _sized(level: DataFrame) -> DataFrame:
+    """(path, node, n) of the buckets with n sets, two at least; a bucket of very many doesn't come to one task."""
+    sizes = level.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
+    return spread_join(level, "path", sizes, "path", "n", hot_keys(level, "path"), "n").filter("n IS NOT NULL")
+
+
+def _over_full(level: DataFrame) -> DataFrame | None:
+    large = level.filter(F.col("n") > LIMIT)
+    return None if large.isEmpty() else large
+
+
+def _starts(first: int, runs: int) -> Column:
+    """The paths of a set's runs, numbered from `first`, at depth 1: a coordinate each."""
+    order = np.random.default_rng(7).permutation(SKETCH).tolist()
+    return F.array(*[F.xxhash64(F.lit(r), F.get("sketch", F.lit(order[r % SKETCH])), F.lit(0)) for r in range(first, first + runs)])
+
+
+def _buckets(sets: DataFrame, threshold: float, recall: float) -> tuple[list[DataFrame], DataFrame | None]:
+    """(buckets of up to LIMIT sets, buckets that are larger even DEEP levels down), each as (path, node, n)."""
+    runs = runs_needed(threshold, recall)
+    level = sets.select(F.explode(_starts(0, runs)).alias("path"), "node")
+    small, large = [], None
+    for depth in range(1, MAX_DEPTH + 1):
+        level = common.staged(_sized(level), "join-level")
+        small.append(level.filter(F.col("n") <= LIMIT))
+        large = _over_full(level)
+        if large is None:
+            return small, None
+        if depth < MAX_DEPTH:
+            near = large.join(sets.select(F.col("node").alias("_n"), "sketch"), large["node"] == F.col("_n"))
+            level = near.select(_step(F.col("path"), depth).alias("path"), "node")
+    # what is left over-full: more runs, each of which goes straight down
+    crowd = sets.join(large.select(F.col("node").alias("_n")).distinct(), sets["node"] == F.col("_n"), "left_semi")
+    level = crowd.select(F.explode(_starts(runs, runs_needed(threshold, recall, DEEP))).alias("path"), "node", "sketch")
+    for depth in range(1, DEEP):
+        level = level.withColumn("path", _step(F.col("path"), depth))
+    level = common.staged(_sized(level.select("path", "node")), "join-deep")
+    small.append(level.filter(F.col("n") <= LIMIT))
+    return small, _over_full(level)
 
 
 def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RECALL) -> DataFrame:
@@ -155,12 +195,16 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_R
     Sets are split on sampled shared tokens: a path picks one of SKETCH hashes, and the sets in its bucket go on by the token
     that this hash puts first, which two sets share with the probability of their index. Buckets of one end; those of up to
     LIMIT are compared in full; larger ones are split again. Runs with other hashes are repeated until a pair at the
-    threshold has met in a bucket with the target recall. What is still larger at the greatest depth isn't cut short: sets
-    that share such buckets form a cluster, whose sets are compared with each other block by block, each pair of blocks in
-    its own task, which returns link counts and a spanning forest and not the pairs. Pairs to compare lose those whose
-    sketches differ by more than chance allows; the rest are decided by their whole sets.
+    threshold has met in a bucket with the target recall. Sets of buckets that are larger even at MAX_DEPTH get more runs that
+    split DEEP times, as many as keep the recall. What is over-full then is dense, sets near each other: its sets form a
+    cluster, in which every link counts, so they are compared with each other block by block, each pair of blocks in its own
+    task, which returns link counts and a spanning forest and not the pairs. Blocks are bounded by sets and bytes. Pairs of
+    small buckets lose those whose sketches differ by more than chance allows; the rest are decided by their whole sets.
+
+    A text of any length is one set; null and empty texts and an empty table give no links. Rows that repeat are copies.
     """
-    return _labelled(docs, threshold, recall).drop("label")
+    with common.scratch(docs.sparkSession), common.small_batches(docs.sparkSession):
+        return common.staged(_labelled(docs, threshold, recall).drop("label"), "join-classes", keep=True)
 
 
 def _labelled(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RECALL) -> DataFrame:
@@ -169,24 +213,9 @@ def _labelled(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RE
     rows = placed.select(placed["doc_id"].cast("long").alias("doc_id"), "_file", "_row", placed["text"].alias("text"))
     coded = common.staged(rows.mapInArrow(_sketching, "doc_id long, _file string, _row long, digest binary, sketch array<int>"), "join-sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_file", "_row"))
-    sets = coded.filter("digest IS NOT NULL").groupBy("digest").agg(first.alias("first"), F.first("sketch").alias("sketch"))
+    sets = coded.filter("digest IS NOT NULL").groupBy("digest").agg(first.alias("first"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
     sets = common.staged(sets.withColumn("node", F.monotonically_increasing_id()), "join-sets")
-
-    # levels of buckets
-    order = [int(c) for c in np.random.default_rng(7).permutation(SKETCH)]
-    starts = [F.xxhash64(F.lit(r), F.get("sketch", F.lit(order[r % SKETCH])), F.lit(0)) for r in range(runs_needed(threshold, recall))]
-    level = sets.select(F.explode(F.array(*starts)).alias("path"), "node")
-    small, large = [], None
-    for depth in range(1, MAX_DEPTH + 1):
-        sizes = level.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1").withColumnRenamed("path", "_p")
-        level = common.staged(level.join(sizes, level["path"] == sizes["_p"]).select("path", "node", "n"), "join-level")
-        small.append(level.filter(F.col("n") <= LIMIT))
-        large = level.filter(F.col("n") > LIMIT)
-        if large.isEmpty():
-            large = None
-            break
-        if depth < MAX_DEPTH:
-            level = _split(large, sets, depth)
+    small, large = _buckets(sets, threshold, recall)
 
     # small buckets: pairs, each once
     members = [s.groupBy("path").agg(F.sort_array(F.collect_list("node")).alias("m")) for s in small]
@@ -200,8 +229,9 @@ def _labelled(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RE
     # clusters of what large buckets share
     clusters = None
     if large is not None:
-        pivots = large.groupBy("path").agg(F.min("node").alias("pivot")).withColumnRenamed("path", "_p")
-        clusters = components(large.join(pivots, large["path"] == pivots["_p"]).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        pivots = large.groupBy("path").agg(F.min("node").alias("pivot"))
+        spokes = spread_join(large, "path", pivots, "path", "pivot", hot_keys(large, "path"), "pivot")
+        clusters = components(spokes.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
         own = lambda c: clusters.select(F.col("node").alias(f"_n{c}"), F.col("label").alias(f"_c{c}"))
         a, b = own("a"), own("b")
         pairs = pairs.join(a, pairs["a"] == a["_na"], "left").join(b, F.col("b") == b["_nb"], "left")
@@ -220,9 +250,9 @@ def _labelled(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RE
         needed = needed.union(clusters.select("node"))
     needed = sets.join(needed.distinct(), sets["node"] == F.col("need"), "left_semi").select("node", F.col("first._file").alias("_f"), F.col("first._row").alias("_r"))
     needed = common.staged(needed, "join-needed")
-    needed = common.bounded_broadcast(needed, needed.count())
+    needed = common.bounded_broadcast(needed)
     texts = placed.select("_file", "_row", placed["text"].alias("text")).join(needed, (F.col("_file") == needed["_f"]) & (F.col("_row") == needed["_r"])).select("node", "text")
-    tokens = common.staged(texts.mapInArrow(_sets, "node long, tokens binary"), "join-tokens")
+    tokens = common.staged(texts.mapInArrow(_sets, "node long, tokens binary, size long"), "join-tokens")
 
     left, right = (tokens.select(F.col("node").alias(f"_{c}"), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
     links = pairs.join(left, pairs["a"] == left["_a"]).join(right, F.col("b") == right["_b"]).select("a", "b", "tokens_a", "tokens_b")
@@ -230,8 +260,11 @@ def _labelled(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RE
     degrees = links.select(F.col("a").alias("node"), F.lit(1).cast("long").alias("links")).union(links.select("b", F.lit(1).cast("long")))
     edges = links
     if clusters is not None:
-        blocks = clusters.groupBy(F.col("label").alias("cluster")).agg((F.floor((F.count("*") - 1) / BLOCK) + 1).cast("int").alias("blocks"))
-        dealt = clusters.join(blocks, clusters["label"] == blocks["cluster"]).select("cluster", "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+        sized = clusters.join(tokens.select(F.col("node").alias("_n"), "size"), clusters["node"] == F.col("_n"))
+        most = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int")
+        blocks = sized.groupBy("label").agg(most.alias("blocks"))
+        dealt = spread_join(clusters, "label", blocks, "label", "blocks", hot_keys(clusters, "label"), "blocks")
+        dealt = dealt.select(F.col("label").alias("cluster"), "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select("cluster", "block", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
         full = dealt.join(tokens.withColumnRenamed("node", "_n"), dealt["node"] == F.col("_n")).select("cluster", "i", "j", "block", "node", "tokens")
@@ -244,27 +277,34 @@ def _labelled(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RE
 
     # classes
     known = sets.join(labels, sets["node"] == labels["_l"], "left").join(degrees, F.col("node") == degrees["_d"], "left")
-    known = known.select("digest", F.col("first.doc_id").alias("least"), F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
-    classes = known.groupBy(F.col("label").alias("_c")).agg(F.min("least").alias("class_id"))
-    known = known.join(classes, known["label"] == classes["_c"]).select(F.col("digest").alias("_digest"), "label", "class_id", "n_links")
-    joined = coded.drop("sketch").join(known, coded["digest"] == known["_digest"], "left")
-    return joined.select("_file", "_row", "doc_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "label")
-
-
-def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
+    known = known.select("digest", "copies", F.col("first.doc_id").alias("least"), F.coalesce("label", "node").alias("label"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    known = common.staged(known, "join-known")
+    classes = known.groupBy("label").agg(F.min("least").alias("class_id"))
+    known = spread_join(known, "label", classes, "label", "class_id", hot_keys(known, "label"), "class_id")
+    known = known.select("digest", F.struct("label", "class_id", "n_links").alias("of"))
+    total = coded.count()
+    hot = sets.filter(F.col("copies") * HOT > total).select(F.col("digest").alias("_hot"))
+    joined = spread_join(coded.drop("sketch"), "digest", known, "digest", "of", hot, "of")
+    class_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("of.class_id"))
+    return joined.select("_file", "_row", "doc_id", class_id.alias("class_id"), F.coalesce("of.n_links", F.lit(0)).cast("long").alias("n_links"), "of.label")
+
+
+def drop_near_copies(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RECALL) -> DataFrame:
     """One row of each class of ngram_join, all columns: the one with the class's least doc_id, the first in the files of these.
 
-    Classes are told apart by their links, not by their doc_ids, which may come twice or be null.
+    Classes are told apart by their links, not by their doc_ids, which may come twice or be null. Null texts and texts without
+    words all stay; of rows that repeat one stays; texts of any length are one set. An empty table stays empty.
     """
     docs = common.filed(docs)
     placed = common.with_locator(docs)
-    classes = common.staged(_labelled(docs, **settings).filter("label IS NOT NULL"), "join-classes")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_file", "_row"))
-    keepers = classes.groupBy(F.col("label").alias("_c")).agg(first.alias("keep"))
-    joined = classes.join(keepers, classes["label"] == keepers["_c"])
-    dropped = joined.filter(~((F.col("_file") == F.col("keep._file")) & (F.col("_row") == F.col("keep._row"))))
-    dropped = common.staged(dropped.select(F.col("_file").alias("_f"), F.col("_row").alias("_r")), "join-dropped")
-    dropped = common.bounded_broadcast(dropped, dropped.count())
+    with common.scratch(docs.sparkSession), common.small_batches(docs.sparkSession):
+        classes = common.staged(_labelled(docs, threshold, recall).filter("label IS NOT NULL"), "join-classes")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_file", "_row"))
+        keepers = classes.groupBy("label").agg(first.alias("keep"))
+        joined = spread_join(classes, "label", keepers, "label", "keep", hot_keys(classes, "label"), "keep")
+        dropped = joined.filter(~((F.col("_file") == F.col("keep._file")) & (F.col("_row") == F.col("keep._row"))))
+        dropped = common.staged(dropped.select(F.col("_file").alias("_f"), F.col("_row").alias("_r")), "join-dropped", keep=True)
+    dropped = common.bounded_broadcast(dropped)
     return placed.join(dropped, (placed["_file"] == dropped["_f"]) & (placed["_row"] == dropped["_r"]), "left_anti").select("_doc.*")
 
 
