@@ -14,6 +14,10 @@ from sluice.llm import common, tokens
 
 #: Dimensions of a hashed vector, of its projection, and bits of each projected coordinate.
 HASHED, DIMS, BITS = 256, 3, 16
+#: Bytes of text in a part, and parts at most: a larger input has larger parts, which are sorted on disk and packed as a stream.
+PART_BYTES, MOST_PARTS = 24 << 20, 16_384
+#: Sampled places a part, where its borders are looked for.
+SAMPLES = 64
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -66,12 +70,49 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def places(texts: pa.Array, ties: np.ndarray) -> np.ndarray:
+    """Hilbert key and below it the leading bits of the hash, so that equal keys are parted: 63 bits that sort as the curve does."""
     signs, table = projection(), pair_table()
+    points = np.stack([coordinates((t.as_py() or "").encode(), signs, table) for t in texts])
+    below = 63 - DIMS * BITS
+    return hilbert_keys(points) << below | (ties.astype(np.int64).view(np.uint64) >> np.uint64(64 - below)).astype(np.int64)
+
+
+def _keyed(borders: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at = places(batch.column("text"), batch.column("tie").to_numpy())
+                part = np.searchsorted(np.array(borders, dtype=np.int64), at, side="right").astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at), pa.array(part)], ["doc_id", "tie", "text", "place", "part"])
+
+    return run
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            points = np.stack([coordinates((t.as_py() or "").encode(), signs, table) for t in batch.column("text")])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hilbert_keys(points))], ["doc_id", "tie", "text", "curve"])
+            at = places(batch.column("text"), batch.column("tie").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(at), batch.column("hits")], ["place", "hits"])
+
+
+def part_borders(rows: DataFrame, part_bytes: int = PART_BYTES) -> list[int]:
+    """Places on the curve that cut rows (doc_id, tie, text) into parts of about equal bytes of text, one fewer than there are parts.
+
+    A text is hit once in every part_bytes / SAMPLES bytes on average, decided by its hash, and only texts that are hit have
+    their place worked out; quantiles of the hits' places are the borders. So a part of long texts has few of them. The
+    borders decide where documents lie, not which ones are packed.
+    """
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+    total = rows.agg(F.sum(size.cast("long"))).first()[0] or 0
+    parts = min(MOST_PARTS, -(-total // part_bytes))
+    if parts <= 1:
+        return []
+    hits = F.floor(size * F.lit(SAMPLES * parts / total) + F.pmod(F.col("tie"), F.lit(1_000_003)) / F.lit(1_000_003.0)).cast("int")
+    sample = rows.withColumn("hits", hits).filter("hits > 0").select("text", "tie", "hits").mapInArrow(_places, "place long, hits int")
+    sample = sample.withColumn("_hit", F.explode(F.sequence(F.lit(1), "hits")))
+    cuts = sample.agg(F.percentile_approx("place", [k / parts for k in range(1, parts)], 20 * parts)).first()[0]
+    return sorted(set(cuts or []))
 
 
 def _packing(file: str, end_id: int, length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -97,19 +138,22 @@ def _packing(file: str, end_id: int, length: int) -> Callable[[Iterator[pa.Recor
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 1024, part_bytes: int = PART_BYTES) -> DataFrame:
     """Pieces of documents in sequences of `length` ids: doc_id, start, length, ids (unsigned 32-bit, little endian), doc_tokens, sequence_id, offset.
 
-    Documents are range-sorted by the Hilbert key of their projected vectors, and each sorted part is cut into sequences
-    from end to end, so neighbours on the curve share sequences; only a part's last sequence isn't full. The key costs one
-    light pass over the text, which Spark repeats to find the ranges; encoding comes after the sort, once, and streams.
+    Documents are range-parted by the Hilbert key of their projected vectors into parts of about part_bytes of text
+    (part_borders), sorted there, and each part is cut into sequences from end to end, so neighbours on the curve share
+    sequences; only a part's last sequence isn't full. Encoding comes after the sort, once, and streams.
     Equal keys are parted by a hash of doc_id and text, so a group of copies of any size spreads over parts. A null text has
-    only the end id; rows that repeat are packed as often as they come; columns besides doc_id and text are not read.
+    only the end id, as has an empty one; a text of any length is cut freely; rows that repeat are packed as often as they
+    come; an empty table gives no rows; columns besides doc_id and text are not read. Run it inside common.small_batches,
+    since Arrow batches hold whole texts.
     """
-    docs = common.small_batches(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["doc_id"], docs["text"]).alias("tie"), docs["text"].alias("text"))
-    keyed = rows.mapInArrow(_keyed, "doc_id long, tie long, text string, curve long")
-    ranged = keyed.repartitionByRange("curve", "tie").sortWithinPartitions("curve", "tie", "doc_id").select("doc_id", "text")
+    with common.small_batches(docs.sparkSession):
+        borders = part_borders(rows, part_bytes)
+    keyed = rows.mapInArrow(_keyed(borders), "doc_id long, tie long, text string, place long, part int")
+    ranged = keyed.repartitionById(len(borders) + 1, "part").sortWithinPartitions("place", "tie", "doc_id").select("doc_id", "text")
     return ranged.mapInArrow(_packing(tokenizer, end_id, length), PIECES)
 
 
@@ -117,8 +161,9 @@ def packed_pieces(docs: DataFrame) -> DataFrame:
     """`pack` with byte_bpe_50k.json and end id 0, the ids of each piece as their checksum."""
     import public_tokenizers
 
-    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 0)
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    with common.small_batches(docs.sparkSession):
+        pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 0)
+        return common.staged(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"), "pieces")
 
 
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

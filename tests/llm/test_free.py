@@ -28,6 +28,7 @@ def prose(n):
 BASE = prose(150)
 TEXTS = [None, "", " ", "one", "One", "a b c d", "a b c d e f", BASE, BASE, BASE + " tail of words", "x " + BASE, prose(700), "long" * 30000, prose(40) + "\n\n  odd space " + prose(40)]
 TEXTS += [" ".join(w if i not in (k, k + 60) else "edit" for i, w in enumerate(BASE.split())) for k in range(10, 40)] + [prose(80) for _ in range(25)]
+TEXTS += ["a <|endoftext|> b", "<|startoftext|>A<|endoftext|>", "<|endoftext|>"]
 ROWS = [(i, t, None, "c", "p", "q") for i, t in enumerate(TEXTS)] + [(7, BASE, None, "c", "p", "q"), (None, "no id", None, "c", "p", "q")]
 
 
@@ -40,7 +41,6 @@ def docs(spark, tmp_path_factory):
 
 def encoded(file, end):
     t = Tokenizer.from_file(public_tokenizers.path(file))
-    t.encode_special_tokens = True
     return {(r[0], r[1]): np.array([*t.encode(r[1] or "", add_special_tokens=False).ids, end], dtype="<u4") for r in ROWS}
 
 
@@ -326,5 +326,4 @@ def test_pipeline_stages_hand_on_documents(spark):
 
 def encoded_counts(texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return sum(len(e.ids) + 1 for e in t.encode_batch(texts, add_special_tokens=False))
