@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.functions.ranks import bucketed_sums, placed
+
 #: Minutes from UTC to the reporting day.
 IST_MINUTES = 330
 
@@ -15,32 +17,41 @@ def ist_day(ts: Column) -> Column:
     return (ts + F.expr(f"INTERVAL {IST_MINUTES} MINUTES")).cast("date")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df checkpointed in the folder that the cluster names in spark.checkpoint.dir, a temporary one where there is none."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
-
-
 def calendar(df: DataFrame, day: str = "ist_day") -> DataFrame:
     """A row for each day from the least to the largest."""
     return df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).select(F.explode(F.sequence("lo", "hi")).alias(day))
 
 
-def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, value: str, *, backward_fill: bool = False) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, value: str, *, backward_fill: bool = False, bucket: Callable[[Column], Column] | None = None) -> DataFrame:
     """left with `value` of right's last row of the same key at or before left_time.
 
     Both sides are put in one order by key and time, right's rows first among equal times, so one shuffle by key serves both
-    and nothing is multiplied. With backward_fill, rows before the first value get the first one.
+    and nothing is multiplied. With backward_fill, rows before the first value get the first one. Where a few keys hold all
+    rows, `bucket` names the stretch of time that a time is in, growing with it: only a stretch of a key is sorted together,
+    and the last value of the stretches before it is carried over, a row for each.
     """
-    l = left.select(F.struct(*left.columns).alias("_row"), F.col(key).alias("_k"), F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
+    none = F.lit(None).cast(right.schema[value].dataType)
+    l = left.select(F.struct(*left.columns).alias("_row"), F.col(key).alias("_k"), F.col(left_time).alias("_t"), F.lit(1).alias("_side"), none.alias("_v"))
     r = right.select(F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(key).alias("_k"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.col(value).alias("_v"))
-    w = Window.partitionBy("_k").orderBy("_t", "_side", F.col("_v").asc_nulls_first())
+    both = l.unionByName(r).withColumn("_b", bucket(F.col("_t")) if bucket else F.lit(0))
+    keys = ["_k", "_b"] if bucket else ["_k"]
+    w = Window.partitionBy(*keys).orderBy("_t", "_side", F.col("_v").asc_nulls_first())
     found = F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if backward_fill:
         found = F.coalesce(found, F.first("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    return l.unionByName(r).withColumn("_v", found).filter("_side = 1").select("_row.*", F.col("_v").alias(value))
+    rows = both.withColumn("_found", found)
+    if bucket:
+        at = F.when(F.col("_v").isNotNull(), F.struct("_t", "_v"))
+        ends = both.groupBy("_k", "_b").agg(F.max(at).alias("_last"), F.min(at).alias("_first"))
+        stretches = Window.partitionBy("_k").orderBy("_b")
+        before = F.last("_last", ignorenulls=True).over(stretches.rowsBetween(Window.unboundedPreceding, -1))["_v"]
+        after = F.first("_first", ignorenulls=True).over(stretches.rowsBetween(1, Window.unboundedFollowing))["_v"]
+        carried = ends.select(F.col("_k").alias("_ck"), F.col("_b").alias("_cb"), before.alias("_before"), after.alias("_after"))
+        rows = rows.join(carried, rows["_k"].eqNullSafe(carried["_ck"]) & rows["_b"].eqNullSafe(carried["_cb"]))
+        own = F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        # a value of the stretch comes first, then what was carried into it; only then what follows
+        rows = rows.withColumn("_own", own).withColumn("_found", F.coalesce("_own", "_before", *(["_found", "_after"] if backward_fill else [])))
+    return rows.filter("_side = 1").select("_row.*", F.col("_found").alias(value))
 
 
 def rolling_distinct(df: DataFrame, keys: list[str], entity: str, day: str, days: int) -> DataFrame:
@@ -50,19 +61,30 @@ def rolling_distinct(df: DataFrame, keys: list[str], entity: str, day: str, days
     return dealt.groupBy(*keys, day).agg(F.countDistinct(entity).alias("n"))
 
 
-def take_by_demand(pool: DataFrame, demand: DataFrame, key: list[str], pool_order: list[Column], demand_order: list[Column], need: str) -> DataFrame:
+def take_by_demand(pool: DataFrame, demand: DataFrame, key: list[str], pool_order: list[Column], demand_order: list[Column], need: str, *, stretch: int = 10_000) -> DataFrame:
     """Rows of pool, each given to at most one row of demand with the same key, which takes `need` of them in order.
 
-    The n-th row of the pool goes to the demand whose running total of needs covers n: ranks meet in a range of each key.
+    The n-th row of the pool goes to the demand whose running total of needs covers n. Places and totals come from ranges of a
+    key (placed), and pool and demand meet in one order within a stretch of `stretch` places of a key: a demand is put where
+    it begins in each stretch that it covers, and a row of the pool takes the last one before it. So neither a hot key nor a
+    key with many demands is multiplied or comes to one task. Rows with a null in the key meet nothing.
     """
-    p = pool.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*pool_order)))
-    w = Window.partitionBy(*key).orderBy(*demand_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = demand.withColumn("_hi", F.sum(need).over(w)).withColumn("_lo", F.col("_hi") - F.col(need))
-    return p.join(d, key).filter((F.col("_n") > F.col("_lo")) & (F.col("_n") <= F.col("_hi"))).drop("_n", "_lo", "_hi")
+    p = placed(pool.dropna(subset=key), key, pool_order, "_n")
+    d = placed(demand.dropna(subset=key), key, demand_order, "_place").filter(F.col(need) > 0)
+    d = d.withColumn("_chunk", F.floor(F.col("_place") / stretch))
+    d = bucketed_sums(d, key, ["_chunk"], ["_place"], F.col(need), "_lo").withColumn("_hi", F.col("_lo") + F.col(need))
+    starts = d.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / stretch), F.floor((F.col("_hi") - 1) / stretch))))
+    own = [c for c in demand.columns if c not in key]
+    starts = starts.select(*key, "_b", F.greatest("_lo", F.col("_b") * stretch).alias("_at"), F.struct(*own, "_hi").alias("_d"))
+    rows = p.select(*key, F.floor(F.col("_n") / stretch).alias("_b"), F.col("_n").alias("_at"), F.struct(*[c for c in pool.columns if c not in key]).alias("_p"))
+    both = rows.unionByName(starts, allowMissingColumns=True)
+    w = Window.partitionBy(*key, "_b").orderBy("_at", F.col("_d").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = both.withColumn("_d", F.last("_d", ignorenulls=True).over(w)).filter(F.col("_p").isNotNull() & (F.col("_at") < F.col("_d._hi")))
+    return met.select(*key, "_p.*", *[F.col(f"_d.{c}").alias(c) for c in own])
 
 
 def change(prev: Column, cur: Column, complete: Column, least: int = 10) -> Column:
-    """Absolute change and how to show it: new, flat, partial, pct (if complete and prev is at least `least`) or abs."""
-    flag = F.when(~complete, "partial").when((prev == 0) & (cur > 0), "new").when(prev == cur, "flat").when(prev >= least, "pct").otherwise("abs")
+    """Absolute change and how to show it: new from 0, flat at 0, partial if a window isn't complete, pct if prev is at least `least`, else abs."""
+    flag = F.when((prev == 0) & (cur > 0), "new").when((prev == 0) & (cur == 0), "flat").when(~complete, "partial").when(prev >= least, "pct").otherwise("abs")
     pct = F.when(flag == "pct", F.round((cur - prev) * 100.0 / prev, 1))
     return F.struct((cur - prev).alias("delta"), flag.alias("flag"), pct.alias("pct"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.functions.staging import staged
+
 #: Rows that a window of `bucketed_sums` sorts together, about.
 BUCKET_ROWS = 50_000
 
@@ -32,16 +34,12 @@ def bucketed_sums(df: DataFrame, groups: list[str], bucket: list[str], order: li
     return joined.select(*[rows[c] for c in df.columns], (F.col("_inner") + F.col("_before")).alias(name))
 
 
-def ranked(df: DataFrame, groups: list[str], order: str, ties: list, name: str, *, buckets: int = 64) -> DataFrame:
-    """df with each row's place in its group, from 0, in ascending order of the numeric column `order` and then of `ties`.
+def placed(df: DataFrame, groups: list[str], order: list[Column], name: str) -> DataFrame:
+    """df with each row's place in its group, from 0, in the order of `order`, which has to tell rows of a group apart.
 
-    `order` is cut into at most `buckets` ranges with about equal shares of the rows, by approximate quantiles over all of them;
-    where the cuts lie doesn't change a rank. Rows that are equal in `order` share a range. Nulls come first.
+    Rows are dealt to ranges of (groups, order), which are written to the shared folder with the range's number, and ranked
+    range by range (bucketed_sums); so a group of any size, or no group at all, spreads over as many tasks as there are ranges.
     """
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.agg(F.percentile_approx(F.col(order).cast("double"), shares, 10_000)).first()[0] or []))
-    place = F.lit(0)
-    for c in cuts:
-        place = place + (F.col(order).cast("double") > F.lit(c)).cast("int")
-    rows = df.withColumn("_bucket", F.coalesce(place, F.lit(-1)))
-    return bucketed_sums(rows, groups, ["_bucket"], [order, *ties], F.lit(1), name).drop("_bucket")
+    ranges = df.repartitionByRange(*groups, *order).withColumn("_part", F.spark_partition_id())
+    rows = staged(ranges, "placed")
+    return bucketed_sums(rows, groups, ["_part"], order, F.lit(1), name).drop("_part")

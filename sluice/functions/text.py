@@ -28,5 +28,7 @@ def host(url: Column) -> Column:
 
 
 def term_counts(text: Column, families: dict[str, str]) -> dict[str, Column]:
-    """How often each family's pattern is found, case ignored."""
-    return {name: F.regexp_count(text, F.lit(f"(?i){pattern}")) for name, pattern in families.items()}
+    """How many words of a text, of letters and digits, each family's pattern matches as a whole, case ignored."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0)
+    matching = lambda pattern: F.filter(words, lambda w: w.rlike(f"^(?:{pattern})$"))
+    return {name: F.size(matching(pattern)).cast("long") for name, pattern in families.items()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,16 +21,16 @@ def enrich(events: DataFrame, stages: DataFrame) -> DataFrame:
     return joined.withColumns({"rung": F.coalesce("rung", F.lit("UNMAPPED")), **flags})
 
 
-def pair_counts() -> list[Column]:
-    """Entries as distinct pairs of deal and actor, human and automatic, where no actor is a value too; and distinct deals."""
-    pair = F.struct("deal_id", "actor")
-    human, auto = F.countDistinct(F.when(F.col("is_human"), pair)), F.countDistinct(F.when(~F.col("is_human"), pair))
-    return [human.alias("entries_human"), auto.alias("entries_auto"), (human + auto).alias("entries_total"), F.countDistinct(F.when(F.col("is_human"), F.col("deal_id"))).alias("deals_human"), F.countDistinct("deal_id").alias("deals_all")]
-
-
 def entries(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Entries by the keys, each counted anew there: entries of a rung aren't the sum of its stages'."""
-    return events.groupBy(*keys).agg(*pair_counts())
+    """Entries by the keys, each counted anew there: entries of a rung aren't the sum of its stages'.
+
+    An entry is a distinct pair of deal and actor, human or automatic, where no actor is a value too. Pairs are made distinct
+    first, summed by deal, and then by key, so that one row a pair is shuffled, whatever is counted of it.
+    """
+    pairs = events.select(*keys, "deal_id", "actor", "is_human").distinct()
+    by_deal = pairs.groupBy(*keys, "deal_id").agg(F.count_if("is_human").alias("_h"), F.count_if(~F.col("is_human")).alias("_a"))
+    human, auto = F.sum("_h"), F.sum("_a")
+    return by_deal.groupBy(*keys).agg(human.alias("entries_human"), auto.alias("entries_auto"), (human + auto).alias("entries_total"), F.count_if(F.col("_h") > 0).alias("deals_human"), F.count("*").alias("deals_all"))
 
 
 def cells(enriched: DataFrame) -> DataFrame:

@@ -5,45 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.patterns import durable
+from sluice.functions.graph import components, hot_keys, spread_join
 
 #: A key that so many entities of one source claim says little about one of them.
 SHARED_BY = 3
 
 
-def identifiers(entities: DataFrame, types: list[tuple[str, str]]) -> DataFrame:
-    """entity, source, type, value, priority, claims, strength from entities with a column for each (type, column), the strongest type first.
+def identifiers(entities: DataFrame, types: list[tuple[str, str]], *, confidence: dict[str, str] | None = None, generic: dict[str, tuple[str, ...]] | None = None, least: float = 0.9) -> DataFrame:
+    """entity, source, type, value, priority, confidence, claims, strength from entities with a column for each (type, column), the strongest type first.
 
     claims counts the entities of all sources. A value is weak in a source where SHARED_BY or more entities claim it, and stays
-    strong in the others.
+    strong in the others; it is weak where its type's `confidence` column is below `least`, and everywhere if it is one of its
+    type's `generic` values, such as hosts of free mail.
     """
-    keys = F.array(*[F.struct(F.lit(t).alias("type"), F.col(c).alias("value"), F.lit(i).alias("priority")) for i, (t, c) in enumerate(types)])
+    sure = lambda t: F.col(confidence[t]).cast("double") if confidence and t in confidence else F.lit(1.0)
+    keys = F.array(*[F.struct(F.lit(t).alias("type"), F.col(c).alias("value"), F.lit(i).alias("priority"), sure(t).alias("confidence")) for i, (t, c) in enumerate(types)])
     rows = entities.select("entity", "source", F.explode(keys).alias("k")).select("entity", "source", "k.*").filter("value IS NOT NULL")
     same = lambda c: (rows["type"] == c["_t"]) & (rows["value"] == c["_v"])
     claims = rows.groupBy(F.col("type").alias("_t"), F.col("value").alias("_v")).agg(F.countDistinct("entity").alias("claims"))
     within = rows.groupBy(F.col("source").alias("_s"), F.col("type").alias("_t"), F.col("value").alias("_v")).agg(F.countDistinct("entity").alias("_n"))
     rows = rows.join(claims, same(claims)).drop("_t", "_v").join(within, same(within) & rows["source"].eqNullSafe(within["_s"]))
-    return rows.select("entity", "source", "type", "value", "priority", "claims", F.when(F.col("_n") >= SHARED_BY, "weak").otherwise("strong").alias("strength"))
+    weak = (F.col("_n") >= SHARED_BY) | (F.col("confidence") < least)
+    for t, values in (generic or {}).items():
+        weak = weak | ((F.col("type") == t) & F.col("value").isin(*values))
+    return rows.select("entity", "source", "type", "value", "priority", "confidence", "claims", F.when(weak, "weak").otherwise("strong").alias("strength"))
 
 
-def golden(entities: DataFrame, ids: DataFrame, rounds: int = 40) -> DataFrame:
+def golden(entities: DataFrame, ids: DataFrame) -> DataFrame:
     """entity, golden: the least entity that strong identifiers connect it with.
 
-    Labels go from a value to all who claim it and back, as minima by value, until none changes. No pairs of claimants are
-    made, so nothing is multiplied however many sources claim a value; each round is checkpointed.
+    Each value links those who claim it with the least of them, a row for each claim, and the components of these links are
+    the companies. No pairs of claimants are made, and values or companies of any size spread over tasks (graph.components),
+    which goes on until no label changes.
     """
     strong = ids.filter("strength = 'strong'").select("entity", F.concat_ws(":", "type", "value").alias("key"))
-    labels = entities.select("entity", F.col("entity").alias("golden"))
-    for _ in range(rounds):
-        least = strong.join(labels, "entity").groupBy("key").agg(F.min("golden").alias("least"))
-        near = strong.join(least, "key").groupBy("entity").agg(F.min("least").alias("least"))
-        after = labels.join(near, "entity", "left").select("entity", F.least("golden", F.coalesce("least", "golden")).alias("now"), F.col("golden").alias("was"))
-        jump = after.select(F.col("entity").alias("now"), F.col("now").alias("then"))
-        after = durable(after.join(jump, "now", "left").select("entity", F.least("now", F.coalesce("then", "now")).alias("golden"), "was"))
-        labels = after.select("entity", "golden")
-        if after.filter("golden <> was").isEmpty():
-            break
-    return labels
+    least = strong.groupBy("key").agg(F.min("entity").alias("least"))
+    spokes = spread_join(strong, "key", least, "key", "least", hot_keys(strong, "key"), "least")
+    labels = components(spokes.select(F.col("entity").cast("long").alias("a"), F.col("least").cast("long").alias("b")))
+    rows = entities.select("entity").join(labels, entities["entity"] == labels["node"], "left")
+    return rows.select("entity", F.coalesce(F.col("label").cast(entities.schema["entity"].dataType), "entity").alias("golden"))
 
 
 def conflicts(ids: DataFrame) -> DataFrame:
@@ -55,15 +55,18 @@ def conflicts(ids: DataFrame) -> DataFrame:
 
 
 def name_candidates(entities: DataFrame, most: int = 6) -> DataFrame:
-    """left, right, score: pairs of different sources in a block of one name_key of at most `most` entities, whose countries don't differ."""
-    sizes = entities.filter(F.length("name_key") >= 4).groupBy("name_key").agg(F.count("*").alias("n")).filter(F.col("n") <= most)
+    """left, right, score: pairs of different sources in a block of one name_key of at most `most` entities, whose countries don't differ.
+
+    0.60 for the block, 0.15 for equal names, 0.10 for the same city and 0.10 for the same country. Larger blocks are names
+    that say too little; they are left out by rule.
+    """
+    sizes = entities.filter(F.length("name_key") >= 4).groupBy("name_key").agg(F.count("*").alias("n")).filter(F.col("n").between(2, most))
     rows = entities.join(sizes, "name_key")
-    a = rows.select("name_key", *[F.col(c).alias(f"{c}_a") for c in ("entity", "source", "country", "domain", "linkedin")])
-    b = rows.select("name_key", *[F.col(c).alias(f"{c}_b") for c in ("entity", "source", "country", "domain", "linkedin")])
-    pairs = a.join(b, "name_key").filter("entity_a < entity_b AND source_a <> source_b AND (country_a IS NULL OR country_b IS NULL OR country_a = country_b)")
-    same = lambda c, points: F.when(F.col(f"{c}_a") == F.col(f"{c}_b"), points).otherwise(0)
-    points = F.least(F.lit(95), 60 + same("country", 15) + same("domain", 10) + same("linkedin", 10))
-    return pairs.select(F.col("entity_a").alias("left"), F.col("entity_b").alias("right"), (points / 100.0).alias("score"))
+    side = lambda x: rows.select("name_key", *[F.col(c).alias(f"{c}_{x}") for c in ("entity", "source", "name_norm", "city", "country")])
+    pairs = side("a").join(side("b"), "name_key").filter("entity_a < entity_b AND source_a <> source_b AND (country_a IS NULL OR country_b IS NULL OR country_a = country_b)")
+    same = lambda x, y, points: F.when(x == y, points).otherwise(0)
+    points = 60 + same(F.col("name_norm_a"), F.col("name_norm_b"), 15) + same(F.lower("city_a"), F.lower("city_b"), 10) + same(F.col("country_a"), F.col("country_b"), 10)
+    return pairs.select(F.col("entity_a").alias("left"), F.col("entity_b").alias("right"), (F.least(F.lit(95), points) / 100.0).alias("score"))
 
 
 def survivors(pointers: DataFrame, hops: int = 5) -> DataFrame:
@@ -76,6 +79,24 @@ def survivors(pointers: DataFrame, hops: int = 5) -> DataFrame:
     return at.join(ends, "to", "left").select("entity", F.when(F.col("end"), F.col("to")).otherwise(F.col("least")).alias("survivor"))
 
 
+def identifier_survivors(ids: DataFrame, survived: DataFrame) -> DataFrame:
+    """ids with survivor, the company that a claimant's merge pointers end at, and on_tombstone, whether that is another one."""
+    s = survived.select(F.col("entity").alias("_e"), "survivor")
+    return ids.join(s, ids["entity"] == s["_e"], "left").drop("_e").withColumn("on_tombstone", ~F.col("survivor").eqNullSafe(F.col("entity")))
+
+
+def pointer_problems(pointers: DataFrame, labels: DataFrame) -> DataFrame:
+    """entity, problem: merge pointers (entity, merged_into) that can't stand: own_identity, missing_target, same_golden (labels say they are one already) or cycle."""
+    known = labels.select(F.col("entity").alias("_t"), F.col("golden").alias("_tg"))
+    own = labels.select(F.col("entity").alias("_e"), F.col("golden").alias("_eg"))
+    rows = pointers.filter("merged_into IS NOT NULL").join(own, F.col("entity") == own["_e"], "left").join(known, F.col("merged_into") == known["_t"], "left")
+    ends = survivors(pointers)
+    stuck = ends.join(pointers.filter("merged_into IS NULL").select(F.col("entity").alias("survivor")), "survivor", "left_anti").select(F.col("entity").alias("_c"), F.lit(True).alias("_cycle"))
+    rows = rows.join(stuck, rows["entity"] == stuck["_c"], "left")
+    problem = F.when(F.col("entity") == F.col("merged_into"), "own_identity").when(F.col("_t").isNull(), "missing_target").when(F.col("_eg") == F.col("_tg"), "same_golden").when(F.col("_cycle"), "cycle")
+    return rows.select("entity", problem.alias("problem")).filter("problem IS NOT NULL")
+
+
 def golden_fields(entities: DataFrame, labels: DataFrame, fields: list[str]) -> DataFrame:
     """golden, members, sources and each field's first value that isn't null, by the order of the entities."""
     rows = entities.join(labels, "entity")

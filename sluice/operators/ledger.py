@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.functions.patterns import asof_join
+
 
 def cost_of(calls: DataFrame, rates: DataFrame) -> DataFrame:
     """calls with the least and most credits by endpoint; a per-row rate counts the rows asked for. The rates are a short list."""
@@ -34,14 +36,19 @@ def daily_audit(calls: DataFrame, day: str, outcome: str, credits: str) -> DataF
 def unlogged(readings: DataFrame, calls: DataFrame) -> DataFrame:
     """account, read_at, used, logged, unlogged: what the meter moved between two readings against what was logged in between.
 
-    Calls find the reading that ends their interval by an as-of look ahead in one sorted union, so no range is multiplied.
+    Calls are summed by time first. A reading's predecessor and the reading that ends a call's interval are found by as-of
+    joins day by day of an account, so an account with all calls spreads over its days and no range is multiplied.
     """
-    w = Window.partitionBy("account").orderBy("read_at")
-    moves = readings.withColumn("used", F.col("meter") - F.lag("meter").over(w)).filter("used IS NOT NULL")
-    marks = readings.select("account", F.col("read_at").alias("at"), F.lit(None).cast("long").alias("credits"), F.col("read_at").alias("mark"))
-    both = calls.select("account", F.col("called_at").alias("at"), "credits", F.lit(None).cast(readings.schema["read_at"].dataType).alias("mark")).unionByName(marks)
-    ahead = Window.partitionBy("account").orderBy(F.col("at").desc(), F.col("mark").isNotNull().desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    logged = both.withColumn("mark", F.last("mark", ignorenulls=True).over(ahead)).filter("credits IS NOT NULL AND mark IS NOT NULL").groupBy("account", F.col("mark").alias("read_at")).agg(F.sum("credits").alias("logged"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    day = lambda t: F.floor(t / F.lit(86_400_000_000))
+    marks = readings.withColumn("_at", micros("read_at"))
+    before = marks.select("account", "_at", F.col("meter").alias("_before"))
+    moves = asof_join(marks.withColumn("_until", F.col("_at") - 1), before, "account", "_until", "_at", "_before", bucket=day)
+    moves = moves.filter("_before IS NOT NULL").withColumn("used", F.col("meter") - F.col("_before"))
+    summed = calls.groupBy("account", "called_at").agg(F.sum("credits").alias("credits")).withColumn("_back", -micros("called_at"))
+    ends = marks.select("account", (-F.col("_at")).alias("_back_at"), F.col("read_at").alias("_mark"))
+    logged = asof_join(summed, ends, "account", "_back", "_back_at", "_mark", bucket=day).filter("_mark IS NOT NULL")
+    logged = logged.groupBy("account", F.col("_mark").alias("read_at")).agg(F.sum("credits").alias("logged"))
     rows = moves.join(logged, ["account", "read_at"], "left").withColumn("logged", F.coalesce("logged", F.lit(0)))
     return rows.select("account", "read_at", "used", "logged", (F.col("used") - F.col("logged")).alias("unlogged"))
 

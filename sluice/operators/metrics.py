@@ -134,13 +134,18 @@ def deals_entered(enriched: DataFrame, d: str) -> DataFrame:
     return seen.groupBy("pipeline_id", "rung").agg(pick(within(d, 0, 0)).alias("today"), pick(within(d, 0, 0) & F.col("is_human")).alias("today_human"), F.countDistinct("deal_id").alias("roll7"), pick(F.col("is_human")).alias("roll7_human"))
 
 
-def day_status(events: DataFrame, days: DataFrame, share: float = 0.5) -> DataFrame:
-    """ist_day, total, status: weekend, gap (a weekday below `share` of the weekdays' median) or ok."""
+def day_status(events: DataFrame, days: DataFrame, d: str, *, complete: bool = True, share: float = 0.05, lookback: int = 14) -> DataFrame:
+    """ist_day, total, status of each of the days: partial (d, if it isn't complete), weekend (without events), gap or ok.
+
+    A gap is a weekday with fewer events than `share` of the median of the weekdays with events in the `lookback` days before d.
+    """
     totals = days.join(events.groupBy("ist_day").agg(F.count("*").alias("n")), "ist_day", "left").withColumn("total", F.coalesce("n", F.lit(0)))
-    totals = totals.withColumn("weekend", F.weekday("ist_day") >= 5)
-    base = totals.filter("NOT weekend").agg(F.percentile("total", F.lit(0.5)).alias("base"))
-    status = F.when(F.col("weekend"), "weekend").when(F.col("total") < F.col("base") * share, "gap").otherwise("ok")
-    return totals.crossJoin(F.broadcast(base)).select("ist_day", "total", status.alias("status"))  # base is one row
+    weekend = F.weekday("ist_day") >= 5
+    counted = events.groupBy("ist_day").agg(F.count("*").alias("n")).filter(within(d, lookback, 1) & ~weekend)
+    base = counted.agg(F.coalesce(F.percentile("n", F.lit(0.5)), F.lit(0.0)).alias("base"))
+    status = F.when((F.col("ist_day") == day(d)) & F.lit(not complete), "partial").when(weekend, F.when(F.col("total") == 0, "weekend").otherwise("ok"))
+    status = status.when((F.col("base") > 0) & (F.col("total") < F.col("base") * share), "gap").otherwise("ok")
+    return totals.join(F.broadcast(base)).select("ist_day", "total", status.alias("status"))  # base is one row
 
 
 def vertical_rows(events: DataFrame, rules: DataFrame, d: str) -> DataFrame:

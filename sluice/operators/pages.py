@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import text as tx
+from sluice.functions.norm import strip_accents, without_accents
+from sluice.functions.ranks import placed
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
@@ -65,23 +67,28 @@ def score(rows: DataFrame, points: list[tuple[Column, int]], base: int = 20) ->
 
 
 def rank_in_tier(rows: DataFrame, tier: str, value: str, tie: str) -> DataFrame:
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(tier).orderBy(F.col(value).desc(), tie)))
+    """rows with rank from 1 in their tier, the largest value first; a tier of any size spreads over ranges of its values."""
+    return placed(rows, [tier], [F.col(value).desc(), F.col(tie)], "rank").withColumn("rank", F.col("rank") + 1)
 
 
-def batches(rows: DataFrame, order: str, buckets: int, size: int = 40) -> DataFrame:
-    """rows with batch: `size` neighbours in order, within each of `buckets` ranges of the key's hash, so no sort is global."""
-    part = F.pmod(F.xxhash64(order), F.lit(buckets))
-    place = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
-    return rows.withColumn("part", part).withColumn("batch", F.floor(place / size))
+def batches(rows: DataFrame, order: str, tie: str, size: int = 40) -> DataFrame:
+    """rows with batch, from 0: `size` neighbours each in the order of all rows."""
+    return placed(rows, [], [F.col(order), F.col(tie)], "_n").withColumn("batch", F.floor(F.col("_n") / size)).drop("_n")
+
+
+def words(text: Column) -> Column:
+    """The words of a text in lower case, accents off."""
+    return F.regexp_extract_all(without_accents(F.lower(text)), F.lit(r"[\p{L}\p{N}]+"), 0)
 
 
 def token_index(texts: DataFrame, key: str) -> DataFrame:
     """key, term, n of the terms of each text."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), 0)
-    return texts.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    return texts.select(key, F.explode(words(F.col("text"))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
-def search(index: DataFrame, key: str, terms: list[str]) -> DataFrame:
-    """key, hits of the rows that have all terms."""
-    rows = index.filter(F.col("term").isin(*terms)).groupBy(key).agg(F.count("*").alias("found"), F.sum("n").alias("hits"))
-    return rows.filter(F.col("found") == len(set(terms))).select(key, "hits")
+def search(texts: DataFrame, key: str, terms: list[str]) -> DataFrame:
+    """key, hits of the texts that have all terms, accents and case ignored. Other words don't leave their row."""
+    wanted = sorted({strip_accents(t.lower()) for t in terms})
+    found = F.filter(words(F.col("text")), lambda w: w.isin(*wanted))
+    rows = texts.select(key, F.explode(found).alias("term")).groupBy(key).agg(F.countDistinct("term").alias("found"), F.count("*").alias("hits"))
+    return rows.filter(F.col("found") == len(wanted)).select(key, "hits")

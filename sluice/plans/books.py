@@ -88,12 +88,12 @@ def _(spark, d):
     return bad.select("l_orderkey", "l_linenumber", F.array_join("failed", ",").alias("failed"))
 
 
-@query("dq_upsert", "WITH b AS (SELECT 'f' || c_custkey % 300 AS fingerprint, CASE WHEN max(c_custkey) % 3 = 0 THEN 'resolved' ELSE 'open' END AS status, count(*) AS occurrences FROM customer WHERE c_custkey % 300 < 200 GROUP BY ALL), n AS (SELECT 'f' || o_custkey % 300 AS fingerprint, count(*) AS n FROM orders WHERE o_custkey % 300 >= 100 GROUP BY ALL) SELECT coalesce(b.fingerprint, n.fingerprint) AS fingerprint, CASE WHEN n.n IS NOT NULL THEN 'open' ELSE 'resolved' END AS status, coalesce(occurrences, 0) + coalesce(n.n, 0) AS occurrences, CASE WHEN b.status IS NULL THEN 'new' WHEN n.n IS NOT NULL AND b.status = 'resolved' THEN 'reopened' WHEN n.n IS NOT NULL THEN 'seen' WHEN b.status = 'open' THEN 'resolved' ELSE 'unchanged' END AS action FROM b FULL JOIN n ON b.fingerprint = n.fingerprint")
+@query("dq_upsert", "WITH b AS (SELECT CASE WHEN c_custkey % 300 < 200 THEN 'f' ELSE 'old' END || c_custkey % 300 AS fingerprint, CASE WHEN max(c_custkey) % 3 = 0 THEN 'resolved' ELSE 'open' END AS status, count(*) AS occurrences FROM customer GROUP BY ALL), n AS (SELECT CASE WHEN o_custkey % 300 >= 100 THEN 'f' ELSE 'new' END || o_custkey % 300 AS fingerprint, count(*) AS n FROM orders GROUP BY ALL) SELECT coalesce(b.fingerprint, n.fingerprint) AS fingerprint, CASE WHEN n.n IS NOT NULL THEN 'open' ELSE 'resolved' END AS status, coalesce(occurrences, 0) + coalesce(n.n, 0) AS occurrences, CASE WHEN b.status IS NULL THEN 'new' WHEN n.n IS NOT NULL AND b.status = 'resolved' THEN 'reopened' WHEN n.n IS NOT NULL THEN 'seen' WHEN b.status = 'open' THEN 'resolved' ELSE 'unchanged' END AS action FROM b FULL JOIN n ON b.fingerprint = n.fingerprint")
 def _(spark, d):
-    name = lambda c: F.concat(F.lit("f"), (F.col(c) % 300).cast("string")).alias("fingerprint")
-    c = table(spark, d, "customer").filter("c_custkey % 300 < 200").groupBy(name("c_custkey")).agg(F.max("c_custkey").alias("m"), F.count("*").alias("occurrences"))
+    name = lambda c, known, other: F.concat(F.when(known, "f").otherwise(other), (F.col(c) % 300).cast("string")).alias("fingerprint")
+    c = table(spark, d, "customer").groupBy(name("c_custkey", F.col("c_custkey") % 300 < 200, "old")).agg(F.max("c_custkey").alias("m"), F.count("*").alias("occurrences"))
     before = c.withColumn("status", F.when(F.col("m") % 3 == 0, "resolved").otherwise("open"))
-    return dq.upsert_findings(before, table(spark, d, "orders").filter("o_custkey % 300 >= 100").select(name("o_custkey")))
+    return dq.upsert_findings(before, table(spark, d, "orders").select(name("o_custkey", F.col("o_custkey") % 300 >= 100, "new")))
 
 
 @query("count_reconcile", "WITH a AS (SELECT o_custkey AS k, count(*) AS l FROM orders GROUP BY k), b AS (SELECT c_custkey AS k, count(*) AS r FROM customer GROUP BY k) SELECT coalesce(a.k, b.k) AS k, coalesce(l, 0) AS left, coalesce(r, 0) AS right, coalesce(r, 0) - coalesce(l, 0) AS delta FROM a FULL JOIN b ON a.k = b.k")
@@ -101,9 +101,9 @@ def _(spark, d):
     return dq.reconcile(table(spark, d, "orders").select(F.col("o_custkey").alias("k")), table(spark, d, "customer").select(F.col("c_custkey").alias("k")), ["k"])
 
 
-@query("set_reconciliation", "WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), b AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey % 7 <> 0) SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'both' WHEN a.k IS NOT NULL THEN 'left' ELSE 'right' END AS side FROM a FULL JOIN b ON a.k = b.k")
+@query("set_reconciliation", "WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), b AS (SELECT DISTINCT CASE WHEN c_custkey % 7 = 0 THEN -c_custkey ELSE c_custkey END AS k FROM customer) SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'both' WHEN a.k IS NOT NULL THEN 'left' ELSE 'right' END AS side FROM a FULL JOIN b ON a.k = b.k")
 def _(spark, d):
-    return dq.set_diff(table(spark, d, "orders").select(F.col("o_custkey").alias("k")), table(spark, d, "customer").filter("c_custkey % 7 <> 0").select(F.col("c_custkey").alias("k")), "k")
+    return dq.set_diff(table(spark, d, "orders").select(F.col("o_custkey").alias("k")), table(spark, d, "customer").select(F.when(F.col("c_custkey") % 7 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")).alias("k")), "k")
 
 
 @query("snapshot_diff", "SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'insert' WHEN c_custkey % 11 = 0 THEN 'delete' WHEN c_custkey % 13 = 0 THEN 'update' ELSE 'unchanged' END AS action FROM customer")
@@ -113,10 +113,10 @@ def _(spark, d):
     return dq.row_diff(c.filter("c_custkey % 10 <> 0"), after, ["c_custkey"])
 
 
-@query("referential_orphans", "SELECT 'orders.o_custkey' AS link, count(*) AS orphans FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0) UNION ALL SELECT 'lineitem.l_suppkey', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)")
+@query("referential_orphans", "SELECT 'orders.o_custkey' AS link, count(*) AS orphans FROM orders WHERE o_custkey NOT IN (SELECT CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END FROM customer) UNION ALL SELECT 'lineitem.l_suppkey', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT CASE WHEN s_suppkey % 2 = 1 THEN -s_suppkey ELSE s_suppkey END FROM supplier)")
 def _(spark, d):
     t = {n: table(spark, d, n) for n in ("orders", "lineitem", "customer", "supplier")}
-    t |= {"customer": t["customer"].filter("c_custkey % 3 <> 0"), "supplier": t["supplier"].filter("s_suppkey % 2 = 0")}
+    t |= {"customer": t["customer"].withColumn("c_custkey", F.when(F.col("c_custkey") % 3 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey"))), "supplier": t["supplier"].withColumn("s_suppkey", F.when(F.col("s_suppkey") % 2 == 1, -F.col("s_suppkey")).otherwise(F.col("s_suppkey")))}
     return dq.orphans(t, [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey")])
 
 

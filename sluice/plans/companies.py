@@ -8,52 +8,56 @@ from pyspark.sql import functions as F
 from sluice.functions import norm
 from sluice.functions.patterns import take_by_demand
 from sluice.operators import gates, identity
-from sluice.plans.model import table
+from sluice.plans import model
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-COLUMNS = "entity, source, pk, raw_domain, domain, raw_linkedin, linkedin, name, name_key, country, raw_phone"
-#: Derived alike in both engines: messy spellings of a domain, an address and a phone number, some shared, some unusable.
+#: Messy spellings of a domain, an address, a name and a phone number; a key is shared by a few neighbours, whatever the table's size.
 PARTS = """SELECT {pk} * 2 + {odd} AS entity, '{source}' AS source, {pk} AS pk,
-CASE {pk} % 7 WHEN 0 THEN ' HTTPS://www.d' || ({pk} % 401) || '.example/path?x ' WHEN 1 THEN 'D' || ({pk} % 401) || '.EXAMPLE' WHEN 2 THEN 'user@d' || ({pk} % 401) || '.example:8080'
-WHEN 3 THEN '"d' || ({pk} % 401) || '.example."' WHEN 4 THEN 'not a host' WHEN 5 THEN NULL ELSE 'd' || ({pk} + {odd} * 100000) || '.example' END AS raw_domain,
-CASE {pk} % 5 WHEN 0 THEN 'https://in.social.example/company/C-' || ({pk} % 907) || '/?trk=x' WHEN 1 THEN 'COMPANY/c-' || ({pk} % 907) WHEN 2 THEN 'https://social.example/in/p-' || {pk} WHEN 3 THEN '' ELSE 'school/s-' || ({pk} % 331) END AS raw_linkedin,
-{name} || ' ' || ({pk} % 500) || ' Pvt. Ltd.' AS name, {nation} AS country,
-CASE {pk} % 6 WHEN 0 THEN '+91 98' || (10000000 + {pk} * 37) WHEN 1 THEN '098' || (10000000 + {pk} * 41) WHEN 2 THEN '0044 20' || (10000000 + {pk}) WHEN 3 THEN '22' || (10000000 + {pk}) WHEN 4 THEN 'none' ELSE '9999999999' END AS raw_phone
-FROM {table}"""
-BASE = " UNION ALL ".join(PARTS.format(**p) for p in (dict(pk="c_custkey", odd=0, source="cust", name="'Acme Unit'", nation="c_nationkey", table="customer"), dict(pk="s_suppkey", odd=1, source="supp", name="'ACME  unit'", nation="s_nationkey", table="supplier")))
-CO = rf"""b AS ({BASE}), n1 AS (SELECT *, trim(lower(raw_domain), ' "''') AS t FROM b),
-n2 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '^[a-z]+://', ''), '[/?#].*$', ''), '^.*@', ''), ':[0-9]+$', ''), '^\.+|\.+$', '', 'g'), '^www\.', '') AS h,
+CASE {pk} % 7 WHEN 0 THEN ' HTTPS://www.d' || {third} || '.example/path?x ' WHEN 1 THEN 'D' || {third} || '.EXAMPLE' WHEN 2 THEN 'user@d' || {third} || '.example:8080'
+WHEN 3 THEN '"d' || {third} || '.example."' WHEN 4 THEN 'not a host' WHEN 5 THEN CASE WHEN {pk} % 2 = 0 THEN 'https://mü.d' || {pk} || '.example' END ELSE 'generic.example' END AS raw_domain,
+CASE {pk} % 5 WHEN 0 THEN 'https://in.social.example/company/C-' || {pair} || '/?trk=x' WHEN 1 THEN 'COMPANY/c-' || {pair} WHEN 2 THEN 'https://social.example/in/p-' || {pk} WHEN 3 THEN '' ELSE 'school/s-' || {third} END AS raw_linkedin,
+CASE {pk} % 4 WHEN 0 THEN 'Café Unit ' || {third} || ' and Sons Incorporated' WHEN 1 THEN 'cafe  unit ' || {third} || ' Sons Pvt. Ltd.' ELSE 'The Café Unit ' || {third} || ' Sons PTE' END AS name,
+CASE WHEN {pk} % 3 = 0 THEN NULL ELSE {nation} % 2 END AS country, CASE WHEN {pk} % 5 = 0 THEN NULL WHEN {pk} % 5 < 3 THEN 'City ' || ({pk} % 2) ELSE 'CITY ' || ({pk} % 2) END AS city,
+CASE WHEN {pk} % 10 < 8 THEN 1.0 ELSE 0.5 END AS confidence,
+CASE {pk} % 12 WHEN 0 THEN '+91 98' || (10000000 + {pk} * 37) WHEN 1 THEN '098' || (10000000 + {pk} * 41) WHEN 2 THEN '0044 20' || (10000000 + {pk}) WHEN 3 THEN '22' || (10000000 + {pk}) WHEN 4 THEN 'none'
+WHEN 5 THEN '9999999999' WHEN 6 THEN '79' || (10000000 + {pk}) WHEN 7 THEN '+91 612' || (1000000 + {pk}) WHEN 8 THEN '0091 1800' || (1000000 + {pk}) WHEN 9 THEN '+971 50' || (1000000 + {pk}) WHEN 10 THEN '70' || (10000000 + {pk}) ELSE '9898989898' END AS raw_phone
+FROM {{{table}}}"""
+BASE = " UNION ALL ".join(
+    PARTS.format(**p, third=f"CAST(floor({p['pk']} / 3) AS BIGINT)", pair=f"CAST(floor({p['pk']} / 2) AS BIGINT)")
+    for p in (dict(pk="c_custkey", odd=0, source="cust", nation="c_nationkey", table="customer"), dict(pk="s_suppkey", odd=1, source="supp", nation="s_nationkey", table="supplier"))
+)
+GENERIC = ("generic.example",)
+# Written from the rules: trimmed of blanks and quotes; scheme, path, credentials, port, dots and www. off; punycode; 22 forms out of a name.
+CO = rf"""b AS ({model.duck(BASE)}), n1 AS (SELECT *, trim(lower(raw_domain), ' "''') AS t FROM b),
+n2 AS (SELECT *, replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '^[a-z]+://', ''), '[/?#].*$', ''), '^.*@', ''), ':[0-9]+$', ''), '^\.+|\.+$', '', 'g'), '^www\.', ''), 'mü.', 'xn--m-eha.') AS h,
 lower(trim(raw_linkedin)) AS li FROM n1),
 co AS (SELECT entity, source, pk, raw_domain, CASE WHEN regexp_matches(h, '^([a-z0-9]([a-z0-9-]*[a-z0-9])?\.)+[a-z0-9-]+$') THEN h END AS domain, raw_linkedin,
 CASE WHEN regexp_matches(li, '(^|/)(company|school|showcase)/[^/?#\s]+') THEN regexp_extract(li, '(?:^|/)((company|school|showcase)/[^/?#\s]+)', 1) END AS linkedin,
-name, 'acmeunit' || (pk % 500) AS name_key, country, raw_phone FROM n2)"""
-IDS = """ki AS (SELECT entity, source, 'domain' AS type, domain AS value, 0 AS priority FROM co WHERE domain IS NOT NULL UNION ALL SELECT entity, source, 'linkedin', linkedin, 1 FROM co WHERE linkedin IS NOT NULL),
-id AS (SELECT ki.*, claims, CASE WHEN claims >= 3 THEN 'weak' ELSE 'strong' END AS strength FROM ki JOIN (SELECT type, value, count(DISTINCT entity) AS claims FROM ki GROUP BY ALL) c ON ki.type = c.type AND ki.value = c.value)"""
-GOLD = """r(a, b) AS (SELECT entity, entity FROM co UNION SELECT r.a, y.entity FROM r JOIN id x ON r.b = x.entity AND x.strength = 'strong' JOIN id y ON x.type = y.type AND x.value = y.value),
+name, array_to_string(list_filter(regexp_extract_all(strip_accents(lower(name)), '[a-z0-9]+'), lambda w: w NOT IN ('ltd', 'limited', 'pvt', 'private', 'llp', 'inc', 'incorporated', 'plc', 'corp', 'corporation', 'llc', 'co', 'company', 'gmbh', 'pte', 'opc', 'lp', 'sa', 'bv', 'ag', 'the', 'and')), ' ') AS name_key,
+regexp_replace(lower(trim(name)), '\s+', ' ', 'g') AS name_norm, country, city, confidence, raw_phone FROM n2)"""
+IDS = """ki AS (SELECT entity, source, 'domain' AS type, domain AS value, 0 AS priority, CAST(confidence AS DOUBLE) AS confidence FROM co WHERE domain IS NOT NULL UNION ALL SELECT entity, source, 'linkedin', linkedin, 1, 1.0 FROM co WHERE linkedin IS NOT NULL),
+kc AS (SELECT ki.*, count(DISTINCT entity) OVER (PARTITION BY type, value) AS claims, count(DISTINCT entity) OVER (PARTITION BY source, type, value) AS own FROM ki),
+id AS (SELECT entity, source, type, value, priority, confidence, claims, CASE WHEN own >= 3 OR confidence < 0.9 OR (type = 'domain' AND value = 'generic.example') THEN 'weak' ELSE 'strong' END AS strength FROM kc)"""
+GOLD = """r(a, b) AS (SELECT entity, entity FROM co UNION SELECT r.a, y.entity FROM r JOIN id x ON r.b = x.entity AND x.strength = 'strong' JOIN id y ON x.type = y.type AND x.value = y.value AND y.strength = 'strong'),
 go AS (SELECT a AS entity, min(b) AS golden FROM r GROUP BY a)"""
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = []
-    for t, pk, odd, source, name, nation in (("customer", "c_custkey", 0, "cust", "Acme Unit", "c_nationkey"), ("supplier", "s_suppkey", 1, "supp", "ACME  unit", "s_nationkey")):
-        k, s = F.col(pk), lambda x: x.cast("string")
-        d, c = s(F.col(pk) % 401), s(F.col(pk) % 907)
-        web = F.when(k % 7 == 0, F.concat(F.lit(" HTTPS://www.d"), d, F.lit(".example/path?x "))).when(k % 7 == 1, F.concat(F.lit("D"), d, F.lit(".EXAMPLE"))).when(k % 7 == 2, F.concat(F.lit("user@d"), d, F.lit(".example:8080")))
-        web = web.when(k % 7 == 3, F.concat(F.lit('"d'), d, F.lit('.example."'))).when(k % 7 == 4, F.lit("not a host")).when(k % 7 == 6, F.concat(F.lit("d"), s(k + odd * 100_000), F.lit(".example")))
-        net = F.when(k % 5 == 0, F.concat(F.lit("https://in.social.example/company/C-"), c, F.lit("/?trk=x"))).when(k % 5 == 1, F.concat(F.lit("COMPANY/c-"), c)).when(k % 5 == 2, F.concat(F.lit("https://social.example/in/p-"), s(k)))
-        net = net.when(k % 5 == 3, F.lit("")).otherwise(F.concat(F.lit("school/s-"), s(k % 331)))
-        tel = F.when(k % 6 == 0, F.concat(F.lit("+91 98"), s(10_000_000 + k * 37))).when(k % 6 == 1, F.concat(F.lit("098"), s(10_000_000 + k * 41))).when(k % 6 == 2, F.concat(F.lit("0044 20"), s(10_000_000 + k)))
-        tel = tel.when(k % 6 == 3, F.concat(F.lit("22"), s(10_000_000 + k))).when(k % 6 == 4, F.lit("none")).otherwise(F.lit("9999999999"))
-        label = F.concat(F.lit(f"{name} "), s(k % 500), F.lit(" Pvt. Ltd."))
-        parts.append(table(spark, sf_dir, t).select((k * 2 + odd).alias("entity"), F.lit(source).alias("source"), k.alias("pk"), web.alias("raw_domain"), net.alias("raw_linkedin"), label.alias("name"), F.col(nation).alias("country"), tel.alias("raw_phone")))
-    raw = parts[0].union(parts[1])
-    return raw.withColumns({"domain": norm.domain(F.col("raw_domain")), "linkedin": norm.linkedin_company(F.col("raw_linkedin")), "name_key": norm.name_key(F.col("name"))})
+    """entity, source, pk, raw columns and their normal forms, of customers and suppliers."""
+    raw = model.derived(spark, sf_dir, BASE)
+    rules = {"domain": ("domain", "raw_domain"), "linkedin": ("linkedin_company", "raw_linkedin"), "name_key": ("name_key", "name"), "name_norm": ("company_name", "name")}
+    rows = norm.applied(raw, rules)
+    return rows.withColumn("confidence", F.col("confidence").cast("double"))
 
 
 TYPES = [("domain", "domain"), ("linkedin", "linkedin")]
 
 
+def _ids(co: DataFrame) -> DataFrame:
+    return identity.identifiers(co, TYPES, confidence={"domain": "confidence"}, generic={"domain": GENERIC})
+
+
 def query(name: str, body: str, with_: str = ""):
     def add(f):
         QUERIES[name] = lambda spark, sf_dir: f(companies(spark, sf_dir))
@@ -73,71 +77,97 @@ def _(co):
     return norm.normalise(co.select("entity", "raw_domain", "raw_linkedin"), {"raw_domain": "domain", "raw_linkedin": "linkedin_company"}, "entity")[1]
 
 
-PHONES = r"""ph AS (SELECT entity, source, e164, CASE WHEN e164 IS NULL THEN NULL WHEN NOT starts_with(e164, '+91') THEN 'foreign' WHEN regexp_matches(e164, '^\+911800') THEN 'toll_free' WHEN regexp_matches(e164, '^\+91[6-9][0-9]{9}$') THEN 'mobile' WHEN regexp_matches(e164, '^\+91[1-5][0-9]{7,9}$') THEN 'landline' ELSE 'unknown' END AS phone_type FROM (
-SELECT entity, source, CASE WHEN d = '' THEN NULL WHEN starts_with(raw_phone, '+') THEN '+' || d WHEN starts_with(d, '00') THEN '+' || substr(d, 3) WHEN length(d) = 11 AND d[1] = '0' THEN '+91' || substr(d, 2) WHEN length(d) = 10 THEN '+91' || d END AS e164
-FROM (SELECT *, regexp_replace(raw_phone, '[^0-9]', '', 'g') AS d FROM co)))"""
+# Written from the rules: area codes of fixed lines that mobile numbers could begin with too leave a number unknown.
+PHONES = r"""pe AS (SELECT entity, source, raw_phone, CASE WHEN d = '' THEN NULL WHEN starts_with(raw_phone, '+') THEN '+' || d WHEN starts_with(d, '00') THEN '+' || substr(d, 3) WHEN length(d) = 12 AND starts_with(d, '91') THEN '+' || d WHEN length(d) = 11 AND d[1] = '0' THEN '+91' || substr(d, 2) WHEN length(d) = 10 THEN '+91' || d END AS e
+FROM (SELECT *, regexp_replace(raw_phone, '[^0-9]', '', 'g') AS d FROM co)), pn AS (SELECT *, CASE WHEN regexp_matches(e, '^\+[1-9][0-9]{7,14}$') THEN e END AS e164, substr(e, 4) AS nat, CASE WHEN length(regexp_replace(raw_phone, '[^0-9]', '', 'g')) >= 10 THEN right(regexp_replace(raw_phone, '[^0-9]', '', 'g'), 10) ELSE regexp_replace(raw_phone, '[^0-9]', '', 'g') END AS tail FROM pe),
+ph AS (SELECT entity, source, raw_phone, e164, CASE WHEN e164 IS NULL OR NOT starts_with(e164, '+91') THEN 'unknown' WHEN length(nat) = 11 AND starts_with(nat, '1800') THEN 'tollfree' WHEN length(nat) = 10 AND nat[1] = '9' THEN 'mobile'
+WHEN length(nat) = 10 AND nat[1] IN ('6', '7', '8') AND left(nat, 2) NOT IN ('79', '80') AND left(nat, 3) NOT IN ('612','621','631','641','651','661','671','674','680','712','721','731','734','741','751','755','761','771','788','821','824','831','832','836','861','863','866','870','877','884','891') THEN 'mobile'
+WHEN length(nat) = 10 AND nat[1] IN ('1', '2', '3', '4', '5') THEN 'landline' ELSE 'unknown' END AS phone_type,
+CASE WHEN starts_with(e164, '+971') THEN 'AE' WHEN starts_with(e164, '+91') THEN 'IN' WHEN starts_with(e164, '+44') THEN 'GB' END AS phone_country,
+length(tail) < 7 OR len(list_distinct(string_split(tail, ''))) = 1 OR tail IN ('1234567890', '0123456789', '9876543210', '0987654321') OR regexp_matches(tail, '^(0?1234567|9876543)') AS is_dummy FROM pn)"""
 
 
-@query("classify_phones", "SELECT entity, e164, phone_type FROM ph", PHONES)
-def _(co):
+def _phones(co: DataFrame) -> DataFrame:
     rows = co.withColumn("e164", norm.phone_e164(F.col("raw_phone")))
-    return rows.select("entity", "e164", norm.phone_type(F.col("e164")).alias("phone_type"))
+    return rows.withColumns({"phone_type": norm.phone_type(F.col("e164")), "phone_country": norm.phone_country(F.col("e164")), "is_dummy": norm.is_dummy_phone(F.col("raw_phone"))})
 
 
-@query("mobile_gate", "SELECT owner, CASE WHEN bool_or(phone_type = 'mobile') THEN arg_min(e164, entity) FILTER (phone_type = 'mobile') END AS e164, coalesce(bool_or(phone_type = 'mobile'), false) AS has_mobile FROM (SELECT entity // 14 AS owner, * FROM ph) GROUP BY owner", PHONES)
+@query("classify_phones", "SELECT entity, e164, phone_type, phone_country, is_dummy FROM ph", PHONES)
 def _(co):
-    rows = co.withColumn("e164", norm.phone_e164(F.col("raw_phone")))
-    phones = rows.select(F.floor(F.col("entity") / 14).alias("owner"), F.col("entity").alias("phone_id"), "e164", norm.phone_type(F.col("e164")).alias("phone_type"), F.lit(False).alias("is_primary"))
-    return gates.best_phone(phones).withColumn("has_mobile", F.coalesce("has_mobile", F.lit(False)))
+    return _phones(co).select("entity", "e164", "phone_type", "phone_country", "is_dummy")
 
 
-@query("identifier_candidates", "SELECT entity, source, type, value, priority, claims, strength FROM id")
+@query("mobile_gate", "SELECT owner, CASE WHEN bool_or(phone_type = 'mobile' AND NOT is_dummy) THEN arg_min(e164, entity) FILTER (phone_type = 'mobile' AND NOT is_dummy) END AS e164, coalesce(bool_or(phone_type = 'mobile' AND NOT is_dummy), false) AS has_mobile, count(*) AS phones FROM (SELECT entity // 14 AS owner, * FROM ph) GROUP BY owner", PHONES)
 def _(co):
-    return identity.identifiers(co, TYPES)
+    phones = _phones(co).select(F.floor(F.col("entity") / 14).alias("owner"), F.col("entity").alias("phone_id"), "e164", "phone_type", F.lit(False).alias("is_primary"), "is_dummy")
+    return gates.best_phone(phones)
+
+
+@query("phone_gate_review", r"SELECT owner_kind, entity AS owner, raw_phone, e164, reason FROM (SELECT CASE WHEN source = 'cust' THEN 'contact' ELSE 'company' END AS owner_kind, *, CASE WHEN phone_type = 'unknown' AND regexp_matches(e164, '^\+91[6-9][0-9]{9}$') THEN 'mobile_shape_unclassified' WHEN e164 IS NULL AND regexp_matches(regexp_replace(raw_phone, '[ -]', '', 'g'), '^(\+91|0091|[6-9][0-9]{9}$)') THEN 'indian_shape_without_e164' END AS reason FROM ph WHERE NOT is_dummy) WHERE reason IS NOT NULL", PHONES)
+def _(co):
+    rows = _phones(co).withColumnRenamed("entity", "owner")
+    return gates.phone_review({"contact": rows.filter("source = 'cust'"), "company": rows.filter("source = 'supp'")})
+
+
+@query("identifier_candidates", "SELECT entity, source, type, value, priority, confidence, claims, strength FROM id")
+def _(co):
+    return _ids(co)
 
 
 @query("link_golden", "SELECT * FROM go", GOLD)
 def _(co):
-    return identity.golden(co, identity.identifiers(co, TYPES))
+    return identity.golden(co, _ids(co))
 
 
 @query("company_golden", "SELECT golden, count(*) AS members, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources, arg_min(domain, co.entity) FILTER (domain IS NOT NULL) AS domain, arg_min(linkedin, co.entity) FILTER (linkedin IS NOT NULL) AS linkedin FROM co JOIN go ON co.entity = go.entity GROUP BY golden", GOLD)
 def _(co):
-    return identity.golden_fields(co, identity.golden(co, identity.identifiers(co, TYPES)), ["domain", "linkedin"])
+    return identity.golden_fields(co, identity.golden(co, _ids(co)), ["domain", "linkedin"])
 
 
 @query("source_overlap", "SELECT n AS sources, count(*) AS companies FROM (SELECT golden, count(DISTINCT source) AS n FROM co JOIN go ON co.entity = go.entity GROUP BY golden) GROUP BY n", GOLD)
 def _(co):
-    return identity.source_overlap(co, identity.golden(co, identity.identifiers(co, TYPES)))
+    return identity.source_overlap(co, identity.golden(co, _ids(co)))
 
 
-@query("identifier_conflicts", "SELECT min(entity) AS left, max(entity) AS right, type, value, 0.9::DOUBLE AS score FROM id WHERE strength = 'strong' AND claims = 2 GROUP BY type, value HAVING count(DISTINCT source) = 2")
+@query("identifier_conflicts", "SELECT DISTINCT a.entity AS left, b.entity AS right, a.type, a.value, 0.9::DOUBLE AS score FROM id a JOIN id b ON a.type = b.type AND a.value = b.value AND a.entity < b.entity AND a.source <> b.source WHERE a.strength = 'strong' AND b.strength = 'strong'")
 def _(co):
-    return identity.conflicts(identity.identifiers(co, TYPES))
+    return identity.conflicts(_ids(co))
 
 
-@query("name_merge_candidates", "SELECT a.entity AS left, b.entity AS right, least(95, 60 + 15 * CAST(coalesce(a.country = b.country, false) AS INT) + 10 * CAST(coalesce(a.domain = b.domain, false) AS INT) + 10 * CAST(coalesce(a.linkedin = b.linkedin, false) AS INT)) / 100::DOUBLE AS score FROM co a JOIN co b ON a.name_key = b.name_key AND a.entity < b.entity AND a.source <> b.source AND a.country = b.country JOIN (SELECT name_key FROM co GROUP BY name_key HAVING count(*) <= 6) k ON k.name_key = a.name_key")
+@query("name_merge_candidates", "SELECT a.entity AS left, b.entity AS right, least(95, 60 + 15 * CAST(a.name_norm = b.name_norm AS INT) + 10 * CAST(coalesce(lower(a.city) = lower(b.city), false) AS INT) + 10 * CAST(coalesce(a.country = b.country, false) AS INT)) / 100::DOUBLE AS score FROM co a JOIN co b ON a.name_key = b.name_key AND a.entity < b.entity AND a.source <> b.source AND (a.country IS NULL OR b.country IS NULL OR a.country = b.country) JOIN (SELECT name_key FROM co WHERE length(name_key) >= 4 GROUP BY name_key HAVING count(*) <= 6) k ON k.name_key = a.name_key")
 def _(co):
     return identity.name_candidates(co)
 
 
-@query("company_survivor", "SELECT entity, arg_max(here, n) AS survivor FROM w GROUP BY entity", "p AS (SELECT pk AS entity, CASE WHEN pk % 3 = 0 AND pk > 0 THEN pk // 3 END AS into_ FROM co WHERE source = 'cust'), w(entity, here, n) AS (SELECT entity, entity, 0 FROM p UNION ALL SELECT w.entity, p.into_, n + 1 FROM w JOIN p ON w.here = p.entity WHERE p.into_ IS NOT NULL)")
+POINTERS = "p AS (SELECT entity, CASE WHEN pk % 3 = 0 AND pk > 0 THEN (pk // 3) * 2 + entity % 2 END AS into_ FROM co), w(entity, here, n) AS (SELECT entity, entity, 0 FROM p UNION ALL SELECT w.entity, p.into_, n + 1 FROM w JOIN p ON w.here = p.entity WHERE p.into_ IS NOT NULL), sv AS (SELECT entity, arg_max(here, n) AS survivor FROM w GROUP BY entity)"
+
+
+def _pointers(co: DataFrame) -> DataFrame:
+    return co.select("entity", F.when((F.col("pk") % 3 == 0) & (F.col("pk") > 0), F.floor(F.col("pk") / 3) * 2 + F.col("entity") % 2).alias("merged_into"))
+
+
+@query("company_survivor", "SELECT * FROM sv", POINTERS)
+def _(co):
+    return identity.survivors(_pointers(co))
+
+
+@query("identifier_survivor", "SELECT type, value, id.entity, survivor, survivor <> id.entity AS on_tombstone FROM id JOIN sv ON id.entity = sv.entity", POINTERS)
 def _(co):
-    own = co.filter("source = 'cust'")
-    return identity.survivors(own.select(F.col("pk").alias("entity"), F.when((F.col("pk") % 3 == 0) & (F.col("pk") > 0), F.floor(F.col("pk") / 3)).alias("merged_into")))
+    return identity.identifier_survivors(_ids(co), identity.survivors(_pointers(co))).select("type", "value", "entity", "survivor", "on_tombstone")
 
 
+ONE = "ow AS (SELECT type, value, min(entity) AS entity FROM id GROUP BY type, value HAVING count(DISTINCT entity) = 1)"
 OWN = "ow AS (SELECT type, value, min(entity) AS entity FROM id WHERE source = 'supp' GROUP BY type, value HAVING count(DISTINCT entity) = 1)"
 
 
-@query("unique_owner_lookup", "SELECT * FROM ow", OWN)
+@query("unique_owner_lookup", "SELECT * FROM ow", ONE)
 def _(co):
-    return identity.unique_owner(identity.identifiers(co, TYPES).filter("source = 'supp'"))
+    return identity.unique_owner(_ids(co))
 
 
 @query("multi_key_lookup", "SELECT c.pk, CASE WHEN a.entity IS NULL AND b.entity IS NULL THEN 'unlinked' WHEN a.entity <> b.entity THEN 'ambiguous' ELSE 'linked' END AS status, CASE WHEN a.entity <> b.entity THEN NULL ELSE coalesce(a.entity, b.entity) END AS found FROM co c LEFT JOIN ow a ON a.type = 'domain' AND a.value = c.domain LEFT JOIN ow b ON b.type = 'linkedin' AND b.value = c.linkedin WHERE c.source = 'cust'", OWN)
 def _(co):
-    owners = identity.unique_owner(identity.identifiers(co, TYPES).filter("source = 'supp'"))
+    owners = identity.unique_owner(_ids(co).filter("source = 'supp'"))
     rows = identity.lookup(co.filter("source = 'cust'").select("pk", "domain", "linkedin"), owners, TYPES)
     return rows.select("pk", "status", F.col("entity").alias("found"))
 

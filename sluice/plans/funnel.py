@@ -232,9 +232,9 @@ def _(w):
     return mt.deals_entered(w.x, DAY)
 
 
-@query("day_status", f", {CAL}, t AS (SELECT cal.ist_day, count(e.event_id) AS total FROM cal LEFT JOIN e ON cal.ist_day = e.ist_day GROUP BY cal.ist_day), b AS (SELECT quantile_cont(total, 0.5) AS base FROM t WHERE isodow(ist_day) < 6) SELECT ist_day, total, CASE WHEN isodow(ist_day) >= 6 THEN 'weekend' WHEN total < base * 0.5 THEN 'gap' ELSE 'ok' END AS status FROM t, b")
+@query("day_status", f", {CAL}, t AS (SELECT cal.ist_day, count(e.event_id) AS total FROM cal LEFT JOIN e ON cal.ist_day = e.ist_day GROUP BY cal.ist_day), b AS (SELECT coalesce(quantile_cont(total, 0.5), 0) AS base FROM t WHERE isodow(ist_day) < 6 AND total > 0 AND ist_day BETWEEN DATE '{DAY}' - 14 AND DATE '{DAY}' - 1) SELECT ist_day, total, CASE WHEN ist_day = DATE '{DAY}' THEN 'partial' WHEN isodow(ist_day) >= 6 THEN CASE WHEN total = 0 THEN 'weekend' ELSE 'ok' END WHEN base > 0 AND total < 0.05 * base THEN 'gap' ELSE 'ok' END AS status FROM t, b")
 def _(w):
-    return mt.day_status(w.events, w.days)
+    return mt.day_status(w.events, w.days, DAY, complete=False)
 
 
 RULES = [("Early", "click_0", None), ("Early", "click_1", None), ("All views", None, "view_"), ("Won", "purchase_1", None), ("Purchases", None, "purchase")]
@@ -245,7 +245,7 @@ def _(w):
     return mt.vertical_rows(w.events, w.spark.sql(model.values_sql(RULES, "row_name, stage, prefix")), DAY)
 
 
-@query("change_flags", f", {CAL}, c AS (SELECT ist_day, count(*) AS n FROM e GROUP BY ist_day), p AS (SELECT ist_day, n, lag(n) OVER (ORDER BY ist_day) AS b FROM c) SELECT ist_day, n - b AS delta, CASE WHEN ist_day = DATE '2024-01-31' THEN 'partial' WHEN b = 0 AND n > 0 THEN 'new' WHEN b = n THEN 'flat' WHEN b >= 10 THEN 'pct' ELSE 'abs' END AS flag, CASE WHEN NOT ist_day = DATE '2024-01-31' AND b <> n AND b >= 10 THEN round((n - b) * 100.0::DOUBLE / b, 1) END AS pct FROM p WHERE b IS NOT NULL")
+@query("change_flags", f", {CAL}, c AS (SELECT ist_day, count(*) AS n FROM e GROUP BY ist_day), p AS (SELECT ist_day, n, lag(n) OVER (ORDER BY ist_day) AS b FROM c) SELECT ist_day, n - b AS delta, CASE WHEN b = 0 AND n > 0 THEN 'new' WHEN b = 0 AND n = 0 THEN 'flat' WHEN ist_day = DATE '2024-01-31' THEN 'partial' WHEN b >= 10 THEN 'pct' ELSE 'abs' END AS flag, CASE WHEN ist_day <> DATE '2024-01-31' AND b >= 10 THEN round((n - b) * 100.0::DOUBLE / b, 1) END AS pct FROM p WHERE b IS NOT NULL")
 def _(w):
     daily = w.events.groupBy("ist_day").agg(F.count("*").alias("n"))
     rows = daily.withColumn("b", F.lag("n").over(Window.orderBy("ist_day"))).filter("b IS NOT NULL")  # a row a day

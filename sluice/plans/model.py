@@ -51,6 +51,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations", "labels")
+
+
+def derived(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """Rows that a SELECT over {tables} derives from the given ones, in words that both engines read alike."""
+    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in text})
+
+
+def duck(text: str) -> str:
+    """The same SELECT for DuckDB."""
+    return text.format(**{t: t for t in TABLES})
+
+
 def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     e = table(spark, sf_dir, "events").withColumn("k", k)

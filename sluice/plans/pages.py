@@ -10,7 +10,8 @@ from sluice.plans.model import table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-FAMILIES = {"the": "the", "ing": "[a-z]+ing", "and": "and", "digits": "[0-9]{3,}"}
+#: Families of terms, each matched by whole words of letters and digits.
+FAMILIES = {"the": "the", "ing": "[a-z]+ing", "and": "and|und|et|y", "digits": "[0-9]{3,}"}
 KINDS = [("about", "^/th"), ("contact", "^/an"), ("team", "^/er")]
 
 
@@ -57,7 +58,7 @@ def _(spark, d):
     return pg.emails(table(spark, d, "documents"), "doc_id")
 
 
-@query("signal_counts", "SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all(text, '(?i){p}')) AS BIGINT) AS \"{n}\"" for n, p in FAMILIES.items()) + " FROM documents")
+@query("signal_counts", "SELECT doc_id, " + ", ".join(f"CAST(len(list_filter(w, lambda x: regexp_full_match(x, '{p}'))) AS BIGINT) AS \"{n}\"" for n, p in FAMILIES.items()) + " FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents)")
 def _(spark, d):
     return pg.signals(table(spark, d, "documents"), "doc_id", FAMILIES)
 
@@ -94,14 +95,14 @@ def _(spark, d):
     return _scored(spark, d).groupBy("source").agg(F.countDistinct("doc_id").alias("docs"), F.count_if(F.col("bucket") == "P1").alias("p1"), F.count_if(F.col("bucket") == "P2").alias("p2"), F.round(F.avg("score"), 3).alias("mean"))
 
 
-@query("token_index", "SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents) GROUP BY ALL")
+@query("token_index", "SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}]+')) AS term FROM documents) GROUP BY ALL")
 def _(spark, d):
     return pg.token_index(table(spark, d, "documents"), "doc_id")
 
 
-@query("full_text_search", "SELECT doc_id, CAST(count(*) AS BIGINT) AS hits FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents) WHERE term IN ('the', 'then', 'er') GROUP BY doc_id HAVING count(DISTINCT term) = 3")
+@query("full_text_search", "SELECT doc_id, CAST(count(*) AS BIGINT) AS hits FROM (SELECT doc_id, unnest(regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}]+')) AS term FROM documents) WHERE term IN ('the', 'then', 'er') GROUP BY doc_id HAVING count(DISTINCT term) = 3")
 def _(spark, d):
-    return pg.search(pg.token_index(table(spark, d, "documents"), "doc_id"), "doc_id", ["the", "then", "er"])
+    return pg.search(table(spark, d, "documents"), "doc_id", ["the", "Thén", "er"])
 
 
 @query("thread_rollup", "SELECT conv_id, count(*) AS messages, min(turn) AS first_turn, max(turn) AS last_turn, arg_min(md5(text), turn) AS subject, count(*) FILTER (role = 'user') AS from_user FROM conversations GROUP BY conv_id")

@@ -54,11 +54,11 @@ def _(spark, d):
     return pj.source_pairs(rows, "g", "s")
 
 
-@query("push_links", "WITH p AS (SELECT l_orderkey * 10 + l_linenumber AS push, CASE WHEN l_linenumber <> 3 THEN l_orderkey END AS deal, l_suppkey * 3 % 40 AS company FROM lineitem), q AS (SELECT o_orderkey AS deal, o_custkey % 40 AS company FROM orders WHERE o_orderkey % 4 <> 0) SELECT push, CASE WHEN p.deal IS NULL THEN 'no_id' WHEN q.company IS NULL THEN 'unmatched' WHEN CASE WHEN p.company >= 20 THEN p.company - 20 ELSE p.company END = CASE WHEN q.company >= 20 THEN q.company - 20 ELSE q.company END THEN 'agree' ELSE 'conflict' END AS status FROM p LEFT JOIN q ON p.deal = q.deal")
+@query("push_links", "WITH p AS (SELECT l_orderkey * 10 + l_linenumber AS push, CASE WHEN l_linenumber <> 3 THEN l_orderkey END AS deal, l_suppkey * 3 % 40 AS company FROM lineitem), q AS (SELECT CASE WHEN o_orderkey % 4 = 0 THEN -o_orderkey ELSE o_orderkey END AS deal, o_custkey % 40 AS company FROM orders) SELECT push, CASE WHEN p.deal IS NULL THEN 'no_id' WHEN q.company IS NULL THEN 'unmatched' WHEN CASE WHEN p.company >= 20 THEN p.company - 20 ELSE p.company END = CASE WHEN q.company >= 20 THEN q.company - 20 ELSE q.company END THEN 'agree' ELSE 'conflict' END AS status FROM p LEFT JOIN q ON p.deal = q.deal")
 def _(spark, d):
     x = table(spark, d, "lineitem")
     pushes = x.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("push"), F.when(F.col("l_linenumber") != 3, F.col("l_orderkey")).alias("deal"), (F.col("l_suppkey") * 3 % 40).alias("company"))
-    o = table(spark, d, "orders").filter("o_orderkey % 4 <> 0").select(F.col("o_orderkey").alias("deal"), (F.col("o_custkey") % 40).alias("company"))
+    o = table(spark, d, "orders").select(F.when(F.col("o_orderkey") % 4 == 0, -F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("deal"), (F.col("o_custkey") % 40).alias("company"))
     pointers = o.select(F.col("company").alias("entity")).union(pushes.select("company")).distinct().withColumn("merged_into", F.when(F.col("entity") >= 20, F.col("entity") - 20))
     pointers = pointers.union(pointers.select(F.col("merged_into"), F.lit(None).cast("long")).filter("merged_into IS NOT NULL")).groupBy("entity").agg(F.max("merged_into").alias("merged_into"))
     return pj.pushed(pushes, o, identity.survivors(pointers))
@@ -108,10 +108,9 @@ def _(spark, d):
     return gaps.join(now, "stage_id", "left").select("stage_id", "events", F.coalesce("deals_now", F.lit(0)).alias("deals_now"))
 
 
-@query("company_batches")
+@query("company_batches", "SELECT c_custkey, (row_number() OVER (ORDER BY c_name, c_custkey) - 1) // 40 AS batch FROM customer")
 def _(spark, d):
-    n = table(spark, d, "customer")
-    return pg.batches(n, "c_name", max(1, n.count() // 4000)).select("c_custkey", "part", "batch")
+    return pg.batches(table(spark, d, "customer"), "c_name", "c_custkey").select("c_custkey", "batch")
 
 
 @query("fuzzy_name_acceptance")

@@ -39,11 +39,11 @@ def test_components_of_nothing(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_ranked(spark):
+def test_placed(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice("ab") if i % 5 else None, rng.choice([1, 2, 2, 2, 7, None])) for i in range(500)]
     frame = spark.createDataFrame(rows, "id long, g string, x long")
-    got = {r.id: r.place for r in ranks.ranked(frame, ["g"], "x", ["id"], "place", buckets=8).collect()}
+    got = {r.id: r.place for r in ranks.placed(frame, ["g"], [F.col("x"), F.col("id")], "place").collect()}
     for g in ("a", "b", None):
         own = sorted((r for r in rows if r[1] == g), key=lambda r: (r[2] is not None, r[2] or 0, r[0]))
         assert [got[r[0]] for r in own] == list(range(len(own)))
