@@ -6,12 +6,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def effective_stages(stages: DataFrame, rungs: DataFrame, reasons: DataFrame) -> DataFrame:
-    """Mapped stages with their rung's depth and flags; a stage's own flag wins over its reason's, that over its rung's."""
+def effective_stages(stage_map: DataFrame, rungs: DataFrame, reasons: DataFrame, stages: DataFrame | None = None, aliases: DataFrame | None = None) -> DataFrame:
+    """Stages with their rung's depth and flags; a stage's own flag wins over its reason's, that over its rung's.
+
+    With `stages` (stage_id, is_deleted) and `aliases` (stage_id, to_stage) every stage is there, mapped or not: one without a
+    mapping of its own takes that of the stage it is an alias of, and group_stage is what its events are reported under.
+    All of them are configured lists.
+    """
     r = rungs.select(F.col("code").alias("rung"), "depth", F.col("attempt").alias("_a"), F.col("connected").alias("_c"), "interested")
     q = reasons.select(F.col("code").alias("reason"), F.col("attempt").alias("_ra"), F.col("connected").alias("_rc"))
-    joined = stages.join(F.broadcast(r), "rung", "left").join(F.broadcast(q), "reason", "left")
-    return joined.select("stage_id", "rung", "reason", "depth_reached", "depth", F.coalesce("own_attempt", "_ra", "_a", F.lit(False)).alias("attempt"), F.coalesce("_rc", "_c", F.lit(False)).alias("connected"), F.coalesce("interested", F.lit(False)).alias("interested"))
+    extra = []
+    if stages is not None:
+        a = aliases.select(F.col("stage_id").alias("_s"), "to_stage")
+        m = stage_map.select(F.col("stage_id").alias("_m"), *[c for c in stage_map.columns if c != "stage_id"])
+        own = stage_map.select(F.col("stage_id").alias("_own"), F.lit(True).alias("_has"))
+        rows = stages.join(F.broadcast(a), F.col("stage_id") == a["_s"], "left").join(F.broadcast(own), F.col("stage_id") == own["_own"], "left")
+        rows = rows.withColumn("_by", F.when(F.col("_has"), F.col("stage_id")).otherwise(F.col("to_stage"))).join(F.broadcast(m), F.col("_by") == m["_m"], "left")
+        stage_map = rows.withColumns({"group_stage": F.coalesce("to_stage", "stage_id"), "is_mapped": F.col("_m").isNotNull(), "via_alias": F.col("to_stage")})
+        extra = ["is_deleted", "group_stage", "is_mapped", "via_alias"]
+    joined = stage_map.join(F.broadcast(r), "rung", "left").join(F.broadcast(q), "reason", "left")
+    return joined.select("stage_id", "rung", "reason", "depth_reached", "depth", F.coalesce("own_attempt", "_ra", "_a", F.lit(False)).alias("attempt"), F.coalesce("_rc", "_c", F.lit(False)).alias("connected"), F.coalesce("interested", F.lit(False)).alias("interested"), *extra)
 
 
 def enrich(events: DataFrame, stages: DataFrame) -> DataFrame:
@@ -79,9 +93,9 @@ def cohort(events: DataFrame, deals: DataFrame, start: str, migration: str) -> D
 
 
 def near_duplicates(events: DataFrame, unit: str = "second") -> DataFrame:
-    """Deal and stage with several events in one unit of time, with the distinct actors."""
+    """Deal, pipeline and stage with several events in one unit of time, with their distinct origins and first event: the same move brought in twice."""
     at = F.date_trunc(unit, "entered_at")
-    rows = events.groupBy("deal_id", "stage_id", at.alias("same")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.coalesce(F.col("actor").cast("string"), F.lit("-")))), ",").alias("actors"))
+    rows = events.groupBy("deal_id", "pipeline_id", "stage_id", at.alias("same")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("origin")), ",").alias("origins"), F.min("event_id").alias("first_event"))
     return rows.filter("n > 1")
 
 
@@ -91,14 +105,16 @@ def stage_occupancy(stages: DataFrame, deals: DataFrame) -> DataFrame:
     return stages.select("stage_id").join(live, "stage_id", "left").select("stage_id", F.coalesce("n", F.lit(0)).alias("deals"))
 
 
-def occupancy_series(enriched: DataFrame, days: DataFrame) -> DataFrame:
-    """rung, day, deals: where each deal stood at the end of each day, its last event up to it.
+def occupancy_series(enriched: DataFrame, days: DataFrame, deals: DataFrame) -> DataFrame:
+    """rung, day, deals: where each deal stood at the end of each day, its last event up to it, until it is archived; deals archived on an unknown day never count.
 
     Only the last event of a deal's day counts, and holds until the day before the deal's next one; holding periods become
     +1 and -1 steps, summed by rung over the days, so nothing is multiplied by the length of the calendar.
     """
+    there = deals.filter(~F.col("is_archived") | F.col("archived_day").isNotNull()).select("deal_id", "archived_day")
     last = enriched.groupBy("deal_id", "ist_day").agg(F.max_by("rung", F.struct("entered_at", "event_id")).alias("rung"))
-    held = last.withColumn("until", F.lead("ist_day").over(Window.partitionBy("deal_id").orderBy("ist_day")))
+    held = last.withColumn("next", F.lead("ist_day").over(Window.partitionBy("deal_id").orderBy("ist_day"))).join(there, "deal_id")
+    held = held.withColumn("until", F.least("next", "archived_day")).filter("until IS NULL OR until > ist_day")
     steps = held.select("rung", F.col("ist_day"), F.lit(1).alias("step")).union(held.filter("until IS NOT NULL").select("rung", F.col("until"), F.lit(-1)))
     daily = steps.groupBy("rung", "ist_day").agg(F.sum("step").alias("step"))
     grid = enriched.select("rung").distinct().crossJoin(F.broadcast(days))  # rungs x days: both are short lists

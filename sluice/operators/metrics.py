@@ -64,9 +64,10 @@ def leads_assigned(enriched: DataFrame) -> DataFrame:
 
 
 def occupancy_at(enriched: DataFrame, deals: DataFrame, d: str) -> DataFrame:
-    """state, rung, reason, deals: the live, dead, won and unmapped deals at the end of day d, archived ones left out."""
+    """state, rung, reason, deals: the live, dead, won and unmapped deals at the end of day d; deals archived by then, or on an unknown day, are left out."""
     last = enriched.filter(F.col("ist_day") <= day(d)).groupBy("deal_id").agg(F.max_by(F.struct("rung", "reason"), F.struct("entered_at", "event_id")).alias("s"))
-    live = last.join(deals.filter("NOT is_archived").select("deal_id"), "deal_id", "left_semi").select("s.rung", "s.reason")
+    there = deals.filter(~F.col("is_archived") | (F.col("archived_day") > day(d))).select("deal_id")
+    live = last.join(there, "deal_id", "left_semi").select("s.rung", "s.reason")
     state = F.when(F.col("rung") == "UNMAPPED", "unmapped").when(F.col("rung") == "DEAD", "dead").when(F.col("rung") == "WON", "won").otherwise("live")
     return live.groupBy(state.alias("state"), "rung", "reason").agg(F.count("*").alias("deals"))
 

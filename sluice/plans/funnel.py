@@ -61,9 +61,11 @@ def _(w):
     return w.x.select("event_id", "deal_id", "stage_id", "rung", "reason", "attempt", "connected", "interested", "ist_day")
 
 
-@query("deal_current", "SELECT d.deal_id, d.account_id, d.pipeline_id, d.created_day, d.stage_id, d.is_archived, sm.rung FROM d LEFT JOIN sm ON d.stage_id = sm.stage_id")
+@query("deal_current", "SELECT d.deal_id, d.account_id, d.pipeline_id, d.created_day, d.stage_id, d.is_archived, sm.rung, sm.reason, d.owner, o.name AS owner_name, d.company, d.lead_source FROM d LEFT JOIN sm ON d.stage_id = sm.stage_id LEFT JOIN (SELECT k AS owner, 'Owner ' || k AS name FROM range(9) AS t(k)) o ON o.owner = d.owner")
 def _(w):
-    return w.deals.join(F.broadcast(w.stages.select("stage_id", "rung")), "stage_id", "left").select("deal_id", "account_id", "pipeline_id", "created_day", "stage_id", "is_archived", "rung")
+    owners = w.spark.range(9).select(F.col("id").alias("owner"), F.concat(F.lit("Owner "), F.col("id").cast("string")).alias("owner_name"))
+    rows = w.deals.join(F.broadcast(w.stages.select("stage_id", "rung", "reason")), "stage_id", "left").join(F.broadcast(owners), "owner", "left")
+    return rows.select("deal_id", "account_id", "pipeline_id", "created_day", "stage_id", "is_archived", "rung", "reason", "owner", "owner_name", "company", "lead_source")
 
 
 @query("funnel_entries_daily", f"SELECT account_id, pipeline_id, stage_id, ist_day, {PAIRS} FROM e GROUP BY account_id, pipeline_id, stage_id, ist_day")
@@ -112,9 +114,14 @@ def _(w):
     return w.events.groupBy("stage_id").agg(F.count("*").alias("events"), F.countDistinct("pipeline_id").alias("pipelines"))
 
 
-@query("near_duplicate_events", "SELECT deal_id, stage_id, same, n, actors FROM (SELECT deal_id, stage_id, date_trunc('day', entered_at)::TIMESTAMP AS same, count(*) AS n, array_to_string(list_sort(list(DISTINCT coalesce(CAST(actor AS VARCHAR), '-'))), ',') AS actors FROM e GROUP BY ALL) WHERE n > 1")
+TWICE = "SELECT *, 'history' AS origin FROM e UNION ALL SELECT event_id, date_trunc('second', entered_at)::TIMESTAMP AS entered_at, * EXCLUDE (event_id, entered_at), 'csv' AS origin FROM e WHERE event_id % 4 < 2"
+
+
+@query("near_duplicate_events", f" SELECT deal_id, pipeline_id, stage_id, same, n, origins, first_event FROM (SELECT deal_id, pipeline_id, stage_id, date_trunc('second', entered_at)::TIMESTAMP AS same, count(*) AS n, array_to_string(list_sort(list(DISTINCT origin)), ',') AS origins, min(event_id) AS first_event FROM ({TWICE}) GROUP BY ALL) WHERE n > 1")
 def _(w):
-    return ev.near_duplicates(w.events, "day").withColumn("same", F.col("same").cast("timestamp_ntz"))
+    known = w.events.withColumn("origin", F.lit("history"))
+    listed = w.events.filter("event_id % 4 < 2").withColumns({"entered_at": F.date_trunc("second", "entered_at").cast("timestamp_ntz"), "origin": F.lit("csv")})
+    return ev.near_duplicates(known.unionByName(listed)).withColumn("same", F.col("same").cast("timestamp_ntz"))
 
 
 @query("stage_dwell", "SELECT event_id, deal_id, stage_id, floor((date_diff('microsecond', entered_at, lead(entered_at) OVER (PARTITION BY deal_id ORDER BY entered_at, event_id)) // 1000000 * 10 + 18) / 36::DOUBLE) / 1000::DOUBLE AS hours FROM e")
@@ -152,9 +159,9 @@ def _(w):
     return rolling_distinct(w.events.filter("is_human"), ["pipeline_id"], "deal_id", "ist_day", 7)
 
 
-@query("occupancy_series", f", {CAL} SELECT r.rung, cal.ist_day, count(s.deal_id) AS deals FROM (SELECT DISTINCT rung FROM x) r CROSS JOIN cal LEFT JOIN (SELECT deal_id, rung, ist_day, lead(ist_day) OVER (PARTITION BY deal_id ORDER BY ist_day) AS until FROM (SELECT deal_id, ist_day, rung, row_number() OVER (PARTITION BY deal_id, ist_day ORDER BY entered_at DESC, event_id DESC) AS n FROM x) WHERE n = 1) s ON s.rung = r.rung AND s.ist_day <= cal.ist_day AND (s.until IS NULL OR s.until > cal.ist_day) GROUP BY r.rung, cal.ist_day")
+@query("occupancy_series", f", {CAL} SELECT r.rung, cal.ist_day, count(s.deal_id) AS deals FROM (SELECT DISTINCT rung FROM x) r CROSS JOIN cal LEFT JOIN (SELECT l.deal_id, rung, ist_day, lead(ist_day) OVER (PARTITION BY l.deal_id ORDER BY ist_day) AS until, d.archived_day FROM (SELECT deal_id, ist_day, rung, row_number() OVER (PARTITION BY deal_id, ist_day ORDER BY entered_at DESC, event_id DESC) AS n FROM x) l JOIN d ON d.deal_id = l.deal_id AND (NOT d.is_archived OR d.archived_day IS NOT NULL) WHERE n = 1) s ON s.rung = r.rung AND s.ist_day <= cal.ist_day AND (s.until IS NULL OR s.until > cal.ist_day) AND (s.archived_day IS NULL OR s.archived_day > cal.ist_day) GROUP BY r.rung, cal.ist_day")
 def _(w):
-    return ev.occupancy_series(w.x, w.days)
+    return ev.occupancy_series(w.x, w.days, w.deals)
 
 
 @query("owner_asof", "SELECT e.event_id, e.deal_id, o.actor AS owner FROM e ASOF LEFT JOIN (SELECT deal_id, entered_at, max(actor) AS actor FROM e WHERE actor IS NOT NULL AND event_id % 5 = 0 GROUP BY deal_id, entered_at) o ON e.deal_id = o.deal_id AND e.entered_at >= o.entered_at")
@@ -184,7 +191,7 @@ def _(w):
     return mt.leads_assigned(w.x)
 
 
-OCC = f"occ AS (SELECT CASE WHEN rung = 'UNMAPPED' THEN 'unmapped' WHEN rung = 'DEAD' THEN 'dead' WHEN rung = 'WON' THEN 'won' ELSE 'live' END AS state, rung, reason, count(*) AS deals FROM (SELECT *, row_number() OVER (PARTITION BY deal_id ORDER BY entered_at DESC, event_id DESC) AS r FROM x WHERE ist_day <= DATE '{DAY}') WHERE r = 1 AND deal_id NOT IN (SELECT deal_id FROM d WHERE is_archived) GROUP BY ALL)"
+OCC = f"occ AS (SELECT CASE WHEN rung = 'UNMAPPED' THEN 'unmapped' WHEN rung = 'DEAD' THEN 'dead' WHEN rung = 'WON' THEN 'won' ELSE 'live' END AS state, rung, reason, count(*) AS deals FROM (SELECT *, row_number() OVER (PARTITION BY deal_id ORDER BY entered_at DESC, event_id DESC) AS r FROM x WHERE ist_day <= DATE '{DAY}') WHERE r = 1 AND deal_id NOT IN (SELECT deal_id FROM d WHERE is_archived AND coalesce(archived_day <= DATE '{DAY}', true)) GROUP BY ALL)"
 
 
 @query("occupancy_at", f", {OCC} SELECT * FROM occ")

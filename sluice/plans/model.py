@@ -95,7 +95,9 @@ coalesce(rs.connected, rg.connected, false) AS connected, coalesce(rg.interested
 FROM e LEFT JOIN sm ON e.stage_id = sm.stage_id LEFT JOIN rg ON sm.rung = rg.code LEFT JOIN rs ON sm.reason = rs.code)"""
 #: One deal for each deal_id: its first event's place, a creation day that is unknown for some, its last stage, some archived, some drifted.
 D = """d AS (SELECT deal_id, min(account_id) AS account_id, min(pipeline_id) AS pipeline_id, CASE WHEN deal_id % 11 <> 0 THEN min(ist_day) - CAST(deal_id % 5 AS INT) END AS created_day,
-CASE WHEN deal_id % 13 = 0 THEN 'click_0' ELSE arg_max(stage_id, event_id) END AS stage_id, deal_id % 17 = 0 AS is_archived FROM e GROUP BY deal_id)"""
+CASE WHEN deal_id % 13 = 0 THEN 'click_0' ELSE arg_max(stage_id, event_id) END AS stage_id, deal_id % 17 = 0 AS is_archived,
+CASE WHEN deal_id % 17 = 0 AND deal_id % 34 <> 0 THEN max(ist_day) - 3 + CAST(deal_id % 9 AS INT) END AS archived_day, 'c' || (deal_id % 40) AS company, CASE WHEN deal_id % 4 = 0 THEN NULL ELSE deal_id % 12 END AS owner,
+CASE deal_id % 3 WHEN 0 THEN 'Cold India' WHEN 1 THEN 'Referral UK' END AS lead_source FROM e GROUP BY deal_id)"""
 
 
 def funnel_sql(body: str) -> str:
@@ -103,8 +105,11 @@ def funnel_sql(body: str) -> str:
 
 
 def deals(events: DataFrame) -> DataFrame:
-    rows = events.groupBy("deal_id").agg(F.min("account_id").alias("account_id"), F.min("pipeline_id").alias("pipeline_id"), F.min("ist_day").alias("first_day"), F.max_by("stage_id", "event_id").alias("last_stage"))
+    rows = events.groupBy("deal_id").agg(F.min("account_id").alias("account_id"), F.min("pipeline_id").alias("pipeline_id"), F.min("ist_day").alias("first_day"), F.max_by("stage_id", "event_id").alias("last_stage"), F.max("ist_day").alias("last_day"))
     return rows.select(
         "deal_id", "account_id", "pipeline_id", F.when(F.col("deal_id") % 11 != 0, F.date_sub("first_day", (F.col("deal_id") % 5).cast("int"))).alias("created_day"),
         F.when(F.col("deal_id") % 13 == 0, "click_0").otherwise(F.col("last_stage")).alias("stage_id"), (F.col("deal_id") % 17 == 0).alias("is_archived"),
+        F.when((F.col("deal_id") % 17 == 0) & (F.col("deal_id") % 34 != 0), F.date_add("last_day", (F.col("deal_id") % 9 - 3).cast("int"))).alias("archived_day"),
+        F.concat(F.lit("c"), (F.col("deal_id") % 40).cast("string")).alias("company"), F.when(F.col("deal_id") % 4 != 0, F.col("deal_id") % 12).alias("owner"),
+        F.when(F.col("deal_id") % 3 == 0, "Cold India").when(F.col("deal_id") % 3 == 1, "Referral UK").alias("lead_source"),
     )
