@@ -17,9 +17,9 @@ from sluice.llm.shingles import mixed, shingle_sets
 
 #: Sampled tokens a set: coordinate j is the shingle that hash j puts first. Two sets agree in one as often as their Jaccard index.
 SKETCH = 64
-#: A bucket of up to LIMIT sets is compared in full; a larger one is split again, MAX_DEPTH times at most. Sets of buckets that are
-#: larger even then get more runs, which split DEEP times.
-LIMIT, MAX_DEPTH, DEEP = 64, 3, 8
+#: A bucket of up to LIMIT sets is compared in full; a larger one is split again, MAX_DEPTH times at most. One that is larger even then
+#: is dense if it has DENSE of the sets that it was split from; sets of the others get more runs, which split DEEP times.
+LIMIT, MAX_DEPTH, DEEP, DENSE = 64, 3, 8, 0.6
 #: Sets of a dense cluster that are compared at once, against each other or another block, and their bytes.
 BLOCK, BLOCK_BYTES = 1024, 16 << 20
 TARGET_RECALL = 0.99
@@ -161,27 +161,32 @@ def _starts(first: int, runs: int) -> Column:
 
 
 def _buckets(sets: DataFrame, threshold: float, recall: float) -> tuple[list[DataFrame], DataFrame | None]:
-    """(buckets of up to LIMIT sets, buckets that are larger even DEEP levels down), each as (path, node, n)."""
+    """(buckets of up to LIMIT sets, over-full buckets of sets that are near each other), each as (path, node, n)."""
     runs = runs_needed(threshold, recall)
-    level = sets.select(F.explode(_starts(0, runs)).alias("path"), "node")
+    level = sets.select(F.explode(_starts(0, runs)).alias("path"), "node", F.lit(None).cast("long").alias("parent"))
     small, large = [], None
     for depth in range(1, MAX_DEPTH + 1):
         level = common.staged(_sized(level), "join-level")
-        small.append(level.filter(F.col("n") <= LIMIT))
+        small.append(level.filter(F.col("n") <= LIMIT).select("path", "node", "n"))
         large = _over_full(level)
         if large is None:
             return small, None
         if depth < MAX_DEPTH:
             near = large.join(sets.select(F.col("node").alias("_n"), "sketch"), large["node"] == F.col("_n"))
-            level = near.select(_step(F.col("path"), depth).alias("path"), "node")
-    # what is left over-full: more runs, each of which goes straight down
-    crowd = sets.join(large.select(F.col("node").alias("_n")).distinct(), sets["node"] == F.col("_n"), "left_semi")
+            level = near.select(_step(F.col("path"), depth).alias("path"), "node", F.col("n").alias("parent"))
+    # a bucket that its last split left nearly whole is dense: its sets share most tokens, and more splits would part what is linked
+    dense = large.filter(F.col("n") >= DENSE * F.coalesce("parent", "n")).select("path", "node", "n")
+    sparse = large.filter(F.col("n") < DENSE * F.coalesce("parent", "n"))
+    crowd = common.staged(sets.join(sparse.select(F.col("node").alias("_n")).distinct(), sets["node"] == F.col("_n"), "left_semi").select("node", "sketch"), "join-crowd")
+    if crowd.isEmpty():
+        return small, dense
+    # the others go straight down, in more runs
     level = crowd.select(F.explode(_starts(runs, runs_needed(threshold, recall, DEEP))).alias("path"), "node", "sketch")
     for depth in range(1, DEEP):
         level = level.withColumn("path", _step(F.col("path"), depth))
     level = common.staged(_sized(level.select("path", "node")), "join-deep")
     small.append(level.filter(F.col("n") <= LIMIT))
-    return small, _over_full(level)
+    return small, _over_full(dense.unionByName(level))
 
 
 def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RECALL) -> DataFrame:
@@ -195,10 +200,11 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_R
     Sets are split on sampled shared tokens: a path picks one of SKETCH hashes, and the sets in its bucket go on by the token
     that this hash puts first, which two sets share with the probability of their index. Buckets of one end; those of up to
     LIMIT are compared in full; larger ones are split again. Runs with other hashes are repeated until a pair at the
-    threshold has met in a bucket with the target recall. Sets of buckets that are larger even at MAX_DEPTH get more runs that
-    split DEEP times, as many as keep the recall. What is over-full then is dense, sets near each other: its sets form a
-    cluster, in which every link counts, so they are compared with each other block by block, each pair of blocks in its own
-    task, which returns link counts and a spanning forest and not the pairs. Blocks are bounded by sets and bytes. Pairs of
+    threshold has met in a bucket with the target recall. Of the buckets that are larger even at MAX_DEPTH, those that a split
+    leaves nearly whole are dense, sets near each other; sets of the others get more runs, which split DEEP times, as many as
+    keep the recall. Dense buckets, and what is over-full even then, form clusters, in which every link counts: their sets are
+    compared with each other block by block, each pair of blocks in its own task, which returns link counts and a spanning
+    forest and not the pairs. Blocks are bounded by sets and bytes; a cluster's work grows with the pairs in it. Pairs of
     small buckets lose those whose sketches differ by more than chance allows; the rest are decided by their whole sets.
 
     A text of any length is one set; null and empty texts and an empty table give no links. Rows that repeat are copies.
