@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("funnel", "report", "performance", "companies", "pages", "books", "projections")
+MODULES = ("funnel", "report", "performance", "companies", "leads", "audits", "pages", "books", "projections")
 
 
 def registered() -> tuple[dict, dict[str, str]]:
