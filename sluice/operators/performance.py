@@ -71,3 +71,65 @@ def coverage_stats(touches: DataFrame, attempt: str, assigned: str, shared: str)
         F.sum("attempts").alias("attempts"), F.count_if(F.col("attempts") > 0).alias("attempted"), F.count_if(given).alias("assigned"), F.count_if(given & (F.col("attempts") > 0)).alias("touched"),
         F.count_if(F.col("assigned_day") == F.col("attempt_day")).alias("same_day"), F.count_if(F.col("shared_day").isNotNull()).alias("shared"),
     )
+
+
+def resolve_labels(touches: DataFrame, sources: list[tuple[str, str]], relabel: DataFrame) -> DataFrame:
+    """touches with label: the name of their stage in the first source (name, column) that has one, and the report's own name for it if there is one. relabel: label, to_label, a short list."""
+    found = F.coalesce(*[F.nullif(F.trim(F.col(c)), F.lit("")) for _, c in sources])
+    rows = touches.withColumn("_found", found).join(F.broadcast(relabel.select(F.col("label").alias("_l"), "to_label")), F.col("_found") == F.col("_l"), "left")
+    return rows.select(*touches.columns, F.coalesce("to_label", "_found").alias("label"))
+
+
+def elapsed_days(days: DataFrame, start: str, today: str, holidays: list[str]) -> DataFrame:
+    """elapsed: the working days from start to today."""
+    inside = F.col("ist_day").between(F.lit(start).cast("date"), F.lit(today).cast("date"))
+    return working_days(days, holidays).agg(F.count_if(inside).alias("elapsed"))
+
+
+def rep_targets(weekly: DataFrame, reps: DataFrame, elapsed: DataFrame, days: int = 5) -> DataFrame:
+    """rep, position, target, due: the team's weekly target split evenly over the reps, and by working day for the days that are over, rounded up. All are short lists."""
+    n = reps.agg(F.count("*").alias("_n"))
+    rows = weekly.join(F.broadcast(reps), how="cross").join(F.broadcast(n)).join(F.broadcast(elapsed))
+    share = F.col("target") / F.col("_n")
+    return rows.select("rep", "position", share.alias("target"), F.ceil(share * F.col("elapsed") / F.lit(float(days))).alias("due"))
+
+
+def last_working_day(days: DataFrame, today: str, holidays: list[str]) -> DataFrame:
+    """ist_day: the last working day before today."""
+    return working_days(days, holidays).filter(F.col("ist_day") < F.lit(today).cast("date")).agg(F.max("ist_day").alias("ist_day"))
+
+
+def report_table(touches: DataFrame, labels: DataFrame, today: str, day_columns: list[str]) -> DataFrame:
+    """position, a column for each day, wtd, mtd, itd: distinct deals by metric, each deal once a metric and column, every metric there is."""
+    d = F.lit(today).cast("date")
+    own = touches.filter(F.col("ist_day") <= d).join(F.broadcast(labels), "stage_id").select("position", "deal_id", "ist_day").distinct()
+    has = {f"d{x[-2:]}": F.col("ist_day") == F.lit(x).cast("date") for x in day_columns}
+    has |= {"wtd": F.col("ist_day") >= F.date_trunc("week", d).cast("date"), "mtd": F.col("ist_day") >= F.trunc(d, "month"), "itd": F.lit(True)}
+    by_deal = own.groupBy("position", "deal_id").agg(*[F.max(c).alias(n) for n, c in has.items()])
+    counts = by_deal.groupBy("position").agg(*[F.count_if(n).alias(n) for n in has])
+    return labels.select("position").distinct().join(counts, "position", "left").select("position", *[F.coalesce(n, F.lit(0)).alias(n) for n in has])
+
+
+def granular(touches: DataFrame, tasks: DataFrame, today: str, stages: dict[str, str]) -> DataFrame:
+    """rep (null: the team), period (day, wtd, mtd), attempted, attempts, bucket, with_task, assigned, same_day and their ratios.
+
+    stages: the prefix or name of attempt, bucket and assigned stages. attempts counts events, attempted their deals; with_task
+    the deals in the bucket with a completed task; same_day the deals attempted on the day they were assigned. A team's
+    ratio is the ratio of the sums, not a mean of ratios; a ratio of nothing is null. tasks: deal_id, status.
+    """
+    d = F.lit(today).cast("date")
+    periods = F.array_compact(F.array(F.when(F.col("ist_day") == d, F.lit("day")), F.when(F.col("ist_day") >= F.date_trunc("week", d).cast("date"), F.lit("wtd")), F.when(F.col("ist_day") >= F.trunc(d, "month"), F.lit("mtd"))))
+    rows = touches.filter((F.col("ist_day") <= d) & F.col("actor").isNotNull()).withColumn("period", F.explode(periods))
+    is_ = {n: F.col("stage_id").startswith(p) for n, p in stages.items()}
+    per = rows.groupBy(F.col("actor").alias("rep"), "period", "deal_id").agg(
+        F.count_if(is_["attempt"]).alias("attempts"), F.max(is_["bucket"]).alias("in_bucket"), F.min(F.when(is_["assigned"], F.col("ist_day"))).alias("given"), F.min(F.when(is_["attempt"], F.col("ist_day"))).alias("tried"))
+    done = tasks.filter("status = 'COMPLETED'").select("deal_id", F.lit(True).alias("_task")).distinct()
+    per = per.join(done, "deal_id", "left")
+    sums = per.groupBy("rep", "period").agg(
+        F.sum("attempts").alias("attempts"), F.count_if(F.col("attempts") > 0).alias("attempted"), F.count_if("in_bucket").alias("bucket"), F.count_if(F.col("in_bucket") & F.col("_task").isNotNull()).alias("with_task"),
+        F.count("given").alias("assigned"), F.count_if(F.col("given") == F.col("tried")).alias("same_day"))
+    names = ("attempts", "attempted", "bucket", "with_task", "assigned", "same_day")
+    team = sums.groupBy("period").agg(*[F.sum(n).alias(n) for n in names]).withColumn("rep", F.lit(None).cast(sums.schema["rep"].dataType))
+    both = sums.unionByName(team)
+    ratio = lambda a, b: F.round(F.try_divide(F.col(a) * 1.0, F.col(b)), 4)
+    return both.withColumns({"mean_attempts": ratio("attempts", "attempted"), "task_share": ratio("with_task", "bucket"), "same_day_share": ratio("same_day", "assigned")})

@@ -72,13 +72,36 @@ def _(w, labels):
 
 @query("last_working_day", "SELECT position, count(DISTINCT deal_id) AS deals FROM e JOIN la ON e.stage_id = la.stage_id WHERE ist_day = (SELECT max(ist_day) FROM e WHERE ist_day < DATE '2024-01-22' AND isodow(ist_day) < 6 AND ist_day <> DATE '2024-01-19') GROUP BY position")
 def _(w, labels):
-    day = pf.working_days(w.days, ["2024-01-19"]).filter(F.col("ist_day") < F.lit("2024-01-22").cast("date")).agg(F.max("ist_day").alias("ist_day"))
+    day = pf.last_working_day(w.days, "2024-01-22", ["2024-01-19"])
     return w.events.join(F.broadcast(day), "ist_day").join(F.broadcast(labels), "stage_id").groupBy("position").agg(F.countDistinct("deal_id").alias("deals"))
 
 
-@query("full_report_rows", "SELECT position, " + ", ".join(f"count(DISTINCT deal_id) FILTER (ist_day = DATE '2024-01-{d}') AS d{d}" for d in range(15, 21)) + f" FROM e JOIN la ON e.stage_id = la.stage_id WHERE ist_day BETWEEN DATE '2024-01-15' AND DATE '{DAY}' GROUP BY position")
+WEEK = [f"2024-01-{d}" for d in range(15, 21)]
+
+
+@query("full_report_rows", "SELECT p.position, " + ", ".join(f"count(DISTINCT deal_id) FILTER (ist_day = DATE '{d}') AS d{d[-2:]}" for d in WEEK) + f", count(DISTINCT deal_id) FILTER (ist_day >= DATE '2024-01-15') AS wtd, count(DISTINCT deal_id) FILTER (ist_day >= DATE '2024-01-01') AS mtd, count(DISTINCT deal_id) AS itd FROM (SELECT DISTINCT position FROM la) p LEFT JOIN (SELECT position, deal_id, ist_day FROM e JOIN la ON e.stage_id = la.stage_id WHERE ist_day <= DATE '{DAY}') q ON q.position = p.position GROUP BY p.position")
+def _(w, labels):
+    return pf.report_table(w.events, labels, DAY, WEEK)
+
+
+RELABEL = [("click_1", "Attempted"), ("view_2", "Setup")]
+
+
+@query("resolved_labels", f", rl AS ({model.values_sql(RELABEL, 'label, to_label')}) SELECT label, count(*) AS events, count(DISTINCT deal_id) AS deals FROM (SELECT deal_id, coalesce(rl.to_label, n) AS label FROM (SELECT e.*, CASE WHEN pipeline_id = 0 THEN stage_id WHEN pipeline_id < 3 THEN upper(stage_id) END AS n FROM e) k LEFT JOIN rl ON rl.label = n) GROUP BY label")
+def _(w, labels):
+    rows = w.events.withColumns({"own": F.when(F.col("pipeline_id") == 0, F.col("stage_id")).otherwise(F.lit(" ")), "other": F.when(F.col("pipeline_id") < 3, F.upper("stage_id"))})
+    named = pf.resolve_labels(rows, [("first", "own"), ("second", "other")], w.spark.sql(model.values_sql(RELABEL, "label, to_label")))
+    return named.groupBy("label").agg(F.count("*").alias("events"), F.countDistinct("deal_id").alias("deals"))
+
+
+@query("rep_targets", ", el AS (SELECT count(*) AS k FROM (SELECT DISTINCT ist_day FROM e WHERE ist_day BETWEEN DATE '2024-01-15' AND DATE '2024-01-18' AND isodow(ist_day) < 6 AND ist_day <> DATE '2024-01-16')), rp AS (SELECT DISTINCT actor AS rep FROM e WHERE actor IS NOT NULL), n AS (SELECT count(*) AS n FROM rp) SELECT CAST(rep AS BIGINT) AS rep, position, target / n AS target, CAST(ceil(target / n * k / 5) AS BIGINT) AS due FROM ta, rp, n, el")
+def _(w, labels):
+    weekly = w.spark.sql(model.values_sql(TARGETS, "position, target"))
+    reps = w.events.filter("actor IS NOT NULL").select(F.col("actor").cast("long").alias("rep")).distinct()
+    return pf.rep_targets(weekly, reps, pf.elapsed_days(w.days, "2024-01-15", "2024-01-18", ["2024-01-16"]))
+
+
+@query("rep_granular", f", q AS (SELECT actor AS rep, period, deal_id, count(*) FILTER (starts_with(stage_id, 'view')) AS n, bool_or(starts_with(stage_id, 'signup')) AS b, min(ist_day) FILTER (starts_with(stage_id, 'click_0')) AS g, min(ist_day) FILTER (starts_with(stage_id, 'view')) AS t FROM e, (VALUES ('day', DATE '{DAY}'), ('wtd', DATE '2024-01-15'), ('mtd', DATE '2024-01-01')) AS p(period, since) WHERE ist_day <= DATE '{DAY}' AND ist_day >= since AND actor IS NOT NULL GROUP BY ALL), z AS (SELECT rep, period, n, b, g, t, deal_id % 3 = 0 AS done FROM q UNION ALL SELECT NULL, period, n, b, g, t, deal_id % 3 = 0 FROM q), s AS (SELECT rep, period, CAST(sum(n) AS BIGINT) AS attempts, count(*) FILTER (n > 0) AS attempted, count(*) FILTER (b) AS bucket, count(*) FILTER (b AND done) AS with_task, count(g) AS assigned, count(*) FILTER (g = t) AS same_day FROM z GROUP BY rep, period) SELECT *, round(attempts / nullif(attempted, 0)::DOUBLE, 4) AS mean_attempts, round(with_task / nullif(bucket, 0)::DOUBLE, 4) AS task_share, round(same_day / nullif(assigned, 0)::DOUBLE, 4) AS same_day_share FROM s")
 def _(w, labels):
-    days = [f"2024-01-{d}" for d in range(15, 21)]
-    rows = w.events.filter(F.col("ist_day").between(days[0], DAY)).join(F.broadcast(labels), "stage_id").withColumn("on", F.col("ist_day").cast("string"))
-    wide = rows.groupBy("position").pivot("on", days).agg(F.countDistinct("deal_id"))
-    return wide.select("position", *[F.coalesce(F.col(f"`{d}`"), F.lit(0)).alias(f"d{d[-2:]}") for d in days])
+    tasks = w.deals.select("deal_id", F.when(F.col("deal_id") % 3 == 0, "COMPLETED").otherwise("OPEN").alias("status"))
+    return pf.granular(w.events, tasks, DAY, {"attempt": "view", "bucket": "signup", "assigned": "click_0"})
