@@ -11,9 +11,10 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sluice.llm import lm_score, ngram_join, packing, repeats, run_index, secrets, token_store
+from sluice.llm import common, dedup, lm_score, mixing, ngram_join, packing, quality, repeats, run_index, secrets, token_store
 from sluice.llm.shingles import shingle_sets
 
 SCHEMA = "doc_id long, text string, tie string, curve string, part string, anchor string"
@@ -63,6 +64,19 @@ def test_pack(docs):
     assert len(sequences) <= sum(map(len, ids.values())) // 64 + 1 + 8 + 5
 
 
+@pytest.mark.parametrize("part_bytes", [2000, 20_000])
+def test_parts_have_about_equal_bytes_and_every_piece(docs, spark, part_bytes):
+    ids = {r[0]: len(x) for r, x in zip(ROWS, encoded("byte_bpe_50k.json", 0).values(), strict=False)}
+    rows = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, 64, part_bytes=part_bytes).collect()
+    whole = sum(r.length for r in rows)
+    assert whole == sum(len(encoded("byte_bpe_50k.json", 0)[r[0], r[1]]) for r in ROWS) and ids
+    texts = spark.createDataFrame([(i, "ab " * (20 if i % 100 else 5000)) for i in range(3000)], "doc_id long, text string")
+    keyed = texts.select("doc_id", F.xxhash64("doc_id").alias("tie"), "text")
+    borders = packing.part_borders(keyed, part_bytes * 5)
+    parts = sum(3 * (20 if i % 100 else 5000) + 1 for i in range(3000)) // (part_bytes * 5) + 1
+    assert 0.4 * parts <= len(borders) + 1 <= parts and borders == sorted(set(borders)) and packing.part_borders(keyed.limit(0)) == []
+
+
 def test_hilbert_keys_visit_every_cell_by_single_steps():
     for dims, bits in ((2, 4), (3, 3)):
         cells = np.array(list(itertools.product(range(1 << bits), repeat=dims)))
@@ -85,6 +99,32 @@ def test_token_store(docs, spark, tmp_path):
     assert [len(r.ids) for r in token_store.read_token_store(spark, path).filter("doc_id = 11").collect()] == [len(ids[11, TEXTS[11]])]
 
 
+def test_token_store_files_hold_run_lengths_indexes_and_bloom_filters(docs, spark, tmp_path):
+    path = str(tmp_path / "orc")
+    many = spark.range(6000).select((F.col("id") * 7 % 6000).alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    token_store.write_token_store(many, path, public_tokenizers.path("word_bpe_49k.json"), 1, stride=1000)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    kinds, encodings = set(), set()
+    for file in spark.read.orc(path).inputFiles():
+        orc = jvm.org.apache.orc
+        reader = orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(file), orc.OrcFile.readerOptions(conf))
+        assert reader.getRowIndexStride() == 1000
+        rows = reader.rows()
+        for stripe in reader.getStripes():
+            footer = rows.readStripeFooter(stripe)
+            kinds |= {str(s.getKind()) for s in footer.getStreamsList()}
+            encodings |= {str(c.getKind()) for c in footer.getColumnsList()}
+        rows.close()
+    assert {"ROW_INDEX", "BLOOM_FILTER_UTF8"} <= kinds and "DIRECT_V2" in encodings
+    assert spark.conf.get("spark.sql.orc.filterPushdown") == "true"
+    for wanted in (4321, 10_000):  # in one group of rows; in none, though between the least and the largest of no file
+        found = token_store.read_token_store(spark, path).filter(F.col("doc_id") == wanted)
+        assert found.count() == (wanted < 6000)
+        plan = found._jdf.queryExecution().executedPlan()
+        found.collect()
+        assert f"EqualTo(doc_id,{wanted})" in plan.toString()
+
+
 def shingles(text):
     words = (text or "").lower().split(" ") if text and text.strip(" ") else []
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
@@ -251,6 +291,88 @@ def test_secret_query_digests_what_is_found(spark):
     assert any(r.n_hex for r in rows)
 
 
+WORD = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+
+
+def scanned_base(text):
+    """The contract's three patterns by hand, a character at a time."""
+    found, i = [], 0
+    names = ("password", "passwd", "secret", "token", "api_key", "apikey")
+    while i < len(text):
+        name = next((n for n in names if text[i : i + len(n)].lower() == n and text[i : i + len(n)].isascii()), None)
+        end = None
+        if name:
+            j = i + len(name)
+            j += text[j : j + 1] in ("'", '"') and text[j : j + 1] != ""
+            while text[j : j + 1] == " ":
+                j += 1
+            if text[j : j + 1] in (":", "=") and text[j : j + 1]:
+                j += 1
+                while text[j : j + 1] == " ":
+                    j += 1
+                j += text[j : j + 1] in ("'", '"') and text[j : j + 1] != ""
+                k = j
+                while k < len(text) and text[k] in WORD:
+                    k += 1
+                if k > j:
+                    end = k
+                    if k - j >= 8:
+                        found.append(("assign", i, k))
+        i = end or i + 1
+    for kind, start, inside, least in (("access", "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16), ("hex", "", "0123456789abcdef", 32)):
+        i = 0
+        while i < len(text):
+            k = i + len(start)
+            while text.startswith(start, i) and k < len(text) and text[k] in inside:
+                k += 1
+            if text.startswith(start, i) and k > i + len(start):
+                if k - i >= least:
+                    found.append((kind, i, k))
+                i = k
+            else:
+                i += 1
+    return sorted(found, key=lambda f: (f[1], secrets.KINDS.index(f[0])))
+
+
+PARTS = ["password", "PassWD", "secret", "token", "api_key", "apikey", "API_KEY", "AKIA", "AKIAABCDEFGH1234", "0123456789abcdef", "deadbeef", " ", "  ", "=", ":", '"', "'", "x", "é", "ſecret", "hunter2hunter2", "A1", "-", "/", "\n", "toKen"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=14).map("".join))
+def test_base_patterns_equal_a_scan_by_hand(text):
+    assert [f for f in secrets.find_secrets(text) if f[0] in ("assign", "access", "hex")] == scanned_base(text)
+
+
+def test_base_patterns_of_the_query_equal_a_scan_by_hand(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    for r in secrets.op9_secrets(spark, "/root/testdata/sf0.01").collect():
+        found = scanned_base(texts[r.doc_id])
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(f[0] == k for f in found) for k in ("assign", "access", "hex")]
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in found).encode()).hexdigest()
+
+
+def test_allow_list_drops_spans_and_not_what_stands_beside_them():
+    key = "q8Zr3TmX0vLk9WcY2bNh7JfP"
+    for text in (f"{key}xxxxxxxx", f"/ab/{key}", f"550e8400-e29b-41d4-a716-446655440000-{key}", f"0123456789{key}"):
+        found = [(k, text[s:e]) for k, s, e in secrets.find_secrets(text)]
+        assert len(found) == 1 and key in found[0][1], text
+    for clean in (f"example{key}", "550e8400-e29b-41d4-a716-446655440000", f"sha256-{key}", "/usr/local/lib/some-module/file_name", "x" * 60):
+        assert secrets.find_secrets(clean) == []
+
+
+def test_many_secrets_take_time_in_proportion():
+    import time
+
+    def seconds(lines):
+        text = "\n".join(f"line {i} token=abcdef{i:08d} {'0123456789abcdef' * 2} {'q8Zr3TmX0vLk9WcY2bNh7JfP'}" for i in range(lines))
+        began = time.perf_counter()
+        assert len(secrets.find_secrets(text)) >= 3 * lines
+        return time.perf_counter() - began
+
+    seconds(200)
+    assert seconds(16_000) < 24 * max(seconds(2000), 0.02)
+
+
 def test_scan_covers_every_row(docs):
     assert secrets.scan_secrets(docs).count() == len(ROWS)
 
@@ -302,9 +424,25 @@ def test_scores_come_from_exact_counts(spark, monkeypatch):
         assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-9)
 
 
+def test_probabilities_sum_to_one():
+    rng, vocabulary = np.random.default_rng(3), 300
+    ids = rng.integers(0, 40, 5000) ** 2 % vocabulary
+    single = np.bincount(ids, minlength=vocabulary).astype(float)
+    one = lm_score.unigram(single, np.float64(len(ids)), vocabulary)
+    assert abs(one.sum() - 1) < 1e-9
+    before = np.roll(ids, 1)
+    for scale in (1.0, 0.07):
+        for context in (int(ids[0]), int(ids[17]), vocabulary - 1):
+            two = np.bincount(ids[before == context], minlength=vocabulary) * scale
+            assert abs(lm_score.bigram(two, single[context] * scale, lm_score.unigram(single * scale, len(ids) * scale, vocabulary)).sum() - 1) < 1e-6
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.packed_pieces(empty).count() == secrets.scan_secrets(empty).count() == ngram_join.ngram_join(empty).count() == repeats.remove_repeats(empty).count() == 0
+    token_store.write_token_store(empty, common.shared_path(spark, "no-tokens"), public_tokenizers.path("word_bpe_49k.json"), 1)
+    for stage in (quality.keep_good, dedup.drop_copies, ngram_join.drop_near_copies, mixing.mixed_documents):
+        assert stage(empty.withColumn("source", F.lit("s"))).count() == 0
     assert lm_score.score_documents(empty, empty, public_tokenizers.path("byte_bpe_50k.json"), 50257, 50256).count() == 0
 
 

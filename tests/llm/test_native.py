@@ -26,6 +26,9 @@ def docs(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
+EXTREME = "doc_id long, text string, source string, lang string"
+
+
 def lower(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
 
@@ -55,6 +58,29 @@ def test_exact_dedup(docs, digest):
         assert r.group_size == len(own) and r.keep_id == max(x for x in own if x is not None)
 
 
+@pytest.mark.parametrize("most", [0, 1 << 30])
+def test_exact_dedup_by_broadcast_or_by_salts(docs, most):
+    got = sorted((r.doc_id or -1, r.keep_id or -1, r.group_size, r.kept) for r in dedup.exact_dedup(docs, broadcast_bytes=most, salts=3).collect())
+    want = sorted((r.doc_id or -1, r.keep_id or -1, r.group_size, r.kept) for r in dedup.exact_dedup(docs).collect())
+    assert got == want
+    clash = dedup.exact_dedup(docs, lambda norm: F.substring(norm, 1, 3), broadcast_bytes=most, salts=3).collect()
+    assert sorted((r.doc_id or -1, r.keep_id or -1, r.group_size, r.kept) for r in clash) == want
+
+
+def test_state_goes_on_from_its_checkpoint(spark, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "state")
+    schema = "digest string, doc_id long, _file string, _row long"
+
+    def state():
+        return {r.digest: (r.keep.doc_id, r.n) for r in dedup.keyed_state(spark.readStream.schema(schema).parquet(source), checkpoint).collect()}
+
+    spark.createDataFrame([("a", 1, "f", 0), ("a", 3, "f", 1), ("b", None, "f", 2)], schema).write.parquet(source)
+    assert state() == {"a": (3, 2), "b": (None, 1)}
+    assert state() == {"a": (3, 2), "b": (None, 1)}  # a restart without new rows
+    spark.createDataFrame([("a", 2, "g", 0), ("b", 7, "g", 1), ("c", 1, "g", 2)], schema).write.mode("append").parquet(source)
+    assert state() == {"a": (3, 3), "b": (7, 2), "c": (1, 1)}
+
+
 def test_drop_copies_keeps_columns_and_one_of_each(docs):
     kept = dedup.drop_copies(docs)
     assert kept.columns == docs.columns
@@ -87,6 +113,30 @@ def test_hosts_with_mostly_failing_documents_are_rejected_and_others_are_not(spa
     assert all(kept[1000 + i] == (i % 10 != 0) for i in range(700)) and kept[5001] and not kept[5000]
 
 
+def test_small_hosts_are_judged_by_the_same_law(spark):
+    good, bad = " ".join(f"w{i}" for i in range(60)), "short"
+    rows = [(i, good, f"site{i % 9}") for i in range(900)] + [(2000 + i, bad, "junk") for i in range(28)] + [(3000, good, "junk")] + [(4000 + i, bad, "three") for i in range(3)] + [(4010, good, "three")]
+    kept = {r.doc_id: r.kept for r in quality.host_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not kept[3000] and kept[4010] and all(kept[i] for i in range(900))
+    n, k = {"junk": 29, "three": 4} | {f"site{i}": 100 for i in range(9)}, {"junk": 28, "three": 3}
+    total = sum(n.values())
+    mean = sum(k.values()) / total
+    spread = sum(k.get(h, 0) ** 2 / n[h] for h in n) / total - mean**2 - mean * (1 - mean) * len(n) / total
+    strength = min(total, max(1.0, mean * (1 - mean) / spread - 1))
+    rates = quality.host_rates(quality.host_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).select("host", "base_failed"))
+    for r in rates.collect():
+        rate = (k.get(r.host, 0) + mean * strength) / (n[r.host] + strength)
+        assert math.isclose(r.rate, rate) and math.isclose(r.deviation, math.sqrt(rate * (1 - rate) / (n[r.host] + strength + 1)))
+
+
+def test_windows_are_told_apart_by_their_words(spark, monkeypatch):
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.lit(7).cast("long"))  # every hash clashes
+    texts = ["a b c d a b c", "a b c d e f", "x y z x y z x y z", "one two", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_repeat_words for r in quality.with_features(rows, F.coalesce("text", F.lit(""))).collect()}
+    assert [got[i] for i in range(5)] == [features(t)[4] for t in texts] == [6, 0, 9, 0, 0]
+
+
 def test_keep_good(docs):
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {10}
@@ -165,6 +215,53 @@ def test_shards(spark, monkeypatch):
     assert all(r.size == len(text[r.doc_id]) + 16 and r.text_crc32 == zlib.crc32(text[r.doc_id]) for r in out)
 
 
+def brute_tree(points, dims, leaves, first, whole):
+    """The same law by sorting: the widest dimension, cut where the weight left of it is nearest to its share."""
+    if leaves == 1 or not points:
+        return {p["i"]: first for p in points}
+    code = lambda p, d: p[d] >> sharding.TIE_BITS
+    wide = [(max(code(p, d) for p in points) - min(code(p, d) for p in points)) / max(1, whole[d]) for d in dims]
+    d, left = dims[wide.index(max(wide))], leaves // 2
+    goal, weights = sum(p["size"] for p in points) * left / leaves, {}
+    for p in points:
+        weights[p[d]] = weights.get(p[d], 0) + p["size"]
+    before, cut = 0, 0
+    for at in sorted(weights):
+        if before <= goal:
+            cut, start = at, before
+        before += weights[at]
+    cut += goal - start > weights[cut] / 2
+    below, above = [p for p in points if p[d] < cut], [p for p in points if p[d] >= cut]
+    return brute_tree(below, dims, left, first, whole) | brute_tree(above, dims, leaves - left, first + left, whole)
+
+
+@pytest.mark.parametrize("shards", [8, 11])
+def test_shards_are_those_of_a_tree_built_by_sorting(spark, tmp_path, shards):
+    rows = [(i if i % 50 else None, "x" * (i * 37 % 211) if i % 9 else None, ("hot" if i % 3 else f"s{i % 7}") if i % 11 else None, "en" if i % 4 else None) for i in range(1500)] + [(77, "same", "hot", "en")] * 40
+    spark.createDataFrame(rows, EXTREME).repartition(3).write.parquet(str(tmp_path / "d"))
+    frame = spark.read.parquet(str(tmp_path / "d"))
+    dims = [f"_{d}" for d in sharding.DIMENSIONS]
+    points = [r.asDict() | {"i": i} for i, r in enumerate(sharding.coordinates(frame).collect())]
+    whole = {d: max(p[d] >> sharding.TIE_BITS for p in points) - min(p[d] >> sharding.TIE_BITS for p in points) for d in dims}
+    want = brute_tree(points, dims, shards, 0, whole)
+    key = lambda p: (p["doc_id"] or -1, p["size"], p["text_crc32"], p["tie"])
+    got = sorted((*key(r.asDict()), r.shard) for r in sharding.kd_shards(frame, shards).collect())
+    assert got == sorted((*key(p), want[p["i"]]) for p in points)
+    sizes = {}
+    for *_, size, _, _, shard in got:
+        sizes[shard] = sizes.get(shard, 0) + size
+    assert len(sizes) == shards and max(sizes.values()) - min(sizes.values()) < 1000
+
+
+def test_shards_of_extreme_ids_and_equal_rows(spark):
+    rows = [(-(2**63), "a", None, None), (2**63 - 1, "b", "s", "en"), (None, None, None, None), (0, "", "s", None)] + [(5, "equal", "s", "en")] * 800
+    out = sharding.with_slots(sharding.kd_shards(spark.createDataFrame(rows, EXTREME), 4)).collect()
+    counts = {}
+    for r in out:
+        counts[r.shard] = counts.get(r.shard, 0) + r.size
+    assert len(out) == len(rows) and len(counts) == 4 and max(counts.values()) - min(counts.values()) <= 100
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA.replace(", _file string, keep_id string", ""))
     for rows in (dedup.exact_dedup(empty), quality.host_quality(empty), mixing.mix(empty), sharding.with_slots(sharding.kd_shards(empty))):
