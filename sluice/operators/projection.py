@@ -95,6 +95,12 @@ def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def accept_names(left: DataFrame, right: DataFrame, block: str, least: float = 0.55) -> DataFrame:
-    """left_id, right_id, similarity of names in the same block that are alike enough."""
+    """left_id, right_id, similarity of names in the same block that are alike enough.
+
+    Two names share at most as many characters as the shorter one has, so pairs whose lengths alone keep them below `least`
+    don't leave the JVM; the others are compared in Arrow batches. Blocks are the caller's bound on the pairs.
+    """
     pairs = left.select(block, F.col("id").alias("left_id"), F.col("name").alias("_l")).join(right.select(block, F.col("id").alias("right_id"), F.col("name").alias("_r")), block)
+    short, long = F.least(F.length("_l"), F.length("_r")), F.greatest(F.length("_l"), F.length("_r"))
+    pairs = pairs.filter((2 * short >= least * (short + long)) | F.contains("_l", F.col("_r")) | F.contains("_r", F.col("_l")))
     return pairs.withColumn("similarity", name_similarity("_l", "_r")).filter(F.col("similarity") >= least).select("left_id", "right_id", "similarity")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("funnel", "report", "performance", "companies", "leads", "audits", "imports", "pages", "books", "projections")
+MODULES = ("funnel", "report", "performance", "companies", "leads", "audits", "imports", "pages", "books", "projections", "feeds")
 
 
 def registered() -> tuple[dict, dict[str, str]]:

@@ -29,7 +29,7 @@ def explode_history(objects: DataFrame, property_: str) -> DataFrame:
 
 
 def explode_associations(objects: DataFrame) -> DataFrame:
-    """account, id, to_type, to_id, is_primary: a sole association of a type is its primary one."""
+    """account, id, to_type, to_id, is_primary: a sole association of a type is its primary one, else those labelled so or of the type id that means it."""
     rows = objects.select("account", "id", F.explode("associations").alias("to_type", "links"))
     rows = rows.select("account", "id", "to_type", F.size("links").alias("n"), F.explode("links").alias("l"))
     return rows.select("account", "id", "to_type", F.col("l.id").alias("to_id"), ((F.col("n") == 1) | F.coalesce(F.col("l.label") == "Primary", F.lit(False))).alias("is_primary"))
@@ -92,10 +92,19 @@ def file_catalog(spark: SparkSession, path: str, roles: list[tuple[str, str]]) -
 
 
 def sheet_rows(rows: DataFrame) -> DataFrame:
-    """tab, row_number, cells, row_sha: trailing blanks off, empty rows out."""
-    last = F.array_max(F.transform("cells", lambda c, i: F.when(F.trim(c) != "", i + 1).otherwise(0)))
-    cut = rows.withColumn("cells", F.slice("cells", 1, F.coalesce(last, F.lit(0)))).filter(F.size("cells") > 0)
-    return cut.withColumn("row_sha", F.sha2(F.to_json("cells"), 256))
+    """tab, row_number, cells, cells_json, text_flat, row_sha: cells trimmed, trailing blanks off, empty rows out; text_flat has the filled cells with blanks between."""
+    trimmed = F.transform("cells", lambda c: F.trim(F.coalesce(c, F.lit(""))))
+    last = F.array_max(F.transform(trimmed, lambda c, i: F.when(c != "", i + 1).otherwise(0)))
+    cut = rows.withColumn("cells", F.slice(trimmed, 1, F.coalesce(last, F.lit(0)))).filter(F.size("cells") > 0)
+    flat = F.array_join(F.filter("cells", lambda c: c != ""), " ")
+    return cut.withColumns({"cells_json": F.to_json("cells"), "text_flat": flat, "row_sha": F.sha2(F.to_json("cells"), 256)})
+
+
+def tab_shas(rows: DataFrame) -> DataFrame:
+    """tab, rows, tab_sha: a hash of a tab's rows with their numbers, whatever their order in the files; sums of parts of row hashes, so no tab is gathered."""
+    h = F.sha2(F.concat_ws(":", F.col("row_number").cast("string"), "row_sha"), 256)
+    parts = [F.sum(F.conv(F.substring(h, 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)")).cast("string") for k in range(4)]
+    return rows.groupBy("tab").agg(F.count("*").alias("rows"), F.sha2(F.concat_ws(":", *parts), 256).alias("tab_sha"))
 
 
 def write_days(df: DataFrame, path: str, day: str = "ist_day") -> None:
@@ -108,6 +117,11 @@ def tidy(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     return df.unpivot(keys, values, "metric", "value")
 
 
+def write_tidy(df: DataFrame, keys: list[str], values: list[str], path: str) -> None:
+    """Writes tidy rows as CSV with a header, a file for each task."""
+    tidy(df, keys, values).write.mode("overwrite").option("header", True).csv(path)
+
+
 def to_sorted_json(df: DataFrame) -> DataFrame:
     """json: each row as an object with its names in order."""
     return df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("json"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
@@ -29,11 +29,22 @@ def daily_entries(events: DataFrame, keys: list[str]) -> DataFrame:
     return windows.select(F.col("window.start").cast("date").alias("day"), *keys, "n")
 
 
-def sliding_engaged(events: DataFrame, keys: list[str]) -> DataFrame:
-    """last_day, keys, n: events in the 7 reporting days up to each day."""
-    shifted = with_time(events).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 330 MINUTES"))
-    windows = shifted.groupBy(F.window("event_time", "7 days", "1 day"), *keys).agg(F.approx_count_distinct("user_id").alias("n"))
-    return windows.select(F.date_sub(F.col("window.end").cast("date"), 1).alias("last_day"), *keys, "n")
+def engaged_days(events: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, user_id, event_time of each user once a key and reporting day: the distinct step of sliding_engaged, kept in state until the allowance has passed."""
+    shifted = with_time(events).withColumn("event_time", F.date_trunc("day", F.col("event_time") + F.expr("INTERVAL 330 MINUTES")))
+    return shifted.select(*keys, "user_id", "event_time").dropDuplicates([*keys, "user_id", "event_time"])
+
+
+def sliding_engaged(events: DataFrame, keys: list[str], days: int = 7) -> DataFrame:
+    """last_day, keys, user_id, of every user in the `days` reporting days up to each day, once: counting its rows counts users exactly.
+
+    A user's day is dealt to the days it counts on, and each of them is kept once by state, so no count is approximate. The
+    watermark of dealt days lies as far back as the longest window, so that late days still find theirs.
+    """
+    shifted = events.withColumn("event_time", F.date_trunc("day", F.col("ts").cast("timestamp") + F.expr("INTERVAL 330 MINUTES")))
+    dealt = shifted.select(*keys, "user_id", F.explode(F.sequence("event_time", F.col("event_time") + F.expr(f"INTERVAL {days - 1} DAYS"), F.expr("INTERVAL 1 DAY"))).alias("event_time"))
+    once = dealt.withWatermark("event_time", f"{days + 1} days").dropDuplicates([*keys, "user_id", "event_time"])
+    return once.select(F.col("event_time").cast("date").alias("last_day"), *keys, "user_id")
 
 
 STATE = "first_time timestamp, last_time timestamp, stage string, n long"
@@ -58,10 +69,38 @@ def first_touch(events: DataFrame) -> DataFrame:
 
 
 def upsert_raw(batch: DataFrame, current: DataFrame, key: list[str], version: str) -> tuple[DataFrame, DataFrame]:
-    """(the table after a batch, revisions): the newest row of each key; payloads that are replaced become revisions. Equal payloads change nothing."""
+    """(the table after a batch, revisions): the newest row of each key, the batch's among equal versions; payloads that are replaced become revisions. Equal payloads change nothing."""
     newest = batch.groupBy(*key).agg(F.max_by(F.struct(*batch.columns), version).alias("r")).select("r.*")
     marked = current.withColumn("_old", F.lit(True)).unionByName(newest.withColumn("_old", F.lit(False)))
-    kept = marked.groupBy(*key).agg(F.max_by(F.struct(*batch.columns), F.when(~F.col("_old"), 1).otherwise(0)).alias("new"), F.max(F.when(F.col("_old"), F.struct(*batch.columns))).alias("old"))
+    kept = marked.groupBy(*key).agg(F.max_by(F.struct(*batch.columns), F.struct(F.col(version).alias("v"), (~F.col("_old")).alias("n"))).alias("new"), F.max(F.when(F.col("_old"), F.struct(*batch.columns))).alias("old"))
     same = F.col("new.sha").eqNullSafe(F.col("old.sha"))
     after = kept.select(F.when(same, F.col("old")).otherwise(F.col("new")).alias("r")).select("r.*")
     return after, kept.filter(F.col("old").isNotNull() & ~same).select("old.*")
+
+
+def upsert_batches(stream: DataFrame, store: str, key: list[str], version: str, checkpoint: str) -> None:
+    """Runs a stream of raw objects (with sha) into tables under `store`, a folder per batch: the current objects, the payloads they replaced, and how many were inserted, updated and left alone.
+
+    A batch writes its folder anew, so a batch that is repeated after a failure changes nothing; `current_objects` reads the last one.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        before = current_objects(batch.sparkSession, store, number)
+        before = batch.limit(0) if before is None else before
+        after, replaced = upsert_raw(batch, before, key, version)
+        after.write.mode("overwrite").parquet(f"{store}/current/{number:012d}")
+        replaced.write.mode("overwrite").parquet(f"{store}/revisions/{number:012d}")
+        met = before.select(*key, F.col("sha").alias("_old")).join(after.select(*key, F.col("sha").alias("_new")), key, "full")
+        action = F.when(F.col("_old").isNull(), "inserted").when(F.col("_old") != F.col("_new"), "updated").otherwise("unchanged")
+        met.groupBy(action.alias("action")).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{store}/actions/{number:012d}")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def current_objects(spark: SparkSession, store: str, before: int | None = None) -> DataFrame | None:
+    """The objects after the last batch, or the last one before number `before`; None if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/current")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+    names = [n for n in names if before is None or int(n) < before]
+    return spark.read.parquet(f"{store}/current/{names[-1]}") if names else None

@@ -2,13 +2,14 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions import norm
-from sluice.functions.patterns import asof_join, rolling_distinct, take_by_demand
-from sluice.operators import identity, quality
+from sluice.functions.patterns import asof_join, change, rolling_distinct, take_by_demand
+from sluice.operators import identity, metrics, quality, report
 from sluice.sources import files
 from sluice.streaming import events as st
 
@@ -44,6 +45,68 @@ def test_normalise_reports_what_it_rejects(spark):
     assert sorted(map(tuple, rejected.collect())) == [(2, "d", "bad host"), (3, "e", "nope")]
 
 
+PHONES = {
+    "+919000000001": "mobile", "+916120000000": "unknown", "+917900000000": "unknown", "+918012345678": "unknown", "+917012345678": "mobile", "+912212345678": "landline", "+9118001234567": "tollfree",
+    "+911800123456": "landline", "+91180012345678": "unknown", "+442071234567": "unknown", "+91900000000": "unknown", None: "unknown",
+}
+DUMMIES = {"+91 99999 99999": True, "9898989898": False, "012-345-6789": True, "98765 43210": True, "0987654321": True, "12345": True, "": True, None: True, "01234567 12": True, "98765431": True, "7012345678": False}
+
+
+def test_phone_rules(spark):
+    rows = spark.createDataFrame([(p,) for p in PHONES], "p string").select("p", norm.phone_type(F.col("p")).alias("t"), norm.phone_country(F.col("p")).alias("c"))
+    got = {r.p: (r.t, r.c) for r in rows.collect()}
+    assert {p: t for p, (t, _) in got.items()} == PHONES and got["+442071234567"][1] == "GB" and got["+919000000001"][1] == "IN" and got[None][1] is None
+    raw = spark.createDataFrame([(p,) for p in DUMMIES], "p string").select("p", norm.is_dummy_phone(F.col("p")).alias("d"))
+    assert {r.p: r.d for r in raw.collect()} == DUMMIES
+
+
+def test_whole_tables_are_folded_first(spark):
+    rows = spark.createDataFrame([(1, "https://münchen.example/x", "ＡＣＭＥ　Labs"), (2, "ｅｘａｍｐｌｅ.org", None), (3, "ok.example", "plain"), (4, "a" * 64 + ".example", "")], "k int, d string, _d string")
+    ok, rejected = norm.normalise(rows, {"d": "domain", "_d": "company_name"}, "k")
+    assert sorted(map(tuple, ok.collect()), key=str) == [(1, "xn--mnchen-3ya.example", "acme labs"), (2, "example.org", None), (3, "ok.example", "plain"), (4, None, None)]
+    assert [(r.k, r.column) for r in rejected.collect()] == [(4, "d")]
+
+
+def test_changes_and_chips(spark):
+    cases = [(0, 5, True, "new", None), (0, 0, True, "flat", None), (0, 5, False, "new", None), (20, 20, True, "pct", 0.0), (20, 25, False, "partial", None), (9, 18, True, "abs", None), (20, 25, True, "pct", 25.0)]
+    rows = spark.createDataFrame([c[:3] for c in cases], "p int, c int, full boolean").select("p", "c", "full", change(F.col("p"), F.col("c"), F.col("full")).alias("x"))
+    assert [(r.p, r.c, r.full, r.x.flag, r.x.pct) for r in rows.collect()] == cases
+    chips = [(10, 8, 7, 7, "up", 25), (8, 8, 7, 7, "flat", None), (5, 0, 7, 7, "up", 100), (6, 7, 6, 7, "flat", None), (3, 7, 6, 7, "down", 50), (5, None, 7, 7, "na", None), (5, 5, 0, 7, "na", None), (7, 8, 7, 7, "down", 12)]
+    rows = spark.createDataFrame([c[:4] for c in chips], "c int, p int, dc int, dp int").select("*", report.chip(F.col("c"), F.col("p"), F.col("dc"), F.col("dp")).alias("x"))
+    assert [(r.c, r.p, r.dc, r.dp, r.x.kind, r.x.pct) for r in rows.collect()] == chips
+
+
+def test_days_are_gaps_only_far_below_the_median_of_the_weekdays_before(spark):
+    day = lambda n: dt.date(2024, 1, n)  # noqa: E731  the 1st is a Monday
+    totals = {1: 900, 2: 0, 3: 100, 4: 100, 5: 100, 6: 0, 7: 3, 8: 100, 9: 4, 10: 5, 11: 100, 12: 40}
+    events = spark.createDataFrame([(day(n),) for n, k in totals.items() for _ in range(k)], "ist_day date")
+    days = spark.createDataFrame([(day(n),) for n in totals], "ist_day date")
+    got = {r.ist_day.day: r.status for r in metrics.day_status(events, days, "2024-01-12", complete=False).collect()}
+    assert got == {1: "ok", 2: "gap", 3: "ok", 4: "ok", 5: "ok", 6: "weekend", 7: "ok", 8: "ok", 9: "gap", 10: "ok", 11: "ok", 12: "partial"}
+
+
+def test_fingerprints_tell_doubled_and_exchanged_rows(spark):
+    rows = [("a", 1), ("a", 1), ("b", 2), ("b", 2), ("c", 1), ("c", 2), ("d", 2), ("d", 1), ("e", None), ("f", 1), ("f", 1), ("f", 1)]
+    got = {r.g: r.hash for r in quality.fingerprint(spark.createDataFrame(rows, "g string, x int"), "g").collect()}
+    assert got["c"] == got["d"] and len({got[g] for g in "abcef"}) == 5
+
+
+def test_asof_join_by_stretches_equals_the_plain_one(spark):
+    rng = random.Random(8)
+    left = spark.createDataFrame([(rng.choice("ab"), rng.randint(0, 400), i) for i in range(400)], "k string, t int, i int")
+    right = spark.createDataFrame([(rng.choice("ac"), rng.randint(50, 350), j) for j in range(40)], "k string, at int, v int").dropDuplicates(["k", "at"])
+    for fill in (False, True):
+        plain, cut = (sorted(map(tuple, asof_join(left, right, "k", "t", "at", "v", backward_fill=fill, bucket=b).collect()), key=str) for b in (None, lambda t: F.floor(t / 10)))
+        assert plain == cut
+
+
+def test_demand_over_stretches(spark):
+    pool = spark.createDataFrame([("g", i) for i in range(97)] + [(None, 500)], "g string, p int")
+    need = spark.createDataFrame([("g", "a", 40), ("g", "b", 0), ("g", "c", 3), ("g", "d", 100), (None, "e", 5)], "g string, who string, need int")
+    got = {r.p: r.who for r in take_by_demand(pool, need, ["g"], [F.col("p")], [F.col("who")], "need", stretch=7).collect()}
+    assert got == {i: "a" if i < 40 else "c" if i < 43 else "d" for i in range(97)}
+
+
 def test_asof_join_takes_the_last_value_up_to_a_time(spark):
     left = spark.createDataFrame([("a", 1), ("a", 5), ("a", 9), ("b", 5)], "k string, t int")
     right = spark.createDataFrame([("a", 5, "x"), ("a", 7, "y")], "k string, at int, v string")
@@ -161,14 +224,9 @@ def test_batches_and_similar_names(spark):
 
     from sluice.operators import pages, projection
 
-    rows = pages.batches(spark.createDataFrame([(f"n{i:03}",) for i in range(100)], "name string"), "name", 2, 20).collect()
-    sizes = {}
-    for r in rows:
-        sizes.setdefault((r.part, r.batch), []).append(r.name)
-    assert len(rows) == 100 and all(len(v) <= 20 for v in sizes.values())
-    for part in (0, 1):
-        own = [n for k in sorted(sizes) if k[0] == part for n in sorted(sizes[k])]
-        assert own == sorted(own) and all(len(sizes[k]) == 20 for k in sorted(sizes)[:-1] if k[0] == part and (part, k[1] + 1) in sizes)
+    names = [f"n{i * 37 % 100:03}" for i in range(100)]
+    rows = pages.batches(spark.createDataFrame([(n,) for n in names], "name string"), "name", "name", 20).collect()
+    assert {r.name: r.batch for r in rows} == {n: i // 20 for i, n in enumerate(sorted(names))}
     a, b = [(1, "acme labs", "x"), (2, "zeta", "x"), (3, "acme", "y")], [(7, "acme lab", "x"), (8, "acme labs india", "x"), (9, "acme", "x")]
     frames = [spark.createDataFrame(r, "id int, name string, block string") for r in (a, b)]
     got = {(r.left_id, r.right_id): r.similarity for r in projection.accept_names(*frames, "block").collect()}
