@@ -21,7 +21,7 @@ SKETCH = 64
 #: is dense if it has DENSE of the sets that it was split from; sets of the others get more runs, which split DEEP times.
 LIMIT, MAX_DEPTH, DEEP, DENSE = 64, 3, 8, 0.6
 #: Sets of a dense cluster that are compared at once, against each other or another block, and their bytes.
-BLOCK, BLOCK_BYTES = 1024, 16 << 20
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 TARGET_RECALL = 0.99
 #: Pairs that agree in fewer coordinates than 5 standard deviations below the threshold aren't looked at further.
 SIGMAS = 5
@@ -53,6 +53,7 @@ def _sketching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketches.append(sketch(own, multipliers) if len(own) else None)
         columns = [*batch.columns[:3], pa.array(digests, pa.binary()), pa.array(sketches, pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_file", "_row", "digest", "sketch"])
+    pa.default_memory_pool().release_unused()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,9 +86,9 @@ def linked_in_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
     width, shared = int((n > 1).sum()), np.zeros((len(left), len(right)), dtype=np.float64)
     owner, used = np.repeat(np.arange(len(sets)), sizes.astype(int)), (n > 1)[at]
     owner, at = owner[used], column[at[used]]
-    for k in range(0, width, 8192):  # as products of 0/1 matrices, some tokens at a time
-        some = (at >= k) & (at < k + 8192)
-        matrix = np.zeros((len(sets), min(8192, width - k)), dtype=np.float32)
+    for k in range(0, width, 2048):  # as products of 0/1 matrices, some tokens at a time
+        some = (at >= k) & (at < k + 2048)
+        matrix = np.zeros((len(sets), min(2048, width - k)), dtype=np.float32)
         matrix[owner[some], at[some] - k] = 1
         shared += matrix[left] @ matrix[right].T
     return shared >= threshold * (sizes[left][:, None] + sizes[right][None, :] - shared) - 1e-9
@@ -134,6 +135,7 @@ def _block_links(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 rows.append(row)
         if rows:
             yield solve(rows)
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -209,7 +211,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_R
 
     A text of any length is one set; null and empty texts and an empty table give no links. Rows that repeat are copies.
     """
-    with common.scratch(docs.sparkSession), common.small_batches(docs.sparkSession):
+    with common.scratch(docs.sparkSession), common.small_batches(docs.sparkSession, 1000):
         return common.staged(_labelled(docs, threshold, recall).drop("label"), "join-classes", keep=True)
 
 
@@ -303,7 +305,7 @@ def drop_near_copies(docs: DataFrame, threshold: float = 0.8, recall: float = TA
     """
     docs = common.filed(docs)
     placed = common.with_locator(docs)
-    with common.scratch(docs.sparkSession), common.small_batches(docs.sparkSession):
+    with common.scratch(docs.sparkSession), common.small_batches(docs.sparkSession, 1000):
         classes = common.staged(_labelled(docs, threshold, recall).filter("label IS NOT NULL"), "join-classes")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_file", "_row"))
         keepers = classes.groupBy("label").agg(first.alias("keep"))

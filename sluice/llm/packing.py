@@ -134,6 +134,7 @@ def _packing(file: str, end_id: int, length: int) -> Callable[[Iterator[pa.Recor
             columns = [batch.column("doc_id").take(pa.array(of)), pa.array(starts - bounds[of]), pa.array(sizes), binary, pa.array(np.diff(bounds)[of]), pa.array(first + at // length), pa.array(at % length)]
             yield pa.RecordBatch.from_arrays(columns, names)
             filled += len(ids)
+        pa.default_memory_pool().release_unused()
 
     return run
 

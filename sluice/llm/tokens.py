@@ -19,7 +19,7 @@ _TAIL = ".,;:!?"
 #: Texts that are encoded at once.
 ROWS = 2500
 #: Pieces of up to LONGEST characters are remembered: the last MOST or more, and those before them.
-LONGEST, MOST = 64, 400_000
+LONGEST, MOST = 64, 250_000
 
 
 class Encoder:
