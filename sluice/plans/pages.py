@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import text as tx
 from sluice.operators import pages as pg
+from sluice.plans import model
 from sluice.plans.model import table
 
 QUERIES: dict = {}
@@ -108,3 +109,69 @@ def _(spark, d):
 @query("thread_rollup", "SELECT conv_id, count(*) AS messages, min(turn) AS first_turn, max(turn) AS last_turn, arg_min(md5(text), turn) AS subject, count(*) FILTER (role = 'user') AS from_user FROM conversations GROUP BY conv_id")
 def _(spark, d):
     return table(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("messages"), F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"), F.min_by(F.md5("text"), "turn").alias("subject"), F.count_if(F.col("role") == "user").alias("from_user"))
+
+
+#: Each page with links, addresses and staff numbers of its own after what it has.
+MORE = """SELECT page_id, regexp_replace(url, '^https?://[^/]+', 'https://www.s' || page_id % 9 || '.example') AS url, 's' || page_id % 9 || '.example' AS site, CASE page_id % 5 WHEN 0 THEN 404 WHEN 1 THEN NULL ELSE 200 END AS code,
+html || '<a class="x" href="/about?x=1#top">a</a><a href="https://s' || page_id % 9 || '.example/team/us">t</a><a href="//other.example/about">o</a><A HREF="contact.html">c</A><a href="/about?x=1">again</a><a href="/files/team.pdf">f</a><a href="/">root</a> Write to Jane.Doe [at] s' || page_id % 9 || '.example or info@mail.s' || page_id % 9 || '.example, x@other.example, noreply@s' || page_id % 9 || '.example, zed' || page_id % 4 || '@s' || page_id % 9 || '.example <span data-cfemail="422a27022a306c316c2735"></span> We are a team of ' || (page_id * 37) % 30000 || ' with 45+ engineers' AS html FROM {pages}"""
+R = f"WITH r AS ({model.duck(MORE)})"
+
+
+@query("site_links", R + """, l AS (SELECT DISTINCT page_id, unnest([{'n': 0, 'link': 'https://www.s' || page_id % 9 || '.example/about?x=1', 'kind': 'about'}, {'n': 1, 'link': regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*$', '') || '/contact.html', 'kind': 'contact'}, {'n': 2, 'link': 'https://s' || page_id % 9 || '.example/team/us', 'kind': 'team'}], recursive := true) FROM r) SELECT page_id, CAST(n + 1 AS INT) AS place, link, kind FROM l""")
+def _(spark, d):
+    return pg.site_links(model.derived(spark, d, MORE).withColumn("html", F.regexp_replace("html", "(?s)^.*(?=<a class=.x.)", "")), [("about", "^/about"), ("contact", "contact"), ("team", "^/team")])
+
+
+@query("site_states", R + f", t AS (SELECT r.site, code, {_visible().replace('html', 'r.html')} AS text FROM r) SELECT site, count(*) AS pages, count(*) FILTER (code = 200) AS read, CAST(coalesce(sum(length(text)) FILTER (code = 200), 0) AS BIGINT) AS length, CASE WHEN count(*) FILTER (code = 200) = 0 THEN 'blocked' WHEN coalesce(bool_or(regexp_matches(text, 'domain is for sale', 'i')) FILTER (code = 200), false) THEN 'parked' WHEN sum(length(text)) FILTER (code = 200) < 8000 THEN 'thin' ELSE 'crawled' END AS status FROM t GROUP BY site")
+def _(spark, d):
+    rows = model.derived(spark, d, MORE).withColumn("text", tx.visible_text(F.col("html")))
+    return pg.site_states(rows.withColumn("length", F.length("text")), "domain is for sale", 8000)
+
+
+PEOPLE_SQL = "SELECT DISTINCT 's' || page_id % 9 || '.example' AS site, CASE WHEN page_id % 9 < 5 THEN 'Jane' ELSE 'Zed' END AS first, 'Doe' AS last FROM {pages}"
+
+
+def _addresses(spark, d):
+    rows = model.derived(spark, d, MORE).withColumn("html", F.regexp_replace("html", "(?s)^.*(?=<a class=.x.)", ""))
+    return pg.site_addresses(rows, model.derived(spark, d, PEOPLE_SQL))
+
+
+ADDRESSES = ", a AS (SELECT DISTINCT site, unnest(['jane.doe@' || site, 'info@mail.' || site, 'zed' || page_id % 4 || '@' || site]) AS email FROM r), sc AS (SELECT site, email, CASE WHEN starts_with(email, 'jane') AND CAST(substr(site, 2, 1) AS INT) < 5 THEN 0 WHEN starts_with(email, 'zed') AND CAST(substr(site, 2, 1) AS INT) >= 5 THEN 0 WHEN starts_with(email, 'info') THEN 10 ELSE 40 END AS score FROM a)"
+
+
+@query("site_addresses", R + ADDRESSES + " SELECT * FROM sc")
+def _(spark, d):
+    return _addresses(spark, d)
+
+
+@query("best_addresses", R + ADDRESSES + ", k AS (SELECT *, row_number() OVER (PARTITION BY site, score <= 1 ORDER BY score, length(email), email) AS n FROM sc) SELECT site, max(email) FILTER (score <= 1 AND n = 1) AS person, coalesce(string_agg(email, ',' ORDER BY n) FILTER (score > 1 AND n <= 4), '') AS others FROM k GROUP BY site")
+def _(spark, d):
+    return pg.best_addresses(_addresses(spark, d))
+
+
+@query("hidden_addresses", "SELECT page_id, 'p' || page_id || '@h.example' AS email FROM pages")
+def _(spark, d):
+    hexed = lambda c: F.conv(c.cast("string"), 10, 16)
+    text = F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit("@h.example"))
+    coded = F.transform(F.split(text, ""), lambda ch: F.lower(F.lpad(hexed(F.ascii(ch).bitwiseXOR(F.lit(66))), 2, "0")))
+    rows = table(spark, d, "pages").select("page_id", F.concat(F.lit('<i data-cfemail="42'), F.array_join(F.filter(coded, lambda x: x != "42"), ""), F.lit('">')).alias("html"))
+    return rows.select("page_id", F.get(pg.hidden_addresses(F.col("html")), F.lit(0)).alias("email"))
+
+
+@query("site_headcount", R + " SELECT site, max(CASE WHEN (page_id * 37) % 30000 BETWEEN 45 AND 9999 THEN CAST((page_id * 37) % 30000 AS INT) ELSE 45 END) AS headcount FROM r GROUP BY site")
+def _(spark, d):
+    rows = model.derived(spark, d, MORE).withColumn("text", F.regexp_extract("html", "(We are a team of .*)$", 1))
+    return pg.headcount(rows, "site")
+
+
+ICP = {
+    "c": "SELECT c_custkey AS company, CASE WHEN c_custkey % 3 = 0 THEN 'crawled' ELSE 'thin' END AS status, c_custkey % 7 AS tools, c_custkey % 5 AS practices, c_custkey % 4 AS artifacts, c_custkey % 3 AS hiring, c_custkey % 20 AS academic, CASE WHEN c_custkey % 6 > 0 THEN c_custkey * 13 % 1500 END AS headcount, c_custkey % 2 = 0 AS decision_maker FROM {customer}",
+    "v": "SELECT o_custkey AS company, o_orderkey % 5 AS batch, o_orderkey AS at, CASE o_orderkey % 6 WHEN 0 THEN 'Fit' WHEN 1 THEN 'Fit' WHEN 2 THEN 'Maybe' WHEN 3 THEN 'Out' WHEN 4 THEN 'Unresolved' ELSE 'odd' END AS icp, CAST(o_orderkey % 11 AS DOUBLE) / 16 AS confidence, CASE o_orderkey % 4 WHEN 0 THEN 'services' WHEN 1 THEN 'academic' ELSE 'product' END AS type, o_orderkey % 3 > 0 AS own_product, o_orderkey % 5 AS richness FROM {orders}",
+}
+
+
+@query("icp_outcome", f"WITH c AS ({model.duck(ICP['c'])}), v AS ({model.duck(ICP['v'])}), l AS (SELECT company, unnest(arg_max({{'icp': icp, 'confidence': confidence, 'type': type, 'own_product': own_product, 'richness': richness}}, v.\"at\")) FROM v WHERE batch = company % 5 OR batch = 0 GROUP BY company), b AS (SELECT c.*, l.icp, l.type, l.confidence, l.richness, CASE WHEN icp = 'Fit' THEN CASE WHEN own_product AND type <> 'services' THEN 'Fit' ELSE 'Maybe' END WHEN icp IN ('Maybe', 'Out') THEN icp END AS bucket, CASE WHEN headcount IS NULL THEN 'unknown' WHEN headcount BETWEEN 20 AND 500 THEN 'A' WHEN headcount BETWEEN 501 AND 1000 THEN 'B' ELSE 'excluded' END AS tier FROM c LEFT JOIN l ON l.company = c.company), s AS (SELECT *, CASE WHEN bucket IS NULL THEN 0 ELSE CAST(least(100, greatest(0, CASE bucket WHEN 'Fit' THEN 60 WHEN 'Maybe' THEN 30 ELSE 0 END + floor(confidence * 10) + 5 * least(richness, 3) + least(2 * tools, 10) + least(2 * practices, 6) + least(3 * artifacts, 6) + CASE WHEN hiring >= 2 THEN 4 ELSE 0 END - CASE WHEN academic >= 12 THEN 10 ELSE 0 END + CASE WHEN decision_maker THEN 5 ELSE 0 END)) AS INT) END AS score FROM b) SELECT company, bucket, tier, score, CASE WHEN icp IS NULL THEN CASE WHEN status = 'crawled' THEN 'classify_pending' ELSE status END WHEN icp = 'Unresolved' THEN 'domain_unresolved' WHEN bucket IS NULL THEN 'classify_failed' WHEN bucket = 'Out' THEN 'out_' || CASE type WHEN 'academic' THEN 'academic' WHEN 'services' THEN 'services' ELSE 'other' END ELSE lower(bucket) || CASE tier WHEN 'A' THEN '_tier_A' WHEN 'B' THEN '_tier_B' WHEN 'excluded' THEN '_excluded_size' ELSE '_unknown_headcount' END END AS outcome, CASE WHEN bucket IN ('Fit', 'Maybe') THEN row_number() OVER (PARTITION BY tier, bucket IN ('Fit', 'Maybe') ORDER BY score DESC, company) END AS rank FROM s")
+def _(spark, d):
+    c, v = (model.derived(spark, d, ICP[k]) for k in "cv")
+    allowed = c.select("company", F.explode(F.array_distinct(F.array(F.col("company") % 5, F.lit(0).cast("long")))).alias("batch"))
+    return pg.icp_outcome(c, v, allowed)
