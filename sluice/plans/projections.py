@@ -8,7 +8,7 @@ from sluice.functions import norm
 from sluice.operators import identity
 from sluice.operators import pages as pg
 from sluice.operators import projection as pj
-from sluice.plans import funnel, model
+from sluice.plans import funnel
 from sluice.plans.model import funnel_sql, table
 
 QUERIES: dict = {}
