@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from sluice.functions.staging import staged
 
@@ -18,19 +19,31 @@ def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     return counts.join(F.broadcast(least)).filter(F.col(key).isNotNull() & (F.col("_n") > F.col("_least"))).select(F.col(key).alias("_hot"))
 
 
+def _literal(value, of: DataType) -> Column:
+    if isinstance(of, StructType) and value is not None:
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in of.fields])
+    return F.lit(value).cast(of)
+
+
 def spread_join(rows: DataFrame, key: str, table: DataFrame, at: str, value: str, hot: DataFrame, name: str) -> DataFrame:
     """rows with `name`, the `value` of the row of `table` whose `at` is their key, null if there is none; `at` is unique.
 
-    The values of hot keys, fewer than HOT, are broadcast; the rest meet by a shuffle, in which rows of hot keys are dealt by
-    all their columns. So no task gets more than its share of the rows, whatever the keys are.
+    The values of hot keys, fewer than HOT rows, are looked up on the driver and stand in the plan; the rest meet by a
+    shuffle, in which rows of hot keys are dealt by all their columns. So no task gets more than its share of the rows,
+    whatever the keys are.
     """
     t = table.select(F.col(at).alias("_at"), F.col(value).alias("_value"))
-    known = t.join(F.broadcast(hot), t["_at"] == hot["_hot"]).select(F.col("_hot").alias("_known"), F.col("_value").alias("_direct"))
-    marked = rows.join(F.broadcast(known), rows[key] == known["_known"], "left").withColumn("_is", F.col("_known").isNotNull())
+    found = t.join(F.broadcast(hot), t["_at"] == hot["_hot"]).select("_at", "_value").collect()  # fewer than HOT
+    if not found:
+        met = rows.join(t, rows[key] == t["_at"], "left")
+        return met.select(*[rows[c] for c in rows.columns], F.col("_value").alias(name))
+    of, key_type = t.schema["_value"].dataType, t.schema["_at"].dataType
+    known = F.create_map(*[x for r in found for x in (_literal(r["_at"], key_type), _literal(r["_value"], of))])
+    marked = rows.withColumn("_is", F.coalesce(F.map_contains_key(known, F.col(key)), F.lit(False)))
     marked = marked.withColumn("_deal", F.when(F.col("_is"), F.xxhash64(*rows.columns)).otherwise(F.xxhash64(key)))
     t = t.select("_at", "_value", F.xxhash64("_at").alias("_place"), F.lit(False).alias("_cold"))
     met = marked.join(t, (marked["_deal"] == t["_place"]) & (marked["_is"] == t["_cold"]) & (marked[key] == t["_at"]), "left")
-    return met.select(*[marked[c] for c in rows.columns], F.when(F.col("_is"), F.col("_direct")).otherwise(F.col("_value")).alias(name))
+    return met.select(*[marked[c] for c in rows.columns], F.when(F.col("_is"), F.try_element_at(known, F.col(key))).otherwise(F.col("_value")).alias(name))
 
 
 def components(edges: DataFrame) -> DataFrame:
