@@ -13,10 +13,11 @@ HOT = 128
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """_hot: the keys that more than 1/HOT of the rows have; fewer than HOT, counted with partial sums."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    least = counts.agg((F.sum("_n") / F.lit(HOT)).alias("_least"))
-    return counts.join(F.broadcast(least)).filter(F.col(key).isNotNull() & (F.col("_n") > F.col("_least"))).select(F.col(key).alias("_hot"))
+    """_hot: the keys that more than 1/HOT of the rows have, and the most frequent one whatever its share; HOT at most, counted with partial sums."""
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    bounds = counts.agg((F.sum("_n") / F.lit(HOT)).alias("_least"), F.max(F.struct("_n", key)).alias("_top"))
+    hot = (F.col("_n") > F.col("_least")) | (F.col(key) == F.col(f"_top.{key}"))
+    return counts.join(F.broadcast(bounds)).filter(hot).select(F.col(key).alias("_hot"))
 
 
 def _literal(value, of: DataType) -> Column:
