@@ -19,7 +19,7 @@ from sluice.llm.shingles import mixed, shingle_sets
 SKETCH = 64
 #: A bucket of up to LIMIT sets is compared in full; a larger one is split again, MAX_DEPTH times at most. One that is larger even then
 #: is dense if it has DENSE of the sets that it was split from; sets of the others get more runs, which split DEEP times.
-LIMIT, MAX_DEPTH, DEEP, DENSE = 64, 3, 8, 0.6
+LIMIT, MAX_DEPTH, DEEP, DENSE = 64, 3, 5, 0.6
 #: Sets of a dense cluster that are compared at once, against each other or another block, and their bytes.
 BLOCK, BLOCK_BYTES = 512, 4 << 20
 TARGET_RECALL = 0.99
