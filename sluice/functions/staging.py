@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -41,18 +41,41 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that are staged inside are deleted at the end, but for those staged with keep, which the scratch around it, if any, deletes."""
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """The list of tables that are staged inside; they are deleted at the end, but for those staged with keep, which the scratch around it, if any, deletes."""
     paths: list[str] = []
     token = _scratch.set((*_scratch.get(), paths))
     try:
-        yield
+        yield paths
     finally:
         _scratch.reset(token)
         for path in paths:
             delete(spark, path)
 
 
+def scratch_path(spark: SparkSession, label: str, *, keep: bool = False) -> str:
+    """A path in the shared folder that is deleted like a staged table: a store, or a stream's files and checkpoint."""
+    return _noted(shared_path(spark, label), keep)
+
+
+def _noted(path: str, keep: bool) -> str:
+    open_ = _scratch.get()[: -1 if keep else None]
+    if open_:
+        open_[-1].append(path)
+    return path
+
+
+def tidy(label: str, query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """query with its scratch: if it stages tables its result is staged too, which is all that it leaves; else the result is as it was."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with scratch(spark) as paths:
+            result = query(spark, sf_dir)
+            return staged(result, label, keep=True) if paths else result
+
+    return run
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
@@ -61,10 +84,7 @@ def delete(spark: SparkSession, path: str) -> None:
 def staged(df: DataFrame, label: str, *, keep: bool = False, path: str | None = None) -> DataFrame:
     """df written to the shared folder and read again: the lineage ends there, and a lost executor loses none of it."""
     spark = df.sparkSession
-    path = path or shared_path(spark, label)
-    open_ = _scratch.get()[: -1 if keep else None]
-    if open_:
-        open_[-1].append(path)
+    path = _noted(path or shared_path(spark, label), keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

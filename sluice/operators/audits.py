@@ -185,15 +185,13 @@ def leak_summary(leaks: DataFrame, fixes: DataFrame) -> DataFrame:
     return rows.groupBy("kind").agg(F.count("*").alias("leaks"), F.count_if("_f").alias("fixed"), F.count_if(F.col("_f").isNull()).alias("open"), F.sum("credits").alias("credits"))
 
 
-def key_links(ids: DataFrame, labels: DataFrame) -> DataFrame:
-    """source, type, links: entities that a strong key of this type joins to a company that another source began."""
-    rows = ids.filter("strength = 'strong'").join(labels, "entity")
-    owner = rows.groupBy("type", "value").agg(F.min("entity").alias("_first"), F.countDistinct("source").alias("_n"))
-    met = rows.join(owner, ["type", "value"]).filter("_n > 1 AND entity <> _first")
-    return met.groupBy("source", "type").agg(F.countDistinct("entity").alias("links"))
+def key_links(entities: DataFrame, labels: DataFrame) -> DataFrame:
+    """source, type, links: entities of a source that a key of this type linked to a company (labels of identity.golden)."""
+    rows = entities.select("entity", "source").join(labels.filter("how <> 'new'").select("entity", F.col("how").alias("type")), "entity")
+    return rows.groupBy("source", "type").agg(F.count("*").alias("links"))
 
 
-def confirmed(ids: DataFrame) -> DataFrame:
-    """type, identifiers: strong values that two sources or more have."""
-    n = ids.filter("strength = 'strong'").groupBy("type", "value").agg(F.countDistinct("source").alias("n"))
+def confirmed(owned: DataFrame) -> DataFrame:
+    """type, identifiers: strong values that entities of two sources or more bring to the company that owns them (identity.owned)."""
+    n = owned.filter("golden = owner").groupBy("type", "value").agg(F.countDistinct("source").alias("n"))
     return n.filter("n >= 2").groupBy("type").agg(F.count("*").alias("identifiers"))

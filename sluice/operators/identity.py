@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.graph import components, hot_keys, spread_join
+from sluice.functions.staging import staged
 
 #: A key that so many entities of one source claim says little about one of them.
 SHARED_BY = 3
@@ -31,42 +31,74 @@ def identifiers(entities: DataFrame, types: list[tuple[str, str]], *, confidence
     return rows.select("entity", "source", "type", "value", "priority", "confidence", "claims", F.when(weak, "weak").otherwise("strong").alias("strength"))
 
 
-def golden(entities: DataFrame, ids: DataFrame) -> DataFrame:
-    """entity, golden: the least entity that strong identifiers connect it with.
+def strong_claims(ids: DataFrame) -> DataFrame:
+    """entity, source, type, value, priority, first: the strong identifiers, each with the first entity that claims it; entities are imported in the order of their ids.
 
-    Each value links those who claim it with the least of them, a row for each claim, and the components of these links are
-    the companies. No pairs of claimants are made, and values or companies of any size spread over tasks (graph.components),
-    which goes on until no label changes.
+    A value's rows meet its first claimant by one join, whose large partitions Spark splits; no pairs of claimants are made.
     """
-    strong = ids.filter("strength = 'strong'").select("entity", F.concat_ws(":", "type", "value").alias("key"))
-    least = strong.groupBy("key").agg(F.min("entity").alias("least"))
-    spokes = spread_join(strong, "key", least, "key", "least", hot_keys(strong, "key"), "least")
-    labels = components(spokes.select(F.col("entity").cast("long").alias("a"), F.col("least").cast("long").alias("b")))
-    rows = entities.select("entity").join(labels, entities["entity"] == labels["node"], "left")
-    return rows.select("entity", F.coalesce(F.col("label").cast(entities.schema["entity"].dataType), "entity").alias("golden"))
+    strong = ids.filter("strength = 'strong'").select("entity", "source", "type", "value", "priority")
+    first = strong.groupBy(F.col("type").alias("_t"), F.col("value").alias("_v")).agg(F.min("entity").alias("first"))
+    return strong.join(first, (strong["type"] == first["_t"]) & (strong["value"] == first["_v"])).drop("_t", "_v")
+
+
+def roots(pointers: DataFrame) -> DataFrame:
+    """node, root of every row (node, to) of a forest: each round a node points to where its target pointed, until all targets are roots; so a path of n takes log2(n) rounds."""
+    at = staged(pointers.select("node", "to"), "roots")
+    while True:
+        next_ = at.select(F.col("node").alias("_n"), F.col("to").alias("_to"))
+        moved = at.join(next_, at["to"] == next_["_n"], "left")
+        after = staged(moved.select("node", F.coalesce("_to", "to").alias("to"), F.col("_to").isNotNull().alias("_moved")), "roots")
+        at = after.select("node", "to")
+        if after.filter("_moved").isEmpty():
+            return at.withColumnRenamed("to", "root")
+
+
+def golden(entities: DataFrame, claims: DataFrame) -> DataFrame:
+    """entity, golden, how: the company that an entity is linked to, and the type of the key that did it, or new.
+
+    Entities come one after another. One that claims a key which an earlier one had is linked to the company that owns the key,
+    of several keys by the one of the least priority number (of two values of one type, the one with the earlier claimant);
+    else it begins a company. Keys that nobody owns go to its company. Companies are never merged: where two keys of an entity
+    have two owners, `conflicts` tells. A key is owned by the company of its first claimant, so an entity's company is that of
+    one earlier entity, and the companies are the roots of these pointers.
+    """
+    best = F.min(F.struct("priority", "first", "type")).alias("_best")
+    to = claims.filter("first < entity").groupBy(F.col("entity").alias("node")).agg(best).select("node", F.col("_best.first").alias("to"), F.col("_best.type").alias("how"))
+    to = staged(to, "golden-pointers")
+    found = roots(to).withColumnRenamed("node", "_e")
+    found = found.join(to.select("node", "how"), found["_e"] == F.col("node"))
+    rows = entities.select("entity").join(found, entities["entity"] == found["_e"], "left")
+    return rows.select("entity", F.coalesce("root", "entity").alias("golden"), F.coalesce("how", F.lit("new")).alias("how"))
+
+
+def owned(claims: DataFrame, labels: DataFrame) -> DataFrame:
+    """claims with golden, the entity's company, and owner, the company that has the key; where they differ the key is only weak evidence."""
+    own = labels.select(F.col("entity").alias("_e"), "golden")
+    owner = labels.select(F.col("entity").alias("_f"), F.col("golden").alias("owner"))
+    rows = claims.join(own, claims["entity"] == own["_e"]).drop("_e")
+    return rows.join(owner, rows["first"] == owner["_f"]).drop("_f")
 
 
-def conflicts(ids: DataFrame) -> DataFrame:
-    """left, right, type, value, score: pairs of entities of different sources that claim one strong value, fewer than SHARED_BY of each source."""
-    strong = ids.filter("strength = 'strong'")
-    a, b = [strong.select("type", "value", F.col("entity").alias(e), F.col("source").alias(s)) for e, s in (("left", "s1"), ("right", "s2"))]
-    pairs = a.join(b, ["type", "value"]).filter("left < right AND s1 <> s2")
-    return pairs.select("left", "right", "type", "value", F.lit(0.9).alias("score")).distinct()
+def conflicts(claims: DataFrame, labels: DataFrame) -> DataFrame:
+    """left, right, types, score: pairs of golden companies, left less than right, that an entity of the one has a strong key of the other; for a person to decide, never merged."""
+    met = owned(claims, labels).filter("golden <> owner")
+    pairs = met.groupBy(F.least("golden", "owner").alias("left"), F.greatest("golden", "owner").alias("right")).agg(F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"))
+    return pairs.withColumn("score", F.lit(0.9))
 
 
-def name_candidates(entities: DataFrame, most: int = 6) -> DataFrame:
-    """left, right, score: pairs of different sources in a block of one name_key of at most `most` entities, whose countries don't differ.
+def name_candidates(companies: DataFrame, most: int = 6) -> DataFrame:
+    """left, right, score: pairs of golden companies (golden, sources, name_key, name_norm, city, country) of a block of one name_key of at most `most`, of two sources or more together, whose countries don't differ.
 
     0.60 for the block, 0.15 for equal names, 0.10 for the same city and 0.10 for the same country. Larger blocks are names
     that say too little; they are left out by rule.
     """
-    sizes = entities.filter(F.length("name_key") >= 4).groupBy("name_key").agg(F.count("*").alias("n")).filter(F.col("n").between(2, most))
-    rows = entities.join(sizes, "name_key")
-    side = lambda x: rows.select("name_key", *[F.col(c).alias(f"{c}_{x}") for c in ("entity", "source", "name_norm", "city", "country")])
-    pairs = side("a").join(side("b"), "name_key").filter("entity_a < entity_b AND source_a <> source_b AND (country_a IS NULL OR country_b IS NULL OR country_a = country_b)")
+    sizes = companies.filter(F.length("name_key") >= 4).groupBy("name_key").agg(F.count("*").alias("n")).filter(F.col("n").between(2, most))
+    rows = companies.join(sizes, "name_key")
+    side = lambda x: rows.select("name_key", *[F.col(c).alias(f"{c}_{x}") for c in ("golden", "sources", "name_norm", "city", "country")])
+    pairs = side("a").join(side("b"), "name_key").filter("golden_a < golden_b AND size(array_union(sources_a, sources_b)) >= 2 AND (country_a IS NULL OR country_b IS NULL OR country_a = country_b)")
     same = lambda x, y, points: F.when(x == y, points).otherwise(0)
     points = 60 + same(F.col("name_norm_a"), F.col("name_norm_b"), 15) + same(F.lower("city_a"), F.lower("city_b"), 10) + same(F.col("country_a"), F.col("country_b"), 10)
-    return pairs.select(F.col("entity_a").alias("left"), F.col("entity_b").alias("right"), (F.least(F.lit(95), points) / 100.0).alias("score"))
+    return pairs.select(F.col("golden_a").alias("left"), F.col("golden_b").alias("right"), (F.least(F.lit(95), points) / 100.0).alias("score"))
 
 
 def survivors(pointers: DataFrame, hops: int = 5) -> DataFrame:
@@ -98,15 +130,22 @@ def pointer_problems(pointers: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def golden_fields(entities: DataFrame, labels: DataFrame, fields: list[str]) -> DataFrame:
-    """golden, members, sources and each field's first value that isn't null, by the order of the entities."""
-    rows = entities.join(labels, "entity")
+    """golden, members, sources (sorted) and each field's first value that isn't null, in the order of the entities: what a company begins with stays, later members fill in."""
+    rows = entities.join(labels.select(F.col("entity").alias("_e"), "golden"), F.col("entity") == F.col("_e"))
     first = [F.min_by(f, F.when(F.col(f).isNotNull(), F.col("entity"))).alias(f) for f in fields]
-    return rows.groupBy("golden").agg(F.count("*").alias("members"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"), *first)
+    return rows.groupBy("golden").agg(F.count("*").alias("members"), F.array_sort(F.collect_set("source")).alias("sources"), *first)
+
+
+def golden_keys(claims: DataFrame, labels: DataFrame, types: list[str]) -> DataFrame:
+    """golden and, for each type, the first strong value that the company owns, in the order of the entities."""
+    rows = owned(claims, labels).filter("golden = owner")
+    first = [F.min_by("value", F.when(F.col("type") == t, F.struct("entity", "value"))).alias(t) for t in types]
+    return rows.groupBy("golden").agg(*first)
 
 
 def source_overlap(entities: DataFrame, labels: DataFrame) -> DataFrame:
     """sources, companies: golden companies by the number of sources they come from."""
-    n = entities.join(labels, "entity").groupBy("golden").agg(F.countDistinct("source").alias("sources"))
+    n = entities.join(labels.select("entity", "golden"), "entity").groupBy("golden").agg(F.countDistinct("source").alias("sources"))
     return n.groupBy("sources").agg(F.count("*").alias("companies"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import norm
+from sluice.functions.staging import staged
 
 SHARED_BY = 3
 
@@ -186,17 +187,48 @@ def verticals(categories: DataFrame, known: DataFrame) -> DataFrame:
     return rows.select("category", F.coalesce(F.col("_by_slug").cast("string"), F.col("_by_segment").cast("string"), "slug").alias("vertical"), method.alias("method"))
 
 
+def _creators(claims: DataFrame) -> DataFrame:
+    """pk of the rows (pk, key) that share no key with an earlier such row.
+
+    A round decides the rows that are the first of all their keys, and takes away those whose key such a row has; each
+    key gives its first row only, so no pairs are made. The first row that is left is always decided. Where rows stand in each
+    other's way one after another there are as many rounds as that chain has such rows; keys are those of one company.
+    """
+    open_, found = staged(claims.select("pk", "key"), "upsert-open"), []
+    while not open_.isEmpty():
+        first = open_.groupBy(F.col("key").alias("_k")).agg(F.min("pk").alias("first"))
+        met = staged(open_.join(first, open_["key"] == first["_k"]).drop("_k"), "upsert-met")
+        new = staged(met.groupBy("pk").agg(F.bool_and(F.col("pk") == F.col("first")).alias("_all")).filter("_all").select("pk"), "upsert-new")
+        found.append(new)
+        gone = met.join(new.select(F.col("pk").alias("_n")), F.col("first") == F.col("_n"), "left_semi").select(F.col("pk").alias("_g")).distinct()
+        open_ = staged(open_.join(gone, open_["pk"] == gone["_g"], "left_anti"), "upsert-open")
+    return reduce(DataFrame.unionByName, found) if found else claims.select("pk").limit(0)
+
+
 def contact_upsert(rows: DataFrame) -> DataFrame:
-    """pk, contact, method: rows (pk, company, linkedin, email, in order of pk) that are one person within a company: the first row of the same page, else of the same address; the first row of both keys is new.
+    """pk, contact, method: rows (pk, company, linkedin, email) that are one person within a company, one after another by pk.
 
-    contact is that row's pk. Rows of one page in another company are another contact (merge_candidate says so elsewhere).
+    A row that has the page, else the address, of a contact before it in its company is that contact; else it is a contact
+    itself (contact is its pk, method new), and only contacts have keys, so what a linked row brings is nobody's. A row
+    without keys is a contact; no company is a company too; the same page in another company is another contact (contact_candidates).
     """
-    first = lambda c: F.when(F.col(c).isNotNull(), F.min("pk").over(Window.partitionBy("company", c)))
-    seen = rows.withColumns({"_li": first("linkedin"), "_em": first("email")})
-    by_page = F.col("_li").isNotNull() & (F.col("_li") < F.col("pk"))
-    by_mail = F.col("_em").isNotNull() & (F.col("_em") < F.col("pk"))
-    out = seen.withColumns({"contact": F.when(by_page, F.col("_li")).when(by_mail, F.col("_em")).otherwise(F.col("pk")), "method": F.when(by_page, "linkedin").when(by_mail, "email").otherwise("new")})
-    return out.select("pk", "contact", "method")
+    key = lambda kind: F.to_json(F.struct(F.lit(kind).alias("kind"), "company", F.col(kind).alias("value")))
+    pairs = F.array(*[F.struct(F.lit(i).alias("order"), F.lit(k).alias("method"), F.when(F.col(k).isNotNull(), key(k)).alias("key")) for i, k in enumerate(("linkedin", "email"))])
+    claims = staged(rows.select("pk", F.explode(pairs).alias("_c")).select("pk", "_c.*").filter("key IS NOT NULL"), "upsert-claims")
+    creators = _creators(claims).select(F.col("pk").alias("_n"))
+    keys = claims.join(creators, claims["pk"] == creators["_n"], "left_semi").select(F.col("key").alias("_k"), F.col("pk").alias("contact"))
+    met = claims.join(keys, claims["key"] == keys["_k"]).filter("contact < pk").groupBy(F.col("pk").alias("_p")).agg(F.min(F.struct("order", "contact", "method")).alias("_c"))
+    out = rows.select("pk").join(met, rows["pk"] == met["_p"], "left")
+    return out.select("pk", F.coalesce("_c.contact", "pk").alias("contact"), F.coalesce("_c.method", F.lit("new")).alias("method"))
+
+
+def contact_candidates(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """left, right, score: each contact (method new) with a page that an earlier one of another company has, and the first that has it; never merged."""
+    new = linked.filter("method = 'new'").select(F.col("pk").alias("_n"))
+    pages = rows.filter("linkedin IS NOT NULL").join(new, F.col("pk") == F.col("_n"), "left_semi").select("pk", "linkedin")
+    first = pages.groupBy(F.col("linkedin").alias("_l")).agg(F.min("pk").alias("left"))
+    met = pages.join(first, pages["linkedin"] == first["_l"]).filter("left < pk")
+    return met.select("left", F.col("pk").alias("right"), F.lit(0.9).alias("score"))
 
 
 def origin_refs(parts: dict[str, tuple[DataFrame, str, str]], confidence: dict[str, float]) -> DataFrame:

@@ -163,7 +163,9 @@ def row_problems(rules: DataFrame, stages: DataFrame) -> DataFrame:
 
 
 def resolve_pipeline(events: DataFrame, stages: DataFrame, history: DataFrame, current: DataFrame) -> DataFrame:
-    """event_id, pipeline, basis: the pipeline of a stage that only one has (stage_unique), else the deal's at the time (history), else its present one (deal_current), if that one has the stage; else unresolved.
+    """event_id, pipeline, basis: the pipeline of a stage that only one has (unique_stage_id), else the deal's at the time (pipeline_history), else its present one (deal_current), where one of several has the stage; else unresolved.
+
+    Of a stage that no pipeline has any more, the deal's pipeline at the time is taken, else its present one.
 
     stages: stage_id, pipeline; history: deal_id, at, pipeline; current: deal_id, pipeline. Events of unresolved rows are findings.
     """
@@ -173,9 +175,10 @@ def resolve_pipeline(events: DataFrame, stages: DataFrame, history: DataFrame, c
     then = asof_join(events, history, "deal_id", "entered_at", "at", "pipeline", backward_fill=True).withColumnRenamed("pipeline", "_then")
     now = current.select(F.col("deal_id").alias("_d"), F.col("pipeline").alias("_now"))
     rows = then.join(F.broadcast(homes), then["stage_id"] == homes["_s"], "left").join(now, then["deal_id"] == now["_d"], "left")
-    at_home = lambda c: F.coalesce(F.array_contains("_homes", F.col(c)), F.lit(False))
-    basis = F.when(F.size("_homes") == 1, "stage_unique").when(at_home("_then"), "history").when(at_home("_now"), "deal_current").otherwise("unresolved")
-    found = F.when(basis == "stage_unique", F.get("_homes", F.lit(0))).when(basis == "history", F.col("_then")).when(basis == "deal_current", F.col("_now"))
+    homes_n = F.coalesce(F.size("_homes"), F.lit(0))
+    can = lambda c: F.col(c).isNotNull() & ((homes_n == 0) | F.coalesce(F.array_contains("_homes", F.col(c)), F.lit(False)))
+    basis = F.when(homes_n == 1, "unique_stage_id").when(can("_then"), "pipeline_history").when(can("_now"), "deal_current").otherwise("unresolved")
+    found = F.when(basis == "unique_stage_id", F.get("_homes", F.lit(0))).when(basis == "pipeline_history", F.col("_then")).when(basis == "deal_current", F.col("_now"))
     return rows.select("event_id", found.alias("pipeline"), basis.alias("basis"))
 
 

@@ -29,8 +29,8 @@ def query(name: str, tables: dict[str, str], body: str):
 
 def company_query(name: str, body: str):
     def add(f):
-        QUERIES[name] = lambda spark, sf_dir: f(co_.companies(spark, sf_dir))
-        SQL[name] = f"WITH RECURSIVE {co_.CO}, {co_.IDS}, {co_.GOLD} {body}"
+        co_.query(name, body, co_.GOLD)(f)
+        QUERIES[name], SQL[name] = co_.QUERIES.pop(name), co_.SQL.pop(name)
         return f
 
     return add
@@ -198,15 +198,14 @@ def _(spark, leaks, fixes):
     return au.leak_summary(leaks, fixes)
 
 
-@company_query("links_by_key", "SELECT i.source, i.type, count(DISTINCT i.entity) AS links FROM id i JOIN (SELECT type, value, min(entity) AS f, count(DISTINCT source) AS n FROM id WHERE strength = 'strong' GROUP BY ALL) o ON o.type = i.type AND o.value = i.value WHERE i.strength = 'strong' AND n > 1 AND i.entity <> f GROUP BY ALL")
+@company_query("links_by_key", "SELECT source, how AS type, count(*) AS links FROM co JOIN go ON co.entity = go.entity WHERE how <> 'new' GROUP BY ALL")
 def _(co):
-    ids = co_._ids(co)
-    return au.key_links(ids, co.select("entity").distinct())
+    return au.key_links(co, co_.linked(co)[1])
 
 
-@company_query("confirmed_identifiers", "SELECT type, count(*) AS identifiers FROM (SELECT type, value FROM id WHERE strength = 'strong' GROUP BY ALL HAVING count(DISTINCT source) >= 2) GROUP BY type")
+@company_query("confirmed_identifiers", "SELECT type, count(*) AS identifiers FROM (SELECT type, value FROM ow WHERE golden = owner GROUP BY ALL HAVING count(DISTINCT source) >= 2) GROUP BY type")
 def _(co):
-    return au.confirmed(co_._ids(co))
+    return au.confirmed(identity.owned(*co_.linked(co)))
 
 
 POINT = "pt AS (SELECT entity, CASE pk % 8 WHEN 0 THEN entity WHEN 1 THEN -entity - 1 WHEN 2 THEN entity + 2 WHEN 3 THEN entity - 2 WHEN 4 THEN (SELECT max(entity) FROM co) WHEN 5 THEN (pk // 3) * 2 + entity % 2 END AS into_ FROM co)"
@@ -218,7 +217,7 @@ def _(co):
     last = co.agg(F.max("entity").alias("_max"))
     to = F.when(k == 0, e).when(k == 1, -e - 1).when(k == 2, e + 2).when(k == 3, e - 2).when(k == 4, F.col("_max")).when(k == 5, F.floor(F.col("pk") / 3) * 2 + e % 2)
     pointers = co.join(F.broadcast(last)).select("entity", to.alias("merged_into"))
-    return identity.pointer_problems(pointers, identity.golden(co, co_._ids(co)))
+    return identity.pointer_problems(pointers, co_.linked(co)[1])
 
 
 FORMS = {"r": "SELECT o_orderkey AS id, CASE o_orderkey % 6 WHEN 0 THEN 'Active - Proposal to Strike off' WHEN 1 THEN 'In Administration/Receiver' WHEN 2 THEN ' Dissolved 2019' WHEN 3 THEN 'STRUCK OFF' WHEN 4 THEN 'n/a' END AS status, CASE o_orderkey % 5 WHEN 0 THEN 'hit the whale list' WHEN 1 THEN 'Opted out' WHEN 2 THEN 'Email bounced' WHEN 3 THEN 'who knows' END AS reason, CASE o_orderkey % 4 WHEN 0 THEN 'DNC' WHEN 1 THEN 'sheet' END AS kind, CASE o_orderkey % 6 WHEN 0 THEN 'a@b.example' WHEN 1 THEN 'x.linkedin.com/in/p' WHEN 2 THEN 'linkedin.com/company/c' WHEN 3 THEN '+91 98 7654 3210' WHEN 4 THEN 'https://d.example/x' ELSE 'just words' END AS value, CASE WHEN o_orderkey % 9 = 0 THEN 'Mobile' END AS hint, CASE o_orderkey % 4 WHEN 0 THEN '12.0' WHEN 1 THEN 'NaN' WHEN 2 THEN ' x ' ELSE '1.50' END AS cell, CASE o_orderkey % 4 WHEN 0 THEN 'Co-Founder & CTO' WHEN 1 THEN 'Founder, Chief Executive Officer' WHEN 2 THEN 'VP Sales' ELSE 'Clerk' END AS title, CASE o_orderkey % 4 WHEN 0 THEN '1704164645123' WHEN 1 THEN '1704164645' WHEN 2 THEN '2024-01-02T03:04:05+05:30' ELSE 'soon' END AS at FROM {orders}"}

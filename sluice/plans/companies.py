@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from sluice.functions import norm
 from sluice.functions.patterns import take_by_demand
+from sluice.functions.staging import staged
 from sluice.operators import gates, identity
 from sluice.plans import model
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-#: Messy spellings of a domain, an address, a name and a phone number; a key is shared by a few neighbours, whatever the table's size.
+#: Messy spellings of a domain, an address, a name and a phone number; a key is shared by a few neighbours, whatever the table's size, and the two keys of a company don't always agree.
 PARTS = """SELECT {pk} * 2 + {odd} AS entity, '{source}' AS source, {pk} AS pk,
 CASE {pk} % 7 WHEN 0 THEN ' HTTPS://www.d' || {third} || '.example/path?x ' WHEN 1 THEN 'D' || {third} || '.EXAMPLE' WHEN 2 THEN 'user@d' || {third} || '.example:8080'
 WHEN 3 THEN '"d' || {third} || '.example."' WHEN 4 THEN 'not a host' WHEN 5 THEN CASE WHEN {pk} % 2 = 0 THEN 'https://mü.d' || {pk} || '.example' END ELSE 'generic.example' END AS raw_domain,
@@ -24,7 +25,7 @@ CASE {pk} % 12 WHEN 0 THEN '+91 98' || (10000000 + {pk} * 37) WHEN 1 THEN '098'
 WHEN 5 THEN '9999999999' WHEN 6 THEN '79' || (10000000 + {pk}) WHEN 7 THEN '+91 612' || (1000000 + {pk}) WHEN 8 THEN '0091 1800' || (1000000 + {pk}) WHEN 9 THEN '+971 50' || (1000000 + {pk}) WHEN 10 THEN '70' || (10000000 + {pk}) ELSE '9898989898' END AS raw_phone
 FROM {{{table}}}"""
 BASE = " UNION ALL ".join(
-    PARTS.format(**p, third=f"CAST(floor({p['pk']} / 3) AS BIGINT)", pair=f"CAST(floor({p['pk']} / 2) AS BIGINT)")
+    PARTS.format(**p, third=f"CAST(floor({p['pk']} / 3) AS BIGINT)", pair=f"CAST({p['pk']} % 5 + 5 * floor({p['pk']} / 10) AS BIGINT)")
     for p in (dict(pk="c_custkey", odd=0, source="cust", nation="c_nationkey", table="customer"), dict(pk="s_suppkey", odd=1, source="supp", nation="s_nationkey", table="supplier"))
 )
 GENERIC = ("generic.example",)
@@ -39,8 +40,14 @@ regexp_replace(lower(trim(name)), '\s+', ' ', 'g') AS name_norm, country, city,
 IDS = """ki AS (SELECT entity, source, 'domain' AS type, domain AS value, 0 AS priority, CAST(confidence AS DOUBLE) AS confidence FROM co WHERE domain IS NOT NULL UNION ALL SELECT entity, source, 'linkedin', linkedin, 1, 1.0 FROM co WHERE linkedin IS NOT NULL),
 kc AS (SELECT ki.*, count(DISTINCT entity) OVER (PARTITION BY type, value) AS claims, count(DISTINCT entity) OVER (PARTITION BY source, type, value) AS own FROM ki),
 id AS (SELECT entity, source, type, value, priority, confidence, claims, CASE WHEN own >= 3 OR confidence < 0.9 OR (type = 'domain' AND value = 'generic.example') THEN 'weak' ELSE 'strong' END AS strength FROM kc)"""
-GOLD = """r(a, b) AS (SELECT entity, entity FROM co UNION SELECT r.a, y.entity FROM r JOIN id x ON r.b = x.entity AND x.strength = 'strong' JOIN id y ON x.type = y.type AND x.value = y.value AND y.strength = 'strong'),
-go AS (SELECT a AS entity, min(b) AS golden FROM r GROUP BY a)"""
+# Entities one after another: a key belongs to the company of its first claimant; the claimed key of least priority links, else the entity begins a company.
+GOLD = """fc AS (SELECT type, value, min(entity) AS first FROM id WHERE strength = 'strong' GROUP BY type, value),
+cl AS (SELECT id.entity, id.source, id.type, id.value, id.priority, fc.first FROM id JOIN fc ON id.type = fc.type AND id.value = fc.value WHERE id.strength = 'strong'),
+pa AS (SELECT entity, arg_min(first, priority) AS into_, arg_min(type, priority) AS how FROM cl WHERE first < entity GROUP BY entity),
+ch(entity, here) AS (SELECT entity, into_ FROM pa UNION ALL SELECT ch.entity, pa.into_ FROM ch JOIN pa ON ch.here = pa.entity),
+go AS (SELECT co.entity, coalesce(min(ch.here), co.entity) AS golden, coalesce(any_value(pa.how), 'new') AS how FROM co LEFT JOIN ch ON co.entity = ch.entity LEFT JOIN pa ON co.entity = pa.entity GROUP BY co.entity),
+ow AS (SELECT cl.*, a.golden, b.golden AS owner FROM cl JOIN go a ON cl.entity = a.entity JOIN go b ON cl.first = b.entity),
+gf AS (SELECT golden, count(*) AS members, list_sort(list(DISTINCT source)) AS sources, arg_min(name_key, co.entity) AS name_key, arg_min(name_norm, co.entity) AS name_norm, arg_min(city, co.entity) FILTER (city IS NOT NULL) AS city, arg_min(country, co.entity) FILTER (country IS NOT NULL) AS country FROM co JOIN go ON co.entity = go.entity GROUP BY golden)"""
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,16 +65,18 @@ def _ids(co: DataFrame) -> DataFrame:
     return identity.identifiers(co, TYPES, confidence={"domain": "confidence"}, generic={"domain": GENERIC})
 
 
-def query(name: str, body: str, with_: str = ""):
+def query(name: str, body: str, with_: str = "", *, once: bool = False):
+    """A query over the companies, which are derived once and staged, unless the query reads them only once."""
+
     def add(f):
-        QUERIES[name] = lambda spark, sf_dir: f(companies(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: f(companies(spark, sf_dir) if once else staged(companies(spark, sf_dir), "companies"))
         SQL[name] = f"WITH RECURSIVE {', '.join(x for x in (CO, IDS, with_) if x)} {body}"
         return f
 
     return add
 
 
-@query("normalise_companies", "SELECT entity, domain, linkedin, name_key FROM co")
+@query("normalise_companies", "SELECT entity, domain, linkedin, name_key FROM co", once=True)
 def _(co):
     return co.select("entity", "domain", "linkedin", "name_key")
 
@@ -92,18 +101,18 @@ def _phones(co: DataFrame) -> DataFrame:
     return rows.withColumns({"phone_type": norm.phone_type(F.col("e164")), "phone_country": norm.phone_country(F.col("e164")), "is_dummy": norm.is_dummy_phone(F.col("raw_phone"))})
 
 
-@query("classify_phones", "SELECT entity, e164, phone_type, phone_country, is_dummy FROM ph", PHONES)
+@query("classify_phones", "SELECT entity, e164, phone_type, phone_country, is_dummy FROM ph", PHONES, once=True)
 def _(co):
     return _phones(co).select("entity", "e164", "phone_type", "phone_country", "is_dummy")
 
 
-@query("mobile_gate", "SELECT owner, CASE WHEN bool_or(phone_type = 'mobile' AND NOT is_dummy) THEN arg_min(e164, entity) FILTER (phone_type = 'mobile' AND NOT is_dummy) END AS e164, coalesce(bool_or(phone_type = 'mobile' AND NOT is_dummy), false) AS has_mobile, count(*) AS phones FROM (SELECT entity // 14 AS owner, * FROM ph) GROUP BY owner", PHONES)
+@query("mobile_gate", "SELECT owner, CASE WHEN bool_or(phone_type = 'mobile' AND NOT is_dummy) THEN arg_min(e164, entity) FILTER (phone_type = 'mobile' AND NOT is_dummy) END AS e164, coalesce(bool_or(phone_type = 'mobile' AND NOT is_dummy), false) AS has_mobile, count(*) AS phones FROM (SELECT entity // 14 AS owner, * FROM ph) GROUP BY owner", PHONES, once=True)
 def _(co):
     phones = _phones(co).select(F.floor(F.col("entity") / 14).alias("owner"), F.col("entity").alias("phone_id"), "e164", "phone_type", F.lit(False).alias("is_primary"), "is_dummy")
     return gates.best_phone(phones)
 
 
-@query("phone_gate_review", r"SELECT owner_kind, entity AS owner, raw_phone, e164, reason FROM (SELECT CASE WHEN source = 'cust' THEN 'contact' ELSE 'company' END AS owner_kind, *, CASE WHEN phone_type = 'unknown' AND regexp_matches(e164, '^\+91[6-9][0-9]{9}$') THEN 'mobile_shape_unclassified' WHEN e164 IS NULL AND regexp_matches(regexp_replace(raw_phone, '[ -]', '', 'g'), '^(\+91|0091|[6-9][0-9]{9}$)') THEN 'indian_shape_without_e164' END AS reason FROM ph WHERE NOT is_dummy) WHERE reason IS NOT NULL", PHONES)
+@query("phone_gate_review", r"SELECT owner_kind, entity AS owner, raw_phone, e164, reason FROM (SELECT CASE WHEN source = 'cust' THEN 'contact' ELSE 'company' END AS owner_kind, *, CASE WHEN phone_type = 'unknown' AND regexp_matches(e164, '^\+91[6-9][0-9]{9}$') THEN 'mobile_shape_unclassified' WHEN e164 IS NULL AND regexp_matches(regexp_replace(raw_phone, '[ -]', '', 'g'), '^(\+91|0091|[6-9][0-9]{9}$)') THEN 'indian_shape_without_e164' END AS reason FROM ph WHERE NOT is_dummy) WHERE reason IS NOT NULL", PHONES, once=True)
 def _(co):
     rows = _phones(co).withColumnRenamed("entity", "owner")
     return gates.phone_review({"contact": rows.filter("source = 'cust'"), "company": rows.filter("source = 'supp'")})
@@ -114,29 +123,41 @@ def _(co):
     return _ids(co)
 
 
+def linked(co: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The strong claims of the companies and what they are linked to."""
+    claims = staged(identity.strong_claims(_ids(co)), "claims")
+    return claims, staged(identity.golden(co, claims), "golden")
+
+
+FILLED = ["name_key", "name_norm", "city", "country"]
+
+
 @query("link_golden", "SELECT * FROM go", GOLD)
 def _(co):
-    return identity.golden(co, _ids(co))
+    return linked(co)[1]
 
 
-@query("company_golden", "SELECT golden, count(*) AS members, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources, arg_min(domain, co.entity) FILTER (domain IS NOT NULL) AS domain, arg_min(linkedin, co.entity) FILTER (linkedin IS NOT NULL) AS linkedin FROM co JOIN go ON co.entity = go.entity GROUP BY golden", GOLD)
+@query("company_golden", "SELECT gf.golden, members, array_to_string(sources, ',') AS sources, name_norm, city, country, arg_min(value, ow.entity) FILTER (type = 'domain') AS domain, arg_min(value, ow.entity) FILTER (type = 'linkedin') AS linkedin FROM gf LEFT JOIN ow ON gf.golden = ow.golden AND ow.golden = owner GROUP BY ALL", GOLD)
 def _(co):
-    return identity.golden_fields(co, identity.golden(co, _ids(co)), ["domain", "linkedin"])
+    claims, labels = linked(co)
+    keys = identity.golden_keys(claims, labels, ["domain", "linkedin"])
+    rows = identity.golden_fields(co, labels, FILLED).join(keys, "golden", "left")
+    return rows.select("golden", "members", F.array_join("sources", ",").alias("sources"), "name_norm", "city", "country", "domain", "linkedin")
 
 
 @query("source_overlap", "SELECT n AS sources, count(*) AS companies FROM (SELECT golden, count(DISTINCT source) AS n FROM co JOIN go ON co.entity = go.entity GROUP BY golden) GROUP BY n", GOLD)
 def _(co):
-    return identity.source_overlap(co, identity.golden(co, _ids(co)))
+    return identity.source_overlap(co, linked(co)[1])
 
 
-@query("identifier_conflicts", "SELECT DISTINCT a.entity AS left, b.entity AS right, a.type, a.value, 0.9::DOUBLE AS score FROM id a JOIN id b ON a.type = b.type AND a.value = b.value AND a.entity < b.entity AND a.source <> b.source WHERE a.strength = 'strong' AND b.strength = 'strong'")
+@query("identifier_conflicts", "SELECT least(golden, owner) AS left, greatest(golden, owner) AS right, array_to_string(list_sort(list(DISTINCT type)), ',') AS types, 0.9::DOUBLE AS score FROM ow WHERE golden <> owner GROUP BY ALL", GOLD)
 def _(co):
-    return identity.conflicts(_ids(co))
+    return identity.conflicts(*linked(co))
 
 
-@query("name_merge_candidates", "SELECT a.entity AS left, b.entity AS right, least(95, 60 + 15 * CAST(a.name_norm = b.name_norm AS INT) + 10 * CAST(coalesce(lower(a.city) = lower(b.city), false) AS INT) + 10 * CAST(coalesce(a.country = b.country, false) AS INT)) / 100::DOUBLE AS score FROM co a JOIN co b ON a.name_key = b.name_key AND a.entity < b.entity AND a.source <> b.source AND (a.country IS NULL OR b.country IS NULL OR a.country = b.country) JOIN (SELECT name_key FROM co WHERE length(name_key) >= 4 GROUP BY name_key HAVING count(*) <= 6) k ON k.name_key = a.name_key")
+@query("name_merge_candidates", "SELECT a.golden AS left, b.golden AS right, least(95, 60 + 15 * CAST(a.name_norm = b.name_norm AS INT) + 10 * CAST(coalesce(lower(a.city) = lower(b.city), false) AS INT) + 10 * CAST(coalesce(a.country = b.country, false) AS INT)) / 100::DOUBLE AS score FROM gf a JOIN gf b ON a.name_key = b.name_key AND a.golden < b.golden AND len(list_distinct(list_concat(a.sources, b.sources))) >= 2 AND (a.country IS NULL OR b.country IS NULL OR a.country = b.country) JOIN (SELECT name_key FROM gf WHERE length(name_key) >= 4 GROUP BY name_key HAVING count(*) <= 6) k ON k.name_key = a.name_key", GOLD)
 def _(co):
-    return identity.name_candidates(co)
+    return identity.name_candidates(identity.golden_fields(co, linked(co)[1], FILLED))
 
 
 POINTERS = "p AS (SELECT entity, CASE WHEN pk % 3 = 0 AND pk > 0 THEN (pk // 3) * 2 + entity % 2 END AS into_ FROM co), w(entity, here, n) AS (SELECT entity, entity, 0 FROM p UNION ALL SELECT w.entity, p.into_, n + 1 FROM w JOIN p ON w.here = p.entity WHERE p.into_ IS NOT NULL), sv AS (SELECT entity, arg_max(here, n) AS survivor FROM w GROUP BY entity)"
@@ -205,13 +226,13 @@ def _(co):
     return gates.suppression(_leads(co)[0], _blocks(co), {"domain": "domain"}, {"domain": "raw_domain"}, "2024-01-20")
 
 
-@query("campaign_gate", "SELECT lead, CASE WHEN key IS NULL THEN 'no_key' WHEN n > 1 THEN 'duplicate_in_file' WHEN test THEN 'test_lead' WHEN bad THEN 'no_phone' ELSE 'ok' END AS status FROM (SELECT pk AS lead, coalesce(linkedin, domain) AS key, row_number() OVER (PARTITION BY coalesce(linkedin, domain) ORDER BY pk) AS n, pk % 50 = 0 AS test, raw_phone = 'none' AS bad FROM co WHERE source = 'cust')")
+@query("campaign_gate", "SELECT lead, CASE WHEN key IS NULL THEN 'no_key' WHEN n > 1 THEN 'duplicate_in_file' WHEN test THEN 'test_lead' WHEN bad THEN 'no_phone' ELSE 'ok' END AS status FROM (SELECT pk AS lead, coalesce(linkedin, domain) AS key, row_number() OVER (PARTITION BY coalesce(linkedin, domain) ORDER BY pk) AS n, pk % 50 = 0 AS test, raw_phone = 'none' AS bad FROM co WHERE source = 'cust')", once=True)
 def _(co):
     leads = _leads(co)[0].select("lead", F.coalesce("linkedin", "domain").alias("key"), F.col("pk").alias("row"), "raw_phone")
     return gates.campaign_gate(leads, [("test_lead", F.col("lead") % 50 == 0), ("no_phone", F.col("raw_phone") == "none")])
 
 
-@query("round_robin_assignment", "SELECT pk, 'rep' || ((row_number() OVER (PARTITION BY country ORDER BY pk) - 1) % 3) AS rep FROM co WHERE source = 'cust'")
+@query("round_robin_assignment", "SELECT pk, 'rep' || ((row_number() OVER (PARTITION BY country ORDER BY pk) - 1) % 3) AS rep FROM co WHERE source = 'cust'", once=True)
 def _(co):
     return gates.round_robin(co.filter("source = 'cust'"), "country", ["pk"], ["rep0", "rep1", "rep2"]).select("pk", "rep")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.patterns import ist_day
-from sluice.functions.staging import shared_path
+from sluice.functions.staging import scratch_path
 from sluice.plans.model import derived, duck, table
 from sluice.sources import files, records
 from sluice.streaming import events as st
@@ -26,7 +26,7 @@ def query(name: str, sql: str):
 
 def written(df: DataFrame, label: str, kind: str = "json", **options) -> str:
     """The folder of df's files."""
-    path = shared_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label)
     df.write.options(**options).format(kind).save(path)
     return path
 
@@ -74,7 +74,7 @@ def _(spark, d):
     line = F.concat_ws(";", F.col("s_suppkey").cast("string"), F.col("s_name"), F.col("s_nationkey").cast("string"), F.lit(""))
     lines = s.groupBy((F.col("s_suppkey") % 4).alias("f")).agg(F.array_sort(F.collect_list(line)).alias("l"))
     head = F.array(F.lit("Report of suppliers"), F.lit(""), F.lit("key;name;name;"))
-    path = shared_path(spark, "messy")
+    path = scratch_path(spark, "messy")
     lines.select("f", F.array_join(F.concat(head, "l"), "\n").alias("value")).write.partitionBy("f").text(path)
     rows = files.read_messy_csv(spark, f"{path}/*/*.txt")
     cell = lambda n: F.try_element_at("cells", F.lit(n))
@@ -85,7 +85,7 @@ def _(spark, d):
 def _(spark, d):
     r = table(spark, d, "region")
     rows = r.select((F.col("r_regionkey") % 2).alias("f"), F.col("r_regionkey").alias("copy"), F.concat(F.lit("body "), (F.col("r_regionkey") % 2).cast("string")).alias("value"))
-    path = shared_path(spark, "catalog")
+    path = scratch_path(spark, "catalog")
     rows.repartition("copy").write.partitionBy("f", "copy").text(path)
     catalog = files.file_catalog(spark, f"{path}/*/*/*.txt", [("first", "f=0")])
     return catalog.groupBy("role").agg(F.count("*").alias("files"), F.count_if("canonical").alias("canonical"))
@@ -151,7 +151,7 @@ def _(spark, d):
 @query("tidy_metrics", "SELECT day, section, label, metric, value FROM (SELECT CAST(o_orderdate AS DATE) AS day, 'orders' AS section, o_orderstatus AS label, count(*) AS n, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY ALL) UNPIVOT (value FOR metric IN (n, customers))")
 def _(spark, d):
     rows = table(spark, d, "orders").groupBy(F.col("o_orderdate").cast("date").alias("day"), F.lit("orders").alias("section"), F.col("o_orderstatus").alias("label")).agg(F.count("*").alias("n"), F.countDistinct("o_custkey").alias("customers"))
-    path = shared_path(spark, "tidy")
+    path = scratch_path(spark, "tidy")
     files.write_tidy(rows, ["day", "section", "label"], ["n", "customers"], path)
     return spark.read.schema("day date, section string, label string, metric string, value long").option("header", True).csv(path)
 
@@ -165,7 +165,7 @@ def _(spark, d):
 @query("day_overwrites", "SELECT ist_day, event_type, n * CASE WHEN day(ist_day) % 2 = 0 THEN 10 ELSE 1 END AS n FROM (SELECT CAST(ts + INTERVAL 330 MINUTE AS DATE) AS ist_day, event_type, count(*) AS n FROM events GROUP BY ALL)")
 def _(spark, d):
     daily = table(spark, d, "events").groupBy(ist_day(F.col("ts")).alias("ist_day"), "event_type").agg(F.count("*").alias("n"))
-    path = shared_path(spark, "days")
+    path = scratch_path(spark, "days")
     files.write_days(daily, path)
     for _ in range(2):  # a rerun of some days replaces them and leaves the others
         files.write_days(daily.filter("dayofmonth(ist_day) % 2 = 0").withColumn("n", F.col("n") * 10), path)
@@ -181,12 +181,12 @@ def _stream(spark: SparkSession, d: str, twice: bool = False) -> DataFrame:
 
 def _ended(stream: DataFrame, mode: str) -> DataFrame:
     """What a stream has given when its input ends, with `batch`; each batch is a folder, so that a repeated one replaces itself."""
-    spark, out = stream.sparkSession, shared_path(stream.sparkSession, "stream-out")
+    spark, out = stream.sparkSession, scratch_path(stream.sparkSession, "stream-out")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/{number:09d}")
 
-    stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", shared_path(spark, "stream-state")).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", scratch_path(spark, "stream-state")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema.add("batch", "integer")).parquet(f"{out}/*")
 
 
@@ -218,7 +218,7 @@ def _(spark, d):
 @query("stream_upserts", "SELECT user_id AS id, md5(event_type || event_id) AS sha FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
 def _(spark, d):
     e = table(spark, d, "events").select(F.col("user_id").alias("id"), F.col("event_id").alias("version"), F.md5(F.concat("event_type", F.col("event_id").cast("string"))).alias("sha"))
-    store, path = shared_path(spark, "upserts"), shared_path(spark, "upsert-in")
+    store, path = scratch_path(spark, "upserts"), scratch_path(spark, "upsert-in")
     for part in (F.col("version") % 2 == 0, F.col("version") % 2 == 1):
         e.filter(part).write.mode("append").parquet(path)
         st.upsert_batches(spark.readStream.schema(e.schema).parquet(path), store, ["id"], "version", f"{store}/checkpoint")

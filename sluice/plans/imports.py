@@ -16,7 +16,7 @@ def query(name: str, tables: dict[str, str], body: str, spark_tables: dict[str,
 
     def add(f):
         QUERIES[name] = lambda spark, sf_dir: f(*[derived(spark, sf_dir, t) for t in (spark_tables or tables).values()])
-        SQL[name] = f"WITH {', '.join(f'{n} AS ({duck(t)})' for n, t in tables.items())} {body}"
+        SQL[name] = f"WITH RECURSIVE {', '.join(f'{n} AS ({duck(t)})' for n, t in tables.items())} {body}"
         return f
 
     return add
@@ -235,7 +235,12 @@ def _(c, k):
 
 
 PEOPLE = {"r": "SELECT o_orderkey AS pk, o_custkey AS company, CASE WHEN o_orderkey % 3 = 0 THEN 'in/p' || (o_orderkey % 4) END AS linkedin, CASE WHEN o_orderkey % 2 = 0 THEN 'm' || (o_orderkey % 6) || '@x.example' END AS email FROM {orders}"}
-UP = "u AS (SELECT *, CASE WHEN linkedin IS NOT NULL THEN min(pk) OVER (PARTITION BY company, linkedin) END AS a, CASE WHEN email IS NOT NULL THEN min(pk) OVER (PARTITION BY company, email) END AS b FROM r), q AS (SELECT pk, CASE WHEN a < pk THEN a WHEN b < pk THEN b ELSE pk END AS contact, CASE WHEN a < pk THEN 'linkedin' WHEN b < pk THEN 'email' ELSE 'new' END AS method FROM u)"
+# Row after row within a company, with the keys of the contacts so far: pages, then addresses; a linked row brings no keys.
+UP = """o AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY pk) AS i FROM r),
+s AS (SELECT company, i, pk, linkedin, pk AS contact, 'new' AS method, CASE WHEN linkedin IS NULL THEN MAP([]::VARCHAR[], []::BIGINT[]) ELSE MAP {linkedin: pk} END AS pages, CASE WHEN email IS NULL THEN MAP([]::VARCHAR[], []::BIGINT[]) ELSE MAP {email: pk} END AS mails FROM o WHERE i = 1
+UNION ALL SELECT o.company, o.i, o.pk, o.linkedin, coalesce(pages[o.linkedin], mails[o.email], o.pk), CASE WHEN pages[o.linkedin] IS NOT NULL THEN 'linkedin' WHEN mails[o.email] IS NOT NULL THEN 'email' ELSE 'new' END,
+CASE WHEN coalesce(pages[o.linkedin], mails[o.email]) IS NULL AND o.linkedin IS NOT NULL THEN map_concat(pages, MAP {o.linkedin: o.pk}) ELSE pages END, CASE WHEN coalesce(pages[o.linkedin], mails[o.email]) IS NULL AND o.email IS NOT NULL THEN map_concat(mails, MAP {o.email: o.pk}) ELSE mails END
+FROM s JOIN o ON o.company IS NOT DISTINCT FROM s.company AND o.i = s.i + 1), q AS (SELECT pk, contact, method FROM s)"""
 
 
 @query("contact_upsert", PEOPLE, f", {UP} SELECT * FROM q")
@@ -243,6 +248,11 @@ def _(r):
     return im.contact_upsert(r)
 
 
+@query("contact_candidates", PEOPLE, f", {UP} SELECT a.pk AS left, s.pk AS right, 0.9::DOUBLE AS score FROM s JOIN (SELECT linkedin, min(pk) AS pk FROM s WHERE method = 'new' GROUP BY linkedin) a ON a.linkedin = s.linkedin AND a.pk < s.pk WHERE method = 'new'")
+def _(r):
+    return im.contact_candidates(r, im.contact_upsert(r))
+
+
 @query("origin_refs", PEOPLE, f", {UP} SELECT 'contact' AS entity_type, CAST(contact AS VARCHAR) AS entity_id, CAST(pk AS VARCHAR) AS source_pk, method, CASE method WHEN 'new' THEN 1.0 ELSE 0.95 END::DOUBLE AS confidence FROM q UNION ALL SELECT DISTINCT 'company', CAST(company AS VARCHAR), CAST(company AS VARCHAR), 'import', 1.0 FROM r")
 def _(r):
     contacts = im.contact_upsert(r).withColumn("source_pk", F.col("pk"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sluice.functions.staging import staged
 from sluice.operators import gates
 from sluice.operators import leads as ld
 from sluice.plans import companies as co_
@@ -19,8 +20,8 @@ WITH = ", ".join([co_.PHONES, co_.BLOCKS, co_.INDEX, LEADS, BLOCKED])
 
 def query(name: str, body: str, with_: str = ""):
     def add(f):
-        QUERIES[name] = lambda spark, sf_dir: f(co_.companies(spark, sf_dir))
-        SQL[name] = f"WITH RECURSIVE {', '.join(x for x in (co_.CO, co_.IDS, WITH, with_) if x)} {body}"
+        co_.query(name, body, ", ".join(x for x in (WITH, with_) if x))(f)
+        QUERIES[name], SQL[name] = co_.QUERIES.pop(name), co_.SQL.pop(name)
         return f
 
     return add
@@ -39,10 +40,11 @@ def table_query(name: str, rows: str, body: str):
 
 def _leads(co):
     rows = co_._phones(co).filter("source = 'cust'")
-    return rows.select(
+    leads = rows.select(
         F.col("pk").alias("lead"), F.col("pk").alias("row"), (F.col("pk") % 3).alias("account"), "entity", "domain", "linkedin", "name", "city", F.concat(F.lit("c"), (F.col("pk") % 20).cast("string")).alias("company"), "raw_phone",
         ((F.col("phone_type") == "mobile") & ~F.col("is_dummy")).alias("callable"), F.when(F.col("pk") % 4 == 1, F.concat(F.lit("p"), F.col("pk").cast("string"), F.lit("@mail.example"))).alias("email"), F.coalesce("linkedin", "domain").alias("key"),
     )
+    return staged(leads, "leads")
 
 
 def _suppressed(co):

@@ -169,12 +169,12 @@ def _(w):
     return rp.row_problems(w.spark.sql(model.values_sql(MAPPED, "row_name, stage, prefix, overlap")), w.events.select("stage_id"))
 
 
-@query("resolve_pipeline", ", hs AS (SELECT DISTINCT stage_id, CASE WHEN starts_with(stage_id, 'click') THEN 0 WHEN starts_with(stage_id, 'view') THEN pipeline_id // 2 ELSE pipeline_id END AS pipeline FROM e WHERE pipeline_id < 4), ho AS (SELECT stage_id, list(DISTINCT pipeline) AS homes FROM hs GROUP BY stage_id), hi AS (SELECT deal_id, entered_at, max(pipeline_id) AS p FROM e WHERE event_id % 4 = 0 GROUP BY ALL), fi AS (SELECT deal_id, arg_min(p, entered_at) AS p FROM hi GROUP BY deal_id), r AS (SELECT e.event_id, ho.homes, coalesce(hi.p, fi.p) AS then_, d.pipeline_id % 2 AS now_ FROM e ASOF LEFT JOIN hi ON hi.deal_id = e.deal_id AND e.entered_at >= hi.entered_at LEFT JOIN fi ON fi.deal_id = e.deal_id LEFT JOIN d ON d.deal_id = e.deal_id LEFT JOIN ho ON ho.stage_id = e.stage_id) SELECT event_id, CASE WHEN len(homes) = 1 THEN homes[1] WHEN coalesce(list_contains(homes, then_), false) THEN then_ WHEN coalesce(list_contains(homes, now_), false) THEN now_ END AS pipeline, CASE WHEN len(homes) = 1 THEN 'stage_unique' WHEN coalesce(list_contains(homes, then_), false) THEN 'history' WHEN coalesce(list_contains(homes, now_), false) THEN 'deal_current' ELSE 'unresolved' END AS basis FROM r")
+@query("resolve_pipeline", ", hs AS (SELECT DISTINCT stage_id, CASE WHEN starts_with(stage_id, 'click') THEN 0 WHEN starts_with(stage_id, 'view') THEN pipeline_id // 2 ELSE pipeline_id END AS pipeline FROM e WHERE pipeline_id < 4 AND NOT starts_with(stage_id, 'signup')), ho AS (SELECT stage_id, list(DISTINCT pipeline) AS homes FROM hs GROUP BY stage_id), hi AS (SELECT deal_id, entered_at, max(pipeline_id) AS p FROM e WHERE event_id % 4 = 0 AND deal_id % 5 > 0 GROUP BY ALL), fi AS (SELECT deal_id, arg_min(p, entered_at) AS p FROM hi GROUP BY deal_id), r AS (SELECT e.event_id, ho.homes, coalesce(hi.p, fi.p) AS then_, CASE WHEN d.deal_id % 3 > 0 THEN d.pipeline_id % 2 END AS now_ FROM e ASOF LEFT JOIN hi ON hi.deal_id = e.deal_id AND e.entered_at >= hi.entered_at LEFT JOIN fi ON fi.deal_id = e.deal_id LEFT JOIN d ON d.deal_id = e.deal_id LEFT JOIN ho ON ho.stage_id = e.stage_id) SELECT event_id, CASE basis WHEN 'unique_stage_id' THEN homes[1] WHEN 'pipeline_history' THEN then_ WHEN 'deal_current' THEN now_ END AS pipeline, basis FROM (SELECT *, CASE WHEN len(homes) = 1 THEN 'unique_stage_id' WHEN homes IS NULL THEN CASE WHEN then_ IS NOT NULL THEN 'pipeline_history' WHEN now_ IS NOT NULL THEN 'deal_current' ELSE 'unresolved' END WHEN then_ IN (SELECT unnest(homes)) THEN 'pipeline_history' WHEN now_ IN (SELECT unnest(homes)) THEN 'deal_current' ELSE 'unresolved' END AS basis FROM r)")
 def _(w):
     home = F.when(F.col("stage_id").startswith("click"), F.lit(0).cast("long")).when(F.col("stage_id").startswith("view"), F.floor(F.col("pipeline_id") / 2)).otherwise(F.col("pipeline_id"))
-    stages = w.events.filter("pipeline_id < 4").select("stage_id", home.alias("pipeline")).distinct()
-    history = w.events.filter("event_id % 4 = 0").select("deal_id", F.col("entered_at").alias("at"), F.col("pipeline_id").alias("pipeline"))
-    return rp.resolve_pipeline(w.events.select("event_id", "deal_id", "stage_id", "entered_at"), stages, history, w.deals.select("deal_id", (F.col("pipeline_id") % 2).alias("pipeline")))
+    stages = w.events.filter("pipeline_id < 4 AND NOT startswith(stage_id, 'signup')").select("stage_id", home.alias("pipeline")).distinct()
+    history = w.events.filter("event_id % 4 = 0 AND deal_id % 5 > 0").select("deal_id", F.col("entered_at").alias("at"), F.col("pipeline_id").alias("pipeline"))
+    return rp.resolve_pipeline(w.events.select("event_id", "deal_id", "stage_id", "entered_at"), stages, history, w.deals.select("deal_id", F.when(F.col("deal_id") % 3 > 0, F.col("pipeline_id") % 2).alias("pipeline")))
 
 
 @query("cold_lead_sources", " SELECT CAST(row_number() OVER (ORDER BY CASE country WHEN 'GB' THEN 1 WHEN 'IN' THEN 2 ELSE 99 END, deals DESC, lead_source, country) AS INT) AS place, country, lead_source, deals FROM (SELECT CASE WHEN regexp_matches(lead_source, '(?i)india') THEN 'IN' WHEN regexp_matches(lead_source, '(?i)\\buk\\b') THEN 'GB' ELSE 'other' END AS country, coalesce(lead_source, '(none)') AS lead_source, count(*) AS deals FROM sa WHERE rung = 'SOURCED' GROUP BY ALL)")
