@@ -55,10 +55,23 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
 
 
 def rolling_distinct(df: DataFrame, keys: list[str], entity: str, day: str, days: int) -> DataFrame:
-    """keys, day, n: distinct entities seen in the `days` days that end on it. Each (entity, day) is dealt to the days it counts on."""
-    once = df.select(*keys, entity, day).distinct()
-    dealt = once.withColumn(day, F.explode(F.sequence(F.col(day), F.date_add(F.col(day), days - 1))))
-    return dealt.groupBy(*keys, day).agg(F.countDistinct(entity).alias("n"))
+    """keys, day, n: distinct entities seen in the `days` days that end on it, of the days that have any.
+
+    An entity's days become stretches on which it counts, each until `days` after the last of its days that lie less than that
+    apart; +1 where one begins and -1 where it ends are summed over the days. So an entity is shuffled once with its set of
+    days, and two narrow steps a stretch follow, however long the window is. Nulls of entity and day count nowhere.
+    """
+    seen = df.filter(F.col(entity).isNotNull() & F.col(day).isNotNull())
+    own = seen.groupBy(*keys, entity).agg(F.sort_array(F.collect_set(day)).alias("_days"))
+    at = lambda i: F.get(F.col("_days"), i)
+    begins = F.filter("_days", lambda d, i: F.coalesce(F.date_diff(d, at(i - 1)) >= days, F.lit(True)))
+    ends = F.filter("_days", lambda d, i: F.coalesce(F.date_diff(at(i + 1), d) >= days, F.lit(True)))
+    step = lambda d, n: F.struct(d.alias(day), F.lit(n).alias("_n"))
+    steps = F.concat(F.transform(begins, lambda d: step(d, 1)), F.transform(ends, lambda d: step(F.date_add(d, days), -1)))
+    changes = own.select(*keys, F.explode(steps).alias("_s")).groupBy(*keys, F.col(f"_s.{day}").alias("_from")).agg(F.sum("_s._n").alias("_n"))
+    w = Window.partitionBy(*keys).orderBy("_from")  # a row for each day of a key
+    running = changes.select(*keys, "_from", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"), F.lead("_from").over(w).alias("_to")).filter("n > 0")
+    return running.select(*keys, F.explode(F.sequence("_from", F.date_sub("_to", 1))).alias(day), "n")
 
 
 def take_by_demand(pool: DataFrame, demand: DataFrame, key: list[str], pool_order: list[Column], demand_order: list[Column], need: str, *, stretch: int = 10_000) -> DataFrame:

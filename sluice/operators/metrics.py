@@ -46,14 +46,16 @@ def rolling_sums(daily: DataFrame, days: DataFrame, key: str, value: str) -> Dat
 
 
 def engaged(events: DataFrame, enriched: DataFrame) -> DataFrame:
-    """ist_day, engaged, engaged7, net_new: deals with a human event on the day, in 7 days, and those whose first one it is and that had no bad contact up to it."""
+    """ist_day, engaged, engaged7, engaged_prev7, net_new: deals with a human event on the day, in 7 days, in the 7 days before these, and those whose first one it is and that had no bad contact up to it."""
     human = events.filter("is_human")
     daily = human.groupBy("ist_day").agg(F.countDistinct("deal_id").alias("engaged"))
     seven = rolling_distinct(human, [], "deal_id", "ist_day", 7).withColumnRenamed("n", "engaged7")
+    before = seven.select(F.date_add("ist_day", 7).alias("ist_day"), F.col("engaged7").alias("engaged_prev7"))
     first = human.groupBy("deal_id").agg(F.min("ist_day").alias("ist_day"))
     bad = enriched.filter("reason = 'BAD_CONTACT'").groupBy("deal_id").agg(F.min("ist_day").alias("bad_day"))
     new = first.join(bad, "deal_id", "left").filter("bad_day IS NULL OR bad_day > ist_day").groupBy("ist_day").agg(F.count("*").alias("net_new"))
-    return daily.join(seven, "ist_day").join(new, "ist_day", "left").withColumn("net_new", F.coalesce("net_new", F.lit(0)))
+    rows = daily.join(seven, "ist_day").join(before, "ist_day", "left").join(new, "ist_day", "left")
+    return rows.select("ist_day", "engaged", "engaged7", F.coalesce("engaged_prev7", F.lit(0)).alias("engaged_prev7"), F.coalesce("net_new", F.lit(0)).alias("net_new"))
 
 
 def leads_assigned(enriched: DataFrame) -> DataFrame:

@@ -100,15 +100,11 @@ SKIPPED_FILES = r"(?i)\.(pdf|png|jpe?g|gif|svg|zip|mp4)$"
 def site_links(pages: DataFrame, kinds: list[tuple[str, str]], most: int = 8) -> DataFrame:
     """page_id, place, link, kind: the first links of a page to its own site (www or not), made absolute against the page's address, without fragment, distinct, ordered by kind, then by where they stand.
 
-    Addresses may be absolute, without a scheme, from the root or beside the page. Links to the root, to files and of no kind are left out.
+    Addresses are resolved as RFC 3986 has it. Links to the root, to files and of no kind are left out.
     """
     href = F.regexp_extract_all("html", F.lit('(?i)<a\\s[^>]*href="([^"]+)"'), 1)
-    rows = pages.select("page_id", "url", F.posexplode(href).alias("pos", "raw")).withColumn("raw", F.regexp_replace(F.trim("raw"), "#.*$", ""))
-    root, folder = F.regexp_extract("url", "^([a-zA-Z]+://[^/?#]+)", 1), F.regexp_extract("url", "^([a-zA-Z]+://[^/?#]+(?:/[^?#]*/|/)?)", 1)
-    beside = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
-    scheme = F.regexp_extract("url", "^([a-zA-Z]+:)", 1)
-    link = F.when(F.col("raw").rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), F.col("raw")).when(F.col("raw").startswith("//"), F.concat(scheme, "raw")).when(F.col("raw").startswith("/"), F.concat(root, "raw")).otherwise(F.concat(beside, "raw"))
-    rows = rows.filter("raw <> ''").withColumn("link", link)
+    rows = pages.select("page_id", "url", F.posexplode(href).alias("pos", "raw")).withColumn("raw", F.regexp_replace(tx.decoded(F.trim("raw")), "#.*$", ""))
+    rows = rows.filter("raw <> ''").withColumn("link", tx.resolved(F.col("url"), F.col("raw")))
     path = F.lower(F.regexp_extract("link", "^[a-zA-Z]+://[^/?#]+([^?#]*)", 1))
     rank = F.lit(None).cast("int")
     for i, (_, pattern) in reversed(list(enumerate(kinds))):
@@ -143,12 +139,12 @@ def hidden_addresses(html: Column) -> Column:
 
 
 def site_addresses(pages: DataFrame, people: DataFrame) -> DataFrame:
-    """site, email, score of a site's own addresses, hidden and spelt ones: 0 and 1 are the person's (first and last name, first name alone), 10 and more a role's, 40 any other.
+    """site, email, score of a site's own addresses, hidden, spelt and coded ones: 0 and 1 are the person's (first and last name, first name alone), 10 and more a role's, 40 any other.
 
     pages: site, html; people: site, first, last. An address is the site's if its host is the site, in it or around it. The
     words of NO_PERSON and file names are no addresses.
     """
-    spelt = F.regexp_replace(F.col("html"), r"(?i)\s*[\[(]\s*at\s*[\])]\s*", "@")
+    spelt = F.regexp_replace(tx.decoded(F.col("html")), r"(?i)\s*[\[(]\s*at\s*[\])]\s*", "@")
     found = F.concat(hidden_addresses(F.col("html")), F.regexp_extract_all(spelt, F.lit(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"), 0))
     rows = pages.select("site", F.explode(found).alias("email")).withColumn("email", F.lower(F.regexp_replace("email", r"^\.+|\.+$", ""))).distinct()
     local, host = F.split_part("email", F.lit("@"), F.lit(1)), F.split_part("email", F.lit("@"), F.lit(2))

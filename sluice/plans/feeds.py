@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.patterns import ist_day
-from sluice.functions.staging import scratch_path
+from sluice.functions.staging import scratch_path, staged
 from sluice.plans.model import derived, duck, table
 from sluice.sources import files, records
+from sluice.sources.store import KeyedTable
 from sluice.streaming import events as st
 
 QUERIES: dict = {}
@@ -116,18 +117,37 @@ def _(spark, d):
     return shas.agg(F.count("*").alias("tabs"), F.countDistinct("tab_sha").alias("shas"))
 
 
-@query("mail_messages", "SELECT conv_id || ':' || turn AS id, CAST(conv_id AS VARCHAR) AS thread, role AS subject, CASE WHEN turn % 2 = 0 THEN 'a' || conv_id || '@x.example' END AS sender, md5(CASE WHEN turn % 3 = 0 THEN 'line one' || chr(10) || 'two & three' ELSE 'plain ' || turn END) AS body, role = 'assistant' AS is_sent, turn = 0 AS is_unread, CASE WHEN turn % 4 = 0 THEN 'f.pdf:12' ELSE '' END AS attachments FROM conversations")
-def _(spark, d):
+def _mail(spark, d) -> DataFrame:
+    """A message for each turn: an alternative of a plain part (two of three turns) and an HTML one, within a mixed part with files; every fifth one forwards another message with a file of its own."""
     c = table(spark, d, "conversations")
     t, s = F.col("turn"), lambda x: x.cast("string")
-    part = lambda kind, name, size, body: F.struct(F.lit(kind).alias("mimeType"), F.lit(name).alias("filename"), F.lit(size).alias("size"), body.alias("body"))
-    html = part("text/html", "", 0, F.lit("<style>p{}</style><div>line  one</div><p>two &amp; <b>three</b></p>"))
-    plain = part("text/plain", "", 0, F.concat(F.lit("plain "), s(t)))
-    parts = F.concat(F.when(t % 3 == 0, F.array(html)).otherwise(F.array(html, plain)), F.when(t % 4 == 0, F.array(part("application/pdf", "f.pdf", 12, F.lit("")))).otherwise(F.array().cast("array<struct<mimeType:string,filename:string,size:int,body:string>>")))
-    head = F.create_map(F.lit("Subject"), F.col("role"), F.lit("From"), F.when(t % 2 == 0, F.concat(F.lit("A <A"), s(F.col("conv_id")), F.lit("@x.example>"))).otherwise("nobody"))
+    body = lambda x: F.struct(F.translate(F.regexp_replace(F.base64(F.encode(x, "UTF-8")), r"[=\r\n]", ""), "+/", "-_").alias("data"))
+    header = lambda *pairs: F.array(*[F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in pairs])
+    js = lambda **fields: F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
+    list_ = lambda *parts: F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+    tree = lambda kind, parts: F.concat(F.lit(f'{{"mimeType":"{kind}","parts":'), parts, F.lit("}"))
+    plain = F.when(t % 3 > 0, js(mimeType=F.lit("text/plain"), body=body(F.concat(F.lit("plain é "), s(t)))))
+    html = js(mimeType=F.lit("text/html"), body=body(F.lit("<style>p{}</style><div>line  one</div><p>two &amp; <b>three</b></p>")))
+    file = F.when(t % 4 == 0, js(mimeType=F.lit("application/pdf"), filename=F.lit("f.pdf"), body=F.struct(F.lit("x1").alias("attachmentId"), F.lit(12).alias("size"))))
+    image = F.when(t % 2 == 1, js(mimeType=F.lit("image/png"), headers=header(("content-id", F.lit("<c1>"))), body=F.struct(F.lit("x2").alias("attachmentId"), F.lit(3).alias("size"))))
+    deep = F.when(t % 5 == 0, tree("message/rfc822", list_(tree("multipart/mixed", list_(js(mimeType=F.lit("Text/Plain"), headers=header(("Content-Type", F.lit("text/plain; charset=UTF-8"))), body=body(F.lit("forwarded"))), js(mimeType=F.lit("text/csv"), filename=F.lit("deep.csv"), headers=header(("Content-Disposition", F.lit("Inline; x"))), body=F.struct(F.lit("x3").alias("attachmentId"), F.lit(7).alias("size"))))))))
+    head = js(headers=header(("Subject", F.col("role")), ("FROM", F.when(t % 2 == 0, F.concat(F.lit("A <A"), s(F.col("conv_id")), F.lit("@x.example>"))).otherwise("nobody")), ("To", F.lit('"B, C" <b@y.example>, c@y.example')), ("Cc", F.when(t % 2 == 0, "D@y.example"))))
+    payload = F.concat(F.regexp_replace(head, "\\}$", ""), F.lit(',"mimeType":"multipart/mixed","parts":'), list_(tree("multipart/alternative", list_(plain, html)), file, image, deep), F.lit("}"))
     labels = F.array_compact(F.array(F.when(F.col("role") == "assistant", F.lit("SENT")), F.when(t == 0, F.lit("UNREAD"))))
-    raw = c.select(F.to_json(F.struct(F.concat_ws(":", s(F.col("conv_id")), s(t)).alias("id"), s(F.col("conv_id")).alias("thread"), (t * 60).alias("ts"), labels.alias("labels"), head.alias("headers"), parts.alias("parts"))).alias("json"))
-    return records.mail_messages(raw).drop("at").withColumn("body", F.md5("body"))
+    top = js(id=F.concat_ws(":", s(F.col("conv_id")), s(t)), threadId=s(F.col("conv_id")), internalDate=s(t * 60000), labelIds=labels)
+    return c.select(F.concat(F.regexp_replace(top, "\\}$", ""), F.lit(',"payload":'), payload, F.lit("}")).alias("json"))
+
+
+@query("mail_messages", "SELECT conv_id || ':' || turn AS id, CAST(conv_id AS VARCHAR) AS thread, turn * 60 AS at_s, role AS subject, CASE WHEN turn % 2 = 0 THEN 'a' || conv_id || '@x.example' END AS sender, 'b@y.example,c@y.example' || CASE WHEN turn % 2 = 0 THEN ',d@y.example' ELSE '' END AS recipients, md5(CASE WHEN turn % 3 > 0 AND turn % 5 = 0 THEN 'plain é ' || turn || chr(10) || 'forwarded' WHEN turn % 3 > 0 THEN 'plain é ' || turn WHEN turn % 5 = 0 THEN 'forwarded' ELSE 'line one' || chr(10) || 'two & three' END) AS body, role = 'assistant' AS is_sent, turn = 0 AS is_unread, CAST(turn % 4 = 0 AS BIGINT) AS attachments FROM conversations")
+def _(spark, d):
+    raw = staged(_mail(spark, d), "mail")
+    return records.mail_messages(raw, records.mail_parts(raw)).select("id", "thread", F.unix_seconds("at").alias("at_s"), "subject", "sender", "recipients", F.md5("body").alias("body"), "is_sent", "is_unread", "attachments")
+
+
+@query("mail_attachments", "SELECT conv_id || ':' || turn AS id, unnest(list_filter([CASE WHEN turn % 4 = 0 THEN 'f.pdf|application/pdf|12||attachment' END, CASE WHEN turn % 2 = 1 THEN '|image/png|3|c1|inline' END, CASE WHEN turn % 5 = 0 THEN 'deep.csv|text/csv|7||inline' END], lambda x: x IS NOT NULL)) AS file FROM conversations")
+def _(spark, d):
+    parts = records.mail_parts(_mail(spark, d))
+    return records.mail_attachments(parts).select("id", F.concat_ws("|", "filename", "mime", F.col("size").cast("string"), F.coalesce("content_id", F.lit("")), "disposition").alias("file"))
 
 
 @query("metric_snapshots", "SELECT CASE o_custkey % 4 WHEN 0 THEN 'x' ELSE 'snap_2024-01-0' || (1 + o_custkey % 9) END || '_' || o_custkey AS name, CASE WHEN o_custkey % 3 = 0 THEN DATE '2024-01-05' WHEN o_custkey % 4 > 0 THEN DATE '2024-01-01' + CAST(o_custkey % 9 AS INT) END AS day, CASE WHEN o_custkey % 3 = 0 THEN 'payload' WHEN o_custkey % 4 > 0 THEN 'name' END AS day_from, o_custkey % 3 = 0 AND o_custkey % 4 > 0 AND o_custkey % 9 <> 4 AS mismatch, 'flow' AS metric, o_orderstatus AS label, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY o_custkey, o_orderstatus")
@@ -215,14 +235,36 @@ def _(spark, d):
     return last.select("user_id", F.unix_seconds("s.first_time").alias("first_s"), F.col("s.n").alias("n"))
 
 
-@query("stream_upserts", "SELECT user_id AS id, md5(event_type || event_id) AS sha FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
-def _(spark, d):
-    e = table(spark, d, "events").select(F.col("user_id").alias("id"), F.col("event_id").alias("version"), F.md5(F.concat("event_type", F.col("event_id").cast("string"))).alias("sha"))
-    store, path = scratch_path(spark, "upserts"), scratch_path(spark, "upsert-in")
+def _upserted(spark, d) -> KeyedTable:
+    """The events of even, then of odd numbers as payloads of their users, each set a batch; every third event has the payload of the user's first."""
+    k = F.col("event_id")
+    e = table(spark, d, "events").select(F.col("user_id").alias("id"), k.alias("version"), F.md5(F.when(k % 3 == 0, F.col("user_id").cast("string")).otherwise(F.concat("event_type", k.cast("string")))).alias("sha"))
+    path = scratch_path(spark, "upsert-in")
+    found = KeyedTable(spark, scratch_path(spark, "upserts"), ("id",), 8)
     for part in (F.col("version") % 2 == 0, F.col("version") % 2 == 1):
-        e.filter(part).write.mode("append").parquet(path)
-        st.upsert_batches(spark.readStream.schema(e.schema).parquet(path), store, ["id"], "version", f"{store}/checkpoint")
-    return st.current_objects(spark, store).select("id", "sha")
+        e.filter(part).coalesce(1).write.mode("append").parquet(path)
+        st.upsert_batches(spark.readStream.schema(e.schema).parquet(path), found, "version", f"{found.path}/checkpoint")
+    return found
+
+
+UPSERTS = """e AS (SELECT user_id AS id, event_id AS version, md5(CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) ELSE event_type || event_id END) AS sha FROM events),
+a AS (SELECT id, max(version) AS version, arg_max(sha, version) AS sha FROM e WHERE version % 2 = 0 GROUP BY id), b AS (SELECT id, max(version) AS version, arg_max(sha, version) AS sha FROM e WHERE version % 2 = 1 GROUP BY id),
+f AS (SELECT b.*, a.sha AS was, CASE WHEN a.id IS NULL THEN 'inserted' WHEN a.sha = b.sha THEN 'unchanged' WHEN a.version > b.version THEN 'stale' ELSE 'updated' END AS action FROM b LEFT JOIN a ON a.id = b.id)"""
+
+
+@query("stream_upserts", f"WITH {UPSERTS} SELECT id, version, sha FROM f WHERE action IN ('inserted', 'updated') UNION ALL SELECT id, version, sha FROM a WHERE id NOT IN (SELECT id FROM f WHERE action = 'updated')")
+def _(spark, d):
+    return _upserted(spark, d).read()
+
+
+@query("stream_upsert_actions", f"WITH {UPSERTS} SELECT 0 AS batch, 'inserted' AS action, count(*) AS n FROM a UNION ALL SELECT 1, action, count(*) FROM f GROUP BY action")
+def _(spark, d):
+    return _upserted(spark, d).of_batches("actions").select("batch", "action", "n")
+
+
+@query("stream_upsert_revisions", f"WITH {UPSERTS} SELECT 1 AS batch, id, was AS sha FROM f WHERE action = 'updated'")
+def _(spark, d):
+    return _upserted(spark, d).of_batches("revisions").select("batch", "id", "sha")
 
 
 @query("dirty_objects", "SELECT o_orderkey AS id, md5(o_orderstatus) AS sha FROM orders WHERE o_orderkey % 5 < 2")
@@ -236,19 +278,22 @@ def _(spark, d):
 SCD = "a AS (SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 7 > 0), b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN c_name || '!' ELSE c_name END AS name FROM customer WHERE c_custkey % 5 > 0)"
 
 
-def _scd(spark, d):
+def _scd(spark, d) -> KeyedTable:
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
-    return records.compare_then_write(c.filter("k % 7 > 0"), c.filter("k % 5 > 0").withColumn("name", F.when(F.col("k") % 3 == 0, F.concat("name", F.lit("!"))).otherwise(F.col("name"))), ["k"])
+    found = KeyedTable(spark, scratch_path(spark, "scd"), ("k",), 8)
+    found.merge(c.filter("k % 7 > 0"), 0)
+    found.merge(c.filter("k % 5 > 0").withColumn("name", F.when(F.col("k") % 3 == 0, F.concat("name", F.lit("!"))).otherwise(F.col("name"))), 1)
+    return found
 
 
 @query("scd1_table", f"WITH {SCD} SELECT coalesce(a.k, b.k) AS k, coalesce(b.name, a.name) AS name FROM a FULL JOIN b ON a.k = b.k")
 def _(spark, d):
-    return _scd(spark, d)[0]
+    return _scd(spark, d).read()
 
 
-@query("scd1_actions", f"WITH {SCD} SELECT CASE WHEN a.k IS NULL THEN 'insert' WHEN b.k IS NULL THEN 'absent' WHEN a.name = b.name THEN 'unchanged' ELSE 'update' END AS action, count(*) AS n FROM a FULL JOIN b ON a.k = b.k GROUP BY 1")
+@query("scd1_actions", f"WITH {SCD} SELECT CASE WHEN a.k IS NULL THEN 'inserted' WHEN a.name = b.name THEN 'unchanged' ELSE 'updated' END AS action, count(*) AS n FROM b LEFT JOIN a ON a.k = b.k GROUP BY 1")
 def _(spark, d):
-    return _scd(spark, d)[1]
+    return _scd(spark, d).of_batches("actions").filter("batch = 1").select("action", "n")
 
 
 @query("payload_revisions", "SELECT o_custkey AS k, o_orderkey AS version, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT) AS revision, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1 AS is_current FROM (SELECT *, lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS b FROM orders) WHERE b IS DISTINCT FROM o_orderstatus")

@@ -181,7 +181,7 @@ def _(w):
     return mt.rung_entries(ev.cells(w.x), w.x, DAY)
 
 
-@query("engaged", ", h AS (SELECT DISTINCT deal_id, ist_day FROM e WHERE is_human), a AS (SELECT ist_day, count(*) AS engaged FROM h GROUP BY ist_day), f AS (SELECT deal_id, min(ist_day) AS ist_day FROM h GROUP BY deal_id), b AS (SELECT deal_id, min(ist_day) AS bad_day FROM x WHERE reason = 'BAD_CONTACT' GROUP BY deal_id), n AS (SELECT f.ist_day, count(*) AS n FROM f LEFT JOIN b ON f.deal_id = b.deal_id WHERE bad_day IS NULL OR bad_day > f.ist_day GROUP BY f.ist_day) SELECT a.ist_day, engaged, (SELECT count(DISTINCT deal_id) FROM h WHERE h.ist_day BETWEEN a.ist_day - 6 AND a.ist_day) AS engaged7, coalesce(n.n, 0) AS net_new FROM a LEFT JOIN n ON a.ist_day = n.ist_day")
+@query("engaged", ", h AS (SELECT DISTINCT deal_id, ist_day FROM e WHERE is_human), a AS (SELECT ist_day, count(*) AS engaged FROM h GROUP BY ist_day), f AS (SELECT deal_id, min(ist_day) AS ist_day FROM h GROUP BY deal_id), b AS (SELECT deal_id, min(ist_day) AS bad_day FROM x WHERE reason = 'BAD_CONTACT' GROUP BY deal_id), n AS (SELECT f.ist_day, count(*) AS n FROM f LEFT JOIN b ON f.deal_id = b.deal_id WHERE bad_day IS NULL OR bad_day > f.ist_day GROUP BY f.ist_day) SELECT a.ist_day, engaged, (SELECT count(DISTINCT deal_id) FROM h WHERE h.ist_day BETWEEN a.ist_day - 6 AND a.ist_day) AS engaged7, (SELECT count(DISTINCT deal_id) FROM h WHERE h.ist_day BETWEEN a.ist_day - 13 AND a.ist_day - 7) AS engaged_prev7, coalesce(n.n, 0) AS net_new FROM a LEFT JOIN n ON a.ist_day = n.ist_day")
 def _(w):
     return mt.engaged(w.events, w.x)
 

@@ -122,6 +122,32 @@ def _(spark, d):
     return pg.site_links(model.derived(spark, d, MORE).withColumn("html", F.regexp_replace("html", "(?s)^.*(?=<a class=.x.)", "")), [("about", "^/about"), ("contact", "contact"), ("team", "^/team")])
 
 
+# The examples of RFC 3986, section 5.4, of references in http://a/b/c/d;p?q.
+RFC = [
+    ("g:h", "g:h"), ("g", "http://a/b/c/g"), ("./g", "http://a/b/c/g"), ("g/", "http://a/b/c/g/"), ("/g", "http://a/g"), ("//g", "http://g"), ("?y", "http://a/b/c/d;p?y"), ("g?y", "http://a/b/c/g?y"), ("#s", "http://a/b/c/d;p?q#s"),
+    ("g#s", "http://a/b/c/g#s"), ("g?y#s", "http://a/b/c/g?y#s"), (";x", "http://a/b/c/;x"), ("g;x", "http://a/b/c/g;x"), ("g;x?y#s", "http://a/b/c/g;x?y#s"), ("", "http://a/b/c/d;p?q"), (".", "http://a/b/c/"), ("./", "http://a/b/c/"),
+    ("..", "http://a/b/"), ("../", "http://a/b/"), ("../g", "http://a/b/g"), ("../..", "http://a/"), ("../../", "http://a/"), ("../../g", "http://a/g"), ("../../../g", "http://a/g"), ("../../../../g", "http://a/g"), ("/./g", "http://a/g"),
+    ("/../g", "http://a/g"), ("g.", "http://a/b/c/g."), (".g", "http://a/b/c/.g"), ("g..", "http://a/b/c/g.."), ("..g", "http://a/b/c/..g"), ("./../g", "http://a/b/g"), ("./g/.", "http://a/b/c/g/"), ("g/./h", "http://a/b/c/g/h"),
+    ("g/../h", "http://a/b/c/h"), ("g;x=1/./y", "http://a/b/c/g;x=1/y"), ("g;x=1/../y", "http://a/b/c/y"), ("g?y/./x", "http://a/b/c/g?y/./x"), ("g?y/../x", "http://a/b/c/g?y/../x"), ("g#s/./x", "http://a/b/c/g#s/./x"), ("g#s/../x", "http://a/b/c/g#s/../x"),
+]
+
+
+@query("resolved_links", f"WITH c AS ({model.values_sql(RFC, 'ref, target')}) SELECT page_id, ref, regexp_replace(target, '^http://a', 'http://a' || page_id) AS link FROM pages CROSS JOIN c")
+def _(spark, d):
+    refs = spark.sql(model.values_sql(RFC, "ref, target"))
+    rows = model.table(spark, d, "pages").join(F.broadcast(refs.select("ref")))  # a fixed list of references a page
+    return rows.select("page_id", "ref", tx.resolved(F.format_string("http://a%d/b/c/d;p?q", "page_id"), F.col("ref")).alias("link"))
+
+
+CODED = "SELECT page_id, 's' || page_id % 9 || '.example' AS site, '<p>jane&#46;doe&#x40;s' || page_id % 9 || '.example, p' || page_id || '&commat;s' || page_id % 9 || '.example &bogus; &amp;#64; &#1114112;</p>' AS html FROM {pages}"
+
+
+@query("coded_addresses", "SELECT DISTINCT 's' || page_id % 9 || '.example' AS site, unnest(['jane.doe@s' || page_id % 9 || '.example', 'p' || page_id || '@s' || page_id % 9 || '.example']) AS email FROM pages")
+def _(spark, d):
+    nobody = spark.sql("SELECT CAST(NULL AS STRING) AS site, CAST(NULL AS STRING) AS first, CAST(NULL AS STRING) AS last")
+    return pg.site_addresses(model.derived(spark, d, CODED), nobody).select("site", "email")
+
+
 @query("site_states", R + f", t AS (SELECT r.site, code, {_visible().replace('html', 'r.html')} AS text FROM r) SELECT site, count(*) AS pages, count(*) FILTER (code = 200) AS read, CAST(coalesce(sum(length(text)) FILTER (code = 200), 0) AS BIGINT) AS length, CASE WHEN count(*) FILTER (code = 200) = 0 THEN 'blocked' WHEN coalesce(bool_or(regexp_matches(text, 'domain is for sale', 'i')) FILTER (code = 200), false) THEN 'parked' WHEN sum(length(text)) FILTER (code = 200) < 8000 THEN 'thin' ELSE 'crawled' END AS status FROM t GROUP BY site")
 def _(spark, d):
     rows = model.derived(spark, d, MORE).withColumn("text", tx.visible_text(F.col("html")))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import norm
+from sluice.functions.staging import staged
 
 #: Names under which documents keep their list of records, the first there is.
 LISTS = ("records", "results", "data", "items", "rows")
-PART = "struct<mimeType:string,filename:string,size:long,body:string>"
-MESSAGE = f"struct<id:string,thread:string,ts:long,labels:array<string>,headers:map<string,string>,parts:array<{PART}>>"
+HEADERS = "array<struct<name:string,value:string>>"
 
 
 def json_records(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -22,16 +24,64 @@ def json_records(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(key, "position", F.to_json("v").alias("record")).filter(F.startswith(F.col("record"), F.lit("{")))
 
 
-def mail_messages(raw: DataFrame) -> DataFrame:
-    """id, thread, ts, subject, sender, body, is_sent, is_unread, attachments of messages in JSON: the first plain part's text, else the first HTML part's without tags; parts with a file name are attachments."""
-    m = raw.select(F.from_json("json", MESSAGE).alias("m")).select("m.*").filter("id IS NOT NULL")
-    of = lambda kind: F.get(F.filter("parts", lambda p: (p["mimeType"] == kind) & (F.coalesce(p["filename"], F.lit("")) == "")), F.lit(0))["body"]
-    plain, html = of("text/plain"), of("text/html")
-    body = F.coalesce(F.nullif(F.trim(plain), F.lit("")), html_lines(html))
-    files = F.filter("parts", lambda p: F.coalesce(p["filename"], F.lit("")) != "")
-    label = lambda name: F.coalesce(F.array_contains("labels", name), F.lit(False))
-    head = lambda name: F.try_element_at("headers", F.lit(name))
-    return m.select("id", "thread", F.timestamp_seconds("ts").alias("at"), head("Subject").alias("subject"), norm.email(F.regexp_extract(head("From"), r"<?([^<>\s]+@[^<>\s]+)>?", 1)).alias("sender"), body.alias("body"), label("SENT").alias("is_sent"), label("UNREAD").alias("is_unread"), F.array_join(F.transform(files, lambda p: F.concat_ws(":", p["filename"], p["size"])), ",").alias("attachments"))
+def _header_of(name: str, headers: str = "headers") -> Column:
+    """The first header of a name, in any case."""
+    return F.get(F.filter(headers, lambda h: F.lower(h["name"]) == name.lower()), F.lit(0))["value"]
+
+
+def mail_parts(raw: DataFrame) -> DataFrame:
+    """id, path, mime, filename, attachment_id, size, headers, data of every part of the messages in JSON, however deep they nest; in the order of `path` a tree is read from the top down.
+
+    Each round takes the parts of the parts before it, so there are as many rounds as the deepest message has levels; texts that are no JSON, or have no id, have none.
+    """
+    doc = F.try_parse_json("json")
+    of = lambda path, kind: F.try_variant_get("part", f"$.{path}", kind)
+    level = staged(raw.select(doc.alias("part")).select(of("id", "string").alias("id"), F.lit("").alias("path"), of("payload", "variant").alias("part")).filter("id IS NOT NULL AND part IS NOT NULL"), "mail-level")
+    found = []
+    while not level.isEmpty():
+        names = {"mime": F.lower(F.coalesce(of("mimeType", "string"), F.lit(""))), "filename": F.coalesce(of("filename", "string"), F.lit("")), "attachment_id": of("body.attachmentId", "string"), "size": of("body.size", "bigint"), "headers": of("headers", HEADERS), "data": of("body.data", "string")}
+        found.append(level.select("id", "path", *[c.alias(n) for n, c in names.items()]))
+        below = level.select("id", "path", F.posexplode(of("parts", "array<variant>")).alias("_i", "_part"))
+        level = staged(below.select("id", F.concat_ws(".", F.nullif("path", F.lit("")), F.format_string("%06d", "_i")).alias("path"), F.col("_part").alias("part")), "mail-level")
+    schema = f"id string, path string, mime string, filename string, attachment_id string, size long, headers {HEADERS}, data string"
+    return reduce(DataFrame.unionByName, found) if found else raw.sparkSession.createDataFrame([], schema)
+
+
+def _is_file() -> Column:
+    """Parts with a name or a place of their own, but for the containers of others."""
+    container = F.startswith("mime", F.lit("multipart/")) | ((F.col("mime") == "message/rfc822") & F.col("attachment_id").isNull())
+    return ~container & (F.col("attachment_id").isNotNull() | (F.col("filename") != ""))
+
+
+def mail_attachments(parts: DataFrame) -> DataFrame:
+    """id, path, filename, mime, size, content_id, disposition, a row for each attachment of mail_parts; inline if it says so, or if it has a content id and neither a disposition nor a name."""
+    said = F.lower(F.trim(F.coalesce(_header_of("Content-Disposition"), F.lit(""))))
+    content = F.nullif(F.regexp_replace(F.trim(_header_of("Content-ID")), "^<+|>+$", ""), F.lit(""))
+    inline = said.startswith("inline") | ((said == "") & content.isNotNull() & (F.col("filename") == ""))
+    return parts.filter(_is_file()).select("id", "path", "filename", "mime", "size", content.alias("content_id"), F.when(inline, "inline").otherwise("attachment").alias("disposition"))
+
+
+def mail_messages(raw: DataFrame, parts: DataFrame) -> DataFrame:
+    """id, thread, at, subject, sender, recipients (to, cc and bcc, joined), body, is_sent, is_unread, attachments (how many that aren't inline) of messages in JSON and their mail_parts.
+
+    body is all plain parts in order, else the text of all HTML parts; a part's bytes are read as its charset, Latin or UTF-8.
+    """
+    latin = F.coalesce(_header_of("Content-Type"), F.lit("")).rlike(r"(?i)charset\s*=\s*\"?(iso-8859-1|latin-?1|windows-1252|us-ascii)\b")
+    octets = F.unbase64(F.translate("data", "-_", "+/"))
+    text = F.when(latin, F.decode(octets, "ISO-8859-1")).otherwise(F.make_valid_utf8(octets.cast("string")))
+    texts = parts.filter(~_is_file() & F.col("data").isNotNull() & F.col("mime").isin("text/plain", "text/html")).select("id", F.struct("path", text.alias("text")).alias("t"), (F.col("mime") == "text/plain").alias("plain"))
+    joined = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(c, F.col("t")))), lambda t: t["text"]), "\n")
+    bodies = texts.groupBy(F.col("id").alias("_b")).agg(F.bool_or("plain").alias("_plain"), F.trim(joined(F.col("plain")), F.lit(" \t\r\n")).alias("_text"), html_lines(joined(~F.col("plain"))).alias("_html"))
+    files = mail_attachments(parts).groupBy(F.col("id").alias("_f")).agg(F.count_if(F.col("disposition") == "attachment").alias("_files"))
+    of = lambda path, kind: F.try_variant_get("m", f"$.{path}", kind)
+    rows = raw.select(F.try_parse_json("json").alias("m")).select(of("id", "string").alias("id"), F.coalesce(of("threadId", "string"), of("id", "string")).alias("thread"), F.timestamp_millis(of("internalDate", "bigint")).alias("at"), F.coalesce(of("labelIds", "array<string>"), F.array()).alias("labels"), of("payload.headers", HEADERS).alias("headers")).filter("id IS NOT NULL")
+    rows = rows.join(bodies, rows["id"] == bodies["_b"], "left").join(files, rows["id"] == files["_f"], "left")
+    emails = lambda name: F.coalesce(F.regexp_extract_all(F.lower(_header_of(name)), F.lit(r"[^<>\s,;:\"()]+@[^<>\s,;:\"()]+"), 0), F.array())
+    label = lambda name: F.array_contains("labels", name)
+    return rows.select(
+        "id", "thread", "at", _header_of("Subject").alias("subject"), norm.email(F.get(emails("From"), F.lit(0))).alias("sender"), F.array_join(F.concat(emails("To"), emails("Cc"), emails("Bcc")), ",").alias("recipients"),
+        F.when(F.col("_plain"), F.col("_text")).otherwise(F.col("_html")).alias("body"), label("SENT").alias("is_sent"), label("UNREAD").alias("is_unread"), F.coalesce("_files", F.lit(0)).alias("attachments"),
+    )
 
 
 def html_lines(html: Column) -> Column:
@@ -87,17 +137,6 @@ def dirty(objects: DataFrame, projected: DataFrame, key: list[str]) -> DataFrame
     return met.filter(~F.col("sha").eqNullSafe(F.col("_sha"))).select(*objects.columns)
 
 
-def compare_then_write(current: DataFrame, incoming: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(the table after it, actions): incoming rows replace those of their keys where a value differs; action, n says what was inserted, updated and left alone. Rows that don't come in stay."""
-    values = [c for c in current.columns if c not in keys]
-    a = current.select(*keys, F.struct(*values).alias("_old"))
-    b = incoming.select(*keys, F.struct(*values).alias("_new"))
-    met = a.join(b, keys, "full")
-    same = F.col("_old").eqNullSafe(F.col("_new"))
-    action = F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "absent").when(same, "unchanged").otherwise("update")
-    return met.select(*keys, F.coalesce("_new", "_old").alias("_v")).select(*keys, "_v.*"), met.groupBy(action.alias("action")).agg(F.count("*").alias("n"))
-
-
 def revisions(versions: DataFrame, key: list[str], order: str) -> DataFrame:
     """versions with revision, from 1, and is_current: payloads of a key in order, those equal to the one before them left out."""
     w = Window.partitionBy(*key).orderBy(order)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
+
+from sluice.sources.store import KeyedTable
 
 LATE = "24 hours"
 
@@ -47,60 +45,20 @@ def sliding_engaged(events: DataFrame, keys: list[str], days: int = 7) -> DataFr
     return once.select(F.col("event_time").cast("date").alias("last_day"), *keys, "user_id")
 
 
-STATE = "first_time timestamp, last_time timestamp, stage string, n long"
-TOUCHES = "user_id long, first_time timestamp, last_time timestamp, stage string, n long"
-
-
-def _touch(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    first, last, stage, n = state.get if state.exists else (None, None, None, 0)
-    for frame in frames:
-        for t, s in zip(frame["event_time"], frame["event_type"], strict=True):
-            first = t if first is None or t < first else first
-            if last is None or t >= last:
-                last, stage = t, s
-            n += 1
-    state.update((first, last, stage, n))
-    yield pd.DataFrame({"user_id": [key[0]], "first_time": [first], "last_time": [last], "stage": [stage], "n": [n]})
-
-
 def first_touch(events: DataFrame) -> DataFrame:
-    """user_id, first_time, last_time, stage, n after each batch that brings events of the user."""
-    return with_time(events).groupBy("user_id").applyInPandasWithState(_touch, TOUCHES, STATE, "update", "NoTimeout")
-
+    """user_id, first_time, last_time, stage, n after each batch that brings events of the user: stage is that of the last event, the greater of equal times.
 
-def upsert_raw(batch: DataFrame, current: DataFrame, key: list[str], version: str) -> tuple[DataFrame, DataFrame]:
-    """(the table after a batch, revisions): the newest row of each key, the batch's among equal versions; payloads that are replaced become revisions. Equal payloads change nothing."""
-    newest = batch.groupBy(*key).agg(F.max_by(F.struct(*batch.columns), version).alias("r")).select("r.*")
-    marked = current.withColumn("_old", F.lit(True)).unionByName(newest.withColumn("_old", F.lit(False)))
-    kept = marked.groupBy(*key).agg(F.max_by(F.struct(*batch.columns), F.struct(F.col(version).alias("v"), (~F.col("_old")).alias("n"))).alias("new"), F.max(F.when(F.col("_old"), F.struct(*batch.columns))).alias("old"))
-    same = F.col("new.sha").eqNullSafe(F.col("old.sha"))
-    after = kept.select(F.when(same, F.col("old")).otherwise(F.col("new")).alias("r")).select("r.*")
-    return after, kept.filter(F.col("old").isNotNull() & ~same).select("old.*")
+    The state is that of Spark's own streaming aggregation, a narrow row a user without expiry, so no Python runs; a batch's events
+    are merged before the shuffle, and a hot user costs a row for each task.
+    """
+    last = F.max(F.struct("event_time", "event_type"))
+    rows = with_time(events).groupBy("user_id").agg(F.min("event_time").alias("first_time"), last.alias("_last"), F.count("*").alias("n"))
+    return rows.select("user_id", "first_time", F.col("_last.event_time").alias("last_time"), F.col("_last.event_type").alias("stage"), "n")
 
 
-def upsert_batches(stream: DataFrame, store: str, key: list[str], version: str, checkpoint: str) -> None:
-    """Runs a stream of raw objects (with sha) into tables under `store`, a folder per batch: the current objects, the payloads they replaced, and how many were inserted, updated and left alone.
+def upsert_batches(stream: DataFrame, table: KeyedTable, version: str, checkpoint: str) -> None:
+    """Runs a stream of raw objects (with sha) into a keyed table, batch by batch: the newest payload of each key, those that it replaced, and how many were inserted, updated, unchanged and stale.
 
-    A batch writes its folder anew, so a batch that is repeated after a failure changes nothing; `current_objects` reads the last one.
+    Equal payloads change nothing. A batch that is repeated after a failure is written anew, or is done already (KeyedTable).
     """
-
-    def write(batch: DataFrame, number: int) -> None:
-        before = current_objects(batch.sparkSession, store, number)
-        before = batch.limit(0) if before is None else before
-        after, replaced = upsert_raw(batch, before, key, version)
-        after.write.mode("overwrite").parquet(f"{store}/current/{number:012d}")
-        replaced.write.mode("overwrite").parquet(f"{store}/revisions/{number:012d}")
-        met = before.select(*key, F.col("sha").alias("_old")).join(after.select(*key, F.col("sha").alias("_new")), key, "full")
-        action = F.when(F.col("_old").isNull(), "inserted").when(F.col("_old") != F.col("_new"), "updated").otherwise("unchanged")
-        met.groupBy(action.alias("action")).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{store}/actions/{number:012d}")
-
-    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-def current_objects(spark: SparkSession, store: str, before: int | None = None) -> DataFrame | None:
-    """The objects after the last batch, or the last one before number `before`; None if there is none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/current")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
-    names = [n for n in names if before is None or int(n) < before]
-    return spark.read.parquet(f"{store}/current/{names[-1]}") if names else None
+    stream.writeStream.foreachBatch(lambda batch, number: table.merge(batch, number, version=version, compare=["sha"])).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -210,12 +210,15 @@ def test_first_touch_state(spark, stream, tmp_path):
     assert got == {r.user_id: (r.t, r.n) for r in batch.collect()}
 
 
-def test_upsert_raw(spark):
-    schema = "id string, sha string, v int"
-    now = spark.createDataFrame([("a", "s1", 1), ("b", "s1", 1)], schema)
-    after, revisions = st.upsert_raw(spark.createDataFrame([("a", "s2", 2), ("a", "s3", 3), ("b", "s1", 9), ("c", "s1", 1)], schema), now, ["id"], "v")
-    assert sorted(map(tuple, after.collect())) == [("a", "s3", 3), ("b", "s1", 1), ("c", "s1", 1)]
-    assert [tuple(r) for r in revisions.collect()] == [("a", "s1", 1)]
+def test_first_touch_goes_on_after_a_restart(spark, tmp_path):
+    schema, path, batches = "user_id long, ts timestamp, event_type string", str(tmp_path / "in"), []
+    at = lambda minute: dt.datetime(2024, 1, 1, 0, minute)
+    for rows in ([(1, at(5), "b"), (1, at(3), "a"), (2, at(1), "x")], [(1, at(2), "late"), (1, at(5), "c")], [(3, at(9), "y")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        touched = st.first_touch(spark.readStream.schema(schema).parquet(path))
+        touched.writeStream.outputMode("update").foreachBatch(lambda b, n: batches.append(b.collect())).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    got = [sorted((r.user_id, r.first_time.minute, r.last_time.minute, r.stage, r.n) for r in b) for b in batches if b]
+    assert got == [[(1, 3, 5, "b", 2), (2, 1, 1, "x", 1)], [(1, 2, 5, "c", 4)], [(3, 9, 9, "y", 1)]]
 
 
 def test_batches_and_similar_names(spark):
