@@ -6,7 +6,7 @@ import importlib
 
 from sluice.functions.staging import tidy
 
-MODULES = ("funnel", "report", "performance", "companies", "leads", "audits", "imports", "pages", "books", "projections", "feeds")
+MODULES = ("funnel", "report", "performance", "companies", "leads", "audits", "imports", "pages", "books", "projections", "feeds", "reconcile")
 
 
 def registered() -> tuple[dict, dict[str, str]]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions.patterns import ist_day
 from sluice.functions.staging import scratch_path, staged
 from sluice.plans.model import derived, duck, table
-from sluice.sources import files, records
+from sluice.sources import delimited, files, records
 from sluice.sources.store import KeyedTable
 from sluice.streaming import events as st
 
@@ -40,18 +40,18 @@ def objects(spark: SparkSession, d: str) -> DataFrame:
     s = lambda c: c.cast("string")
     entry = lambda v, t: F.struct(F.lit(v).alias("value"), t.alias("timestamp"), F.lit("UI").alias("sourceType"))
     history = F.array(entry("third", F.lit("2024-01-03T00:00:00Z")), entry("second", F.when(k % 3 > 0, "2024-01-01T00:00:00Z")), entry("first", F.lit("2024-01-01T00:00:00Z")))
-    links = F.transform(F.coalesce("lines", F.array().cast("array<int>")), lambda x: F.struct(s(x).alias("id"), F.when(x == 2, "Primary").alias("label")))
+    links = F.transform(F.coalesce("lines", F.array().cast("array<int>")), lambda x: F.struct(s(x).alias("id"), F.when(x == 2, F.array(F.struct(F.lit(9).alias("typeId"), F.lit(None).cast("string").alias("label")), F.struct(F.lit(10).alias("typeId"), F.lit("Primary").alias("label")))).when(x == 3, F.array(F.struct(F.lit(5).alias("typeId"), F.lit("Main").alias("label")))).alias("types")))
     props = F.create_map(F.lit("status"), "o_orderstatus", F.lit("owner"), s(F.col("o_custkey") % 7))
-    rows = o.select(F.concat(F.lit("p"), s(k % 2)).alias("account"), F.lit("deal").alias("object_type"), s(k).alias("id"), props.alias("properties"), F.create_map(F.lit("line"), links).alias("associations"), F.create_map(F.lit("stage"), history).alias("history"), (k % 11 == 0).alias("archived"))
+    rows = o.select(F.concat(F.lit("p"), s(k % 2)).alias("account"), F.lit("deal").alias("object_type"), s(k).alias("id"), props.alias("properties"), F.create_map(F.lit("line"), links).alias("associations"), F.create_map(F.lit("stage"), history).alias("history"), (k % 11 == 0).alias("archived"), F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T01:02:03.456Z")).alias("createdAt"), F.when(k % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("updatedAt"))
     return files.read_raw_objects(spark, written(rows, "objects"))
 
 
 O = "o AS (SELECT *, 'p' || (o_orderkey % 2) AS account, CAST(o_orderkey AS VARCHAR) AS id FROM orders)"
 
 
-@query("raw_objects", f"WITH {O} SELECT account, 'deal' AS object_type, id, o_orderstatus AS status, CAST(o_custkey % 7 AS VARCHAR) AS owner, o_orderkey % 11 = 0 AS archived FROM o")
+@query("raw_objects", f"WITH {O} SELECT account, 'deal' AS object_type, id, o_orderstatus AS status, CAST(o_custkey % 7 AS VARCHAR) AS owner, o_orderkey % 11 = 0 AS archived, epoch_ms(o_orderdate) + 3723456 AS created_ms, CASE WHEN o_orderkey % 2 = 0 THEN epoch_ms(o_orderdate) END AS updated_ms, true AS fetched FROM o")
 def _(spark, d):
-    return objects(spark, d).select("account", "object_type", "id", F.col("properties")["status"].alias("status"), F.col("properties")["owner"].alias("owner"), "archived")
+    return objects(spark, d).select("account", "object_type", "id", F.col("properties")["status"].alias("status"), F.col("properties")["owner"].alias("owner"), "archived", F.unix_millis("created_at").alias("created_ms"), F.unix_millis("updated_at").alias("updated_ms"), F.col("fetched_at").isNotNull().alias("fetched"))
 
 
 @query("raw_payload_groups", f"WITH {O} SELECT count(*) AS objects, count(DISTINCT o_orderstatus || o_custkey % 7) AS payloads FROM o")
@@ -64,20 +64,20 @@ def _(spark, d):
     return files.explode_history(objects(spark, d), "stage").select("account", "id", "value", "seq")
 
 
-@query("object_associations", f"WITH {O}, l AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem), n AS (SELECT l_orderkey, count(*) AS n FROM l GROUP BY 1) SELECT account, id, 'line' AS to_type, CAST(l_linenumber AS VARCHAR) AS to_id, n = 1 OR l_linenumber = 2 AS is_primary FROM o JOIN l ON l.l_orderkey = o_orderkey JOIN n ON n.l_orderkey = o_orderkey")
+@query("object_associations", f"WITH {O}, l AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem), n AS (SELECT l_orderkey, count(*) AS n FROM l GROUP BY 1) SELECT account, id, 'line' AS to_type, CAST(l_linenumber AS VARCHAR) AS to_id, CASE l_linenumber WHEN 2 THEN 'Primary' WHEN 3 THEN 'Main' END AS label, n = 1 OR l_linenumber IN (2, 3) AS is_primary FROM o JOIN l ON l.l_orderkey = o_orderkey JOIN n ON n.l_orderkey = o_orderkey")
 def _(spark, d):
-    return files.explode_associations(objects(spark, d)).select("account", "id", "to_type", "to_id", "is_primary")
+    return files.explode_associations(objects(spark, d)).select("account", "id", "to_type", "to_id", "label", "is_primary")
 
 
-@query("messy_rows", "SELECT CAST(s_suppkey AS VARCHAR) AS key, s_name AS name, CAST(s_nationkey AS VARCHAR) AS extra FROM supplier")
+@query("messy_rows", "SELECT CAST(s_suppkey AS VARCHAR) AS key, CASE WHEN s_suppkey % 3 = 0 THEN s_name || chr(10) || ';\"x' ELSE s_name END AS name, CAST(s_nationkey AS VARCHAR) AS extra FROM supplier")
 def _(spark, d):
     s = table(spark, d, "supplier")
-    line = F.concat_ws(";", F.col("s_suppkey").cast("string"), F.col("s_name"), F.col("s_nationkey").cast("string"), F.lit(""))
+    line = F.concat_ws(";", F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit('"'), "s_name", F.lit('\n;""x"'))).otherwise(F.col("s_name")), F.col("s_nationkey").cast("string"), F.lit(""))
     lines = s.groupBy((F.col("s_suppkey") % 4).alias("f")).agg(F.array_sort(F.collect_list(line)).alias("l"))
-    head = F.array(F.lit("Report of suppliers"), F.lit(""), F.lit("key;name;name;"))
+    head = F.array(F.lit("Report of suppliers;"), F.lit(""), F.lit("key;name;name;"))
     path = scratch_path(spark, "messy")
     lines.select("f", F.array_join(F.concat(head, "l"), "\n").alias("value")).write.partitionBy("f").text(path)
-    rows = files.read_messy_csv(spark, f"{path}/*/*.txt")
+    rows = delimited.read_delimited(spark, f"{path}/*/*.txt")
     cell = lambda n: F.try_element_at("cells", F.lit(n))
     return rows.select(cell("key").alias("key"), cell("name").alias("name"), cell("name__2").alias("extra"))
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.patterns import asof_join, calendar, change, rolling_distinct
+from sluice.functions.staging import scratch_path
 from sluice.operators import events as ev
 from sluice.operators import metrics as mt
+from sluice.operators import occupancy as oc
 from sluice.plans import model
 from sluice.plans.model import funnel_sql
+from sluice.sources.files import write_days
 
 DAY = "2024-01-20"
 QUERIES: dict = {}
@@ -199,6 +204,31 @@ def _(w):
     return mt.occupancy_at(w.x, w.deals, DAY)
 
 
+def _by_day(w):
+    """The events with their rungs as a table that is parted by day, 25 days earlier so that they span the end of a month, and a folder for checkpoints."""
+    path = scratch_path(w.spark, "events-by-day")
+    x = w.x.select("deal_id", "event_id", "entered_at", "rung", "reason", F.date_sub("ist_day", 25).alias("ist_day"))
+    write_days(x, path)
+    return w.spark.read.schema(x.schema).parquet(path), scratch_path(w.spark, "state-checkpoints")
+
+
+SHIFTED = "sx AS (SELECT deal_id, event_id, entered_at, rung, reason, ist_day - 25 AS ist_day FROM x)"
+
+
+@query("occupancy_replayed", f", {SHIFTED}, l AS (SELECT deal_id, arg_max(rung, (entered_at, event_id)) AS rung, arg_max(coalesce(reason, '-'), (entered_at, event_id)) AS reason FROM sx WHERE ist_day <= DATE '{DAY}' - 15 GROUP BY deal_id) SELECT CASE rung WHEN 'UNMAPPED' THEN 'unmapped' WHEN 'DEAD' THEN 'dead' WHEN 'WON' THEN 'won' ELSE 'live' END AS state, rung, nullif(reason, '-') AS reason, count(*) AS deals FROM l JOIN d ON d.deal_id = l.deal_id WHERE NOT is_archived OR archived_day > DATE '{DAY}' - 15 GROUP BY ALL")
+def _(w):
+    events, path = _by_day(w)
+    oc.write_checkpoints(events, path, DAY)
+    return oc.occupancy_on(events, path, w.deals, w.deals, str(dt.date.fromisoformat(DAY) - dt.timedelta(days=15)), DAY)
+
+
+@query("occupancy_live", " SELECT CASE WHEN rung IS NULL THEN 'unmapped' WHEN rung = 'DEAD' THEN 'dead' WHEN rung = 'WON' THEN 'won' ELSE 'live' END AS state, coalesce(rung, 'UNMAPPED') AS rung, reason, count(*) AS deals FROM d LEFT JOIN sm ON d.stage_id = sm.stage_id WHERE NOT is_archived GROUP BY ALL")
+def _(w):
+    at = w.stages.select(F.col("stage_id").alias("_s"), "rung", "reason")
+    live = w.deals.join(F.broadcast(at), w.deals["stage_id"] == at["_s"], "left").select("deal_id", F.coalesce("rung", F.lit("UNMAPPED")).alias("rung"), "reason")
+    return oc.occupancy_on(w.x, "", w.deals, live, DAY, DAY)
+
+
 @query("derived_rungs", """, o AS (SELECT *, row_number() OVER (PARTITION BY deal_id ORDER BY entered_at, event_id) AS i FROM x),
 an AS (SELECT deal_id, min(i) FILTER (rung = 'MEETING_BOOKED') AS b, min(i) FILTER (rung = 'ASSET_RECEIVED') AS a, min(ist_day) FILTER (reason IN ('NO_SHOW', 'MEETING_CANCELLED')) AS bad FROM o GROUP BY deal_id),
 h AS (SELECT o.deal_id, min(o.i) AS i FROM o JOIN an ON o.deal_id = an.deal_id WHERE o.i > b AND ((rung NOT IN ('DEAD', 'UNMAPPED') AND depth >= 6) OR (rung = 'DEAD' AND depth_reached >= 5 AND reason IN ('REJECTED', 'NOT_INTERESTED', 'PRIVACY'))) GROUP BY o.deal_id),

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-RAW = "account string, object_type string, id string, properties map<string,string>, associations map<string,array<struct<id:string,label:string>>>, history map<string,array<struct<value:string,timestamp:string,sourceType:string>>>, archived boolean"
+from sluice.functions import norm
+
+RAW = "account string, object_type string, id string, properties map<string,string>, associations map<string,array<struct<id:string,types:array<struct<typeId:int,label:string>>>>>, history map<string,array<struct<value:string,timestamp:string,sourceType:string>>>, archived boolean, createdAt string, updatedAt string"
+#: The type id of a primary association.
+PRIMARY_TYPE = 5
 
 
 def read_raw_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Payloads of a CRM export, JSON lines, with the SHA-256 of their properties, whatever their order."""
-    rows = spark.read.schema(RAW).json(path)
+    """Payloads of a CRM export, JSON lines: as RAW, with created_at, updated_at, fetched_at (when its file was written) and the SHA-256 of their properties, whatever their order."""
+    rows = spark.read.schema(RAW).json(path).withColumn("fetched_at", F.col("_metadata.file_modification_time"))
     entries = F.array_sort(F.map_entries("properties"))
-    return rows.withColumn("payload_sha256", F.sha2(F.to_json(entries), 256))
+    rows = rows.withColumns({"created_at": norm.utc_timestamp(F.col("createdAt")), "updated_at": norm.utc_timestamp(F.col("updatedAt")), "payload_sha256": F.sha2(F.to_json(entries), 256)})
+    return rows.drop("createdAt", "updatedAt")
 
 
 def explode_history(objects: DataFrame, property_: str) -> DataFrame:
@@ -29,54 +29,12 @@ def explode_history(objects: DataFrame, property_: str) -> DataFrame:
 
 
 def explode_associations(objects: DataFrame) -> DataFrame:
-    """account, id, to_type, to_id, is_primary: a sole association of a type is its primary one, else those labelled so or of the type id that means it."""
+    """account, id, to_type, to_id, label, is_primary: primary is a sole association of a type, or one with the type id or the label that means it; label is the first there is."""
     rows = objects.select("account", "id", F.explode("associations").alias("to_type", "links"))
     rows = rows.select("account", "id", "to_type", F.size("links").alias("n"), F.explode("links").alias("l"))
-    return rows.select("account", "id", "to_type", F.col("l.id").alias("to_id"), ((F.col("n") == 1) | F.coalesce(F.col("l.label") == "Primary", F.lit(False))).alias("is_primary"))
-
-
-def _decoded(data: bytes) -> str:
-    for name in ("utf-8-sig", "cp1252"):
-        try:
-            return data.decode(name)
-        except UnicodeDecodeError:
-            continue
-    return data.decode("latin-1")
-
-
-def parse_messy(data: bytes) -> list[dict[str, str]]:
-    """Rows of a delimited file: the delimiter that the first lines have most, titles above the header skipped, names made unique.
-
-    The header is the first of 8 rows that fills more than one cell, else the first; one of numbers only is data, and columns are
-    then col_1, col_2 ... Cells beyond the header are col_n too; rows without a filled cell are dropped.
-    """
-    text = _decoded(data)
-    first = "\n".join(text.splitlines()[:8])
-    delimiter = max(",;\t|", key=first.count)
-    rows = [[c.strip() for c in r] for r in csv.reader(io.StringIO(text), delimiter=delimiter)]
-    rows = [r for r in rows if any(r)]
-    if not rows:
-        return []
-    at = next((i for i, r in enumerate(rows[:8]) if sum(map(bool, r)) > 1), 0)
-    numbers = all(c.replace(".", "", 1).lstrip("-").isdigit() for c in rows[at] if c)
-    header = [] if numbers else rows[at]
-    names: list[str] = []
-    for i in range(max(map(len, rows))):
-        name = header[i] if i < len(header) and header[i] else f"col_{i + 1}"
-        names.append(f"{name}__{names.count(name) + 1}" if name in names else name)
-    return [{n: c for n, c in zip(names, r, strict=False) if c} for r in rows[at + (not numbers) :]]
-
-
-def read_messy_csv(spark: SparkSession, path: str) -> DataFrame:
-    """path, row_number, cells of every file; a file is parsed by one task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for p, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                cells = pa.array([list(r.items()) for r in parse_messy(data.as_py())], pa.map_(pa.string(), pa.string()))
-                yield pa.RecordBatch.from_arrays([pa.array([p] * len(cells), pa.string()), pa.array(range(1, len(cells) + 1), pa.int32()), cells], ["path", "row_number", "cells"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, row_number int, cells map<string,string>")
+    said = F.coalesce(F.exists("l.types", lambda t: (t["typeId"] == PRIMARY_TYPE) | (t["label"] == "Primary")), F.lit(False))
+    label = F.get(F.filter(F.transform("l.types", lambda t: t["label"]), lambda x: x.isNotNull()), F.lit(0))
+    return rows.select("account", "id", "to_type", F.col("l.id").alias("to_id"), label.alias("label"), ((F.col("n") == 1) | said).alias("is_primary"))
 
 
 def file_catalog(spark: SparkSession, path: str, roles: list[tuple[str, str]]) -> DataFrame:

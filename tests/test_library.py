@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluice.functions import norm
 from sluice.functions.patterns import asof_join, change, rolling_distinct, take_by_demand
 from sluice.operators import identity, metrics, quality, report
-from sluice.sources import files
+from sluice.sources import delimited, files
 from sluice.streaming import events as st
 
 CASES = {
@@ -147,7 +147,7 @@ def test_validate_splits_rows(spark):
 
 def test_raw_objects(spark, tmp_path):
     history = [{"value": "s2", "timestamp": "2024-01-02T00:00:00Z", "sourceType": "UI"}, {"value": "s1b", "timestamp": "2024-01-01T00:00:00Z"}, {"value": "s1a", "timestamp": "2024-01-01T00:00:00Z"}, {"value": "lost", "timestamp": None}]
-    one = {"account": "p", "object_type": "deal", "id": "1", "properties": {"b": "2", "a": "1"}, "associations": {"company": [{"id": "9", "label": None}], "contact": [{"id": "5", "label": "Primary"}, {"id": "6", "label": None}]}, "history": {"stage": history}}
+    one = {"account": "p", "object_type": "deal", "id": "1", "properties": {"b": "2", "a": "1"}, "associations": {"company": [{"id": "9", "types": None}], "contact": [{"id": "5", "types": [{"typeId": 1, "label": "Primary"}]}, {"id": "6", "types": [{"typeId": 2, "label": None}]}]}, "history": {"stage": history}}
     other = dict(one, id="2", properties={"a": "1", "b": "2"}, associations={}, history={})
     (tmp_path / "x.json").write_text(json.dumps(one) + "\n" + json.dumps(other) + "\n")
     rows = files.read_raw_objects(spark, str(tmp_path))
@@ -157,10 +157,10 @@ def test_raw_objects(spark, tmp_path):
 
 
 def test_messy_files(spark, tmp_path):
-    (tmp_path / "a.csv").write_bytes("Report\n\nname;name;\nCafé;x;y\n;;\nb;c;d;e\n".encode("cp1252"))
+    (tmp_path / "a.csv").write_bytes("Report;\n\nname;name;\nCafé;x;y\n;;\nb;c;d;e\n".encode("cp1252"))
     (tmp_path / "b.csv").write_text("1,2\n3,4\n")
     (tmp_path / "b copy.csv").write_text("1,2\n3,4\n")
-    rows = {(r.path.rpartition("/")[2].replace("%20", " "), r.row_number): r.cells for r in files.read_messy_csv(spark, str(tmp_path)).collect()}
+    rows = {(r.path.rpartition("/")[2].replace("%20", " "), r.row_number): r.cells for r in delimited.read_delimited(spark, str(tmp_path)).collect()}
     assert rows[("a.csv", 1)] == {"name": "Café", "name__2": "x", "col_3": "y"} and rows[("a.csv", 2)]["col_4"] == "e"
     assert rows[("b.csv", 1)] == {"col_1": "1", "col_2": "2"}
     catalog = files.file_catalog(spark, str(tmp_path), [("first", "b.*csv$")])

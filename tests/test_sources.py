@@ -1,17 +1,20 @@
 """Keyed tables, mail trees, references and rolling sets on small hard cases."""
 
 import base64
+import csv
 import datetime as dt
+import io
 import json
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions import text
 from sluice.functions.patterns import rolling_distinct
-from sluice.sources import records
+from sluice.sources import delimited, records
 from sluice.sources.store import KeyedTable
 
 
@@ -110,3 +113,82 @@ def test_mail_of_any_depth(spark):
     assert [r.filename for r in records.mail_attachments(parts).filter("id = '1'").orderBy("path").collect()] == [f"{i}.png" for i in reversed(range(12))]
     assert [(r.disposition, r.mime) for r in records.mail_attachments(parts).filter("id = '3'").collect()] == [("attachment", "message/rfc822")]
     assert records.mail_parts(raw.filter("json = 'none'")).count() == 0
+
+
+def parsed_whole(data):
+    """(row number, cells) of a delimited file by the csv module, header rows and all."""
+    for encoding in ("utf-8-sig", "cp1252", "latin-1"):
+        try:
+            text = data.decode(encoding)
+            break
+        except UnicodeDecodeError:
+            continue
+    plain = re.sub('"[^"]*"?', "", text.split("\n", 1)[0])
+    delimiter = max(",;\t|", key=lambda d: (plain.count(d), d == ","))
+    records = [[c.strip() or None for c in r] for r in csv.reader(io.StringIO(text, newline="\n"), delimiter=delimiter)]
+    filled = [i for i, r in enumerate(records) if any(r)][:8]
+    if not filled:
+        return []
+    top = next((i for i in filled if sum(c is not None for c in records[i]) > 1), filled[0])
+    head = records[top]
+    while head[-1] is None:
+        head = head[:-1]
+    own = [c for c in head if c is not None]
+    numbers = len(own) > 1 and all(re.fullmatch(r"[\d.,+-]+", c) for c in own)
+    base = [f"col_{i + 1}" if c is None or numbers else c for i, c in enumerate(head)]
+    names = [c if c not in base[:i] else f"{c}__{base[: i + 1].count(c)}" for i, c in enumerate(base)]
+    early = [i for i in filled if i > top or (numbers and i == top)]
+    data = [(n, records[i]) for n, i in enumerate(early, 1)] + [(len(early) + n, r) for n, r in enumerate(records[filled[-1] + 1 :], 1)]
+    cells = lambda r: {names[i] if i < len(names) else f"col_{i + 1}": c for i, c in enumerate(r) if c is not None}
+    return [(n, cells(r)) for n, r in data if any(r)]
+
+
+@pytest.mark.parametrize("split", ["64", "10000000"])
+def test_delimited_files_are_read_as_if_whole(spark, tmp_path, split):
+    rng = random.Random(7)
+
+    def cell(d):
+        quoted = '"' + "".join(rng.choices(["a", d, '""', "\n", "x", " "], k=rng.randint(0, 6))) + '"'
+        return rng.choice(["".join(rng.choices("abé12 ", k=rng.randint(0, 5))), quoted, quoted, 'q"u', '"ab"tail', str(rng.randint(0, 99))])
+
+    files = {"empty": b"", "blank": b"\n\n ; \n", "open": b'a,b\n1,"x\ny,z\n', "latin": b"a;\x81\nb;c\n", "same": b"col_2,x,x__2,x\n1,2,3,4,5,6\n"}
+    for i in range(7):
+        d, end = rng.choice(",;\t|"), rng.choice(["\n", "\r\n"])
+        rows = [d.join(cell(d) for _ in range(rng.randint(1, 5))) if rng.random() > 0.15 else "" for _ in range(rng.randint(1, 25))]
+        top = rng.choice([[], ["Title"], ["", "Title", ""], [f"name{d}name{d}{d}z"], [f"1{d}2"]])
+        files[f"f{i}"] = end.join([*top, *rows]).encode(rng.choice(["utf-8", "utf-8-sig", "cp1252"]))
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        rows = delimited.read_delimited(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    got = {}
+    for r in rows:
+        got.setdefault(os.path.basename(r.path), []).append((r.row_number, r.cells))
+    assert {n: sorted(got.get(n, []), key=lambda x: x[0]) for n in files} == {n: parsed_whole(d) for n, d in files.items()}
+
+
+def test_occupancy_goes_on_from_a_checkpoint(spark, tmp_path):
+    from sluice.operators import occupancy
+
+    rng = random.Random(1)
+    rows = [(rng.randint(0, 30), i, i, rng.choice(["A", "DEAD", "WON"]), None, dt.date(2024, 1, 5) + dt.timedelta(rng.randint(0, 100))) for i in range(600)]
+    rows = [(d, i, int(day.strftime("%j")), r, x, day) for d, i, _, r, x, day in rows]
+    schema = "deal_id long, event_id long, entered_at long, rung string, reason string, ist_day date"
+    spark.createDataFrame(rows, schema).write.partitionBy("ist_day").parquet(str(tmp_path / "events"))
+    events, path = spark.read.schema(schema).parquet(str(tmp_path / "events")), str(tmp_path / "states")
+    assert occupancy.write_checkpoints(events, path, "2024-02-28") == ["2024-01-31"]
+    assert occupancy.write_checkpoints(events, path, "2024-03-31") == ["2024-02-29", "2024-03-31"]
+    assert occupancy.write_checkpoints(events, path, "2024-03-31") == []
+    assert occupancy.write_checkpoints(events, path, "2024-03-31", again_from="2024-02-10") == ["2024-02-29", "2024-03-31"]
+    for d in ("2024-01-04", "2024-01-20", "2024-02-29", "2024-03-12", "2024-04-10"):
+        whole = occupancy.last_events(events.filter(f"ist_day <= DATE '{d}'"))
+        states = occupancy.states_at(events, path, d)
+        assert sorted(map(tuple, states.collect())) == sorted(map(tuple, whole.collect()))
+    plan = occupancy.states_at(events, path, "2024-03-12")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*ist_day[^\]]*2024-02-29|PartitionFilters: \[[^\]]*ist_day[^\]]*19782", plan)
