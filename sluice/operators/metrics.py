@@ -131,10 +131,21 @@ def effort_entries(enriched: DataFrame) -> DataFrame:
 
 
 def deals_entered(enriched: DataFrame, d: str) -> DataFrame:
-    """By pipeline and rung: distinct deals, all and human, today and in 7 days."""
-    seen = enriched.filter(within(d, 6, 0))
-    pick = lambda cond: F.countDistinct(F.when(cond, F.col("deal_id")))
-    return seen.groupBy("pipeline_id", "rung").agg(pick(within(d, 0, 0)).alias("today"), pick(within(d, 0, 0) & F.col("is_human")).alias("today_human"), F.countDistinct("deal_id").alias("roll7"), pick(F.col("is_human")).alias("roll7_human"))
+    """funnel (a pipeline, or ALL), level (c rung, s native stage, r reason), key: distinct deals, all and human, today and in 7 days.
+
+    Each (deal, key) is brought together once, with what it counts for, before its two funnels and the keys are counted.
+    """
+    keys = F.array(*[F.struct(F.lit(level).alias("level"), F.col(c).alias("key")) for level, c in (("c", "rung"), ("s", "stage_id"), ("r", "reason"))])
+    seen = enriched.filter(within(d, 6, 0)).select("deal_id", "pipeline_id", "is_human", within(d, 0, 0).alias("_today"), F.explode(keys).alias("k")).filter("k.key IS NOT NULL")
+    funnels = seen.withColumn("funnel", F.explode(F.array(F.col("pipeline_id").cast("string"), F.lit("ALL"))))
+    once = funnels.groupBy("funnel", "k.level", "k.key", "deal_id").agg(F.max("_today").alias("today"), F.max(F.col("_today") & F.col("is_human")).alias("today_human"), F.max("is_human").alias("roll7_human"))
+    return once.groupBy("funnel", "level", "key").agg(F.count_if("today").alias("today"), F.count_if("today_human").alias("today_human"), F.count("*").alias("roll7"), F.count_if("roll7_human").alias("roll7_human"))
+
+
+def owner_stages(deals: DataFrame, d: str) -> DataFrame:
+    """snapshot_day, account_id, pipeline_id, owner, stage_id, deals: live deals by owner and stage, as of now, under day d; to be written in place of that day's (files.write_days)."""
+    keys = ("account_id", "pipeline_id", "owner", "stage_id")
+    return deals.filter(~F.col("is_archived")).groupBy(*keys).agg(F.count("*").alias("deals")).select(day(d).alias("snapshot_day"), *keys, "deals")
 
 
 def day_status(events: DataFrame, days: DataFrame, d: str, *, complete: bool = True, share: float = 0.05, lookback: int = 14) -> DataFrame:

@@ -173,6 +173,7 @@ def best_addresses(addresses: DataFrame, most: int = 4) -> DataFrame:
     return ranked.groupBy("site").agg(F.max(F.when(F.col("score") <= 1, F.col("email"))).alias("person"), F.array_join(F.transform(others, lambda x: x["email"]), ",").alias("others"))
 
 
+# How pages say how many people a company has.
 HEADCOUNTS = (r"team of (\d{2,4})", r"(\d{2,4})\+?\s*(?:employees|team members|people|professionals|engineers|experts)", r"over (\d{2,4})\s*(?:employees|team members)")
 
 

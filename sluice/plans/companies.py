@@ -213,6 +213,31 @@ def _(co):
     return gates.explain(gates.dedup_hits(*_leads(co), dict(TYPES)))
 
 
+# Deals, their companies and contacts, and leads with raw values of all five kinds.
+FIVE = {
+    "dl": "SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'p0' ELSE 'p1' END AS portal, o_orderkey AS deal, CASE WHEN o_orderkey % 2 = 0 THEN '  Unit  ' || o_custkey ELSE 'unit ' || o_custkey END AS name, CASE WHEN o_orderkey % 4 = 0 THEN 'HTTPS://www.d' || o_custkey || '.example/x' END AS domain, o_orderkey % 9 = 0 AS is_archived FROM {orders}",
+    "dc": "SELECT o_orderkey AS deal, CASE WHEN o_orderkey % 5 = 0 THEN 'e' || o_custkey || '.example' END AS domain, CASE WHEN o_orderkey % 7 = 0 THEN 'not a host' ELSE 'D' || (o_custkey + 1) || '.example' END AS other_domain FROM {orders} WHERE o_orderkey % 3 = 1",
+    "ct": "SELECT o_orderkey AS deal, CASE WHEN o_orderkey % 2 = 0 THEN ' A' || o_custkey || '@X.example' END AS email, CASE WHEN o_orderkey % 3 = 0 THEN 'https://x.example/in/P-' || o_custkey || '/' END AS linkedin, CASE WHEN o_orderkey % 4 = 1 THEN '098' || (10000000 + o_custkey) END AS phone, o_orderkey % 5 = 0 AS is_archived FROM {orders}",
+    "ld": "SELECT c_custkey AS lead, 'd' || c_custkey || '.example' AS domain, 'a' || (c_custkey + 2) || '@x.example' AS email, 'in/p-' || (c_custkey + 4) AS linkedin, '+9198' || (10000000 + c_custkey + 6) AS phone, 'UNIT ' || (c_custkey + 8) AS name FROM {customer} WHERE c_custkey % 10 = 0",
+}
+FIVE_SQL = f"""WITH {', '.join(f'{n} AS ({model.duck(t)})' for n, t in FIVE.items())},
+ix AS (SELECT portal, deal, 'name' AS kind, regexp_replace(lower(trim(name)), '\\s+', ' ', 'g') AS value FROM dl WHERE NOT is_archived UNION SELECT portal, deal, 'domain', regexp_extract(lower(domain), '(d[0-9]+\\.example)', 1) FROM dl WHERE NOT is_archived AND domain IS NOT NULL
+UNION SELECT portal, dl.deal, 'domain', dc.domain FROM dl JOIN dc ON dl.deal = dc.deal WHERE NOT is_archived AND dc.domain IS NOT NULL UNION SELECT portal, dl.deal, 'domain', lower(other_domain) FROM dl JOIN dc ON dl.deal = dc.deal WHERE NOT is_archived AND other_domain LIKE '%.example'
+UNION SELECT portal, dl.deal, 'email', lower(trim(email)) FROM dl JOIN ct ON dl.deal = ct.deal WHERE NOT dl.is_archived AND NOT ct.is_archived AND email IS NOT NULL UNION SELECT portal, dl.deal, 'linkedin', regexp_extract(lower(linkedin), '(in/p-[0-9]+)', 1) FROM dl JOIN ct ON dl.deal = ct.deal WHERE NOT dl.is_archived AND NOT ct.is_archived AND linkedin IS NOT NULL
+UNION SELECT portal, dl.deal, 'phone', '+91' || substr(phone, 2) FROM dl JOIN ct ON dl.deal = ct.deal WHERE NOT dl.is_archived AND NOT ct.is_archived AND phone IS NOT NULL),
+pr AS (SELECT lead, 'domain' AS kind, domain AS value FROM ld UNION ALL SELECT lead, 'email', email FROM ld UNION ALL SELECT lead, 'linkedin', linkedin FROM ld UNION ALL SELECT lead, 'phone', phone FROM ld UNION ALL SELECT lead, 'name', lower(name) FROM ld)
+SELECT lead, pr.kind, portal, deal FROM pr JOIN ix ON pr.kind = ix.kind AND pr.value = ix.value"""
+
+
+def _dedup_five(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deals, sites, people, leads = (model.derived(spark, sf_dir, t) for t in FIVE.values())
+    normal = leads.withColumns({"domain": norm.domain(F.col("domain")), "email": norm.email(F.col("email")), "linkedin": norm.linkedin_person(F.col("linkedin")), "phone": norm.phone_e164(F.col("phone")), "name": norm.company_name(F.col("name"))})
+    return gates.dedup_hits(normal, gates.deal_index(deals, sites, people), {k: k for k in ("domain", "email", "linkedin", "phone", "name")})
+
+
+QUERIES["dedup_leads_by_contact"], SQL["dedup_leads_by_contact"] = _dedup_five, FIVE_SQL
+
+
 BLOCKS = "bl AS (SELECT 'domain' AS kind, domain AS value, pk % 2 = 0 AS is_active, CASE WHEN pk % 10 = 0 THEN DATE '2024-01-01' END AS expires FROM co WHERE source = 'supp' AND domain IS NOT NULL)"
 
 

@@ -264,7 +264,7 @@ def _(w):
     return mt.effort_entries(w.x)
 
 
-@query("deals_entered", f"SELECT pipeline_id, rung, count(DISTINCT deal_id) FILTER ({IN1}) AS today, count(DISTINCT deal_id) FILTER ({IN1} AND is_human) AS today_human, count(DISTINCT deal_id) AS roll7, count(DISTINCT deal_id) FILTER (is_human) AS roll7_human FROM x WHERE {IN7} GROUP BY pipeline_id, rung")
+@query("deals_entered", f", k AS (SELECT deal_id, is_human, ist_day, unnest([CAST(pipeline_id AS VARCHAR), 'ALL']) AS funnel, rung, stage_id, reason FROM x WHERE {IN7}), l AS (SELECT *, 'c' AS level, rung AS key FROM k UNION ALL SELECT *, 's', stage_id FROM k UNION ALL SELECT *, 'r', reason FROM k WHERE reason IS NOT NULL) SELECT funnel, level, key, count(DISTINCT deal_id) FILTER ({IN1}) AS today, count(DISTINCT deal_id) FILTER ({IN1} AND is_human) AS today_human, count(DISTINCT deal_id) AS roll7, count(DISTINCT deal_id) FILTER (is_human) AS roll7_human FROM l GROUP BY ALL")
 def _(w):
     return mt.deals_entered(w.x, DAY)
 
@@ -316,10 +316,12 @@ def _(w):
     return home.unionByName(away).groupBy("pipeline_id", "stage_id").agg(F.count("*").alias("n"))
 
 
-@query("owner_stage_snapshot", f"SELECT actor, stage_id, count(*) AS deals FROM (SELECT *, row_number() OVER (PARTITION BY deal_id ORDER BY entered_at DESC, event_id DESC) AS r FROM e) WHERE r = 1 GROUP BY ALL")
+@query("owner_stage_snapshot", " SELECT q.day AS snapshot_day, account_id, pipeline_id, owner, stage_id, count(*) AS deals FROM d, (VALUES (DATE '2024-01-19', 0), (DATE '2024-01-20', 1)) AS q(day, odd) WHERE NOT is_archived AND deal_id % 2 = odd GROUP BY ALL")
 def _(w):
-    last = w.events.groupBy("deal_id").agg(F.max_by(F.struct("actor", "stage_id"), F.struct("entered_at", "event_id")).alias("s"))
-    return last.groupBy("s.actor", "s.stage_id").agg(F.count("*").alias("deals"))
+    path = scratch_path(w.spark, "owner-stages")
+    for d, deals in (("2024-01-19", w.deals.filter("deal_id % 2 = 0")), ("2024-01-20", w.deals), ("2024-01-20", w.deals.filter("deal_id % 2 = 1"))):  # a day that is taken again replaces itself
+        write_days(mt.owner_stages(deals, d), path, "snapshot_day")
+    return w.spark.read.parquet(path)
 
 
 @query("integrity", "SELECT account_id, max(entered_at) AS newest, date_diff('hour', max(entered_at), TIMESTAMP '2024-02-01 00:00:00') AS hours_ago, count(DISTINCT ist_day) AS days, count(*) FILTER (rung = 'UNMAPPED') AS unmapped FROM x GROUP BY account_id")

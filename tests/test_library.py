@@ -18,7 +18,7 @@ CASES = {
     "email": [(" A@B.com ", "a@b.com"), ("a@b", None), ("a b@c.de", None)],
     "company_name": [("  Acme   UNIT ", "acme unit"), ("  ", None)],
     "name_key": [("Zeta Labs Pvt. Ltd.", "zeta labs"), ("The Co", None), ("Café Ñandú Inc", "cafe nandu"), ("Zeta and Sons Incorporated", "zeta sons")],
-    "linkedin_company": [("https://in.x.com/company/7-Rivers-%C2%AE/?trk=x", "company/7-rivers-®"), ("x.com/in/someone", None), ("SCHOOL/abc", "school/abc"), ("x/company/", None)],
+    "linkedin_company": [("https://in.x.com/company/Blue-Sky-%C2%AE/?trk=x", "company/blue-sky-®"), ("x.com/in/someone", None), ("SCHOOL/abc", "school/abc"), ("x/company/", None)],
     "linkedin_person": [("https://www.x.com/in/Some-One/", "in/some-one"), ("https://x.com/company/a", None)],
     "object_id": [("0123", "123"), ("0", "0"), ("12a", None)],
     "cin": [("u12345 mh2020ptc123456", "U12345MH2020PTC123456"), ("short", None)],
