@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -183,5 +185,72 @@ def crosscheck(events: DataFrame, snapshot: DataFrame, cutoffs: list[int]) -> Da
     return found.select("ist_day", "old", F.coalesce("new", F.lit(0)).alias("new"), (F.coalesce("new", F.lit(0)) - F.col("old")).alias("delta"), "hypothesis")
 
 
-#: Metrics by name; a new one is an entry here.
-METRICS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (rung_entries, inception_curve, engaged, leads_assigned, occupancy_at, derived_rungs, dead_breakdown, owner_rows, daily_facts, effort_entries, deals_entered)}
+@dataclass(frozen=True)
+class Frames:
+    """What the metrics are worked out from: events, the same with their rungs, deals, deal_id and in_scope of the cohort, and the deaths that count as a held meeting."""
+
+    events: DataFrame
+    enriched: DataFrame
+    deals: DataFrame
+    cohort: DataFrame
+    held_reasons: tuple[str, ...]
+
+
+def _deals(rows: DataFrame, key: str = "rung") -> DataFrame:
+    return rows.groupBy(F.col(key).alias("key")).agg(F.countDistinct("deal_id").alias("value"))
+
+
+def _entries(rows: DataFrame, d: str) -> DataFrame:
+    """Entries of 7 days by rung, each (deal, actor, kind) once a day."""
+    return rows.filter(within(d, 6, 0)).groupBy(F.col("rung").alias("key")).agg(F.countDistinct(F.struct("deal_id", "actor", "is_human", "ist_day")).alias("value"))
+
+
+def _named(name: str, value: Column) -> Column:
+    return F.struct(F.lit(name).alias("key"), value.cast("long").alias("value"))
+
+
+def _on_day(rows: DataFrame, d: str, *columns: str) -> DataFrame:
+    """The columns' values of day d, by name, 0 if there is no row."""
+    one = rows.filter(F.col("ist_day") == day(d)).agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in columns])
+    return one.select(F.inline(F.array(*[_named(c, F.col(c)) for c in columns])))
+
+
+def _engaged(first: int) -> Callable[[Frames, str], DataFrame]:
+    return lambda f, d: f.events.filter(F.col("is_human") & within(d, first, 0)).agg(F.countDistinct("deal_id").alias("value")).select(F.lit("engaged").alias("key"), "value")
+
+
+def _derived(rung: str) -> Callable[[Frames, str], DataFrame]:
+    def of(f: Frames, d: str) -> DataFrame:
+        found = derived_rungs(f.enriched, f.held_reasons).filter((F.col("rung") == rung) & (F.col("evidence_day") <= day(d)))
+        return found.agg(F.count("*").alias("value")).select(F.lit(rung).alias("key"), "value")
+
+    return of
+
+
+def _seen(f: Frames, d: str) -> DataFrame:
+    return f.enriched.filter(F.col("ist_day") <= day(d))
+
+
+#: The metric dictionary: by name, (key, value) of a day over all funnels.
+METRICS: dict[str, Callable[[Frames, str], DataFrame]] = {
+    "stage_entries": lambda f, d: _entries(f.enriched, d),
+    "deals_entered": lambda f, d: _deals(f.enriched.filter(within(d, 6, 0))),
+    "inception": lambda f, d: _deals(_seen(f, d)),
+    "inception_in_scope": lambda f, d: _deals(_seen(f, d).join(f.cohort.filter("in_scope").select(F.col("deal_id").alias("_d")), F.col("deal_id") == F.col("_d"), "left_semi")),
+    "leads_assigned": lambda f, d: _on_day(leads_assigned(f.enriched), d, "sourced", "new_deals"),
+    "engaged_daily": _engaged(0),
+    "engaged_7d": _engaged(6),
+    "net_new_engaged": lambda f, d: _on_day(engaged(f.events, f.enriched), d, "net_new"),
+    "occupancy_now": lambda f, d: occupancy_at(f.enriched, f.deals, d).groupBy(F.col("state").alias("key")).agg(F.sum("deals").alias("value")),
+    "dead_by_reason": lambda f, d: dead_breakdown(f.enriched, f.deals, d).select(F.col("reason").alias("key"), F.col("now").alias("value")),
+    "meeting_held": _derived("MEETING_HELD"),
+    "evaluated": _derived("EVALUATED"),
+    "won_to_date": lambda f, d: _deals(_seen(f, d).filter("rung = 'WON'")),
+    "contracts_signed_7d": lambda f, d: _entries(f.enriched.filter("rung = 'CONTRACT' AND is_human"), d),
+}
+
+
+def metric_values(f: Frames, d: str, names: list[str] | None = None) -> DataFrame:
+    """metric, key, value of the dictionary's metrics, or of those that are named, at the end of day d."""
+    rows = [METRICS[n](f, d).select(F.lit(n).alias("metric"), "key", F.col("value").cast("long").alias("value")) for n in names or METRICS]
+    return reduce(DataFrame.unionByName, rows)

@@ -229,12 +229,15 @@ def _(w):
     return oc.occupancy_on(w.x, "", w.deals, live, DAY, DAY)
 
 
-@query("derived_rungs", """, o AS (SELECT *, row_number() OVER (PARTITION BY deal_id ORDER BY entered_at, event_id) AS i FROM x),
+DERIVED = """o AS (SELECT *, row_number() OVER (PARTITION BY deal_id ORDER BY entered_at, event_id) AS i FROM x),
 an AS (SELECT deal_id, min(i) FILTER (rung = 'MEETING_BOOKED') AS b, min(i) FILTER (rung = 'ASSET_RECEIVED') AS a, min(ist_day) FILTER (reason IN ('NO_SHOW', 'MEETING_CANCELLED')) AS bad FROM o GROUP BY deal_id),
 h AS (SELECT o.deal_id, min(o.i) AS i FROM o JOIN an ON o.deal_id = an.deal_id WHERE o.i > b AND ((rung NOT IN ('DEAD', 'UNMAPPED') AND depth >= 6) OR (rung = 'DEAD' AND depth_reached >= 5 AND reason IN ('REJECTED', 'NOT_INTERESTED', 'PRIVACY'))) GROUP BY o.deal_id),
-v AS (SELECT o.deal_id, min(o.i) AS i FROM o JOIN an ON o.deal_id = an.deal_id WHERE o.i > a AND ((rung NOT IN ('DEAD', 'UNMAPPED') AND depth >= 9) OR (rung = 'DEAD' AND depth_reached >= 8)) GROUP BY o.deal_id)
-SELECT h.deal_id, 'MEETING_HELD' AS rung, ob.ist_day AS credit_day, oe.ist_day AS evidence_day FROM h JOIN an ON h.deal_id = an.deal_id JOIN o ob ON ob.deal_id = h.deal_id AND ob.i = an.b JOIN o oe ON oe.deal_id = h.deal_id AND oe.i = h.i WHERE bad IS NULL OR bad > oe.ist_day
-UNION ALL SELECT v.deal_id, 'EVALUATED', oe.ist_day, oe.ist_day FROM v JOIN o oe ON oe.deal_id = v.deal_id AND oe.i = v.i""")
+v AS (SELECT o.deal_id, min(o.i) AS i FROM o JOIN an ON o.deal_id = an.deal_id WHERE o.i > a AND ((rung NOT IN ('DEAD', 'UNMAPPED') AND depth >= 9) OR (rung = 'DEAD' AND depth_reached >= 8)) GROUP BY o.deal_id),
+dr AS (SELECT h.deal_id, 'MEETING_HELD' AS rung, ob.ist_day AS credit_day, oe.ist_day AS evidence_day FROM h JOIN an ON h.deal_id = an.deal_id JOIN o ob ON ob.deal_id = h.deal_id AND ob.i = an.b JOIN o oe ON oe.deal_id = h.deal_id AND oe.i = h.i WHERE bad IS NULL OR bad > oe.ist_day
+UNION ALL SELECT v.deal_id, 'EVALUATED', oe.ist_day, oe.ist_day FROM v JOIN o oe ON oe.deal_id = v.deal_id AND oe.i = v.i)"""
+
+
+@query("derived_rungs", f", {DERIVED} SELECT * FROM dr")
 def _(w):
     return mt.derived_rungs(w.x, model.HELD_REASONS)
 
@@ -269,6 +272,25 @@ def _(w):
     return mt.deals_entered(w.x, DAY)
 
 
+@query("metric_values", f""", {OCC}, {COHORT}, {DERIVED}, hd AS (SELECT DISTINCT deal_id, ist_day FROM e WHERE is_human), hf AS (SELECT deal_id, min(ist_day) AS ist_day FROM hd GROUP BY deal_id), hb AS (SELECT deal_id, min(ist_day) AS bad_day FROM x WHERE reason = 'BAD_CONTACT' GROUP BY deal_id)
+SELECT 'stage_entries' AS metric, rung AS key, count(DISTINCT {ANY} || ist_day) AS value FROM x WHERE {IN7} GROUP BY rung
+UNION ALL SELECT 'deals_entered', rung, count(DISTINCT deal_id) FROM x WHERE {IN7} GROUP BY rung
+UNION ALL SELECT 'inception', rung, count(DISTINCT deal_id) FROM x WHERE ist_day <= DATE '{DAY}' GROUP BY rung
+UNION ALL SELECT 'inception_in_scope', rung, count(DISTINCT deal_id) FROM x WHERE ist_day <= DATE '{DAY}' AND deal_id IN (SELECT deal_id FROM co WHERE in_scope) GROUP BY rung
+UNION ALL SELECT 'leads_assigned', 'sourced', count(DISTINCT {ANY}) FROM x WHERE {IN1} AND rung = 'SOURCED'
+UNION ALL SELECT 'leads_assigned', 'new_deals', count(*) FROM (SELECT deal_id, min(ist_day) AS ist_day FROM e GROUP BY deal_id) WHERE {IN1}
+UNION ALL SELECT 'engaged_daily', 'engaged', count(*) FROM hd WHERE {IN1}
+UNION ALL SELECT 'engaged_7d', 'engaged', count(DISTINCT deal_id) FROM hd WHERE {IN7}
+UNION ALL SELECT 'net_new_engaged', 'net_new', count(*) FROM hf LEFT JOIN hb ON hf.deal_id = hb.deal_id WHERE {IN1} AND (bad_day IS NULL OR bad_day > ist_day)
+UNION ALL SELECT 'occupancy_now', state, CAST(sum(deals) AS BIGINT) FROM occ GROUP BY state
+UNION ALL SELECT 'dead_by_reason', r.reason, CAST(coalesce((SELECT sum(deals) FROM occ WHERE occ.reason = r.reason), 0) AS BIGINT) FROM (SELECT DISTINCT reason FROM x WHERE reason IS NOT NULL AND ist_day <= DATE '{DAY}') r
+UNION ALL SELECT CASE rung WHEN 'EVALUATED' THEN 'evaluated' ELSE 'meeting_held' END, rung, count(*) FROM dr WHERE evidence_day <= DATE '{DAY}' GROUP BY rung
+UNION ALL SELECT 'won_to_date', rung, count(DISTINCT deal_id) FROM x WHERE ist_day <= DATE '{DAY}' AND rung = 'WON' GROUP BY rung
+UNION ALL SELECT 'contracts_signed_7d', rung, count(DISTINCT {ANY} || ist_day) FROM x WHERE {IN7} AND rung = 'CONTRACT' AND is_human GROUP BY rung""")
+def _(w):
+    return mt.metric_values(mt.Frames(w.events, w.x, w.deals, ev.cohort(w.events, w.deals, "2024-01-03", "2024-01-05"), model.HELD_REASONS), DAY)
+
+
 @query("day_status", f", {CAL}, t AS (SELECT cal.ist_day, count(e.event_id) AS total FROM cal LEFT JOIN e ON cal.ist_day = e.ist_day GROUP BY cal.ist_day), b AS (SELECT coalesce(quantile_cont(total, 0.5), 0) AS base FROM t WHERE isodow(ist_day) < 6 AND total > 0 AND ist_day BETWEEN DATE '{DAY}' - 14 AND DATE '{DAY}' - 1) SELECT ist_day, total, CASE WHEN ist_day = DATE '{DAY}' THEN 'partial' WHEN isodow(ist_day) >= 6 THEN CASE WHEN total = 0 THEN 'weekend' ELSE 'ok' END WHEN base > 0 AND total < 0.05 * base THEN 'gap' ELSE 'ok' END AS status FROM t, b")
 def _(w):
     return mt.day_status(w.events, w.days, DAY, complete=False)
