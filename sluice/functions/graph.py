@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, MapType, StructType
 
 from sluice.functions.staging import staged
 
-#: A key is hot if more than 1/HOT of the rows have it, so there are fewer than HOT of them.
-HOT = 128
+#: A key is hot if it has more than 1/HOT_LEAST of the rows, or more than a shuffle task's share of them if there are more tasks.
+HOT_LEAST = 128
+#: Keys that an expression looks up.
+LOOKED_UP = 128
+
+
+def hot_share(spark: SparkSession) -> int:
+    """How many shares the rows are cut into: a key with more than one is hot, so there are fewer hot keys than that."""
+    return max(HOT_LEAST, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """_hot: the keys that more than 1/HOT of the rows have, and the most frequent one whatever its share; HOT at most, counted with partial sums."""
+    """_hot: the keys with more than a share (hot_share) of the rows, counted with partial sums."""
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    bounds = counts.agg((F.sum("_n") / F.lit(HOT)).alias("_least"), F.max(F.struct("_n", key)).alias("_top"))
-    hot = (F.col("_n") > F.col("_least")) | (F.col(key) == F.col(f"_top.{key}"))
-    return counts.join(F.broadcast(bounds)).filter(hot).select(F.col(key).alias("_hot"))
+    bound = counts.agg((F.sum("_n") / F.lit(hot_share(rows.sparkSession))).alias("_least"))
+    return counts.join(F.broadcast(bound)).filter(F.col("_n") > F.col("_least")).select(F.col(key).alias("_hot"))
 
 
 def _literal(value, of: DataType) -> Column:
@@ -26,25 +32,29 @@ def _literal(value, of: DataType) -> Column:
     return F.lit(value).cast(of)
 
 
+def _looked_up(rows: DataFrame, key: str, found: list, schema: StructType) -> DataFrame:
+    """rows with _is, whether their key is one of those found, and _known, its value: by an expression for up to LOOKED_UP keys, else by a broadcast of them."""
+    if len(found) > LOOKED_UP:
+        known = F.broadcast(rows.sparkSession.createDataFrame(found, schema).select(F.col("_at").alias("_key"), F.col("_value").alias("_known"), F.lit(True).alias("_is")))
+        return rows.join(known, rows[key] == known["_key"], "left").select(*[rows[c] for c in rows.columns], F.coalesce("_is", F.lit(False)).alias("_is"), "_known")
+    key_type, of = schema["_at"].dataType, schema["_value"].dataType
+    known = F.create_map(*[x for r in found for x in (_literal(r["_at"], key_type), _literal(r["_value"], of))]) if found else F.lit(None).cast(MapType(key_type, of))
+    return rows.select("*", F.coalesce(F.map_contains_key(known, F.col(key)), F.lit(False)).alias("_is"), F.try_element_at(known, F.col(key)).alias("_known"))
+
+
 def spread_join(rows: DataFrame, key: str, table: DataFrame, at: str, value: str, hot: DataFrame, name: str) -> DataFrame:
     """rows with `name`, the `value` of the row of `table` whose `at` is their key, null if there is none; `at` is unique.
 
-    The values of hot keys, fewer than HOT rows, are looked up on the driver and stand in the plan; the rest meet by a
-    shuffle, in which rows of hot keys are dealt by all their columns. So no task gets more than its share of the rows,
-    whatever the keys are.
+    The values of hot keys, fewer than hot_share, are looked up once and given to every task; the rest meet by a shuffle, in
+    which rows of hot keys are dealt by all their columns. So what a task gets beyond its even part is at most a share of the rows.
     """
     t = table.select(F.col(at).alias("_at"), F.col(value).alias("_value"))
-    found = t.join(F.broadcast(hot), t["_at"] == hot["_hot"]).select("_at", "_value").collect()  # fewer than HOT
-    if not found:
-        met = rows.join(t, rows[key] == t["_at"], "left")
-        return met.select(*[rows[c] for c in rows.columns], F.col("_value").alias(name))
-    of, key_type = t.schema["_value"].dataType, t.schema["_at"].dataType
-    known = F.create_map(*[x for r in found for x in (_literal(r["_at"], key_type), _literal(r["_value"], of))])
-    marked = rows.withColumn("_is", F.coalesce(F.map_contains_key(known, F.col(key)), F.lit(False)))
+    found = t.join(F.broadcast(hot), t["_at"] == hot["_hot"]).select("_at", "_value").collect()  # fewer than hot_share
+    marked = _looked_up(rows, key, found, t.schema)
     marked = marked.withColumn("_deal", F.when(F.col("_is"), F.xxhash64(*rows.columns)).otherwise(F.xxhash64(key)))
-    t = t.select("_at", "_value", F.xxhash64("_at").alias("_place"), F.lit(False).alias("_cold"))
-    met = marked.join(t, (marked["_deal"] == t["_place"]) & (marked["_is"] == t["_cold"]) & (marked[key] == t["_at"]), "left")
-    return met.select(*[marked[c] for c in rows.columns], F.when(F.col("_is"), F.try_element_at(known, F.col(key))).otherwise(F.col("_value")).alias(name))
+    t = t.select("_at", "_value", F.xxhash64("_at").alias("_place"))
+    met = marked.join(t, (marked["_deal"] == t["_place"]) & (marked[key] == t["_at"]), "left")
+    return met.select(*[marked[c] for c in rows.columns], F.when(F.col("_is"), F.col("_known")).otherwise(F.col("_value")).alias(name))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -25,9 +25,10 @@ def brute_components(edges):
     return {x: find(x) for x in list(root)}
 
 
-@pytest.mark.parametrize("hot", [1, 4, 128])
-def test_components(spark, monkeypatch, hot):
-    monkeypatch.setattr(graph, "HOT", hot)
+@pytest.mark.parametrize(("hot", "looked_up"), [(1, 128), (4, 128), (1000, 128), (4, 0)])
+def test_components(spark, monkeypatch, hot, looked_up):
+    monkeypatch.setattr(graph, "hot_share", lambda _: hot)
+    monkeypatch.setattr(graph, "LOOKED_UP", looked_up)
     rng = random.Random(2)
     edges = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 140)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(90)] + [(5, 5), (-3, 100)]
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
