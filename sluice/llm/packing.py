@@ -14,8 +14,10 @@ from sluice.llm import common, tokens
 
 #: Dimensions of a hashed vector, of its projection, and bits of each projected coordinate.
 HASHED, DIMS, BITS = 256, 3, 16
-#: Bytes of text in a part, and parts at most: a larger input has larger parts, which are sorted on disk and packed as a stream.
+#: Bytes of text in a part, and parts at most unless `most_parts` says otherwise: a larger input has larger parts, which are sorted on disk and packed as a stream.
 PART_BYTES, MOST_PARTS = 24 << 20, 16_384
+#: Texts in an Arrow batch, and pieces whose ids an encoder remembers.
+BATCH_ROWS, MEMO = 500, 100_000
 #: Sampled places a part, where its borders are looked for.
 SAMPLES = 64
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -96,8 +98,8 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(at), batch.column("hits")], ["place", "hits"])
 
 
-def part_borders(rows: DataFrame, part_bytes: int = PART_BYTES) -> list[int]:
-    """Places on the curve that cut rows (doc_id, tie, text) into parts of about equal bytes of text, one fewer than there are parts.
+def part_borders(rows: DataFrame, part_bytes: int = PART_BYTES, most_parts: int = MOST_PARTS) -> list[int]:
+    """Places on the curve that cut rows (doc_id, tie, text) into parts of about equal bytes of text, part_bytes or what most_parts of them make, one fewer than there are parts.
 
     A text is hit once in every part_bytes / SAMPLES bytes on average, decided by its hash, and only texts that are hit have
     their place worked out; quantiles of the hits' places are the borders. So a part of long texts has few of them. The
@@ -105,7 +107,7 @@ def part_borders(rows: DataFrame, part_bytes: int = PART_BYTES) -> list[int]:
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
     total = rows.agg(F.sum(size.cast("long"))).first()[0] or 0
-    parts = min(MOST_PARTS, -(-total // part_bytes))
+    parts = min(most_parts, -(-total // part_bytes))
     if parts <= 1:
         return []
     hits = F.floor(size * F.lit(SAMPLES * parts / total) + F.pmod(F.col("tie"), F.lit(1_000_003)) / F.lit(1_000_003.0)).cast("int")
@@ -119,7 +121,7 @@ def _packing(file: str, end_id: int, length: int) -> Callable[[Iterator[pa.Recor
     names = [x.split()[0] for x in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, first, filled = tokens.encoder(file, False), TaskContext.get().partitionId() << 40, 0  # filled: ids so far in this part
+        encode, first, filled = tokens.encoder(file, False, memo=MEMO), TaskContext.get().partitionId() << 40, 0  # filled: ids so far in this part
         for batch in batches:
             ids, bounds = encode(batch.column("text"), end_id)
             if not len(ids):
@@ -139,7 +141,7 @@ def _packing(file: str, end_id: int, length: int) -> Callable[[Iterator[pa.Recor
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 1024, part_bytes: int = PART_BYTES) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 1024, part_bytes: int = PART_BYTES, most_parts: int = MOST_PARTS) -> DataFrame:
     """Pieces of documents in sequences of `length` ids: doc_id, start, length, ids (unsigned 32-bit, little endian), doc_tokens, sequence_id, offset.
 
     Documents are range-parted by the Hilbert key of their projected vectors into parts of about part_bytes of text
@@ -152,7 +154,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 1024, part_
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["doc_id"], docs["text"]).alias("tie"), docs["text"].alias("text"))
     with common.small_batches(docs.sparkSession):
-        borders = part_borders(rows, part_bytes)
+        borders = part_borders(rows, part_bytes, most_parts)
     keyed = rows.mapInArrow(_keyed(borders), "doc_id long, tie long, text string, place long, part int")
     ranged = keyed.repartitionById(len(borders) + 1, "part").sortWithinPartitions("place", "tie", "doc_id").select("doc_id", "text")
     return ranged.mapInArrow(_packing(tokenizer, end_id, length), PIECES)
@@ -162,7 +164,7 @@ def packed_pieces(docs: DataFrame) -> DataFrame:
     """`pack` with byte_bpe_50k.json and end id 0, the ids of each piece as their checksum."""
     import public_tokenizers
 
-    with common.small_batches(docs.sparkSession):
+    with common.small_batches(docs.sparkSession, BATCH_ROWS):
         pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 0)
         return common.staged(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"), "pieces")
 

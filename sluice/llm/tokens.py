@@ -33,7 +33,7 @@ class Encoder:
     library's default; with `escape` they are ordinary text, so that a text can't inject them.
     """
 
-    def __init__(self, file: str, words: bool, escape: bool = False):
+    def __init__(self, file: str, words: bool, escape: bool = False, memo: int = MOST):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -43,7 +43,7 @@ class Encoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (escape and t.special)]
         self.added = "|".join(map(re.escape, sorted(added)))
         self._added = re.compile(self.added, re.IGNORECASE).search
-        self.words = words
+        self.words, self.memo = words, memo
         self.new: dict[str, np.ndarray] = {}
         self.old: dict[str, np.ndarray] = {}
 
@@ -53,7 +53,7 @@ class Encoder:
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces; those that weren't used since the memo last filled up are forgotten."""
-        if len(self.new) > MOST:
+        if len(self.new) > self.memo:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
         unseen: dict[str, None] = {}
@@ -147,12 +147,12 @@ class Encoder:
         return np.insert(ids, bounds[1:], np.uint32(end_id)), bounds + np.arange(len(bounds))
 
 
-_encoders: dict[tuple[str, bool, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, bool, int], Encoder] = {}
 
 
-def encoder(file: str, words: bool, escape: bool = False) -> Encoder:
+def encoder(file: str, words: bool, escape: bool = False, memo: int = MOST) -> Encoder:
     """One for each Python worker."""
-    key = (file, words, escape)
+    key = (file, words, escape, memo)
     if key not in _encoders:
         _encoders[key] = Encoder(*key)
     return _encoders[key]
