@@ -18,8 +18,8 @@ MAX_HOST_RATE, DEVIATIONS = 0.8, 3.0
 def with_features(docs: DataFrame, text: Column) -> DataFrame:
     """docs with the columns of FEATURES and base_failed, each computed inside the row with array functions.
 
-    n_repeat_words: the hashes of all 3-word windows are compared as a set first; only where one comes twice are the windows
-    sorted, by hash and then by their words, with their places, so that equal ones stand side by side, and each repeated
+    n_repeat_words: the hashes of all 3-word windows are compared as a set first; only where one comes twice are they
+    sorted with their places, and the windows whose hash comes again are spelt and sorted by hash and words, so that equal ones stand side by side, and each repeated
     window adds the words that the repeated window before it doesn't have. Hashes only spare work: windows are equal if their
     words are. A null text gives null features but for a coalesced `text`; a text of any length is one row's arrays.
     """
@@ -32,8 +32,12 @@ def with_features(docs: DataFrame, text: Column) -> DataFrame:
     rows = rows.withColumn("_windows", F.when(last >= 0, windows).otherwise(F.array().cast("array<bigint>")))
     word = lambda i, k: F.get(F.col("_words"), i + k)
     spelt = lambda i: F.concat_ws(" ", word(i, 0), word(i, 1), word(i, 2))
-    paired = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("x"), spelt(i).alias("w"), i.alias("i"))))
-    rows = rows.withColumn("_sorted", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), paired))
+    # by hash and place first, so that only windows whose hash comes again are spelt
+    numbered = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    rows = rows.withColumn("_numbered", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), numbered))
+    next_to = lambda j: F.get(F.col("_numbered"), j)["x"]
+    again = F.filter("_numbered", lambda e, j: F.coalesce(next_to(j - 1) == e["x"], F.lit(False)) | F.coalesce(next_to(j + 1) == e["x"], F.lit(False)))
+    rows = rows.withColumn("_sorted", F.sort_array(F.transform(again, lambda e: F.struct(e["x"].alias("x"), spelt(e["i"]).alias("w"), e["i"].alias("i")))))
     beside = lambda j: F.get(F.col("_sorted"), j)["w"]
     again = F.filter("_sorted", lambda e, j: F.coalesce(beside(j - 1) == e["w"], F.lit(False)) | F.coalesce(beside(j + 1) == e["w"], F.lit(False)))
     rows = rows.withColumn("_places", F.sort_array(F.transform(again, lambda e: e["i"])))
@@ -51,7 +55,7 @@ def with_features(docs: DataFrame, text: Column) -> DataFrame:
         }
     )
     rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    return rows.drop("_text", "_words", "_hashes", "_windows", "_sorted", "_places", "_lines")
+    return rows.drop("_text", "_words", "_hashes", "_windows", "_numbered", "_sorted", "_places", "_lines")
 
 
 def host_rates(rows: DataFrame) -> DataFrame:
