@@ -38,7 +38,7 @@ def _looked_up(rows: DataFrame, key: str, found: list, schema: StructType) -> Da
         known = F.broadcast(rows.sparkSession.createDataFrame(found, schema).select(F.col("_at").alias("_key"), F.col("_value").alias("_known"), F.lit(True).alias("_is")))
         return rows.join(known, rows[key] == known["_key"], "left").select(*[rows[c] for c in rows.columns], F.coalesce("_is", F.lit(False)).alias("_is"), "_known")
     key_type, of = schema["_at"].dataType, schema["_value"].dataType
-    known = F.create_map(*[x for r in found for x in (_literal(r["_at"], key_type), _literal(r["_value"], of))]) if found else F.lit(None).cast(MapType(key_type, of))
+    known = F.create_map(*[x for r in found for x in (_literal(r["_at"], key_type), _literal(r["_value"], of))]).cast(MapType(key_type, of))
     return rows.select("*", F.coalesce(F.map_contains_key(known, F.col(key)), F.lit(False)).alias("_is"), F.try_element_at(known, F.col(key)).alias("_known"))
 
 
