@@ -88,7 +88,7 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, sa
     clashes = common.staged(clashes, "dedup-clashes")
 
     total = state.agg(F.sum("n")).first()[0] or 0
-    hot = state.filter(F.col("n") * graph.HOT > total).select(F.col("digest").alias("_hot"))
+    hot = state.filter(F.col("n") * graph.hot_share(spark) > total).select(F.col("digest").alias("_hot"))
     groups = state.select(F.col("digest").alias("at"), F.struct("keep", "n").alias("group"))
     if clashes.isEmpty():
         return _decided(graph.spread_join(arrivals, "digest", groups, "at", "group", hot, "group").select("*", "group.*"))

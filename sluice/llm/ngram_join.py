@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.graph import HOT, components, hot_keys, spread_join
+from sluice.functions.graph import components, hot_keys, hot_share, spread_join
 from sluice.llm import common
 from sluice.llm.shingles import mixed, shingle_sets
 
@@ -22,7 +22,7 @@ SKETCH = 64
 LIMIT, MAX_DEPTH, DEEP, DENSE = 64, 3, 5, 0.6
 #: Sets of a dense cluster that are compared at once, against each other or another block, and their bytes.
 BLOCK, BLOCK_BYTES = 512, 4 << 20
-TARGET_RECALL = 0.99
+TARGET_RECALL = 0.999
 #: Pairs that agree in fewer coordinates than 5 standard deviations below the threshold aren't looked at further.
 SIGMAS = 5
 
@@ -174,8 +174,11 @@ def _buckets(sets: DataFrame, threshold: float, recall: float) -> tuple[list[Dat
         if large is None:
             return small, None
         if depth < MAX_DEPTH:
-            near = large.join(sets.select(F.col("node").alias("_n"), "sketch"), large["node"] == F.col("_n"))
-            level = near.select(_step(F.col("path"), depth).alias("path"), "node", F.col("n").alias("parent"))
+            # a set's paths together, so that its sketch is brought once and not once a run
+            own = large.groupBy("node").agg(F.collect_list(F.struct("path", "n")).alias("_paths"))
+            near = own.join(sets.select(F.col("node").alias("_n"), "sketch"), own["node"] == F.col("_n"))
+            level = near.select("node", "sketch", F.explode("_paths").alias("_p"))
+            level = level.select(_step(F.col("_p.path"), depth).alias("path"), "node", F.col("_p.n").alias("parent"))
     # a bucket that its last split left nearly whole is dense: its sets share most tokens, and more splits would part what is linked
     dense = large.filter(F.col("n") >= DENSE * F.coalesce("parent", "n")).select("path", "node", "n")
     sparse = large.filter(F.col("n") < DENSE * F.coalesce("parent", "n"))
@@ -291,7 +294,7 @@ def _labelled(docs: DataFrame, threshold: float = 0.8, recall: float = TARGET_RE
     known = spread_join(known, "label", classes, "label", "class_id", hot_keys(known, "label"), "class_id")
     known = known.select("digest", F.struct("label", "class_id", "n_links").alias("of"))
     total = coded.count()
-    hot = sets.filter(F.col("copies") * HOT > total).select(F.col("digest").alias("_hot"))
+    hot = sets.filter(F.col("copies") * hot_share(docs.sparkSession) > total).select(F.col("digest").alias("_hot"))
     joined = spread_join(coded.drop("sketch"), "digest", known, "digest", "of", hot, "of")
     class_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("of.class_id"))
     return joined.select("_file", "_row", "doc_id", class_id.alias("class_id"), F.coalesce("of.n_links", F.lit(0)).cast("long").alias("n_links"), "of.label")
