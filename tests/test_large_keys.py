@@ -11,7 +11,7 @@ DATA = "/root/testdata/sf0.001"
 TABLES = {"customer": "c_custkey", "orders": "o_custkey", "part": "p_partkey", "lineitem": "l_suppkey"}
 
 
-@pytest.mark.parametrize("name", ["directory_keys", "radar_unmatched"])
+@pytest.mark.parametrize("name", ["directory_keys", "radar_unmatched", "resolver_keys"])
 def test_ids_of_large_keys(name, spark, tmp_path):
     con = duckdb.connect()
     for table, key in TABLES.items():
