@@ -27,3 +27,24 @@ def test_hits_by_slices(seed, spark, monkeypatch):
     monkeypatch.setattr(gates, "SLICE", 4)
     leads, index, met = some(spark, seed)
     assert sorted(map(tuple, gates.dedup_hits(leads, index, KINDS).collect())) == sorted(met)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_hits_are_explained_from_counts(seed, spark):
+    leads, index, met = some(spark, seed)
+    want = {}
+    for lead, kind, portal, deal in met:
+        want.setdefault(lead, []).append(f"{portal}:{kind}:{deal}")
+    got = {r.lead: (r.hits, r.why) for r in gates.dedup_explain(leads, index, KINDS).collect()}
+    assert got == {lead: (len(w), " ".join(sorted(w)[:3])) for lead, w in want.items()}
+    assert sorted(r.lead for r in gates.met_leads(leads, index, KINDS).collect()) == sorted(want)
+
+
+def made(*_):
+    raise AssertionError("pairs of leads and deals are made")
+
+
+@pytest.mark.parametrize("name", ["dedup_explain"])
+def test_no_pairs_are_made(name, spark, monkeypatch):
+    monkeypatch.setattr(gates, "dedup_hits", made)
+    assert registered()[0][name](spark, DATA).count() > 0
