@@ -44,7 +44,7 @@ def made(*_):
     raise AssertionError("pairs of leads and deals are made")
 
 
-@pytest.mark.parametrize("name", ["dedup_explain", "campaign_chain", "push_plan"])
+@pytest.mark.parametrize("name", ["dedup_explain", "campaign_chain", "push_plan", "move_plan"])
 def test_no_pairs_are_made(name, spark, monkeypatch):
     monkeypatch.setattr(gates, "dedup_hits", made)
     assert registered()[0][name](spark, DATA).count() > 0
