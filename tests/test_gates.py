@@ -48,3 +48,11 @@ def made(*_):
 def test_no_pairs_are_made(name, spark, monkeypatch):
     monkeypatch.setattr(gates, "dedup_hits", made)
     assert registered()[0][name](spark, DATA).count() > 0
+
+
+@pytest.mark.parametrize("name", ["company_golden"])
+def test_companies_are_derived_by_many_tasks(name, spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(companies.norm, "applied", lambda raw, rules, plain=companies.norm.applied: seen.append(raw.rdd.getNumPartitions()) or plain(raw, rules))
+    assert registered()[0][name](spark, DATA).count() > 0
+    assert seen == [4]
