@@ -50,7 +50,7 @@ def test_no_pairs_are_made(name, spark, monkeypatch):
     assert registered()[0][name](spark, DATA).count() > 0
 
 
-@pytest.mark.parametrize("name", ["company_golden"])
+@pytest.mark.parametrize("name", ["company_golden", "merge_pointer_problems"])
 def test_companies_are_derived_by_many_tasks(name, spark, monkeypatch):
     seen = []
     monkeypatch.setattr(companies.norm, "applied", lambda raw, rules, plain=companies.norm.applied: seen.append(raw.rdd.getNumPartitions()) or plain(raw, rules))
