@@ -56,3 +56,12 @@ def test_companies_are_derived_by_many_tasks(name, spark, monkeypatch):
     monkeypatch.setattr(companies.norm, "applied", lambda raw, rules, plain=companies.norm.applied: seen.append(raw.rdd.getNumPartitions()) or plain(raw, rules))
     assert registered()[0][name](spark, DATA).count() > 0
     assert seen == [4]
+
+
+@pytest.mark.parametrize("name", ["campaign_gate"])
+def test_leads_are_derived_once(name, spark, monkeypatch):
+    seen = []
+    for module in (companies, ranks):
+        monkeypatch.setattr(module, "staged", lambda df, *a, plain=module.staged: seen.append(len(df.columns)) or plain(df, *a))
+    assert registered()[0][name](spark, DATA).count() > 0
+    assert seen in ([4], [3])
