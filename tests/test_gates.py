@@ -58,7 +58,7 @@ def test_companies_are_derived_by_many_tasks(name, spark, monkeypatch):
     assert seen == [4]
 
 
-@pytest.mark.parametrize("name", ["campaign_gate"])
+@pytest.mark.parametrize("name", ["campaign_gate", "round_robin_assignment"])
 def test_leads_are_derived_once(name, spark, monkeypatch):
     seen = []
     for module in (companies, ranks):
