@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from sluice.functions.staging import staged
+
 
 def actor_owners(users: DataFrame) -> DataFrame:
     """account, user_id, owner_id: a user's owner; where there is none the equal id, but only in accounts in which all known pairs are equal."""
@@ -94,13 +96,40 @@ def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-def accept_names(left: DataFrame, right: DataFrame, block: str, least: float = 0.55) -> DataFrame:
-    """left_id, right_id, similarity of names in the same block that are alike enough.
+def alike(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """_l, _r, similarity of the names (block, name) that meet in a block and are alike enough; each pair of names is compared once, whatever blocks it meets in.
 
     Two names share at most as many characters as the shorter one has, so pairs whose lengths alone keep them below `least`
-    don't leave the JVM; the others are compared in Arrow batches. Blocks are the caller's bound on the pairs.
+    don't leave the JVM; the others are compared in Arrow batches.
     """
-    pairs = left.select(block, F.col("id").alias("left_id"), F.col("name").alias("_l")).join(right.select(block, F.col("id").alias("right_id"), F.col("name").alias("_r")), block)
+    pairs = left.select("block", F.col("name").alias("_l")).distinct().join(right.select("block", F.col("name").alias("_r")).distinct(), "block").select("_l", "_r").distinct()
     short, long = F.least(F.length("_l"), F.length("_r")), F.greatest(F.length("_l"), F.length("_r"))
     pairs = pairs.filter((2 * short >= least * (short + long)) | F.contains("_l", F.col("_r")) | F.contains("_r", F.col("_l")))
-    return pairs.withColumn("similarity", name_similarity("_l", "_r")).filter(F.col("similarity") >= least).select("left_id", "right_id", "similarity")
+    return pairs.withColumn("similarity", name_similarity("_l", "_r")).filter(F.col("similarity") >= least)
+
+
+def accept_names(left: DataFrame, right: DataFrame, block: str, least: float = 0.55) -> DataFrame:
+    """left_id, right_id, similarity of names in the same block that are alike enough. Blocks are the caller's bound on the pairs; name_links has them by classes of copies."""
+    a, b = left.withColumnRenamed(block, "block"), right.withColumnRenamed(block, "block")
+    met = a.select("block", F.col("id").alias("left_id"), F.col("name").alias("_l")).join(alike(a, b, least), "_l")
+    return met.join(b.select("block", F.col("id").alias("right_id"), F.col("name").alias("_r")), ["block", "_r"]).select("left_id", "right_id", "similarity")
+
+
+def name_links(left: DataFrame, right: DataFrame, least: float = 0.55) -> DataFrame:
+    """kind, a, b, similarity, links of the same pairs without expanding copies: rows of one side with the same block and name are a class, named by their least id.
+
+    A row `left` or `right` for each row of that side: its id, its class and the number of rows that it is linked with. A row
+    `pair` for each pair of linked classes: the left one, the right one, their similarity, and the pairs of rows that it stands for.
+    """
+    classes = lambda df, side: df.groupBy("block", F.col("name").alias(f"_{side}")).agg(F.min("id").alias(f"_{side}_class"), F.count("*").alias(f"_{side}_rows"))
+    a, b = classes(left, "l"), classes(right, "r")
+    pairs = staged(a.join(alike(left, right, least), "_l").join(b, ["block", "_r"]).select("block", "_l", "_r", "_l_class", "_r_class", "_l_rows", "_r_rows", "similarity"), "name-pairs")
+
+    def members(df: DataFrame, kind: str, own: DataFrame, side: str, other: str) -> DataFrame:
+        links = pairs.groupBy(F.col(f"_{side}_class").alias("_c")).agg(F.sum(f"_{other}_rows").alias("links"))
+        named = own.join(links, own[f"_{side}_class"] == links["_c"], "left").select(F.col("block").alias("_b"), F.col(f"_{side}").alias("_n"), F.col(f"_{side}_class").alias("b"), F.coalesce("links", F.lit(0)).alias("links"))
+        met = df.join(named, df["block"].eqNullSafe(named["_b"]) & df["name"].eqNullSafe(named["_n"]))
+        return met.select(F.lit(kind).alias("kind"), F.col("id").alias("a"), "b", F.lit(None).cast("double").alias("similarity"), "links")
+
+    found = pairs.select(F.lit("pair").alias("kind"), F.col("_l_class").alias("a"), F.col("_r_class").alias("b"), "similarity", (F.col("_l_rows") * F.col("_r_rows")).alias("links"))
+    return members(left, "left", a, "l", "r").unionByName(members(right, "right", b, "r", "l")).unionByName(found)
