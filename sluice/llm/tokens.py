@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,10 @@ WIDE_SPACE = ODD_SPACE + r"|[ \t-\r] | [ \t-\r]|^ | $"
 _CHUNK = re.compile(r"\s*\S+|\s+", re.ASCII)
 #: Marks that may follow a word.
 _TAIL = ".,;:!?"
+#: A word of Latin letters that are composed and have one lower case, and marks after it.
+_WORD = re.compile(r"([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]+)([!-/:-@\[-`{-~]*)").fullmatch
+#: How vocabularies of bytes spell those bytes that aren't spelt by the character of their number.
+_SPELT = {b: chr(256 + i) for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 #: Texts that are encoded at once.
 ROWS = 2500
 #: Pieces of up to LONGEST characters are remembered: the last MOST or more, and those before them.
@@ -51,10 +56,46 @@ class Encoder:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encode(pieces, add_special_tokens=False)]
 
+    def _word_ids(self, pieces: list[str]) -> list[bytes]:
+        """_ids with `words`: a Latin word is one match in lower case, so the library's model gets it straight away, and marks after it start a match of their own."""
+        new, old, merge, added = self.new, self.old, self.tokenizer.model.tokenize, self.added and self._added
+
+        def known(part: str, word: bool) -> bytes:
+            if (ids := new.get(part)) is None:
+                if (ids := old.get(part)) is None:
+                    spelt = part if part.isascii() else part.encode().decode("latin-1").translate(_SPELT)
+                    ids = array("I", [t.id for t in merge(spelt)]).tobytes() if word else self._encode([part])[0]
+                if len(part) <= LONGEST:
+                    new[part] = ids
+            return ids
+
+        found: list[bytes | None] = []
+        rest: dict[str, bytes] = {}
+        for p in pieces:
+            ids = new.get(p)
+            if ids is None:
+                if (m := _WORD(p)) and not (added and added(p)):
+                    ids = known(m[1].lower(), True)
+                    if m[2]:
+                        ids += known(m[2], False)
+                elif (ids := old.get(p)) is not None:
+                    new[p] = ids
+                else:
+                    rest[p] = b""
+            found.append(ids)
+        order = list(rest)
+        for k in range(0, len(order), 10_000):
+            some = order[k : k + 10_000]
+            rest.update(zip(some, self._encode(some), strict=True))
+        new.update((p, ids) for p, ids in rest.items() if len(p) <= LONGEST)
+        return [rest[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)] if rest else found
+
     def _ids(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces; those that weren't used since the memo last filled up are forgotten."""
         if len(self.new) > self.memo:
             self.old, self.new = self.new, {}
+        if self.words:
+            return self._word_ids(pieces)
         new, old = self.new, self.old
         unseen: dict[str, None] = {}
         whole: list[tuple[str, str, str]] = []
@@ -65,11 +106,11 @@ class Encoder:
                 new[p] = old[p]
                 continue
             stem = p.rstrip(_TAIL)
-            if stem and stem[-1].isalpha() and (len(stem) < len(p) or self.words) and not (self.added and self._added(p)) and (folded := stem.lower() if self.words and stem.isascii() else stem) != p:
+            if stem and stem[-1].isalpha() and len(stem) < len(p) and not (self.added and self._added(p)):
                 # a mark after a letter starts a match of its own, so the ids are those of the parts
                 tail = p[len(stem) :]
-                whole.append((p, folded, tail))
-                for part in (folded, tail):
+                whole.append((p, stem, tail))
+                for part in (stem, tail):
                     if part not in new:
                         if part in old:
                             new[part] = old[part]
