@@ -29,7 +29,7 @@ def query(name: str, tables: dict[str, str], body: str):
 
 def company_query(name: str, body: str):
     def add(f):
-        co_.query(name, body, co_.GOLD)(f)
+        co_.query(name, body, co_.GOLD, reads=co_.KEYED)(f)
         QUERIES[name], SQL[name] = co_.QUERIES.pop(name), co_.SQL.pop(name)
         return f
 

@@ -65,3 +65,11 @@ def test_leads_are_derived_once(name, spark, monkeypatch):
         monkeypatch.setattr(module, "staged", lambda df, *a, plain=module.staged: seen.append(len(df.columns)) or plain(df, *a))
     assert registered()[0][name](spark, DATA).count() > 0
     assert seen in ([4], [3])
+
+
+@pytest.mark.parametrize("name", ["merge_pointer_problems", "link_golden", "identifier_survivor"])
+def test_names_are_not_derived_for_linking(name, spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(companies, "staged", lambda df, label, plain=companies.staged: seen.setdefault(label, df.columns) and plain(df, label))
+    assert registered()[0][name](spark, DATA).count() > 0
+    assert {"entity", "domain"} <= set(seen["companies"]) and not {"name_key", "name_norm"} & set(seen["companies"])

@@ -119,3 +119,26 @@ def test_queries_leave_their_result_only(spark, tmp_path, monkeypatch):
     made = staging.tidy("out", lambda s, d: staging.staged(staging.staged(s.range(3).toDF("x"), "a").filter("x > 0"), "b").select("x"))(spark, "")
     assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["out"] and made.count() == 2
     assert staging.tidy("out", lambda s, d: s.range(2).toDF("x"))(spark, "").count() == 2 and len(list(tmp_path.iterdir())) == 1
+
+
+def test_survivors_read_a_round_once(spark):
+    """Rounds that were only planned would read the pointers 2^5 times."""
+    rows = [(i, i // 3 if i % 3 == 0 and i else None) for i in range(200)] + [(201, 202), (202, 201), (203, 203), (204, 999), (205, 206), (206, 207), (207, 205)]
+    to, want = dict(rows), {}
+    for e, _ in rows:
+        path = [e]
+        for _ in range(32):
+            if path[-1] in to and to[path[-1]] is not None:
+                path.append(to[path[-1]])
+        want[e] = path[-1] if path[-1] in to and to[path[-1]] is None else min(path)
+    got = identity.survivors(spark.createDataFrame(rows, "entity long, merged_into long"))
+    assert {r.entity: r.survivor for r in got.collect()} == want
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 1
+
+
+def test_claims_are_counted_only_if_read(spark):
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "a", None)], "entity long, source string, domain string")
+    ids = identity.identifiers(rows, [("domain", "domain")])
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert (joins(ids), joins(ids.drop("claims"))) == (2, 1)
+    assert sorted((r.entity, r.claims) for r in ids.collect()) == [(1, 2), (2, 2)]
