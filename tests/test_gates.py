@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from sluice.functions import ranks
+from sluice.functions import ranks, staging
 from sluice.operators import gates
 from sluice.plans import companies, registered
 
@@ -29,6 +29,23 @@ def test_hits_by_slices(seed, spark, monkeypatch):
     assert sorted(map(tuple, gates.dedup_hits(leads, index, KINDS).collect())) == sorted(met)
 
 
+@pytest.mark.parametrize("sizes", [{"MANY": 2, "TILE": 3}, {"LEADS": 2}, {"SLICE": 5, "SLICES": 3}, {"MANY": 4, "TILE": 2, "LEADS": 9, "SLICE": 8, "SLICES": 7}])
+def test_hits_by_slices_and_tiles(sizes, spark, monkeypatch):
+    for name, n in sizes.items():
+        monkeypatch.setattr(gates, name, n)
+    leads, index, met = some(spark, 7)
+    leads = leads.union(spark.sql("SELECT CAST(NULL AS LONG), 'hot', 'hot'"))
+    met |= {(None, kind, portal, deal) for kind, value, portal, deal, gone in index.collect() if value == "hot" and not gone}
+    order = lambda rows: sorted(rows, key=str)
+    assert order(map(tuple, gates.dedup_hits(leads, index, KINDS).collect())) == order(met)
+
+
+def test_pairs_are_not_staged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
+    hits = registered()[0]["dedup_leads"](spark, DATA)
+    assert hits.count() > 0 and {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"leads", "deals"}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_hits_are_explained_from_counts(seed, spark):
     leads, index, met = some(spark, seed)
