@@ -211,7 +211,7 @@ def _(co):
 POINT = "pt AS (SELECT entity, CASE pk % 8 WHEN 0 THEN entity WHEN 1 THEN -entity - 1 WHEN 2 THEN entity + 2 WHEN 3 THEN entity - 2 WHEN 4 THEN (SELECT max(entity) FROM co) WHEN 5 THEN (pk // 3) * 2 + entity % 2 END AS into_ FROM co)"
 
 
-@company_query("merge_pointer_problems", f", {POINT}, w(entity, here, n) AS (SELECT entity, entity, 0 FROM pt UNION ALL SELECT w.entity, p.into_, n + 1 FROM w JOIN pt p ON w.here = p.entity WHERE p.into_ IS NOT NULL AND n < 40), ok AS (SELECT DISTINCT w.entity FROM w JOIN pt p ON p.entity = w.here AND p.into_ IS NULL) SELECT pt.entity, CASE WHEN into_ = pt.entity THEN 'own_identity' WHEN t.entity IS NULL THEN 'missing_target' WHEN a.golden = b.golden THEN 'same_golden' ELSE 'cycle' END AS problem FROM pt LEFT JOIN co t ON t.entity = into_ LEFT JOIN go a ON a.entity = pt.entity LEFT JOIN go b ON b.entity = into_ WHERE into_ IS NOT NULL AND (into_ = pt.entity OR t.entity IS NULL OR a.golden = b.golden OR pt.entity NOT IN (SELECT entity FROM ok))")
+@company_query("merge_pointer_problems", f", {POINT}, w(entity, here) AS (SELECT entity, entity FROM pt UNION SELECT w.entity, p.into_ FROM w JOIN pt p ON w.here = p.entity WHERE p.into_ IS NOT NULL), ok AS (SELECT DISTINCT w.entity FROM w JOIN pt p ON p.entity = w.here AND p.into_ IS NULL) SELECT pt.entity, CASE WHEN into_ = pt.entity THEN 'own_identity' WHEN t.entity IS NULL THEN 'missing_target' WHEN a.golden = b.golden THEN 'same_golden' ELSE 'cycle' END AS problem FROM pt LEFT JOIN co t ON t.entity = into_ LEFT JOIN go a ON a.entity = pt.entity LEFT JOIN go b ON b.entity = into_ WHERE into_ IS NOT NULL AND (into_ = pt.entity OR t.entity IS NULL OR a.golden = b.golden OR pt.entity NOT IN (SELECT entity FROM ok))")
 def _(co):
     k, e = F.col("pk") % 8, F.col("entity")
     last = co.agg(F.max("entity").alias("_max"))

@@ -136,6 +136,15 @@ def test_survivors_read_a_round_once(spark):
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 1
 
 
+def test_merge_pointers_are_followed_to_their_end(spark):
+    """A chain of 90 entities, which a bound on its steps would call a cycle, and a cycle of 45 with a chain of 40 that leads to it."""
+    chain, ring, tail = [(i, i - 1 if i else None) for i in range(90)], [(200 + i, 200 + (i + 1) % 45) for i in range(45)], [(300 + i, 300 + i - 1 if i else 200) for i in range(40)]
+    pointers = spark.createDataFrame(chain + ring + tail, "entity long, merged_into long")
+    assert {r.entity: r.survivor for r in identity.survivors(pointers).collect()} == {e: 0 if e < 90 else 200 for e, _ in chain + ring + tail}
+    labels = pointers.select("entity", pointers["entity"].alias("golden"))
+    assert {(r.entity, r.problem) for r in identity.pointer_problems(pointers, labels).collect()} == {(e, "cycle") for e, _ in ring + tail}
+
+
 def test_claims_are_counted_only_if_read(spark):
     rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "a", None)], "entity long, source string, domain string")
     ids = identity.identifiers(rows, [("domain", "domain")])
